@@ -164,3 +164,72 @@ def _():
     return with_views(f"""
 SELECT symbol, bar_date, {R6("max(CASE WHEN strategy = 'long' THEN cum_ret END)")} AS market, {cols}
 FROM cur WHERE is_test GROUP BY symbol, bar_date""", "brand_bars", extra=_curves(RULES))
+
+
+# ------------------------------------------------------------------ stitch
+@oracle("stitch_intervals")
+def _():
+    return with_views(f"""
+SELECT symbol, ts, source_interval, {R6('open')} AS open, {R6('high')} AS high, {R6('low')} AS low,
+       {R6('close')} AS close, CAST(volume AS BIGINT) AS volume
+FROM (
+  SELECT c.*, '360min' AS source_interval FROM event_bars_6h c
+  LEFT JOIN cut USING (symbol)
+  WHERE cut.cut IS NULL OR c.ts <= cut.cut
+  UNION ALL
+  SELECT f.*, '60min' AS source_interval FROM fine f
+  JOIN cut USING (symbol)
+  JOIN (SELECT symbol, min(ts) AS first_ts FROM fine GROUP BY symbol) m USING (symbol)
+  WHERE f.ts > m.first_ts) u""", "event_bars_h", "event_bars_6h", extra={
+        "fine": "SELECT * FROM event_bars_h WHERE ts >= TIMESTAMP '2024-01-20 00:00:00'",
+        "cut": """SELECT f.symbol, min(f.ts) AS cut FROM fine f
+                  WHERE EXISTS (SELECT 1 FROM event_bars_6h c WHERE c.symbol = f.symbol AND c.ts = f.ts)
+                  GROUP BY f.symbol"""})
+
+
+# ------------------------------------------------------------------ text
+from ..functions.text import (STOP_SQL, sanitize_sql, sentences_sql,  # noqa: E402
+                              substring_count_sql, tokens_sql)
+
+SENTS = f"""
+  SELECT doc_id, unnest(range(len(s))) AS sent_no, unnest(s) AS sentence
+  FROM (SELECT doc_id, {sentences_sql(sanitize_sql('text'))} AS s FROM documents) d"""
+TOKS = f"""
+  SELECT doc_id, sent_no, word FROM (
+    SELECT doc_id, sent_no, unnest({tokens_sql('sentence')}) AS word FROM sents) t
+  WHERE NOT list_contains({STOP_SQL}, word)"""
+SCORES = """
+  SELECT doc_id, sent_no, sum(freq) AS score FROM (
+    SELECT doc_id, sent_no, count(*) OVER (PARTITION BY doc_id, word) AS freq FROM toks) f
+  GROUP BY doc_id, sent_no"""
+SUMMARY = """
+  SELECT d.doc_id,
+         coalesce(string_agg(s.sentence, ' ' ORDER BY s.sent_no) FILTER (WHERE sc.score > 0), '') AS summary,
+         count(*) FILTER (WHERE sc.score > 0) AS n_sentences
+  FROM documents d
+  JOIN sents s ON s.doc_id = d.doc_id
+  LEFT JOIN scores sc ON sc.doc_id = s.doc_id AND sc.sent_no = s.sent_no
+  GROUP BY d.doc_id"""
+TEXT_CTES = {"sents": SENTS, "toks": TOKS, "scores": SCORES}
+
+
+@oracle("sanitized_text")
+def _():
+    return f"SELECT doc_id, {sanitize_sql('text')} AS clean, CAST(length({sanitize_sql('text')}) AS BIGINT) AS n_clean FROM documents"
+
+
+@oracle("word_freq")
+def _():
+    return with_views("SELECT doc_id, word, count(*) AS freq FROM toks GROUP BY doc_id, word", extra=TEXT_CTES)
+
+
+@oracle("sentence_scores")
+def _():
+    return with_views("SELECT doc_id, CAST(sent_no AS BIGINT) AS sent_no, CAST(score AS BIGINT) AS score FROM scores",
+                      extra=TEXT_CTES)
+
+
+@oracle("extractive_summary")
+def _():
+    return with_views("SELECT doc_id, summary, CAST(n_sentences AS BIGINT) AS n_sentences FROM summ",
+                      extra={**TEXT_CTES, "summ": SUMMARY})

@@ -49,3 +49,27 @@ for _name, _op in {
 @query("missing_series")
 def _missing_series(spark, d):
     return bars.q_missing_series(fx.brand_bars(spark, d), fx.event_bars_h(spark, d), fx.event_bars_6h(spark, d))
+
+
+# step 3: stitch
+@query("stitch_intervals")
+def _stitch(spark, d):
+    from ..operators.stitch import q_stitch_intervals
+    return q_stitch_intervals(fx.event_bars_6h(spark, d), fx.event_bars_h(spark, d))
+
+
+# step 4: text
+def _docs(spark, d):
+    from ..sources.tables import table
+    return table(spark, d, "documents", "doc_id", "text")
+
+
+def _register_text():
+    from ..operators import text as tx
+    for name, op in {"sanitized_text": tx.q_sanitized_text, "word_freq": tx.q_word_freq,
+                     "sentence_scores": tx.q_sentence_scores,
+                     "extractive_summary": tx.q_extractive_summary}.items():
+        QUERIES[name] = (lambda o: lambda spark, d: o(_docs(spark, d)))(op)
+
+
+_register_text()
