@@ -233,3 +233,66 @@ def _():
 def _():
     return with_views("SELECT doc_id, summary, CAST(n_sentences AS BIGINT) AS n_sentences FROM summ",
                       extra={**TEXT_CTES, "summ": SUMMARY})
+
+
+# ------------------------------------------------------------------ keywords
+def _keyword_ctes(steps: int = 10) -> dict[str, str]:
+    kept = f"list_filter({tokens_sql('summary')}, lambda x: NOT list_contains({STOP_SQL}, x))"
+    c = {**TEXT_CTES, "summ": SUMMARY,
+         "ktoks": f"SELECT doc_id, {kept} AS toks FROM summ",
+         "pairs": """SELECT doc_id, toks[i] AS src, toks[i + 1] AS dst
+                     FROM (SELECT doc_id, toks, unnest(range(1, len(toks))) AS i FROM ktoks) p""",
+         "edges": """SELECT DISTINCT doc_id, src, dst FROM (
+                       SELECT doc_id, src, dst FROM pairs WHERE src <> dst
+                       UNION ALL SELECT doc_id, dst, src FROM pairs WHERE src <> dst) e""",
+         "deg": "SELECT doc_id, src AS word, count(*) AS deg FROM edges GROUP BY doc_id, src",
+         "nodes": """SELECT n.doc_id, n.word, n.n_nodes, coalesce(d.deg, 0) AS deg FROM (
+                       SELECT doc_id, unnest(list_distinct(toks)) AS word,
+                              CAST(len(list_distinct(toks)) AS BIGINT) AS n_nodes FROM ktoks) n
+                     LEFT JOIN deg d ON d.doc_id = n.doc_id AND d.word = n.word""",
+         "r0": "SELECT doc_id, word, n_nodes, deg, 1.0::DOUBLE / n_nodes AS rank FROM nodes"}
+    for i in range(1, steps + 1):
+        c[f"r{i}"] = f"""
+          SELECT b.doc_id, b.word, b.n_nodes, b.deg,
+                 0.15::DOUBLE / b.n_nodes + 0.85::DOUBLE * coalesce(s.inflow, 0.0::DOUBLE) AS rank
+          FROM nodes b LEFT JOIN (
+            SELECT e.doc_id, e.dst AS word, sum(p.rank / p.deg) AS inflow
+            FROM edges e JOIN r{i - 1} p ON p.doc_id = e.doc_id AND p.word = e.src
+            GROUP BY e.doc_id, e.dst) s ON s.doc_id = b.doc_id AND s.word = b.word"""
+    c["kw"] = f"""
+      SELECT * FROM (
+        SELECT doc_id, word, n_nodes, rank,
+               row_number() OVER (PARTITION BY doc_id ORDER BY floor(rank * 1e12 + 0.5) DESC, word) AS kw_rank
+        FROM r{steps}) k
+      WHERE kw_rank <= floor(n_nodes * 0.2::DOUBLE)"""
+    c["alltoks"] = f"""
+      SELECT doc_id, unnest(range(len(t))) AS pos, unnest(t) AS word
+      FROM (SELECT doc_id, {tokens_sql('summary')} AS t FROM summ) a"""
+    c["phr"] = """
+      SELECT DISTINCT doc_id, phrase, n_words FROM (
+        SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS phrase, count(*) AS n_words
+        FROM (SELECT t.doc_id, t.pos, t.word,
+                     t.pos - row_number() OVER (PARTITION BY t.doc_id ORDER BY t.pos) AS island
+              FROM alltoks t
+              WHERE EXISTS (SELECT 1 FROM kw WHERE kw.doc_id = t.doc_id AND kw.word = t.word)) x
+        GROUP BY doc_id, island HAVING count(*) >= 2) y"""
+    return c
+
+
+@oracle("textrank_keywords")
+def _():
+    return with_views(f"SELECT doc_id, word, {R6('rank')} AS rank, CAST(kw_rank AS BIGINT) AS kw_rank FROM kw",
+                      extra=_keyword_ctes())
+
+
+@oracle("keyword_phrases")
+def _():
+    return with_views("SELECT doc_id, phrase, CAST(n_words AS BIGINT) AS n_words FROM phr", extra=_keyword_ctes())
+
+
+@oracle("keyword_substring_count")
+def _():
+    return with_views(f"""
+SELECT k.doc_id, k.keyword, {substring_count_sql('s.summary', 'k.keyword')} AS cnt
+FROM (SELECT doc_id, word AS keyword FROM kw UNION ALL SELECT doc_id, phrase FROM phr) k
+JOIN summ s ON s.doc_id = k.doc_id""", extra=_keyword_ctes())

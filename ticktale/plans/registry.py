@@ -73,3 +73,19 @@ def _register_text():
 
 
 _register_text()
+
+
+# step 5: keywords (over the summaries of step 4, checkpointed once)
+def _summaries(spark, d):
+    from ..operators.text import summaries
+    return summaries(_docs(spark, d)).checkpoint()
+
+
+def _register_keywords():
+    from ..operators import keywords as kw
+    for name, op in {"textrank_keywords": kw.q_textrank_keywords, "keyword_phrases": kw.q_keyword_phrases,
+                     "keyword_substring_count": kw.q_keyword_substring_count}.items():
+        QUERIES[name] = (lambda o: lambda spark, d: o(_summaries(spark, d)))(op)
+
+
+_register_keywords()
