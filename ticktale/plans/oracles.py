@@ -296,3 +296,62 @@ def _():
 SELECT k.doc_id, k.keyword, {substring_count_sql('s.summary', 'k.keyword')} AS cnt
 FROM (SELECT doc_id, word AS keyword FROM kw UNION ALL SELECT doc_id, phrase FROM phr) k
 JOIN summ s ON s.doc_id = k.doc_id""", extra=_keyword_ctes())
+
+
+# ------------------------------------------------------------------ harvest
+from ..functions.html import paragraphs_sql  # noqa: E402
+
+COMPANY_SQL = """CASE page_id % 5 WHEN 0 THEN 'click' WHEN 1 THEN 'error' WHEN 2 THEN 'purchase'
+                 WHEN 3 THEN 'signup' ELSE 'view' END"""
+LI_RE_SQL = """'<li[^>]*>[ \\t\\n\\r\\f]*<a[^>]*href="([^"]*)"[^>]*>([^<]*)</a>'"""
+LINKS = f"""
+  SELECT {COMPANY_SQL} AS company, page_id, CAST(pos AS BIGINT) AS pos,
+         CASE WHEN starts_with(href, 'http') THEN href
+              ELSE regexp_extract(url, '^(https?://[^/]+)', 1) || href END AS link,
+         trim(section) AS section
+  FROM (SELECT page_id, url,
+               unnest(range(len(regexp_extract_all(html, {LI_RE_SQL}, 1)))) AS pos,
+               unnest(regexp_extract_all(html, {LI_RE_SQL}, 1)) AS href,
+               unnest(regexp_extract_all(html, {LI_RE_SQL}, 2)) AS section
+        FROM pages) x"""
+
+
+@oracle("page_text")
+def _():
+    p = paragraphs_sql("html")
+    return f"""
+SELECT page_id, url, trim(array_to_string({p}, ' ')) AS text, CAST(len({p}) AS BIGINT) AS n_paragraphs
+FROM pages"""
+
+
+@oracle("page_links")
+def _():
+    return LINKS
+
+
+@oracle("link_sections")
+def _():
+    return with_views("""
+SELECT company, lower(section) AS section, count(*) AS n_links, count(DISTINCT link) AS n_distinct,
+       lower(section) IN ('technology', 'business', 'climate', 'energy & environment') AS wanted
+FROM links GROUP BY company, lower(section)""", extra={"links": LINKS})
+
+
+@oracle("unseen_links")
+def _():
+    return with_views(f"""
+SELECT DISTINCT company, link FROM links l
+WHERE NOT EXISTS (SELECT 1 FROM pages p WHERE {COMPANY_SQL.replace('page_id', 'p.page_id')} = l.company
+                  AND p.url = l.link)""", extra={"links": LINKS})
+
+
+@oracle("publish_date")
+def _():
+    raw = """regexp_extract(html, '<time[^>]*datetime="([^"]*)"', 1)"""
+    return f"""
+SELECT page_id, url, raw_date,
+       coalesce(CAST(try_strptime(raw_date, '%Y-%m-%d') AS DATE),
+                CAST(try_strptime(replace(raw_date, 'Sept', 'Sep'), '%b. %d, %Y') AS DATE),
+                CASE WHEN try_strptime(raw_date, '%Y-%m-%dT%H:%M:%S%z') IS NOT NULL
+                     THEN CAST(try_strptime(left(raw_date, 10), '%Y-%m-%d') AS DATE) END) AS pub_date
+FROM (SELECT page_id, url, {raw} AS raw_date FROM pages) p WHERE raw_date <> ''"""

@@ -89,3 +89,16 @@ def _register_keywords():
 
 
 _register_keywords()
+
+
+# step 6: harvest
+def _register_harvest():
+    from ..operators import harvest as hv
+    from ..sources.tables import table
+    for name, op in {"page_text": hv.q_page_text, "page_links": hv.q_page_links,
+                     "link_sections": hv.q_link_sections, "unseen_links": hv.q_unseen_links,
+                     "publish_date": hv.q_publish_date}.items():
+        QUERIES[name] = (lambda o: lambda spark, d: o(table(spark, d, "pages", "page_id", "url", "html")))(op)
+
+
+_register_harvest()
