@@ -355,3 +355,101 @@ SELECT page_id, url, raw_date,
                 CASE WHEN try_strptime(raw_date, '%Y-%m-%dT%H:%M:%S%z') IS NOT NULL
                      THEN CAST(try_strptime(left(raw_date, 10), '%Y-%m-%d') AS DATE) END) AS pub_date
 FROM (SELECT page_id, url, {raw} AS raw_date FROM pages) p WHERE raw_date <> ''"""
+
+
+# ------------------------------------------------------------------ news
+NEWS_CTES = {
+    "aw": f"""
+      SELECT symbol, pub_date, article_no, word, count(*) AS cnt FROM (
+        SELECT symbol, pub_date, article_no, unnest({tokens_sql('text')}) AS word FROM articles) t
+      WHERE NOT list_contains({STOP_SQL}, word)
+      GROUP BY symbol, pub_date, article_no, word""",
+    "dwc": "SELECT symbol, pub_date, word, sum(cnt) AS cnt FROM aw GROUP BY symbol, pub_date, word",
+    "present": """
+      SELECT d.symbol, d.pub_date, o.off AS \"offset\", b.bar_date, b.open, b.close
+      FROM (SELECT DISTINCT symbol, pub_date FROM aw) d
+      CROSS JOIN (SELECT unnest([0, 1, 3, 5]) AS off) o
+      JOIN event_bars_d b ON b.symbol = d.symbol AND b.bar_date = CAST(d.pub_date + o.off AS DATE)""",
+    "ex0": """
+      SELECT * , CASE WHEN close - open0 >= 0 THEN 1 ELSE -1 END AS label FROM (
+        SELECT *, count(*) OVER w AS n_present, min(\"offset\") OVER w AS first_offset,
+               arg_min(open, \"offset\") OVER w AS open0
+        FROM present WINDOW w AS (PARTITION BY symbol, pub_date)) p
+      WHERE n_present >= 3 AND \"offset\" > first_offset""",
+    "ex": """
+      SELECT * FROM ex0 WHERE symbol IN (
+        SELECT symbol FROM ex0 GROUP BY symbol HAVING min(label) <> max(label))""",
+    "totals": "SELECT symbol, word, sum(cnt) AS total FROM aw GROUP BY symbol, word",
+    "vocab": """
+      SELECT * FROM (
+        SELECT symbol, word, total,
+               row_number() OVER (PARTITION BY symbol ORDER BY total DESC, word) AS pos,
+               count(*) OVER (PARTITION BY symbol) AS n
+        FROM totals) v
+      WHERE pos <= floor(n / 4)""",
+    "vec": """
+      SELECT symbol, bar_date, word, sum(cnt) AS cnt FROM (
+        SELECT c.symbol, CAST(c.pub_date + o.off AS DATE) AS bar_date, c.word, c.cnt
+        FROM dwc c CROSS JOIN (SELECT unnest([0, 3, 5]) AS off) o) h
+      WHERE EXISTS (SELECT 1 FROM event_bars_d b WHERE b.symbol = h.symbol AND b.bar_date = h.bar_date)
+        AND EXISTS (SELECT 1 FROM vocab v WHERE v.symbol = h.symbol AND v.word = h.word)
+      GROUP BY symbol, bar_date, word HAVING sum(cnt) <> 0""",
+    "terms": """SELECT e.symbol, e.pub_date, e.\"offset\", e.label, c.word, c.cnt
+                FROM ex e JOIN dwc c ON c.symbol = e.symbol AND c.pub_date = e.pub_date""",
+    "weights": """
+      SELECT symbol, word, ln((up + 1.0::DOUBLE) / (down + 1.0::DOUBLE)) AS w FROM (
+        SELECT symbol, word, sum(CASE WHEN label = 1 THEN cnt ELSE 0 END) AS up,
+               sum(CASE WHEN label = -1 THEN cnt ELSE 0 END) AS down
+        FROM terms GROUP BY symbol, word) x""",
+    "scores": """
+      SELECT symbol, bar_date, 1.0::DOUBLE - 1.0::DOUBLE / (1.0::DOUBLE + exp(-z)) AS p_down,
+             1.0::DOUBLE / (1.0::DOUBLE + exp(-z)) AS p_up FROM (
+        SELECT v.symbol, v.bar_date, sum(v.cnt * w.w) AS z
+        FROM vec v JOIN weights w ON w.symbol = v.symbol AND w.word = v.word
+        GROUP BY v.symbol, v.bar_date) s""",
+}
+
+
+@oracle("news_label_examples")
+def _():
+    return with_views(f"""
+SELECT symbol, pub_date, "offset", bar_date, label, {R6('open0')} AS open0, {R6('close')} AS close FROM ex""",
+                      "articles", "event_bars_d", extra=NEWS_CTES)
+
+
+@oracle("day_word_counts")
+def _():
+    return with_views("SELECT symbol, pub_date, word, CAST(cnt AS BIGINT) AS cnt FROM dwc", "articles",
+                      "event_bars_d", extra=NEWS_CTES)
+
+
+@oracle("daily_news_vector")
+def _():
+    return with_views("SELECT symbol, word, bar_date, CAST(cnt AS BIGINT) AS cnt FROM vec", "articles",
+                      "event_bars_d", extra=NEWS_CTES)
+
+
+@oracle("attach_news_scores")
+def _():
+    return with_views(f"""
+SELECT b.symbol, b.bar_date, {R6('b.close')} AS close, {R6('coalesce(s.p_down, 0.0)')} AS p_down,
+       {R6('coalesce(s.p_up, 0.0)')} AS p_up
+FROM event_bars_d b LEFT JOIN scores s ON s.symbol = b.symbol AND s.bar_date = b.bar_date""",
+                      "articles", "event_bars_d", extra=NEWS_CTES)
+
+
+@oracle("cut_at_first_article")
+def _():
+    return with_views(f"""
+SELECT b.symbol, b.bar_date, {R6('b.open')} AS open, {R6('b.close')} AS close
+FROM event_bars_d b LEFT JOIN (
+  SELECT f.symbol, f.first_date FROM (SELECT symbol, min(pub_date) AS first_date FROM aw GROUP BY symbol) f
+  WHERE EXISTS (SELECT 1 FROM event_bars_d x WHERE x.symbol = f.symbol AND x.bar_date = f.first_date)) t
+  ON t.symbol = b.symbol
+WHERE t.first_date IS NULL OR b.bar_date >= t.first_date""", "articles", "event_bars_d", extra=NEWS_CTES)
+
+
+@oracle("top_quarter_vocab")
+def _():
+    return with_views("SELECT symbol, word, CAST(total AS BIGINT) AS total, CAST(pos AS BIGINT) AS pos FROM vocab",
+                      "articles", "event_bars_d", extra=NEWS_CTES)

@@ -102,3 +102,17 @@ def _register_harvest():
 
 
 _register_harvest()
+
+
+# step 7: news features
+def _register_news():
+    from ..operators import news as nw
+    both = {"news_label_examples": nw.q_news_label_examples, "daily_news_vector": nw.q_daily_news_vector,
+            "attach_news_scores": nw.q_attach_news_scores, "cut_at_first_article": nw.q_cut_at_first_article}
+    for name, op in both.items():
+        QUERIES[name] = (lambda o: lambda spark, d: o(fx.articles(spark, d), fx.event_bars_d(spark, d)))(op)
+    for name, op in {"day_word_counts": nw.q_day_word_counts, "top_quarter_vocab": nw.q_top_quarter_vocab}.items():
+        QUERIES[name] = (lambda o: lambda spark, d: o(fx.articles(spark, d)))(op)
+
+
+_register_news()
