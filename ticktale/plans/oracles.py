@@ -453,3 +453,85 @@ WHERE t.first_date IS NULL OR b.bar_date >= t.first_date""", "articles", "event_
 def _():
     return with_views("SELECT symbol, word, CAST(total AS BIGINT) AS total, CAST(pos AS BIGINT) AS pos FROM vocab",
                       "articles", "event_bars_d", extra=NEWS_CTES)
+
+
+# ------------------------------------------------------------------ select
+from ..functions.stats import chi2_critical_1df_sql  # noqa: E402
+
+SELECT_CTES = {
+    "ex": f"""SELECT {COMPANY_SQL.replace('page_id', 'doc_id')} AS symbol, doc_id AS example_id, quality AS label
+              FROM labels""",
+    "terms": f"""
+      SELECT symbol, example_id, word, count(*) AS cnt FROM (
+        SELECT {COMPANY_SQL.replace('page_id', 'doc_id')} AS symbol, doc_id AS example_id,
+               unnest({tokens_sql('text')}) AS word
+        FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)) t
+      WHERE NOT list_contains({STOP_SQL}, word)
+      GROUP BY symbol, example_id, word""",
+    "shares": """
+      SELECT c.symbol, c.label, c.n_c / n.n AS share FROM
+        (SELECT symbol, label, count(*) AS n_c FROM ex GROUP BY symbol, label) c
+        JOIN (SELECT symbol, count(*) AS n FROM ex GROUP BY symbol) n ON n.symbol = c.symbol""",
+    "obs": """
+      SELECT t.symbol, t.word, e.label, sum(t.cnt) AS o
+      FROM terms t JOIN ex e ON e.symbol = t.symbol AND e.example_id = t.example_id
+      GROUP BY t.symbol, t.word, e.label""",
+    "scores": """
+      SELECT symbol, word, CAST(total AS BIGINT) AS total, s / total - total AS chi2 FROM (
+        SELECT o.symbol, o.word, sum(o.o * o.o / sh.share) AS s, sum(o.o) AS total
+        FROM obs o JOIN shares sh ON sh.symbol = o.symbol AND sh.label = o.label
+        GROUP BY o.symbol, o.word) x""",
+}
+
+
+def _sel(where_sql: str, extra: dict | None = None) -> str:
+    return with_views(f"SELECT symbol, word, total, {R6('chi2')} AS chi2 FROM {where_sql}",
+                      extra={**SELECT_CTES, **(extra or {})})
+
+
+@oracle("chi2_scores")
+def _():
+    return _sel("scores")
+
+
+@oracle("select_k_best")
+def _():
+    return _sel("(SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY chi2 DESC, word) AS r FROM scores) k "
+                "WHERE r <= 200")
+
+
+@oracle("select_fpr")
+def _():
+    return _sel(f"scores WHERE chi2 > {chi2_critical_1df_sql('0.005::DOUBLE')}")
+
+
+@oracle("select_fwe")
+def _():
+    return _sel(f"(SELECT *, count(*) OVER (PARTITION BY symbol) AS m FROM scores) f "
+                f"WHERE chi2 > {chi2_critical_1df_sql('0.005::DOUBLE / m')}")
+
+
+@oracle("select_fdr")
+def _():
+    ok = f"chi2 >= {chi2_critical_1df_sql('0.005::DOUBLE * i / m')}"
+    return _sel("fdr2 WHERE chi2 >= cut", extra={
+        "fdr0": """SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY chi2 DESC, word) AS i,
+                          count(*) OVER (PARTITION BY symbol) AS m FROM scores""",
+        "fdr1": f"SELECT *, max(CASE WHEN {ok} THEN i END) OVER (PARTITION BY symbol) AS istar FROM fdr0",
+        "fdr2": "SELECT *, max(CASE WHEN i = istar THEN chi2 END) OVER (PARTITION BY symbol) AS cut FROM fdr1"})
+
+
+@oracle("select_percentile")
+def _():
+    return _sel("p3 WHERE chi2 > thr OR tie <= floor(n * 10 / 100) - above", extra={
+        "p0": """SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY chi2, word) AS rn,
+                        count(*) OVER (PARTITION BY symbol) AS n,
+                        (count(*) OVER (PARTITION BY symbol) - 1) * 0.9::DOUBLE AS h FROM scores""",
+        "p1": """SELECT *, h - floor(h) AS frac,
+                        max(CASE WHEN rn = floor(h) + 1 THEN chi2 END) OVER (PARTITION BY symbol) AS a,
+                        max(CASE WHEN rn = least(floor(h) + 2, n) THEN chi2 END) OVER (PARTITION BY symbol) AS b
+                 FROM p0""",
+        "p2": """SELECT *, count(CASE WHEN chi2 > thr THEN 1 END) OVER (PARTITION BY symbol) AS above
+                 FROM (SELECT *, a + frac * (b - a) AS thr FROM p1) t""",
+        "p3": """SELECT *, CASE WHEN chi2 = thr THEN row_number() OVER (PARTITION BY symbol, chi2 = thr ORDER BY word)
+                            END AS tie FROM p2"""})

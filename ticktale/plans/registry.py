@@ -116,3 +116,19 @@ def _register_news():
 
 
 _register_news()
+
+
+# step 8: chi-square selection
+def _register_select():
+    from ..operators import select as sl
+    from ..sources.tables import table
+
+    def inputs(o):
+        return lambda spark, d: o(table(spark, d, "documents", "doc_id", "text"),
+                                  table(spark, d, "labels", "doc_id", "quality"))
+    QUERIES["chi2_scores"] = inputs(sl.q_chi2_scores)
+    for mode in sl.SELECTORS:
+        QUERIES[f"select_{mode}"] = inputs(sl.q_select(mode))
+
+
+_register_select()
