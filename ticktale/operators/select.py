@@ -40,7 +40,7 @@ def chi2_scores(ex: DataFrame, terms: DataFrame, keys=("symbol",), example: str
     n_c = ex.groupBy(*keys, "label").agg(F.count("*").alias("n_c"))
     n = ex.groupBy(*keys).agg(F.count("*").alias("n"))
     shares = n_c.join(n, keys).select(*keys, "label", (F.col("n_c") / F.col("n")).alias("share"))
-    obs = (terms.join(ex.select(*keys, example, "label"), keys + [example])
+    obs = (terms.select(*keys, example, "word", "cnt").join(ex.select(*keys, example, "label"), keys + [example])
                 .groupBy(*keys, "word", "label").agg(F.sum("cnt").alias("o")))
     s = obs.join(shares, keys + ["label"]).groupBy(*keys, "word").agg(
         F.sum(F.col("o") * F.col("o") / F.col("share")).alias("_s"), F.sum("o").alias("total"))

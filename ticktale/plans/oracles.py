@@ -535,3 +535,40 @@ def _():
                  FROM (SELECT *, a + frac * (b - a) AS thr FROM p1) t""",
         "p3": """SELECT *, CASE WHEN chi2 = thr THEN row_number() OVER (PARTITION BY symbol, chi2 = thr ORDER BY word)
                             END AS tie FROM p2"""})
+
+
+# ------------------------------------------------------------------ literal-weight scorers
+def _sig(z: str) -> str:
+    return f"(1.0::DOUBLE / (1.0::DOUBLE + exp(-({z}))))"
+
+
+def _lin(ws, xs) -> str:
+    # same association as ticktale.functions.kernels.dot: ((x0*w0 + x1*w1) + x2*w2)
+    acc = None
+    for x, w in zip(xs, ws):
+        t = f"({x} * {format(float(w), '.17e')})"
+        acc = t if acc is None else f"({acc} + {t})"
+    return acc
+
+
+@oracle("sigmoid_score")
+def _():
+    from ..operators.models import SIGMOID_THETA as T
+    z = (f"({format(T[0], '.17e')} + {format(T[1], '.17e')} * (open - close)) "
+         f"+ {format(T[2], '.17e')} * (high - low)")
+    return with_views(f"""
+SELECT symbol, bar_date, {R6(_sig(z))} AS p, CASE WHEN {_sig(z)} >= 0.5 THEN 1 ELSE -1 END AS pred
+FROM brand_bars""", "brand_bars")
+
+
+@oracle("mlp_forward")
+def _():
+    from ..operators.models import THETA1, THETA2
+    a1 = ["1.0::DOUBLE", "(open - close)", "(high - low)"]
+    hid = [_sig(_lin(row, a1)) for row in THETA1]
+    a2 = ["1.0::DOUBLE"] + hid
+    outs = [_sig(_lin(row, a2)) for row in THETA2]
+    return with_views(f"""
+SELECT symbol, bar_date, {R6('o[1]')} AS h1, {R6('o[2]')} AS h2,
+       CAST(list_position(o, list_max(o)) AS INTEGER) AS pred_class
+FROM (SELECT symbol, bar_date, [{', '.join(outs)}] AS o FROM brand_bars) x""", "brand_bars")

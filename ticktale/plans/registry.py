@@ -132,3 +132,21 @@ def _register_select():
 
 
 _register_select()
+
+
+# step 9: models (rows-only checks, except the literal-weight scorers)
+def _register_models():
+    from ..operators import models as md
+    from ..sources.tables import table
+    for name, op in {"svm_linear": md.q_svm("linear", c=1.0), "svm_poly": md.q_svm("poly", c=1.0, gamma=0.5),
+                     "svm_rbf_rff": md.q_svm("rbf", c=20.0, gamma=0.2),
+                     "svm_sigmoid_landmark": md.q_svm("sigmoid", c=1.0, gamma=0.1),
+                     "tree": md.q_tree, "bagged_trees": md.q_bagged_trees, "ls_boost": md.q_ls_boost,
+                     "mlp": md.q_mlp, "sigmoid_score": md.q_sigmoid_score,
+                     "mlp_forward": md.q_mlp_forward}.items():
+        QUERIES[name] = _on_brand_bars(op)
+    QUERIES["logreg_ovr"] = lambda spark, d: md.q_logreg_ovr(table(spark, d, "embeddings"))
+    QUERIES["svm_news_proba"] = lambda spark, d: md.q_svm_news_proba(fx.articles(spark, d), fx.event_bars_d(spark, d))
+
+
+_register_models()
