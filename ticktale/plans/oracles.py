@@ -572,3 +572,36 @@ def _():
 SELECT symbol, bar_date, {R6('o[1]')} AS h1, {R6('o[2]')} AS h2,
        CAST(list_position(o, list_max(o)) AS INTEGER) AS pred_class
 FROM (SELECT symbol, bar_date, [{', '.join(outs)}] AS o FROM brand_bars) x""", "brand_bars")
+
+
+# ------------------------------------------------------------------ knn
+SQD_SQL = ("list_reduce(list_transform(list_zip(a.vec, b.vec), lambda p: (p[1] - p[2]) * (p[1] - p[2])), "
+           "lambda acc, v: acc + v)")
+EMB = {"emb": "SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS vec, label, (vec_id * 7919) % 1000 >= 200 AS is_train FROM embeddings"}
+
+
+@oracle("knn_classify")
+def _():
+    return with_views("""
+SELECT vec_id, label, CAST(pred AS INTEGER) AS pred, votes FROM (
+  SELECT test_id AS vec_id, qlabel AS label, nlabel AS pred, count(*) AS votes,
+         row_number() OVER (PARTITION BY test_id ORDER BY count(*) DESC, nlabel) AS r
+  FROM (
+    SELECT a.id AS test_id, a.label AS qlabel, b.label AS nlabel,
+           row_number() OVER (PARTITION BY a.id ORDER BY """ + SQD_SQL + """, b.id) AS rn
+    FROM emb a, emb b WHERE NOT a.is_train AND b.is_train) n
+  WHERE rn <= 5
+  GROUP BY test_id, qlabel, nlabel) v
+WHERE r = 1""", extra=EMB)
+
+
+@oracle("feature_normalize")
+def _():
+    return with_views(f"""
+SELECT e.id AS vec_id,
+       list_transform(list_zip(e.vec, s.mu, s.sd), lambda p: {R6('(p[1] - p[2]) / (p[3] + 1e-7)')}) AS norm
+FROM emb e, (
+  SELECT list(mu ORDER BY dim) AS mu, list(coalesce(sd, 0.0) ORDER BY dim) AS sd FROM (
+    SELECT dim, avg(x) AS mu, stddev_samp(x) AS sd FROM (
+      SELECT unnest(range(len(vec))) AS dim, unnest(vec) AS x FROM emb WHERE is_train) t
+    GROUP BY dim) d) s""", extra=EMB)

@@ -150,3 +150,14 @@ def _register_models():
 
 
 _register_models()
+
+
+# step 10: knn and normalisation
+def _register_knn():
+    from ..operators import knn
+    from ..sources.tables import table
+    QUERIES["knn_classify"] = lambda spark, d: knn.q_knn_classify(table(spark, d, "embeddings"))
+    QUERIES["feature_normalize"] = lambda spark, d: knn.q_feature_normalize(table(spark, d, "embeddings"))
+
+
+_register_knn()
