@@ -605,3 +605,73 @@ FROM emb e, (
     SELECT dim, avg(x) AS mu, stddev_samp(x) AS sd FROM (
       SELECT unnest(range(len(vec))) AS dim, unnest(vec) AS x FROM emb WHERE is_train) t
     GROUP BY dim) d) s""", extra=EMB)
+
+
+# ------------------------------------------------------------------ boosting
+def _boost_ctes(rounds: int) -> dict[str, str]:
+    c = {"lb": lb(),
+         "rows": """SELECT symbol, rn AS rid, label AS y, is_train, is_test,
+                           [close, open, high, low, open - close, high - low] AS xs FROM lb""",
+         "train": "SELECT symbol, rid, y, xs FROM rows WHERE is_train",
+         "w1": """SELECT t.symbol, t.rid, 1.0::DOUBLE / n.n AS w FROM train t
+                  JOIN (SELECT symbol, count(*) AS n FROM train GROUP BY symbol) n ON n.symbol = t.symbol"""}
+    for r in range(1, rounds + 1):
+        c[f"long{r}"] = f"""
+          SELECT symbol, rid, y, fno, xs[fno] AS x, w,
+                 CASE WHEN y = 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS lab FROM (
+            SELECT t.symbol, t.rid, t.y, t.xs, w.w, unnest(range(1, len(t.xs) + 1)) AS fno
+            FROM train t JOIN w{r} w ON w.symbol = t.symbol AND w.rid = t.rid) u"""
+        c[f"d{r}"] = f"""
+          SELECT *, CASE WHEN nx IS NULL OR nx > x THEN abs(cc + (t0 - c0) - (t1 + t0) / 2) ELSE 0.0::DOUBLE END AS nc,
+                 CAST(sign(cc + (t0 - c0) - (t1 + t0) / 2) AS INTEGER) AS flag,
+                 CASE WHEN nx IS NULL THEN x + 1e-4 ELSE 5e-1 * (x + nx) END AS thresh
+          FROM (SELECT *, sum(lab * w) OVER run AS cc, sum((1 - lab) * w) OVER run AS c0,
+                       sum(lab * w) OVER whole AS t1, sum((1 - lab) * w) OVER whole AS t0,
+                       lead(x) OVER o AS nx, row_number() OVER o AS pos
+                FROM long{r}
+                WINDOW o AS (PARTITION BY symbol, fno ORDER BY x, rid),
+                       run AS (PARTITION BY symbol, fno ORDER BY x, rid
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+                       whole AS (PARTITION BY symbol, fno)) s"""
+        c[f"pf{r}"] = f"""
+          SELECT symbol, fno, thresh, flag AS polarity, nc + 5e-1 AS perf FROM (
+            SELECT *, row_number() OVER (PARTITION BY symbol, fno
+                                         ORDER BY floor(nc * 1e12 + 5e-1) DESC, pos) AS k FROM d{r}) x
+          WHERE k = 1"""
+        c[f"s{r}"] = f"""
+          SELECT symbol, fno, thresh, polarity, perf FROM (
+            SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY floor(perf * 1e12 + 5e-1) DESC, fno) AS k
+            FROM pf{r}) x WHERE k = 1"""
+        c[f"p{r}"] = f"""
+          SELECT t.symbol, t.rid, t.y, w.w, s.fno, s.thresh, s.polarity,
+                 (2 * CAST(t.xs[s.fno] < s.thresh AS INTEGER) - 1) * s.polarity AS pred
+          FROM train t JOIN w{r} w ON w.symbol = t.symbol AND w.rid = t.rid JOIN s{r} s ON s.symbol = t.symbol"""
+        c[f"e{r}"] = f"""
+          SELECT symbol, error, 5e-1 * ln((1.0::DOUBLE - ec) / ec) AS alpha FROM (
+            SELECT symbol, error, least(greatest(error, 1e-10), 1 - 1e-10) AS ec FROM (
+              SELECT symbol, sum(CAST(pred <> y AS DOUBLE) * w) / sum(w) AS error FROM p{r} GROUP BY symbol) a) b"""
+        c[f"u{r}"] = f"""
+          SELECT p.symbol, p.rid, p.w * exp(-e.alpha * p.pred * p.y) AS w2
+          FROM p{r} p JOIN e{r} e ON e.symbol = p.symbol"""
+        c[f"z{r}"] = f"SELECT symbol, sum(w2) AS z FROM u{r} GROUP BY symbol"
+        c[f"w{r + 1}"] = f"SELECT u.symbol, u.rid, u.w2 / z.z AS w FROM u{r} u JOIN z{r} z ON z.symbol = u.symbol"
+        c[f"out{r}"] = f"""
+          SELECT s.symbol, {r} AS round, s.fno, s.thresh, s.polarity, s.perf, e.error, e.alpha, z.z
+          FROM s{r} s JOIN e{r} e ON e.symbol = s.symbol JOIN z{r} z ON z.symbol = s.symbol"""
+    return c
+
+
+@oracle("best_stump")
+def _():
+    return with_views(f"""
+SELECT symbol, CAST(fno AS INTEGER) AS fno, {R6('thresh')} AS thresh, CAST(polarity AS INTEGER) AS polarity,
+       {R6('perf')} AS perf FROM s1""", "brand_bars", extra=_boost_ctes(1))
+
+
+@oracle("adaboost_round")
+def _():
+    return with_views(f"""
+SELECT symbol, CAST(round AS INTEGER) AS round, CAST(fno AS INTEGER) AS fno, {R6('thresh')} AS thresh,
+       CAST(polarity AS INTEGER) AS polarity, {R6('perf')} AS perf, {R6('error')} AS error,
+       {R6('alpha')} AS alpha, {R6('z')} AS z
+FROM (SELECT * FROM out1 UNION ALL SELECT * FROM out2) o""", "brand_bars", extra=_boost_ctes(2))

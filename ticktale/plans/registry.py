@@ -161,3 +161,14 @@ def _register_knn():
 
 
 _register_knn()
+
+
+# step 11: boosting
+def _register_boost():
+    from ..operators import boost
+    for name, op in {"best_stump": boost.q_best_stump, "adaboost_round": boost.q_adaboost_round,
+                     "adaboost": boost.q_adaboost}.items():
+        QUERIES[name] = _on_brand_bars(op)
+
+
+_register_boost()
