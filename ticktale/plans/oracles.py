@@ -123,7 +123,7 @@ def _curves(signals: dict[str, str], src: str = "brand_bars") -> dict[str, str]:
 
 RULES = {"long": "1", "prev_dir": "prev", "contrarian": "-prev"}
 
-SUMMARY = """
+BT_SUMMARY = """
   SELECT symbol, strategy,
          count(CASE WHEN is_train THEN 1 END) AS n_train,
          count(CASE WHEN is_test THEN 1 END) AS n_test,
@@ -146,7 +146,7 @@ def _():
     return with_views(f"""
 SELECT symbol, n_train, n_test, {R6('train_acc')} AS train_acc, {R6('test_acc')} AS test_acc,
        {R6('sharpe')} AS sharpe
-FROM summ""", "brand_bars", extra={**_curves({"prev_dir": "prev"}), "summ": SUMMARY})
+FROM summ""", "brand_bars", extra={**_curves({"prev_dir": "prev"}), "summ": BT_SUMMARY})
 
 
 @oracle("backtest_overall")
@@ -154,7 +154,7 @@ def _():
     return with_views(f"""
 SELECT strategy, count(*) AS n_symbols, {R6('avg(test_acc)')} AS mean_test_acc,
        {R6('stddev_samp(test_acc)')} AS std_test_acc
-FROM summ GROUP BY strategy""", "brand_bars", extra={**_curves(RULES), "summ": SUMMARY})
+FROM summ GROUP BY strategy""", "brand_bars", extra={**_curves(RULES), "summ": BT_SUMMARY})
 
 
 @oracle("strategy_curves_wide")
@@ -675,3 +675,48 @@ SELECT symbol, CAST(round AS INTEGER) AS round, CAST(fno AS INTEGER) AS fno, {R6
        CAST(polarity AS INTEGER) AS polarity, {R6('perf')} AS perf, {R6('error')} AS error,
        {R6('alpha')} AS alpha, {R6('z')} AS z
 FROM (SELECT * FROM out1 UNION ALL SELECT * FROM out2) o""", "brand_bars", extra=_boost_ctes(2))
+
+
+# ------------------------------------------------------------------ compare
+KNN_NB = {**EMB, "nb": """
+  SELECT a.id AS test_id, a.label AS qlabel, b.label AS nlabel,
+         row_number() OVER (PARTITION BY a.id ORDER BY """ + SQD_SQL + """, b.id) AS rn
+  FROM emb a, emb b WHERE NOT a.is_train AND b.is_train"""}
+
+
+@oracle("kfold_assignment")
+def _():
+    return """
+SELECT vec_id, label,
+       CAST((row_number() OVER (PARTITION BY label ORDER BY (vec_id * 7919) % 1000, vec_id) - 1) % 5 AS INTEGER) AS fold
+FROM embeddings"""
+
+
+@oracle("confusion_matrix")
+def _():
+    cols = ", ".join(f"count(*) FILTER (WHERE pred = {i}) AS p{i}" for i in range(10))
+    return with_views(f"SELECT label, {cols} FROM kp GROUP BY label", extra={**KNN_NB, "kp": """
+      SELECT test_id, qlabel AS label, nlabel AS pred FROM (
+        SELECT test_id, qlabel, nlabel,
+               row_number() OVER (PARTITION BY test_id ORDER BY count(*) DESC, nlabel) AS r
+        FROM nb WHERE rn <= 5 GROUP BY test_id, qlabel, nlabel) v WHERE r = 1"""})
+
+
+@oracle("config_sweep")
+def _():
+    return with_views(f"""
+SELECT k, count(*) AS n_test, {R6('avg(CAST(pred = label AS DOUBLE)) * 100')} AS accuracy FROM (
+  SELECT k, test_id, qlabel AS label, nlabel AS pred FROM (
+    SELECT k.k, test_id, qlabel, nlabel,
+           row_number() OVER (PARTITION BY k.k, test_id ORDER BY count(*) DESC, nlabel) AS r
+    FROM nb JOIN (SELECT unnest([1, 3, 5, 7]) AS k) k ON nb.rn <= k.k
+    GROUP BY k.k, test_id, qlabel, nlabel) v WHERE r = 1) p
+GROUP BY k""", extra=KNN_NB)
+
+
+@oracle("classifier_summary")
+def _():
+    return with_views(f"""
+SELECT strategy, {R6('max(test_acc)')} AS best_acc, arg_min(symbol, row(-test_acc, symbol)) AS best_symbol,
+       {R6('avg(test_acc)')} AS avg_acc
+FROM summ GROUP BY strategy""", "brand_bars", extra={**_curves(RULES), "summ": BT_SUMMARY})

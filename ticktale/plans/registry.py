@@ -172,3 +172,18 @@ def _register_boost():
 
 
 _register_boost()
+
+
+# step 12: comparison
+def _register_compare():
+    from ..operators import compare as cp
+    from ..sources.tables import table
+    QUERIES["kfold_assignment"] = lambda spark, d: cp.q_kfold_assignment(table(spark, d, "embeddings"))
+    QUERIES["confusion_matrix"] = lambda spark, d: cp.q_confusion_matrix(table(spark, d, "embeddings"))
+    QUERIES["config_sweep"] = lambda spark, d: cp.q_config_sweep(table(spark, d, "embeddings"))
+    QUERIES["classifier_summary"] = _on_brand_bars(cp.q_classifier_summary)
+    QUERIES["overall_news_model"] = lambda spark, d: cp.q_overall_news_model(
+        table(spark, d, "documents", "doc_id", "text"), table(spark, d, "labels", "doc_id", "quality"))
+
+
+_register_compare()
