@@ -101,21 +101,21 @@ WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE s.symbol = g.symbol AND s.interva
 
 
 # ------------------------------------------------------------------ backtest
-def _curves(signals: dict[str, str], src: str = "brand_bars") -> dict[str, str]:
-    """CTEs lb, pred (long form), cur (cumulative curves, all rows)."""
+def _curves(signals: dict[str, str], src: str = "brand_bars", sfx: str = "") -> dict[str, str]:
+    """CTEs lb, lbs, pred, cur (cumulative curves, all rows); names get ``sfx``."""
     arms = " UNION ALL ".join(
-        f"SELECT *, '{k}' AS strategy, CAST({v} AS INTEGER) AS signal FROM lbs" for k, v in signals.items())
+        f"SELECT *, '{k}' AS strategy, CAST({v} AS INTEGER) AS signal FROM lbs{sfx}" for k, v in signals.items())
     return {
-        "lb": lb(src),
-        "lbs": "SELECT *, coalesce(lag(label) OVER (PARTITION BY symbol ORDER BY bar_date), 1) AS prev FROM lb",
-        "pred": arms,
-        "cur": """
+        f"lb{sfx}": lb(src),
+        f"lbs{sfx}": f"SELECT *, coalesce(lag(label) OVER (PARTITION BY symbol ORDER BY bar_date), 1) AS prev FROM lb{sfx}",
+        f"pred{sfx}": arms,
+        f"cur{sfx}": f"""
   SELECT *, signal * ret AS strat_ret,
          CASE WHEN is_test AND ret IS NOT NULL
               THEN sum(CASE WHEN is_test THEN ret END) OVER c END AS cum_ret,
          CASE WHEN is_test AND ret IS NOT NULL
               THEN sum(CASE WHEN is_test THEN signal * ret END) OVER c END AS cum_strat_ret
-  FROM pred
+  FROM pred{sfx}
   WINDOW c AS (PARTITION BY symbol, strategy ORDER BY bar_date
                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
     }
@@ -720,3 +720,92 @@ def _():
 SELECT strategy, {R6('max(test_acc)')} AS best_acc, arg_min(symbol, row(-test_acc, symbol)) AS best_symbol,
        {R6('avg(test_acc)')} AS avg_acc
 FROM summ GROUP BY strategy""", "brand_bars", extra={**_curves(RULES), "summ": BT_SUMMARY})
+
+
+# ------------------------------------------------------------------ reports
+def _fixed(x: str, d: int) -> str:
+    sc = format(float(10 ** d), ".1e")
+    return f"printf('%.{d}f', floor(({x}) * {sc} + 0.5) / {sc})"
+
+
+def _report_ctes() -> dict[str, str]:
+    c = {**_curves(RULES, "brand_bars", "_b"), **_curves(RULES, "event_bars_d", "_d")}
+    c["summ_b"] = BT_SUMMARY.replace("FROM cur GROUP", "FROM cur_b GROUP")
+    c["summ_d"] = BT_SUMMARY.replace("FROM cur GROUP", "FROM cur_d GROUP")
+    c["metrics"] = """
+      SELECT 'Daily' AS section, 0 AS sec, strategy AS config, symbol, replace(symbol, '#', ' ') AS name,
+             train_acc, test_acc, coalesce(sharpe, 0.0) AS sharpe FROM summ_b
+      UNION ALL
+      SELECT 'Daily w/ news', 1, strategy, symbol, replace(symbol, '#', ' '), train_acc, test_acc,
+             coalesce(sharpe, 0.0) FROM summ_d"""
+    c["cfg"] = """
+      SELECT section, sec, config, avg(test_acc) AS avg_acc, stddev_samp(test_acc) AS spread, count(*) AS n_sym,
+             dense_rank() OVER (PARTITION BY section ORDER BY config) AS blk
+      FROM metrics GROUP BY section, sec, config"""
+    c["loglines"] = f"""
+      SELECT 'run' AS file, sec, CAST(blk AS INTEGER) AS blk, CAST(pos AS INTEGER) AS pos, line FROM (
+        SELECT sec, blk, 0 AS pos, config AS line FROM cfg
+        UNION ALL SELECT sec, blk, 1, 'Avg test accuracy: ' || CAST({R6('avg_acc')} AS VARCHAR) FROM cfg
+        UNION ALL SELECT sec, blk, 2, CAST({R6('coalesce(spread, 0.0)')} AS VARCHAR) FROM cfg
+        UNION ALL SELECT sec, blk, 3, CAST(n_sym / 1000.0::DOUBLE AS VARCHAR) FROM cfg
+        UNION ALL SELECT m.sec, c.blk, row_number() OVER (PARTITION BY m.section, m.config ORDER BY m.test_acc, m.symbol) + 3,
+               printf('%6s   %s   %s   %s', m.name || ' (' || m.symbol || ')', {_fixed('m.train_acc', 4)},
+                      {_fixed('m.test_acc', 4)}, {_fixed('m.sharpe', 3)})
+          FROM metrics m JOIN cfg c ON c.section = m.section AND c.config = m.config
+        UNION ALL SELECT sec, blk, n_sym + 4, '' FROM cfg
+        UNION ALL SELECT DISTINCT sec, 0, 0, section || '###' FROM metrics WHERE sec > 0) l"""
+    c["parsed"] = """
+      SELECT file, CAST(section AS INTEGER) AS section, prev AS config,
+             CAST(string_split(t, ': ')[-1] AS DOUBLE) AS accuracy,
+             CASE WHEN contains(n1, 'Time') THEN 0.0 ELSE CAST(n1 AS DOUBLE) END AS spread,
+             CAST(CASE WHEN contains(n1, 'Time') THEN string_split(n1, ' ')[-1] ELSE string_split(n2, ' ')[-1] END
+                  AS DOUBLE) AS time
+      FROM (SELECT *, sum(CAST(contains(t, '###') AS INTEGER)) OVER (PARTITION BY file ORDER BY sec, blk, pos
+                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS section,
+                   lag(t) OVER o AS prev, lead(t, 1) OVER o AS n1, lead(t, 2) OVER o AS n2
+            FROM (SELECT *, trim(line) AS t FROM loglines) x
+            WINDOW o AS (PARTITION BY file ORDER BY sec, blk, pos)) y
+      WHERE contains(t, 'accuracy') AND NOT contains(t, '###')"""
+    return c
+
+
+@oracle("report_lines")
+def _():
+    return with_views("SELECT file, CAST(sec AS INTEGER) AS sec, blk, pos, line FROM loglines",
+                      "brand_bars", "event_bars_d", extra=_report_ctes())
+
+
+@oracle("parse_run_log")
+def _():
+    return with_views(f"""
+SELECT section, config, {R6('accuracy')} AS accuracy, {R6('spread')} AS spread, {R6('time')} AS time
+FROM parsed""", "brand_bars", "event_bars_d", extra=_report_ctes())
+
+
+@oracle("news_gain_report")
+def _():
+    f = _fixed
+    return with_views(f"""
+SELECT config, {R6('diff')} AS diff, {R6('percent')} AS percent,
+       printf('%28s:  %s  %s  %s  %6s  %6s  %6s  %6s  %s', config, {f('diff', 3)}, {f('percent', 2)},
+              {f('acc_base', 2)}, {f('acc_news', 2)}, {f('std_base', 2)}, {f('std_news', 2)},
+              {f('time_base', 2)}, {f('time_news', 2)}) AS line
+FROM (SELECT b.config, b.accuracy AS acc_base, b.spread AS std_base, b.time AS time_base,
+             n.accuracy AS acc_news, n.spread AS std_news, n.time AS time_news,
+             n.accuracy - b.accuracy AS diff, 100 * (n.accuracy - b.accuracy) / nullif(b.accuracy, 0) AS percent
+      FROM parsed b JOIN parsed n ON n.config = b.config AND b.section = 0 AND n.section = 1) g
+WHERE diff >= 0 AND acc_base >= 51.0 AND time_base < 50.0""", "brand_bars", "event_bars_d", extra=_report_ctes())
+
+
+@oracle("parse_result_sections")
+def _():
+    from ..operators.report import RESULT_RE
+    rx = "'" + RESULT_RE + "'"
+    return with_views(f"""
+SELECT file, CAST(section AS INTEGER) AS section, regexp_extract(line, {rx}, 1) AS name,
+       regexp_extract(line, {rx}, 2) AS symbol, CAST(regexp_extract(line, {rx}, 3) AS DOUBLE) AS train,
+       CAST(regexp_extract(line, {rx}, 4) AS DOUBLE) AS test, CAST(regexp_extract(line, {rx}, 5) AS DOUBLE) AS sharpe
+FROM (SELECT *, sum(CAST(starts_with(line, '###') AS INTEGER) + CAST(ends_with(line, '###') AS INTEGER))
+                  OVER (PARTITION BY file ORDER BY sec, blk, pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS section
+      FROM loglines) s
+WHERE regexp_full_match(line, {rx})""", "brand_bars", "event_bars_d", extra=_report_ctes())
