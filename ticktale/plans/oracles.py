@@ -193,7 +193,7 @@ from ..functions.text import (STOP_SQL, sanitize_sql, sentences_sql,  # noqa: E4
 
 SENTS = f"""
   SELECT doc_id, unnest(range(len(s))) AS sent_no, unnest(s) AS sentence
-  FROM (SELECT doc_id, {sentences_sql(sanitize_sql('text'))} AS s FROM documents) d"""
+  FROM (SELECT doc_id, {sentences_sql(sanitize_sql('text'))} AS s FROM docsrc) d"""
 TOKS = f"""
   SELECT doc_id, sent_no, word FROM (
     SELECT doc_id, sent_no, unnest({tokens_sql('sentence')}) AS word FROM sents) t
@@ -206,11 +206,11 @@ SUMMARY = """
   SELECT d.doc_id,
          coalesce(string_agg(s.sentence, ' ' ORDER BY s.sent_no) FILTER (WHERE sc.score > 0), '') AS summary,
          count(*) FILTER (WHERE sc.score > 0) AS n_sentences
-  FROM documents d
+  FROM docsrc d
   JOIN sents s ON s.doc_id = d.doc_id
   LEFT JOIN scores sc ON sc.doc_id = s.doc_id AND sc.sent_no = s.sent_no
   GROUP BY d.doc_id"""
-TEXT_CTES = {"sents": SENTS, "toks": TOKS, "scores": SCORES}
+TEXT_CTES = {"docsrc": "SELECT doc_id, text FROM documents", "sents": SENTS, "toks": TOKS, "scores": SCORES}
 
 
 @oracle("sanitized_text")
@@ -809,3 +809,20 @@ FROM (SELECT *, sum(CAST(starts_with(line, '###') AS INTEGER) + CAST(ends_with(l
                   OVER (PARTITION BY file ORDER BY sec, blk, pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS section
       FROM loglines) s
 WHERE regexp_full_match(line, {rx})""", "brand_bars", "event_bars_d", extra=_report_ctes())
+
+
+# ------------------------------------------------------------------ article store (batch and stream)
+def _article_store_sql() -> str:
+    p = paragraphs_sql("html")
+    c = _keyword_ctes()
+    c["docsrc"] = f"SELECT page_id AS doc_id, trim(array_to_string({p}, ' ')) AS text FROM pages"
+    return with_views(f"""
+SELECT {COMPANY_SQL.replace('page_id', 'k.doc_id')} AS company, p.url AS link, k.doc_id AS page_id, k.keyword,
+       {substring_count_sql('s.summary', 'k.keyword')} AS cnt
+FROM (SELECT doc_id, word AS keyword FROM kw UNION ALL SELECT doc_id, phrase FROM phr) k
+JOIN summ s ON s.doc_id = k.doc_id
+JOIN pages p ON p.page_id = k.doc_id""", extra=c)
+
+
+ORACLES["article_store"] = _article_store_sql()
+ORACLES["incremental_articles"] = ORACLES["article_store"]
