@@ -49,10 +49,21 @@ def rff_params(d: int, n_components: int, gamma: float, seed: int = 7):
     return w, b
 
 
-def rff_features(xs: list[Column], gamma: float, n_components: int = 300, seed: int = 7) -> list[Column]:
+def rff_features(xs: list[Column], gamma: float, n_components: int = 300, seed: int = 7) -> Column:
+    """One array expression (a lambda over component index with literal
+    weight arrays), so the plan stays small for hundreds of components."""
     w, b = rff_params(len(xs), n_components, gamma, seed)
     s = math.sqrt(2.0 / n_components)
-    return [F.lit(s) * F.cos(dot(xs, w[k]) + F.lit(float(b[k]))) for k in range(n_components)]
+    ws = [F.array(*[F.lit(float(v)) for v in w[:, j]]) for j in range(len(xs))]
+    bs = F.array(*[F.lit(float(v)) for v in b])
+
+    def comp(k):
+        acc = None
+        for j, x in enumerate(xs):
+            t = x * ws[j][k]
+            acc = t if acc is None else acc + t
+        return F.lit(s) * F.cos(acc + bs[k])
+    return F.transform(F.sequence(F.lit(0), F.lit(n_components - 1)), comp)
 
 
 def sigmoid_landmark_features(xs: list[Column], landmarks: list[list[float]], gamma: float,

@@ -81,32 +81,37 @@ def stump_predict(rows: DataFrame, stumps: DataFrame) -> DataFrame:
     return j.withColumn("pred", (2 * below - 1) * F.col("polarity"))
 
 
-def boost_round(train: DataFrame, weights: DataFrame, rnd: int) -> tuple[DataFrame, DataFrame]:
-    """One round for all symbols: (stump row with error/alpha/z, new weights)."""
+def boost_round(train: DataFrame, weights: DataFrame, rnd: int, cut: bool = True) -> tuple[DataFrame, DataFrame]:
+    """One round for all symbols: (stump row with error/alpha/z, new weights).
+    With ``cut`` the stump table (the expensive sort) and the new weights are
+    checkpointed, so the stump search runs once per round."""
     s = best_stumps(train, weights)
+    if cut:
+        s = s.checkpoint()
     p = stump_predict(train.join(weights, ["symbol", "rid"]), s)
     wrong = (F.col("pred") != F.col("y")).cast("double")
     e = p.groupBy("symbol").agg((F.sum(wrong * F.col("w")) / F.sum("w")).alias("error"))
     ec = F.least(F.greatest(F.col("error"), F.lit(1e-10)), F.lit(1 - 1e-10))
-    s = s.join(e, "symbol").withColumn("alpha", F.lit(0.5) * F.ln((F.lit(1.0) - ec) / ec))
-    upd = p.join(s.select("symbol", "alpha"), "symbol").withColumn(
+    e = e.withColumn("alpha", F.lit(0.5) * F.ln((F.lit(1.0) - ec) / ec))
+    upd = p.join(e.select("symbol", "alpha"), "symbol").withColumn(
         "w2", F.col("w") * F.exp(-F.col("alpha") * F.col("pred") * F.col("y")))
     z = upd.groupBy("symbol").agg(F.sum("w2").alias("z"))
-    new_w = upd.join(z, "symbol").select("symbol", "rid", (F.col("w2") / F.col("z")).alias("w"))
-    return s.join(z, "symbol").withColumn("round", F.lit(rnd)), new_w
+    new_w = upd.join(z, "symbol").select("symbol", "rid", (F.col("w2") / F.col("z")).alias("w"), "z")
+    if cut:
+        new_w = new_w.checkpoint()
+    zs = new_w.groupBy("symbol").agg(F.first("z").alias("z"))
+    out = s.join(e, "symbol").join(zs, "symbol").withColumn("round", F.lit(rnd))
+    return out, new_w.drop("z")
 
 
 def adaboost(rows: DataFrame, rounds: int = ROUNDS, checkpoint_every: int = CHECKPOINT_EVERY) -> DataFrame:
-    """The stump table, one row per (symbol, round). Weights are
-    checkpointed (reliable, shared directory) to cut the round lineage."""
+    """The stump table, one row per (symbol, round). Stumps and weights
+    are checkpointed (reliable, shared directory) to cut the round lineage."""
     train = rows.filter("is_train").select("symbol", "rid", "y", "xs").checkpoint()
     w = initial_weights(train)
     stumps = []
     for r in range(1, rounds + 1):
-        s, w = boost_round(train, w, r)
-        if checkpoint_every and r % checkpoint_every == 0:
-            w = w.checkpoint()
-            s = s.checkpoint()
+        s, w = boost_round(train, w, r, cut=bool(checkpoint_every) and r % checkpoint_every == 0)
         stumps.append(s)
     out = stumps[0]
     for s in stumps[1:]:

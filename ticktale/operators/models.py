@@ -63,20 +63,31 @@ def normalize(df: DataFrame, feats: list[str], keys=("symbol",)) -> DataFrame:
     return out.drop(*[c for c in out.columns if c.startswith("_mu_") or c.startswith("_sd_")])
 
 
-def with_block_features(df: DataFrame, mapped: list[Column], out: str = "features", fitted=None):
+def _vector_with_attrs(arr: Column, size: int, name: str) -> Column:
+    """array<double> -> ML vector carrying numeric attribute metadata (which
+    ``Interaction`` needs), without one column per element."""
+    meta = {"ml_attr": {"attrs": {"numeric": [{"idx": i, "name": f"{name}{i}"} for i in range(size)]},
+                        "num_attrs": size}}
+    return array_to_vector(arr).alias(name, metadata=meta)
+
+
+def with_block_features(df: DataFrame, mapped, out: str = "features", fitted=None, size: int | None = None):
     """Per-symbol coefficient blocks: one-hot(symbol) x [mapped..., BIAS].
+    ``mapped`` is a list of columns or one array column of length ``size``.
     Returns (frame, fitted stages); pass ``fitted`` to encode other rows with
     the same symbol indices."""
-    names = [f"_m{i}" for i in range(len(mapped) + 1)]
-    arr = df.select("*", *[c.alias(n) for c, n in zip([*mapped, F.lit(BIAS)], names)])
+    if isinstance(mapped, Column):
+        arr, n = F.concat(mapped, F.array(F.lit(BIAS))), size + 1
+    else:
+        arr, n = F.array(*mapped, F.lit(BIAS)), len(mapped) + 1
+    vec = df.select("*", _vector_with_attrs(arr, n, "_m"))
     if fitted is None:
         fitted = Pipeline(stages=[
-            VectorAssembler(inputCols=names, outputCol="_m"),
             StringIndexer(inputCol="symbol", outputCol="_sym_idx", stringOrderType="alphabetAsc"),
             OneHotEncoder(inputCol="_sym_idx", outputCol="_sym_vec", dropLast=False),
             Interaction(inputCols=["_sym_vec", "_m"], outputCol=out),
-        ]).fit(arr)
-    return fitted.transform(arr).drop("_m", "_sym_idx", "_sym_vec", *names), fitted
+        ]).fit(vec)
+    return fitted.transform(vec).drop("_m", "_sym_idx", "_sym_vec"), fitted
 
 
 def signal_from_prediction(df: DataFrame, pred: str = "prediction") -> DataFrame:
@@ -92,7 +103,7 @@ def backtest_summary(pred: DataFrame, model: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- linear family
-def fit_linear_svm(df: DataFrame, c: float, features: str = "features", max_iter: int = 100):
+def fit_linear_svm(df: DataFrame, c: float, features: str = "features", max_iter: int = 50):
     """C-SVC objective on all symbols at once (see module doc)."""
     train = df.filter("is_train")
     n = train.count()
@@ -121,7 +132,8 @@ def svm_on_map(bars: DataFrame, kind: str, c: float = 20.0, gamma: float = 0.2,
         mapped = K.sigmoid_landmark_features(xs, [[float(v) for v in r] for r in lm], gamma)
     else:
         raise ValueError(kind)
-    blk = with_block_features(df, mapped)[0].checkpoint()
+    size = n_components if kind == "rbf" else None
+    blk = with_block_features(df, mapped, size=size)[0].checkpoint()
     model = fit_linear_svm(blk, c)
     return signal_from_prediction(model.transform(blk))
 
@@ -312,9 +324,8 @@ def q_mlp_forward(bars: DataFrame) -> DataFrame:
 def q_svm_news_proba(articles: DataFrame, bars: DataFrame) -> DataFrame:
     from . import news as nw
     from .select import chi2_scores, select_k_best
-    aw = nw.article_words(articles)
-    dwc = nw.day_word_counts(aw).checkpoint()          # reused by examples, vocabulary and day vectors
-    ex = nw.label_examples(aw, bars).withColumn("example_id", F.concat_ws("/", "pub_date", "offset")).checkpoint()
+    dwc, bars = nw.news_inputs(articles, bars)        # reused by examples, vocabulary and day vectors
+    ex = nw.label_examples(dwc, bars).withColumn("example_id", F.concat_ws("/", "pub_date", "offset")).checkpoint()
     terms = nw.example_terms(ex, dwc).withColumn("example_id", F.concat_ws("/", "pub_date", "offset"))
     vocab = select_k_best(chi2_scores(ex, terms))              # M14 (k best) as the model vocabulary
     kept = terms.join(vocab.select("symbol", "word"), ["symbol", "word"], "left_semi")

@@ -119,8 +119,17 @@ def cut_at_first_article(bars: DataFrame, aw: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- query views
+def news_inputs(articles: DataFrame, bars: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The stored tables every news step reads: day word counts (A3, the
+    study's article keyword store folded by date) and the trading bars, each
+    materialised once (reliable checkpoint) so that the documents are
+    tokenised and the events aggregated once per job, not once per branch."""
+    return day_word_counts(article_words(articles)).checkpoint(), bars.checkpoint()
+
+
 def q_news_label_examples(articles: DataFrame, bars: DataFrame) -> DataFrame:
-    ex = label_examples(article_words(articles), bars)
+    dwc, bars = news_inputs(articles, bars)
+    ex = label_examples(dwc, bars)
     return ex.select("symbol", "pub_date", "offset", "bar_date", "label",
                      r6("open0").alias("open0"), r6("close").alias("close"))
 
@@ -130,26 +139,25 @@ def q_day_word_counts(articles: DataFrame) -> DataFrame:
 
 
 def q_daily_news_vector(articles: DataFrame, bars: DataFrame) -> DataFrame:
-    aw = article_words(articles)
-    vocab = top_quarter_vocab(symbol_word_totals(aw))
-    return daily_news_vector(day_word_counts(aw), bars, vocab)
+    dwc, bars = news_inputs(articles, bars)
+    vocab = top_quarter_vocab(symbol_word_totals(dwc))
+    return daily_news_vector(dwc, bars, vocab)
 
 
 def q_attach_news_scores(articles: DataFrame, bars: DataFrame) -> DataFrame:
-    aw = article_words(articles)
-    dwc = day_word_counts(aw)
-    terms = example_terms(label_examples(aw, bars), dwc)
-    vec = daily_news_vector(dwc, bars, top_quarter_vocab(symbol_word_totals(aw)))
+    dwc, bars = news_inputs(articles, bars)
+    terms = example_terms(label_examples(dwc, bars), dwc)
+    vec = daily_news_vector(dwc, bars, top_quarter_vocab(symbol_word_totals(dwc)))
     out = attach_news(bars, news_scores(vec, log_ratio_weights(terms)))
     return out.select("symbol", "bar_date", r6("close").alias("close"), r6("p_down").alias("p_down"),
                       r6("p_up").alias("p_up"))
 
 
 def q_cut_at_first_article(articles: DataFrame, bars: DataFrame) -> DataFrame:
-    c = cut_at_first_article(bars, article_words(articles))
+    c = cut_at_first_article(bars, articles.select("symbol", "pub_date"))
     return c.select("symbol", "bar_date", r6("open").alias("open"), r6("close").alias("close"))
 
 
 def q_top_quarter_vocab(articles: DataFrame) -> DataFrame:
-    v = top_quarter_vocab(symbol_word_totals(article_words(articles)))
+    v = top_quarter_vocab(symbol_word_totals(day_word_counts(article_words(articles))))
     return v.select("symbol", "word", "total", F.col("pos").cast("long").alias("pos"))

@@ -443,7 +443,7 @@ def _():
     return with_views(f"""
 SELECT b.symbol, b.bar_date, {R6('b.open')} AS open, {R6('b.close')} AS close
 FROM event_bars_d b LEFT JOIN (
-  SELECT f.symbol, f.first_date FROM (SELECT symbol, min(pub_date) AS first_date FROM aw GROUP BY symbol) f
+  SELECT f.symbol, f.first_date FROM (SELECT symbol, min(pub_date) AS first_date FROM articles GROUP BY symbol) f
   WHERE EXISTS (SELECT 1 FROM event_bars_d x WHERE x.symbol = f.symbol AND x.bar_date = f.first_date)) t
   ON t.symbol = b.symbol
 WHERE t.first_date IS NULL OR b.bar_date >= t.first_date""", "articles", "event_bars_d", extra=NEWS_CTES)
