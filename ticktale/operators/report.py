@@ -98,21 +98,27 @@ def gain_report(parsed: DataFrame, min_acc: float = 51.0, max_time: float = 50.0
     return j.filter(keep).withColumn("line", line).orderBy("diff")
 
 
-RESULT_RE = r"^(?:###)?[ ]*(.*[^ ])[ ]*\(([^)]*)\)[ ]+([^ ]+)[ ]+([^ ]+)[ ]+([^ ]+)$"
+RESULT_RE = r"^(?:###)?[ ]*(.*[^ ])[ ]+(-?[0-9.]+)[ ]+(-?[0-9.]+)[ ]+(-?[0-9.]+)$"
+SYM_RE = r"\(([^)]*)\)$"
 
 
 def parse_result_sections(lines: DataFrame) -> DataFrame:
-    """Per-symbol result lines '<name> (<SYM>)  train  test  sharpe' in
-    '###' sections -> (section, name, symbol, train, test, sharpe)."""
+    """Per-symbol result lines '<name> (<SYM>)  train  test  sharpe' (or
+    a bare symbol) in '###' sections -> (section, name, symbol, train, test,
+    sharpe)."""
     o = _ordered(lines)
     d = lines.withColumn("section", F.sum(F.col("line").startswith("###").cast("int") +
                                           (F.col("line").endswith("###")).cast("int"))
                          .over(o.rowsBetween(Window.unboundedPreceding, 0)))
     m = d.filter(F.col("line").rlike(RESULT_RE))
     g = lambda i: F.regexp_extract("line", RESULT_RE, i)
-    return m.select("file", F.col("section").cast("int").alias("section"), g(1).alias("name"),
-                    g(2).alias("symbol"), g(3).cast("double").alias("train"), g(4).cast("double").alias("test"),
-                    g(5).cast("double").alias("sharpe"))
+    label = g(1)
+    sym = F.regexp_extract(label, SYM_RE, 1)
+    return m.select("file", F.col("section").cast("int").alias("section"),
+                    F.trim(F.regexp_replace(label, SYM_RE, "")).alias("name"),
+                    F.when(sym == "", label).otherwise(sym).alias("symbol"),
+                    g(2).cast("double").alias("train"), g(3).cast("double").alias("test"),
+                    g(4).cast("double").alias("sharpe"))
 
 
 def read_log(spark, path: str) -> DataFrame:

@@ -799,13 +799,15 @@ WHERE diff >= 0 AND acc_base >= 51.0 AND time_base < 50.0""", "brand_bars", "eve
 
 @oracle("parse_result_sections")
 def _():
-    from ..operators.report import RESULT_RE
-    rx = "'" + RESULT_RE + "'"
+    from ..operators.report import RESULT_RE, SYM_RE
+    rx, sx = "'" + RESULT_RE + "'", "'" + SYM_RE + "'"
     return with_views(f"""
-SELECT file, CAST(section AS INTEGER) AS section, regexp_extract(line, {rx}, 1) AS name,
-       regexp_extract(line, {rx}, 2) AS symbol, CAST(regexp_extract(line, {rx}, 3) AS DOUBLE) AS train,
-       CAST(regexp_extract(line, {rx}, 4) AS DOUBLE) AS test, CAST(regexp_extract(line, {rx}, 5) AS DOUBLE) AS sharpe
-FROM (SELECT *, sum(CAST(starts_with(line, '###') AS INTEGER) + CAST(ends_with(line, '###') AS INTEGER))
+SELECT file, CAST(section AS INTEGER) AS section, trim(regexp_replace(label, {sx}, '')) AS name,
+       CASE WHEN regexp_extract(label, {sx}, 1) = '' THEN label ELSE regexp_extract(label, {sx}, 1) END AS symbol,
+       CAST(regexp_extract(line, {rx}, 2) AS DOUBLE) AS train,
+       CAST(regexp_extract(line, {rx}, 3) AS DOUBLE) AS test, CAST(regexp_extract(line, {rx}, 4) AS DOUBLE) AS sharpe
+FROM (SELECT *, regexp_extract(line, {rx}, 1) AS label,
+             sum(CAST(starts_with(line, '###') AS INTEGER) + CAST(ends_with(line, '###') AS INTEGER))
                   OVER (PARTITION BY file ORDER BY sec, blk, pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS section
       FROM loglines) s
 WHERE regexp_full_match(line, {rx})""", "brand_bars", "event_bars_d", extra=_report_ctes())
