@@ -57,7 +57,7 @@ def knn_neighbours(train: DataFrame, test: DataFrame, k: int = K, n_pivots: int
         return pairs.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k).drop("_rn")
 
     own = te.join(trj, "cell").withColumn("sqd", sq_dist(F.col("qvec"), F.col("vec")))
-    first = top_k(own.select("test_id", "train_id", "sqd", "label"))
+    first = top_k(own.select("test_id", "train_id", "sqd", "label")).checkpoint()   # k rows per test point
     bound = first.groupBy("test_id").agg(F.count("*").alias("_n"), F.max("sqd").alias("_r2"))
     r = F.when(F.col("_n") >= k, F.sqrt("_r2")).otherwise(F.lit(float("inf")))
     radii = F.array(*[F.lit(radius.get(j + 1, float("-inf"))) for j in range(len(piv))])

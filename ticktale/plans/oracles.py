@@ -828,3 +828,26 @@ JOIN pages p ON p.page_id = k.doc_id""", extra=c)
 
 ORACLES["article_store"] = _article_store_sql()
 ORACLES["incremental_articles"] = ORACLES["article_store"]
+
+
+@oracle("adaboost")
+def _():
+    rounds = 10
+    c = _boost_ctes(rounds)
+    c["stumps"] = " UNION ALL ".join(f"SELECT * FROM out{r}" for r in range(1, rounds + 1))
+    c["votes"] = """
+      SELECT r.symbol, r.rid, r.y, r.is_train, r.is_test, s.round,
+             CASE WHEN sum(s.alpha * ((2 * CAST(r.xs[s.fno] < s.thresh AS INTEGER) - 1) * s.polarity))
+                       OVER (PARTITION BY r.symbol, r.rid ORDER BY s.round
+                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) > 0 THEN 1 ELSE -1 END AS vote
+      FROM rows r JOIN stumps s ON s.symbol = r.symbol"""
+    return with_views(f"""
+SELECT e.symbol, CAST(e.round AS INTEGER) AS round, {R6('e.train_err')} AS train_err, {R6('e.test_err')} AS test_err,
+       {R6('b.err_bound')} AS err_bound
+FROM (SELECT symbol, round,
+             avg(CASE WHEN is_train THEN CAST(vote <> y AS DOUBLE) END) AS train_err,
+             avg(CASE WHEN is_test THEN CAST(vote <> y AS DOUBLE) END) AS test_err
+      FROM votes GROUP BY symbol, round) e
+JOIN (SELECT symbol, round, exp(sum(ln(z)) OVER (PARTITION BY symbol ORDER BY round
+                                                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS err_bound
+      FROM stumps) b ON b.symbol = e.symbol AND b.round = e.round""", "brand_bars", extra=c)
