@@ -50,15 +50,21 @@ def classifier_summary(metrics: DataFrame, acc: str = "test_acc") -> DataFrame:
         F.avg(acc).alias("avg_acc"))
 
 
+def shuffle_key(id_col: str, draw: int) -> Column:
+    """Seeded pseudo-random order of integer ids, in plain arithmetic so any
+    engine reproduces it: (id * 7919 + draw * 104729) mod 1000003."""
+    return (F.col(id_col).cast("long") * 7919 + F.lit(draw * 104729)) % 1000003
+
+
 def random_split(ex: DataFrame, keys: list[str], id_col: str, test_frac: float = 0.2, seed: int = 42,
                  attempts: int = 5) -> DataFrame:
-    """Per key, the ceil(test_frac * n) rows first in a seeded hash order
-    go to test; the draw is repeated with the next attempt number when the
-    training labels would all be equal, and the first good draw is kept."""
+    """Per key, the ceil(test_frac * n) rows first in a seeded order go
+    to test; the draw is repeated with the next draw number when the training
+    labels would all be equal, and the first good draw is kept."""
     w_n = Window.partitionBy(*keys)
     cands = []
     for a in range(attempts):
-        o = Window.partitionBy(*keys).orderBy(F.xxhash64(*[F.col(k) for k in keys], F.col(id_col), F.lit(seed + a)))
+        o = Window.partitionBy(*keys).orderBy(shuffle_key(id_col, seed + a), id_col)
         d = (ex.withColumn("_rn", F.row_number().over(o)).withColumn("_n", F.count("*").over(w_n))
                .withColumn("is_test", F.col("_rn") <= F.ceil(F.col("_n") * test_frac))
                .withColumn("attempt", F.lit(a)))
@@ -110,7 +116,7 @@ def overall_news_model(ex: DataFrame, terms: DataFrame) -> DataFrame:
         rows.append(acc.join(n_words, "scope").withColumn("candidate", F.lit(name)).withColumn("cand_no", F.lit(i)))
     res = reduce(DataFrame.unionByName, rows).filter(F.col("n_words") > 0)      # Q33: empty selections drop out
     w = Window.partitionBy("scope").orderBy(F.desc("test_acc"), "cand_no")
-    return res.withColumn("rank", F.row_number().over(w))
+    return res.withColumn("rank", F.row_number().over(w).cast("long"))
 
 
 # ---------------------------------------------------------------- query views
@@ -158,3 +164,6 @@ def q_overall_news_model(docs: DataFrame, labels: DataFrame) -> DataFrame:
     ex, terms = sl.labelled_docs(docs, labels)
     r = overall_news_model(ex.drop("symbol"), terms.drop("symbol"))
     return r.select("candidate", "cand_no", "n_words", "n_test", r6("test_acc").alias("test_acc"), "rank")
+
+
+OVERALL_SEED = 42

@@ -570,7 +570,7 @@ def _():
     outs = [_sig(_lin(row, a2)) for row in THETA2]
     return with_views(f"""
 SELECT symbol, bar_date, {R6('o[1]')} AS h1, {R6('o[2]')} AS h2,
-       CAST(list_position(o, list_max(o)) AS INTEGER) AS pred_class
+       CAST(list_position(o, list_max(o)) AS BIGINT) AS pred_class
 FROM (SELECT symbol, bar_date, [{', '.join(outs)}] AS o FROM brand_bars) x""", "brand_bars")
 
 
@@ -851,3 +851,90 @@ FROM (SELECT symbol, round,
 JOIN (SELECT symbol, round, exp(sum(ln(z)) OVER (PARTITION BY symbol ORDER BY round
                                                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS err_bound
       FROM stumps) b ON b.symbol = e.symbol AND b.round = e.round""", "brand_bars", extra=c)
+
+
+# ------------------------------------------------------------------ overall news model
+def _overall_ctes() -> dict[str, str]:
+    draws = " UNION ALL ".join(f"""
+        SELECT *, {a} AS attempt,
+               row_number() OVER (ORDER BY (example_id * 7919 + {(42 + a) * 104729}) % 1000003, example_id) AS rn,
+               count(*) OVER () AS n FROM ex""" for a in range(5))
+    c = {
+        "ex": "SELECT 'overall' AS scope, doc_id AS example_id, quality AS label FROM labels",
+        "terms": f"""
+          SELECT 'overall' AS scope, example_id, word, count(*) AS cnt FROM (
+            SELECT doc_id AS example_id, unnest({tokens_sql('text')}) AS word
+            FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)) t
+          WHERE NOT list_contains({STOP_SQL}, word)
+          GROUP BY example_id, word""",
+        "draws": f"SELECT *, rn <= ceil(n * 0.2::DOUBLE) AS is_test FROM ({draws}) d",
+        "split": """
+          SELECT * FROM draws WHERE attempt = (
+            SELECT min(attempt) FROM (SELECT attempt FROM draws WHERE NOT is_test
+                                      GROUP BY attempt HAVING count(DISTINCT label) > 1) ok)""",
+        "trex": "SELECT * FROM split WHERE NOT is_test",
+        "trterms": "SELECT * FROM terms WHERE example_id IN (SELECT example_id FROM trex)",
+        "shares": """
+          SELECT c.label, c.n_c / n.n AS share FROM
+            (SELECT label, count(*) AS n_c FROM trex GROUP BY label) c, (SELECT count(*) AS n FROM trex) n""",
+        "obs": """SELECT t.word, e.label, sum(t.cnt) AS o FROM trterms t JOIN trex e ON e.example_id = t.example_id
+                  GROUP BY t.word, e.label""",
+        "scores": """
+          SELECT 'overall' AS symbol, word, total, s / total - total AS chi2 FROM (
+            SELECT o.word, sum(o.o * o.o / sh.share) AS s, sum(o.o) AS total
+            FROM obs o JOIN shares sh ON sh.label = o.label GROUP BY o.word) x""",
+        "totals": "SELECT word, sum(cnt) AS total FROM trterms GROUP BY word",
+    }
+    ok = f"chi2 >= {chi2_critical_1df_sql('0.005::DOUBLE * i / m')}"
+    c.update({
+        "v_k_best": """SELECT word FROM (SELECT *, row_number() OVER (ORDER BY chi2 DESC, word) AS r FROM scores) k
+                       WHERE r <= 200""",
+        "v_fpr": f"SELECT word FROM scores WHERE chi2 > {chi2_critical_1df_sql('0.005::DOUBLE')}",
+        "v_fwe": f"""SELECT word FROM (SELECT *, count(*) OVER () AS m FROM scores) f
+                     WHERE chi2 > {chi2_critical_1df_sql('0.005::DOUBLE / m')}""",
+        "f0": "SELECT *, row_number() OVER (ORDER BY chi2 DESC, word) AS i, count(*) OVER () AS m FROM scores",
+        "f1": f"SELECT *, max(CASE WHEN {ok} THEN i END) OVER () AS istar FROM f0",
+        "f2": "SELECT *, max(CASE WHEN i = istar THEN chi2 END) OVER () AS cut FROM f1",
+        "v_fdr": "SELECT word FROM f2 WHERE chi2 >= cut",
+        "p0": """SELECT *, row_number() OVER (ORDER BY chi2, word) AS rn, count(*) OVER () AS n,
+                        (count(*) OVER () - 1) * 0.9::DOUBLE AS h FROM scores""",
+        "p1": """SELECT *, h - floor(h) AS frac, max(CASE WHEN rn = floor(h) + 1 THEN chi2 END) OVER () AS a,
+                        max(CASE WHEN rn = least(floor(h) + 2, n) THEN chi2 END) OVER () AS b FROM p0""",
+        "p2": """SELECT *, count(CASE WHEN chi2 > thr THEN 1 END) OVER () AS above
+                 FROM (SELECT *, a + frac * (b - a) AS thr FROM p1) t""",
+        "p3": """SELECT *, CASE WHEN chi2 = thr THEN row_number() OVER (PARTITION BY chi2 = thr ORDER BY word) END AS tie
+                 FROM p2""",
+        "v_percentile": "SELECT word FROM p3 WHERE chi2 > thr OR tie <= floor(n * 10 / 100) - above",
+        "v_chopped": """SELECT word FROM (SELECT *, row_number() OVER (ORDER BY total DESC, word) AS pos,
+                                                count(*) OVER () AS n FROM totals) v WHERE pos <= floor(n / 4)""",
+        "v_all": "SELECT word FROM totals",
+    })
+    arms = []
+    for i, name in enumerate(("k_best", "fpr", "fdr", "fwe", "percentile", "chopped", "all")):
+        c[f"acc_{name}"] = f"""
+          SELECT '{name}' AS candidate, {i} AS cand_no, (SELECT count(*) FROM v_{name}) AS n_words,
+                 count(*) AS n_test, avg(CAST((coalesce(z, 0.0) > 0) = (label = 1) AS DOUBLE)) * 100 AS test_acc
+          FROM split e LEFT JOIN (
+            SELECT t.example_id, sum(t.cnt * w.wt) AS z
+            FROM terms t JOIN (
+              SELECT word, ln((up + 1.0::DOUBLE) / (down + 1.0::DOUBLE)) AS wt FROM (
+                SELECT t.word, sum(CASE WHEN e.label = 1 THEN t.cnt ELSE 0 END) AS up,
+                       sum(CASE WHEN e.label <> 1 THEN t.cnt ELSE 0 END) AS down
+                FROM terms t JOIN trex e ON e.example_id = t.example_id
+                WHERE t.word IN (SELECT word FROM v_{name})
+                GROUP BY t.word) x) w ON w.word = t.word
+            WHERE t.example_id IN (SELECT example_id FROM split WHERE is_test)
+              AND t.word IN (SELECT word FROM v_{name})
+            GROUP BY t.example_id) zz ON zz.example_id = e.example_id
+          WHERE e.is_test"""
+        arms.append(f"SELECT * FROM acc_{name}")
+    c["res"] = " UNION ALL ".join(arms)
+    return c
+
+
+@oracle("overall_news_model")
+def _():
+    return with_views(f"""
+SELECT candidate, CAST(cand_no AS INTEGER) AS cand_no, CAST(n_words AS BIGINT) AS n_words, n_test,
+       {R6('test_acc')} AS test_acc, row_number() OVER (ORDER BY test_acc DESC, cand_no) AS rank
+FROM res WHERE n_words > 0""", extra=_overall_ctes())
