@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from .tables import table
 
 ARTICLE_SYMBOLS = ("click", "error", "purchase", "signup", "view")
+LINE_SLOTS = 1000   # > the largest line number of an order
 
 
 def _bars(grouped, price: Column, order: Column, volume: Column):
@@ -45,7 +46,11 @@ def brand_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = li.join(part, li.l_partkey == part.p_partkey)
     price = F.try_divide(F.col("l_extendedprice"), F.col("l_quantity"))
     g = j.groupBy(F.col("p_brand").alias("symbol"), F.to_date("l_shipdate").alias("bar_date"))
-    return _bars(g, price, F.struct("l_orderkey", "l_linenumber"), F.sum("l_quantity"))
+    # (orderkey, linenumber) order as one BIGINT (line numbers are 1..7): a
+    # fixed-width ordering key keeps min_by/max_by in the hash aggregate (a
+    # struct key forces a sort-based aggregate over every lineitem row).
+    order = F.col("l_orderkey") * LINE_SLOTS + F.col("l_linenumber")
+    return _bars(g, price, order, F.sum("l_quantity"))
 
 
 def _hour_ntz(ts: Column, step_hours: int = 1) -> Column:
