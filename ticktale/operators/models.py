@@ -325,7 +325,7 @@ def q_svm_news_proba(articles: DataFrame, bars: DataFrame) -> DataFrame:
     from . import news as nw
     from .select import chi2_scores, select_k_best
     dwc, bars = nw.news_inputs(articles, bars)        # reused by examples, vocabulary and day vectors
-    ex = nw.label_examples(dwc, bars).withColumn("example_id", F.concat_ws("/", "pub_date", "offset")).checkpoint()
+    ex = nw.label_examples(articles, bars).withColumn("example_id", F.concat_ws("/", "pub_date", "offset")).checkpoint()
     terms = nw.example_terms(ex, dwc).withColumn("example_id", F.concat_ws("/", "pub_date", "offset"))
     vocab = select_k_best(chi2_scores(ex, terms))              # M14 (k best) as the model vocabulary
     kept = terms.join(vocab.select("symbol", "word"), ["symbol", "word"], "left_semi")

@@ -46,11 +46,13 @@ def _spread(days: DataFrame, offsets) -> DataFrame:
                .withColumn("bar_date", F.date_add("pub_date", F.col("offset")))
 
 
-def label_examples(aw: DataFrame, bars: DataFrame, offsets=LABEL_OFFSETS, min_present: int = MIN_PRESENT) -> DataFrame:
+def label_examples(articles: DataFrame, bars: DataFrame, offsets=LABEL_OFFSETS,
+                   min_present: int = MIN_PRESENT) -> DataFrame:
     """J2 then F13; label +1 when a later present day's close >= the open
     of the first present day (Q2), one example per later present day (Q4);
-    F18 drops symbols whose labels are all equal."""
-    days = aw.select("symbol", "pub_date").distinct()
+    F18 drops symbols whose labels are all equal. ``articles`` needs only
+    (symbol, pub_date): the dates that have articles."""
+    days = articles.select("symbol", "pub_date").distinct()
     present = _spread(days, offsets).join(bars.select("symbol", "bar_date", "open", "close"),
                                           ["symbol", "bar_date"])
     w = Window.partitionBy("symbol", "pub_date")  # at most len(offsets) rows each
@@ -128,8 +130,7 @@ def news_inputs(articles: DataFrame, bars: DataFrame) -> tuple[DataFrame, DataFr
 
 
 def q_news_label_examples(articles: DataFrame, bars: DataFrame) -> DataFrame:
-    dwc, bars = news_inputs(articles, bars)
-    ex = label_examples(dwc, bars)
+    ex = label_examples(articles, bars)
     return ex.select("symbol", "pub_date", "offset", "bar_date", "label",
                      r6("open0").alias("open0"), r6("close").alias("close"))
 
@@ -146,7 +147,7 @@ def q_daily_news_vector(articles: DataFrame, bars: DataFrame) -> DataFrame:
 
 def q_attach_news_scores(articles: DataFrame, bars: DataFrame) -> DataFrame:
     dwc, bars = news_inputs(articles, bars)
-    terms = example_terms(label_examples(dwc, bars), dwc)
+    terms = example_terms(label_examples(articles, bars), dwc)
     vec = daily_news_vector(dwc, bars, top_quarter_vocab(symbol_word_totals(dwc)))
     out = attach_news(bars, news_scores(vec, log_ratio_weights(terms)))
     return out.select("symbol", "bar_date", r6("close").alias("close"), r6("p_down").alias("p_down"),

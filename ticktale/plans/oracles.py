@@ -367,7 +367,7 @@ NEWS_CTES = {
     "dwc": "SELECT symbol, pub_date, word, sum(cnt) AS cnt FROM aw GROUP BY symbol, pub_date, word",
     "present": """
       SELECT d.symbol, d.pub_date, o.off AS \"offset\", b.bar_date, b.open, b.close
-      FROM (SELECT DISTINCT symbol, pub_date FROM aw) d
+      FROM (SELECT DISTINCT symbol, pub_date FROM articles) d
       CROSS JOIN (SELECT unnest([0, 1, 3, 5]) AS off) o
       JOIN event_bars_d b ON b.symbol = d.symbol AND b.bar_date = CAST(d.pub_date + o.off AS DATE)""",
     "ex0": """
