@@ -938,3 +938,28 @@ def _():
 SELECT candidate, CAST(cand_no AS INTEGER) AS cand_no, CAST(n_words AS BIGINT) AS n_words, n_test,
        {R6('test_acc')} AS test_acc, row_number() OVER (ORDER BY test_acc DESC, cand_no) AS rank
 FROM res WHERE n_words > 0""", extra=_overall_ctes())
+
+
+# ------------------------------------------------------------------ sources and sinks
+def _f6(x: str) -> str:
+    return f"printf('%.6f', floor(({x}) * 1e6 + 0.5) / 1e6)"
+
+
+@oracle("feature_matrix_export")
+def _():
+    cols = ", ".join(_f6(c) for c in ("close", "open", "high", "low", "open - close", "high - low"))
+    return with_views(f"SELECT symbol, bar_date, concat_ws(',', {cols}, CAST(label AS VARCHAR)) AS line FROM lb",
+                      "brand_bars", extra={"lb": lb()})
+
+
+@oracle("article_store_json")
+def _():
+    return with_views("""
+SELECT symbol AS company, pub_date, CAST(dense_rank() OVER (PARTITION BY symbol, pub_date ORDER BY article_no) - 1
+       AS BIGINT) AS article_pos, word, cnt FROM aw""", "articles", "event_bars_d", extra=NEWS_CTES)
+
+
+@oracle("model_vocab_json")
+def _():
+    return with_views("SELECT symbol AS key, CAST(pos AS BIGINT) AS pos, word AS value FROM vocab",
+                      "articles", "event_bars_d", extra=NEWS_CTES)

@@ -211,3 +211,48 @@ def _register_stream():
 
 
 _register_stream()
+
+
+# sources and sinks (round trips over data derived from the tables)
+def _scratch(spark, name):
+    import os
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    return os.path.join(ensure_checkpoint_dir(spark), f"ticktale-{name}-{uuid.uuid4().hex}")
+
+
+def _register_stores():
+    from pyspark.sql import functions as F
+
+    from ..operators import bars as br
+    from ..operators import news as nw
+    from ..operators.backtest import labelled_bars
+    from ..sources import stores as st
+
+    def feature_matrix_export(spark, d):
+        """K3: daily export lines (label -1/+1) keyed by symbol and day."""
+        lb = br.price_features(labelled_bars(fx.brand_bars(spark, d)))
+        return st.feature_lines(lb, "pm", keep=["bar_date"])
+
+    def article_store_json(spark, d):
+        aw = nw.article_words(fx.articles(spark, d))
+        path = _scratch(spark, "article-store")
+        st.write_article_store(st.article_store_lines(aw), path)
+        return st.read_article_store(spark, path)
+
+    def model_vocab_json(spark, d):
+        aw = nw.article_words(fx.articles(spark, d))
+        vocab = nw.top_quarter_vocab(nw.symbol_word_totals(aw))
+        lists = vocab.select(F.col("symbol").alias("key"), F.col("pos").cast("long").alias("pos"),
+                             F.col("word").alias("value"))
+        path = _scratch(spark, "model-vocab")
+        st.legacy_documents(lists).write.mode("overwrite").text(path)
+        return st.read_keyed_lists(spark, path, legacy=True)
+
+    QUERIES["feature_matrix_export"] = feature_matrix_export
+    QUERIES["article_store_json"] = article_store_json
+    QUERIES["model_vocab_json"] = model_vocab_json
+
+
+_register_stores()
