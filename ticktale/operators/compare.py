@@ -93,32 +93,66 @@ def log_ratio_accuracy(split_ex: DataFrame, terms: DataFrame, vocab: DataFrame,
     return test.groupBy(*keys).agg((F.avg(hit) * 100).alias("test_acc"), F.count("*").alias("n_test"))
 
 
-def overall_news_model(ex: DataFrame, terms: DataFrame) -> DataFrame:
-    """Every candidate vocabulary without the symbol key, one
-    accuracy each, ranked (accuracy desc, candidate order)."""
-    keys = ["scope"]
-    ex = ex.withColumn("scope", F.lit("overall"))
-    terms = terms.withColumn("scope", F.lit("overall"))
+def candidate_accuracies(ex: DataFrame, terms: DataFrame, keys: list[str]) -> DataFrame:
+    """Per key, the test accuracy of a model on each candidate
+    vocabulary (five chi-square selections, most frequent quarter, all words),
+    all from one seeded split; empty selections drop out (Q33). Columns:
+    keys.., candidate, cand_no, n_words, n_test, test_acc, width."""
     split = random_split(ex, keys, "example_id").checkpoint()
     train_ex = split.filter(~F.col("is_test"))
-    train_terms = terms.join(train_ex.select("scope", "example_id"), ["scope", "example_id"], "left_semi")
+    train_terms = terms.join(train_ex.select(*keys, "example_id"), keys + ["example_id"], "left_semi")
     scores = sl.chi2_scores(train_ex, train_terms, keys).checkpoint()
-    totals = train_terms.groupBy("scope", "word").agg(F.sum("cnt").alias("total"))
-    vocabs = {m: sl.SELECTORS[m](scores, keys=keys) if m not in ("fpr",) else sl.select_fpr(scores)
+    totals = train_terms.groupBy(*keys, "word").agg(F.sum("cnt").alias("total"))
+    vocabs = {m: (sl.select_fpr(scores) if m == "fpr" else sl.SELECTORS[m](scores, keys=keys))
               for m in ("k_best", "fpr", "fdr", "fwe", "percentile")}
     vocabs["chopped"] = top_quarter_vocab(totals, keys=tuple(keys))
     vocabs["all"] = totals
     rows = []
     for i, name in enumerate(CANDIDATES):
-        v = vocabs[name].select("scope", "word")
+        v = vocabs[name].select(*keys, "word")
         acc = log_ratio_accuracy(split, terms, v, keys, "example_id")
-        n_words = v.groupBy("scope").agg(F.count("*").alias("n_words"))
-        rows.append(acc.join(n_words, "scope").withColumn("candidate", F.lit(name)).withColumn("cand_no", F.lit(i)))
-    res = reduce(DataFrame.unionByName, rows).filter(F.col("n_words") > 0)      # Q33: empty selections drop out
+        n_words = v.groupBy(*keys).agg(F.count("*").alias("n_words"))
+        rows.append(acc.join(n_words, keys).withColumn("candidate", F.lit(name)).withColumn("cand_no", F.lit(i)))
+    width = totals.groupBy(*keys).agg(F.count("*").alias("width"))
+    return reduce(DataFrame.unionByName, rows).filter(F.col("n_words") > 0).join(width, keys)
+
+
+def overall_news_model(ex: DataFrame, terms: DataFrame) -> DataFrame:
+    """Every candidate vocabulary without the symbol key, ranked
+    (accuracy desc, candidate order)."""
+    keys = ["scope"]
+    res = candidate_accuracies(ex.withColumn("scope", F.lit("overall")), terms.withColumn("scope", F.lit("overall")),
+                               keys)
     w = Window.partitionBy("scope").orderBy(F.desc("test_acc"), "cand_no")
     return res.withColumn("rank", F.row_number().over(w).cast("long"))
 
 
+def symbol_news_models(ex: DataFrame, terms: DataFrame, wide: int = sl.WIDE_VOCAB, min_acc: float = 30.0) -> DataFrame:
+    """Per symbol (M14, F19, F20, O2): a vocabulary wider than ``wide`` words
+    goes through selection and the best selection is kept; a narrow one is
+    fitted on all words. A wide symbol whose best selection scores below
+    ``min_acc`` gets a second try on all words; a model still below it is
+    rejected. One row per symbol."""
+    keys = ["symbol"]
+    res = candidate_accuracies(ex, terms, keys)
+    sel = res.filter(F.col("candidate").isin("k_best", "fpr", "fdr", "fwe", "percentile"))
+    w = Window.partitionBy(*keys).orderBy(F.desc("test_acc"), "cand_no")
+    best_sel = sel.withColumn("_r", F.row_number().over(w)).filter("_r = 1").select(
+        *keys, F.col("candidate").alias("sel_candidate"), F.col("test_acc").alias("sel_acc"),
+        F.col("n_words").alias("sel_words"))
+    all_words = res.filter(F.col("candidate") == "all").select(
+        *keys, "width", "n_test", F.col("test_acc").alias("all_acc"))
+    j = all_words.join(best_sel, keys, "left")
+    is_wide = F.col("width") > wide
+    use_sel = is_wide & F.col("sel_acc").isNotNull() & (F.col("sel_acc") >= min_acc)
+    out = j.select(*keys, "width", "n_test",
+                   F.when(use_sel, F.col("sel_candidate")).otherwise(F.lit("all")).alias("candidate"),
+                   F.when(use_sel, F.col("sel_words")).otherwise(F.col("width")).alias("n_words"),
+                   F.when(use_sel, F.col("sel_acc")).otherwise(F.col("all_acc")).alias("test_acc"),
+                   (is_wide & ~use_sel).alias("second_try"))
+    return out.withColumn("accepted", F.col("test_acc") >= min_acc)
+
+
 # ---------------------------------------------------------------- query views
 def q_kfold_assignment(emb: DataFrame) -> DataFrame:
     e = emb.select(F.col("vec_id").alias("id"), "label")
@@ -160,6 +194,13 @@ def q_config_sweep(emb: DataFrame, ks=(1, 3, 5, 7)) -> DataFrame:
                               r6(F.avg((F.col("pred") == F.col("label")).cast("double")) * 100).alias("accuracy"))
 
 
+def q_symbol_news_models(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    ex, terms = sl.labelled_docs(docs, labels)
+    r = symbol_news_models(ex, terms)
+    return r.select("symbol", "width", "n_test", "candidate", "n_words", r6("test_acc").alias("test_acc"),
+                    "second_try", "accepted")
+
+
 def q_overall_news_model(docs: DataFrame, labels: DataFrame) -> DataFrame:
     ex, terms = sl.labelled_docs(docs, labels)
     r = overall_news_model(ex.drop("symbol"), terms.drop("symbol"))

@@ -963,3 +963,105 @@ SELECT symbol AS company, pub_date, CAST(dense_rank() OVER (PARTITION BY symbol,
 def _():
     return with_views("SELECT symbol AS key, CAST(pos AS BIGINT) AS pos, word AS value FROM vocab",
                       "articles", "event_bars_d", extra=NEWS_CTES)
+
+
+def _scoped_model_ctes(scope_sql: str) -> dict[str, str]:
+    """The candidate-vocabulary comparison per scope (symbol)."""
+    P = "PARTITION BY scope"
+    draws = " UNION ALL ".join(f"""
+        SELECT *, {a} AS attempt,
+               row_number() OVER ({P} ORDER BY (example_id * 7919 + {(42 + a) * 104729}) % 1000003, example_id) AS rn,
+               count(*) OVER ({P}) AS n FROM ex""" for a in range(5))
+    ok = f"chi2 >= {chi2_critical_1df_sql('0.005::DOUBLE * i / m')}"
+    c = {
+        "ex": f"SELECT {scope_sql} AS scope, doc_id AS example_id, quality AS label FROM labels",
+        "terms": f"""
+          SELECT scope, example_id, word, count(*) AS cnt FROM (
+            SELECT {scope_sql} AS scope, doc_id AS example_id, unnest({tokens_sql('text')}) AS word
+            FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)) t
+          WHERE NOT list_contains({STOP_SQL}, word)
+          GROUP BY scope, example_id, word""",
+        "draws": f"SELECT *, rn <= ceil(n * 0.2::DOUBLE) AS is_test FROM ({draws}) d",
+        "okd": """SELECT scope, min(attempt) AS attempt FROM (
+                    SELECT scope, attempt FROM draws WHERE NOT is_test
+                    GROUP BY scope, attempt HAVING count(DISTINCT label) > 1) o GROUP BY scope""",
+        "split": "SELECT d.* FROM draws d JOIN okd o ON o.scope = d.scope AND o.attempt = d.attempt",
+        "trex": "SELECT * FROM split WHERE NOT is_test",
+        "trterms": "SELECT t.* FROM terms t JOIN trex e ON e.example_id = t.example_id",
+        "shares": """
+          SELECT c.scope, c.label, c.n_c / n.n AS share FROM
+            (SELECT scope, label, count(*) AS n_c FROM trex GROUP BY scope, label) c
+            JOIN (SELECT scope, count(*) AS n FROM trex GROUP BY scope) n ON n.scope = c.scope""",
+        "obs": """SELECT t.scope, t.word, e.label, sum(t.cnt) AS o
+                  FROM trterms t JOIN trex e ON e.example_id = t.example_id GROUP BY t.scope, t.word, e.label""",
+        "scores": """
+          SELECT scope, word, total, s / total - total AS chi2 FROM (
+            SELECT o.scope, o.word, sum(o.o * o.o / sh.share) AS s, sum(o.o) AS total
+            FROM obs o JOIN shares sh ON sh.scope = o.scope AND sh.label = o.label GROUP BY o.scope, o.word) x""",
+        "totals": "SELECT scope, word, sum(cnt) AS total FROM trterms GROUP BY scope, word",
+        "v_k_best": f"""SELECT scope, word FROM (SELECT *, row_number() OVER ({P} ORDER BY chi2 DESC, word) AS r
+                        FROM scores) k WHERE r <= 200""",
+        "v_fpr": f"SELECT scope, word FROM scores WHERE chi2 > {chi2_critical_1df_sql('0.005::DOUBLE')}",
+        "v_fwe": f"""SELECT scope, word FROM (SELECT *, count(*) OVER ({P}) AS m FROM scores) f
+                     WHERE chi2 > {chi2_critical_1df_sql('0.005::DOUBLE / m')}""",
+        "f0": f"SELECT *, row_number() OVER ({P} ORDER BY chi2 DESC, word) AS i, count(*) OVER ({P}) AS m FROM scores",
+        "f1": f"SELECT *, max(CASE WHEN {ok} THEN i END) OVER ({P}) AS istar FROM f0",
+        "f2": f"SELECT *, max(CASE WHEN i = istar THEN chi2 END) OVER ({P}) AS cut FROM f1",
+        "v_fdr": "SELECT scope, word FROM f2 WHERE chi2 >= cut",
+        "p0": f"""SELECT *, row_number() OVER ({P} ORDER BY chi2, word) AS rn, count(*) OVER ({P}) AS n,
+                        (count(*) OVER ({P}) - 1) * 0.9::DOUBLE AS h FROM scores""",
+        "p1": f"""SELECT *, h - floor(h) AS frac, max(CASE WHEN rn = floor(h) + 1 THEN chi2 END) OVER ({P}) AS a,
+                        max(CASE WHEN rn = least(floor(h) + 2, n) THEN chi2 END) OVER ({P}) AS b FROM p0""",
+        "p2": f"""SELECT *, count(CASE WHEN chi2 > thr THEN 1 END) OVER ({P}) AS above
+                 FROM (SELECT *, a + frac * (b - a) AS thr FROM p1) t""",
+        "p3": f"""SELECT *, CASE WHEN chi2 = thr THEN row_number() OVER ({P}, chi2 = thr ORDER BY word) END AS tie
+                 FROM p2""",
+        "v_percentile": "SELECT scope, word FROM p3 WHERE chi2 > thr OR tie <= floor(n * 10 / 100) - above",
+        "v_chopped": f"""SELECT scope, word FROM (SELECT *, row_number() OVER ({P} ORDER BY total DESC, word) AS pos,
+                               count(*) OVER ({P}) AS n FROM totals) v WHERE pos <= floor(n / 4)""",
+        "v_all": "SELECT scope, word FROM totals",
+        "width": "SELECT scope, count(*) AS width FROM totals GROUP BY scope",
+    }
+    arms = []
+    for i, name in enumerate(("k_best", "fpr", "fdr", "fwe", "percentile", "chopped", "all")):
+        c[f"acc_{name}"] = f"""
+          SELECT e.scope, '{name}' AS candidate, {i} AS cand_no, nw.n_words,
+                 count(*) AS n_test, avg(CAST((coalesce(zz.z, 0.0) > 0) = (e.label = 1) AS DOUBLE)) * 100 AS test_acc
+          FROM split e
+          JOIN (SELECT scope, count(*) AS n_words FROM v_{name} GROUP BY scope) nw ON nw.scope = e.scope
+          LEFT JOIN (
+            SELECT t.example_id, sum(t.cnt * w.wt) AS z
+            FROM terms t JOIN (
+              SELECT scope, word, ln((up + 1.0::DOUBLE) / (down + 1.0::DOUBLE)) AS wt FROM (
+                SELECT t.scope, t.word, sum(CASE WHEN e.label = 1 THEN t.cnt ELSE 0 END) AS up,
+                       sum(CASE WHEN e.label <> 1 THEN t.cnt ELSE 0 END) AS down
+                FROM terms t JOIN trex e ON e.example_id = t.example_id
+                JOIN v_{name} v ON v.scope = t.scope AND v.word = t.word
+                GROUP BY t.scope, t.word) x) w ON w.scope = t.scope AND w.word = t.word
+            WHERE t.example_id IN (SELECT example_id FROM split WHERE is_test)
+            GROUP BY t.example_id) zz ON zz.example_id = e.example_id
+          WHERE e.is_test
+          GROUP BY e.scope, nw.n_words"""
+        arms.append(f"SELECT * FROM acc_{name}")
+    c["res"] = "SELECT r.*, w.width FROM (" + " UNION ALL ".join(arms) + ") r JOIN width w ON w.scope = r.scope"
+    return c
+
+
+@oracle("symbol_news_models")
+def _():
+    c = _scoped_model_ctes(COMPANY_SQL.replace("page_id", "doc_id"))
+    c["bestsel"] = """
+      SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY scope ORDER BY test_acc DESC, cand_no) AS r
+                     FROM res WHERE candidate IN ('k_best', 'fpr', 'fdr', 'fwe', 'percentile')) b WHERE r = 1"""
+    c["pick"] = """
+      SELECT a.scope AS symbol, a.width, a.n_test, a.width > 700 AS wide,
+             (a.width > 700 AND b.test_acc IS NOT NULL AND b.test_acc >= 30.0) AS use_sel,
+             b.candidate AS sel_candidate, b.n_words AS sel_words, b.test_acc AS sel_acc, a.test_acc AS all_acc
+      FROM (SELECT * FROM res WHERE candidate = 'all') a LEFT JOIN bestsel b ON b.scope = a.scope"""
+    return with_views(f"""
+SELECT symbol, width, n_test, CASE WHEN use_sel THEN sel_candidate ELSE 'all' END AS candidate,
+       CASE WHEN use_sel THEN sel_words ELSE width END AS n_words,
+       {R6('CASE WHEN use_sel THEN sel_acc ELSE all_acc END')} AS test_acc,
+       wide AND NOT use_sel AS second_try,
+       CASE WHEN use_sel THEN sel_acc ELSE all_acc END >= 30.0 AS accepted
+FROM pick""", extra=c)

@@ -256,3 +256,13 @@ def _register_stores():
 
 
 _register_stores()
+
+
+def _register_symbol_models():
+    from ..operators import compare as cp
+    from ..sources.tables import table
+    QUERIES["symbol_news_models"] = lambda spark, d: cp.q_symbol_news_models(
+        table(spark, d, "documents", "doc_id", "text"), table(spark, d, "labels", "doc_id", "quality"))
+
+
+_register_symbol_models()
