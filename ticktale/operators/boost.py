@@ -161,3 +161,30 @@ def q_adaboost(bars: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     e = boosted_errors(rows, adaboost(rows, rounds))
     return e.select("symbol", F.col("round").cast("int").alias("round"), r6("train_err").alias("train_err"),
                     r6("test_err").alias("test_err"), r6("err_bound").alias("err_bound"))
+
+
+def fold_rows(rows: DataFrame, k: int = 5) -> DataFrame:
+    """Stratified k folds per symbol (row number within (symbol, label)
+    in an arithmetic pseudo-random order, mod k); each (symbol, fold) becomes
+    its own boosting key whose test rows are that fold."""
+    w = Window.partitionBy("symbol", "y").orderBy((F.col("rid") * 7919) % 1000003, "rid")
+    r = rows.withColumn("fold", ((F.row_number().over(w) - 1) % k).cast("int"))
+    x = r.select("*", F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("f"))
+    return x.select(F.concat_ws("|", "symbol", F.col("f").cast("string")).alias("symbol"), "rid", "y",
+                    (F.col("fold") != F.col("f")).alias("is_train"), (F.col("fold") == F.col("f")).alias("is_test"),
+                    "xs")
+
+
+def adaboost_cv(rows: DataFrame, k: int = 5, rounds: int = 5) -> DataFrame:
+    """Per symbol and round, the error curves averaged over the k folds."""
+    fr = fold_rows(rows, k).checkpoint()
+    e = boosted_errors(fr, adaboost(fr, rounds))
+    base = F.element_at(F.split("symbol", r"\|"), 1)
+    return e.groupBy(base.alias("symbol"), "round").agg(
+        F.avg("train_err").alias("train_err"), F.avg("test_err").alias("test_err"), F.count("*").alias("n_folds"))
+
+
+def q_adaboost_cv(bars: DataFrame) -> DataFrame:
+    e = adaboost_cv(stump_rows(bars))
+    return e.select("symbol", F.col("round").cast("int").alias("round"), r6("train_err").alias("train_err"),
+                    r6("test_err").alias("test_err"), "n_folds")

@@ -608,9 +608,9 @@ FROM emb e, (
 
 
 # ------------------------------------------------------------------ boosting
-def _boost_ctes(rounds: int) -> dict[str, str]:
+def _boost_ctes(rounds: int, rows_sql: str | None = None) -> dict[str, str]:
     c = {"lb": lb(),
-         "rows": """SELECT symbol, rn AS rid, label AS y, is_train, is_test,
+         "rows": rows_sql or """SELECT symbol, rn AS rid, label AS y, is_train, is_test,
                            [close, open, high, low, open - close, high - low] AS xs FROM lb""",
          "train": "SELECT symbol, rid, y, xs FROM rows WHERE is_train",
          "w1": """SELECT t.symbol, t.rid, 1.0::DOUBLE / n.n AS w FROM train t
@@ -1065,3 +1065,31 @@ SELECT symbol, width, n_test, CASE WHEN use_sel THEN sel_candidate ELSE 'all' EN
        wide AND NOT use_sel AS second_try,
        CASE WHEN use_sel THEN sel_acc ELSE all_acc END >= 30.0 AS accepted
 FROM pick""", extra=c)
+
+
+@oracle("adaboost_cv")
+def _():
+    rounds, k = 5, 5
+    rows = f"""
+      SELECT symbol || '|' || CAST(f AS VARCHAR) AS symbol, rid, y, fold <> f AS is_train, fold = f AS is_test, xs
+      FROM (SELECT *, CAST((row_number() OVER (PARTITION BY symbol, y ORDER BY (rid * 7919) % 1000003, rid) - 1) % {k}
+                           AS INTEGER) AS fold
+            FROM (SELECT symbol, rn AS rid, label AS y,
+                         [close, open, high, low, open - close, high - low] AS xs FROM lb) b) r,
+           (SELECT unnest(range({k})) AS f) ff"""
+    c = _boost_ctes(rounds, rows)
+    c["stumps"] = " UNION ALL ".join(f"SELECT * FROM out{r}" for r in range(1, rounds + 1))
+    c["votes"] = """
+      SELECT r.symbol, r.rid, r.y, r.is_train, r.is_test, s.round,
+             CASE WHEN sum(s.alpha * ((2 * CAST(r.xs[s.fno] < s.thresh AS INTEGER) - 1) * s.polarity))
+                       OVER (PARTITION BY r.symbol, r.rid ORDER BY s.round
+                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) > 0 THEN 1 ELSE -1 END AS vote
+      FROM rows r JOIN stumps s ON s.symbol = r.symbol"""
+    return with_views(f"""
+SELECT split_part(symbol, '|', 1) AS symbol, CAST(round AS INTEGER) AS round, {R6('avg(train_err)')} AS train_err,
+       {R6('avg(test_err)')} AS test_err, count(*) AS n_folds
+FROM (SELECT symbol, round,
+             avg(CASE WHEN is_train THEN CAST(vote <> y AS DOUBLE) END) AS train_err,
+             avg(CASE WHEN is_test THEN CAST(vote <> y AS DOUBLE) END) AS test_err
+      FROM votes GROUP BY symbol, round) e
+GROUP BY split_part(symbol, '|', 1), round""", "brand_bars", extra=c)

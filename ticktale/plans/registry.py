@@ -266,3 +266,11 @@ def _register_symbol_models():
 
 
 _register_symbol_models()
+
+
+def _register_boost_cv():
+    from ..operators import boost
+    QUERIES["adaboost_cv"] = _on_brand_bars(boost.q_adaboost_cv)
+
+
+_register_boost_cv()
