@@ -75,3 +75,19 @@ def test_results_csv(spark, tmp_path):
     path = str(tmp_path / "res")
     st.write_results_csv(df, path)
     assert spark.read.csv(path).count() == 1
+
+
+def test_date_floor_class_count_one_hot_and_semi_join(spark):
+    from ticktale.operators import models, news
+    b = spark.createDataFrame([("A", dt.date(2008, 1, 1), 1.0, 1.0), ("A", dt.date(2010, 1, 1), 2.0, 2.0),
+                               ("B", dt.date(2010, 1, 1), 3.0, 3.0)],
+                              "symbol string, bar_date date, open double, close double")
+    assert bars.after_date(b, "2009-06-01").count() == 2
+    cc = models.class_count(spark.createDataFrame([(1,), (-1,), (1,)], "label int")).collect()[0]
+    assert cc.classes == [-1, 1] and cc.n_classes == 2
+    oh = models.one_hot_targets(spark.createDataFrame([("a",), ("b",)], "label string")).orderBy("label").collect()
+    assert [list(r.target.toArray()) for r in oh] == [[1.0, 0.0], [0.0, 1.0]]
+    scores = spark.createDataFrame([("A", dt.date(2010, 1, 1), 0.3, 0.7)],
+                                   "symbol string, bar_date date, p_down double, p_up double")
+    out = news.attach_news(b, scores, only_scored_symbols=True).orderBy("bar_date").collect()
+    assert [(r.symbol, r.p_up) for r in out] == [("A", 0.0), ("A", 0.7)]

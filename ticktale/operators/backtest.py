@@ -22,9 +22,12 @@ from .bars import by_symbol, direction_label, log_return, positional_split
 UNBOUNDED = Window.unboundedPreceding
 
 
-def labelled_bars(bars: DataFrame, frac: float = 0.8, time_col: str = "bar_date") -> DataFrame:
+def labelled_bars(bars: DataFrame, frac: float = 0.8, time_col: str = "bar_date",
+                  start: str | None = None) -> DataFrame:
     """Bars with label (F4), ret (W2), rn/n, the positional split (W5) and
-    the previous direction."""
+    the previous direction; ``start`` is the optional date floor (F22)."""
+    from .bars import after_date
+    bars = after_date(bars, start, time_col)
     lb = positional_split(log_return(direction_label(bars, time_col), time_col), frac, time_col)
     return with_prev_direction(lb, time_col)
 

@@ -57,6 +57,12 @@ def missing_series(stored: DataFrame, intervals=INTERVALS) -> DataFrame:
     return grid.join(have, ["symbol", "interval"], "left_anti")
 
 
+def after_date(bars: DataFrame, start: str | None, time_col: str = "bar_date") -> DataFrame:
+    """optional date floor (e.g. start after a crash); a plain filter
+    that reaches the scan when the bars come straight from storage."""
+    return bars if start is None else bars.filter(F.col(time_col) >= F.lit(start).cast("date"))
+
+
 # ---------------------------------------------------------------- F1-F6
 def price_features(bars: DataFrame) -> DataFrame:
     """Open-Close and High-Low."""

@@ -153,6 +153,20 @@ def logreg_embeddings(emb: DataFrame, lam: float = 0.1, max_iter: int = 50, test
     return model.transform(df)
 
 
+def class_count(df: DataFrame, label: str = "label", keys=()) -> DataFrame:
+    """The classes and their number (per key)."""
+    return df.groupBy(*keys).agg(F.sort_array(F.collect_set(label)).alias("classes"),
+                                 F.count_distinct(label).alias("n_classes"))
+
+
+def one_hot_targets(df: DataFrame, label: str = "label", out: str = "target") -> DataFrame:
+    """F8: one-hot target vectors over all classes (no dropped last)."""
+    idx = StringIndexer(inputCol=label, outputCol="_lab_idx", stringOrderType="alphabetAsc").fit(df)
+    enc = OneHotEncoder(inputCol="_lab_idx", outputCol=out, dropLast=False)
+    t = idx.transform(df)
+    return enc.fit(t).transform(t).drop("_lab_idx")
+
+
 # ---------------------------------------------------------------- per-symbol fits
 def fit_each_symbol(df: DataFrame, make_estimator, features: str = "features", parallelism: int = 8) -> DataFrame:
     """One fit per symbol, submitted concurrently; returns all predictions."""
@@ -294,7 +308,8 @@ def q_logreg_ovr(emb: DataFrame) -> DataFrame:
     p = logreg_embeddings(emb)
     hit = (F.col("prediction") == F.col("label")).cast("double")
     return p.groupBy(F.when(F.col("is_train"), "train").otherwise("test").alias("split")).agg(
-        F.count("*").alias("n"), r6(F.avg(hit) * 100).alias("accuracy"))
+        F.count("*").alias("n"), F.count_distinct("label").alias("n_classes"),
+        r6(F.avg(hit) * 100).alias("accuracy"))
 
 
 def q_tree(bars: DataFrame) -> DataFrame:
@@ -331,5 +346,5 @@ def q_svm_news_proba(articles: DataFrame, bars: DataFrame) -> DataFrame:
     kept = terms.join(vocab.select("symbol", "word"), ["symbol", "word"], "left_semi")
     vec = nw.daily_news_vector(dwc, bars, vocab)
     probs = news_probability(kept, vec)
-    out = nw.attach_news(bars, probs)
+    out = nw.attach_news(bars, probs, only_scored_symbols=True)
     return out.select("symbol", "bar_date", r6("p_down").alias("p_down"), r6("p_up").alias("p_up"))

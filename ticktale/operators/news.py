@@ -105,8 +105,12 @@ def news_scores(vec: DataFrame, weights: DataFrame) -> DataFrame:
     return z.select("symbol", "bar_date", (F.lit(1.0) - p_up).alias("p_down"), p_up.alias("p_up"))
 
 
-def attach_news(bars: DataFrame, scores: DataFrame) -> DataFrame:
-    """Left join; days without news get 0, 0 (Q18)."""
+def attach_news(bars: DataFrame, scores: DataFrame, only_scored_symbols: bool = False) -> DataFrame:
+    """Left join; days without news get 0, 0 (Q18). With
+    ``only_scored_symbols`` the series are first restricted to symbols that
+    have news scores at all (J6, semi join)."""
+    if only_scored_symbols:
+        bars = bars.join(scores.select("symbol").distinct(), "symbol", "left_semi")
     return bars.join(scores, ["symbol", "bar_date"], "left").fillna(0.0, ["p_down", "p_up"])
 
 
