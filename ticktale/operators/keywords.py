@@ -119,18 +119,21 @@ def extract_keywords(summ: DataFrame, key: str = "doc_id", steps: int = STEPS) -
 def keyword_counts(summ: DataFrame, keywords: DataFrame, phrases: DataFrame,
                    key: str = "doc_id", keep_empty_keyword: bool = False) -> DataFrame:
     """The article's keyword map as rows: (key, keyword, cnt), cnt = X8 count
-    of the keyword (single word or phrase) in the summary. With
+    of the keyword (single word or phrase) in the summary. Keywords are
+    gathered per document first (bounded by its vocabulary), so the summary
+    text is joined once per document, not once per keyword. With
     ``keep_empty_keyword`` a document without keywords gets the key '' with
     ``length + 1``, as the study's library output did."""
     kws = keywords.select(key, F.col("word").alias("keyword")).unionByName(
         phrases.select(key, F.col("phrase").alias("keyword")))
-    out = kws.join(summ.select(key, "summary"), key).select(
-        key, "keyword", substring_count("summary", "keyword").alias("cnt"))
+    per_doc = kws.groupBy(key).agg(F.collect_list("keyword").alias("_kws"))
+    j = summ.select(key, "summary").join(per_doc, key, "left" if keep_empty_keyword else "inner")
     if keep_empty_keyword:
-        none = summ.join(kws, key, "left_anti").select(
-            key, F.lit("").alias("keyword"), substring_count("summary", F.lit("")).alias("cnt"))
-        out = out.unionByName(none)
-    return out
+        j = j.withColumn("_kws", F.coalesce(F.col("_kws"), F.array(F.lit(""))))
+    # explode inside the stage (the summary is referenced, not shipped, per
+    # keyword row) and count with a generated expression
+    e = j.select(key, "summary", F.explode("_kws").alias("keyword"))
+    return e.select(key, "keyword", substring_count("summary", "keyword").alias("cnt"))
 
 
 # ---------------------------------------------------------------- query views
