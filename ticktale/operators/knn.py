@@ -20,8 +20,14 @@ from pyspark.sql import functions as F
 from ..functions.numeric import r6
 
 EPS = 1e-7
-N_PIVOTS = 16
 K = 5
+MIN_PIVOTS, MAX_PIVOTS = 16, 256
+
+
+def pivot_count(n_train: int) -> int:
+    """About sqrt(n) cells (each ~sqrt(n) rows), within plan-size bounds: the
+    pivots are literals in the plan (pivots x dimensions values)."""
+    return int(min(MAX_PIVOTS, max(MIN_PIVOTS, round(n_train ** 0.5))))
 
 
 def sq_dist(a: Column, b: Column) -> Column:
@@ -43,8 +49,10 @@ def _pivot_distances(df: DataFrame, pivots: list[list[float]]) -> DataFrame:
               .withColumn("d_own", F.array_min("pd")))
 
 
-def knn_neighbours(train: DataFrame, test: DataFrame, k: int = K, n_pivots: int = N_PIVOTS) -> DataFrame:
+def knn_neighbours(train: DataFrame, test: DataFrame, k: int = K, n_pivots: int | None = None) -> DataFrame:
     """(test_id, train_id, sqd, label) of the exact k nearest training rows."""
+    if n_pivots is None:
+        n_pivots = pivot_count(train.count())
     piv = [[float(v) for v in r.vec] for r in
            train.orderBy(F.xxhash64("id"), "id").limit(n_pivots).select("vec").collect()]
     tr = _pivot_distances(train, piv)
