@@ -140,3 +140,18 @@ def test_report_rule(spark):
                                   "file string, sec int, blk int, pos int, line string")
     r = report.parse_result_sections(named).collect()[0]
     assert (r.section, r.name, r.symbol, r.train, r.sharpe) == (1, "Paypal", "PYPL", 47.3373, -1.507)
+
+
+def test_two_level_split_equals_global_rank(spark):
+    from pyspark.sql import Window
+    from ticktale.operators import compare
+    ex = spark.createDataFrame([("a" if i % 7 else "b", i, i % 2) for i in range(1, 3001)],
+                               "scope string, example_id long, label int")
+    key = compare.shuffle_key("example_id", 42)
+    got = compare.smallest_fraction(ex, ["scope"], key, "example_id", 0.2)
+    w = Window.partitionBy("scope").orderBy(key, "example_id")
+    n = F.count("*").over(Window.partitionBy("scope"))
+    want = ex.withColumn("t", F.row_number().over(w) <= F.ceil(n * 0.2))
+    a = {(r.scope, r.example_id) for r in got.filter("is_test").collect()}
+    b = {(r.scope, r.example_id) for r in want.filter("t").collect()}
+    assert a == b and len(a) == 600

@@ -56,24 +56,44 @@ def shuffle_key(id_col: str, draw: int) -> Column:
     return (F.col(id_col).cast("long") * 7919 + F.lit(draw * 104729)) % 1000003
 
 
+SPLIT_BUCKETS = 1024
+SHUFFLE_MOD = 1000003
+
+
+def smallest_fraction(df: DataFrame, keys: list[str], order_key: Column, id_col: str, frac: float,
+                      flag: str = "is_test") -> DataFrame:
+    """Flag the ceil(frac * n) rows with the smallest (order_key, id) per key
+    without one window over a whole key (a key may hold most rows): rows are
+    bucketed by order_key (uniform on [0, SHUFFLE_MOD)), bucket counts give
+    the boundary bucket per key, and only that bucket is ranked exactly."""
+    b = df.withColumn("_ok", order_key).withColumn("_b", (F.col("_ok") * SPLIT_BUCKETS / SHUFFLE_MOD).cast("int"))
+    counts = b.groupBy(*keys, "_b").agg(F.count("*").alias("_c"))      # <= SPLIT_BUCKETS rows per key
+    w = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    n = counts.groupBy(*keys).agg(F.sum("_c").alias("_n"))
+    cum = (counts.withColumn("_before", F.coalesce(F.sum("_c").over(w), F.lit(0)))
+                 .join(n, keys).withColumn("_k", F.ceil(F.col("_n") * frac)))
+    bnd = cum.filter((F.col("_before") < F.col("_k")) & (F.col("_before") + F.col("_c") >= F.col("_k"))) \
+             .select(*keys, F.col("_b").alias("_bb"), (F.col("_k") - F.col("_before")).alias("_need"))
+    j = b.join(bnd, keys, "left")
+    in_bnd = F.col("_b") == F.col("_bb")
+    r = F.row_number().over(Window.partitionBy(*keys, "_b").orderBy("_ok", id_col))   # one bucket per window
+    j = j.withColumn("_r", F.when(in_bnd, r))
+    is_small = (F.col("_b") < F.col("_bb")) | (in_bnd & (F.col("_r") <= F.col("_need")))
+    return j.withColumn(flag, F.coalesce(is_small, F.lit(False))).drop("_ok", "_b", "_bb", "_need", "_r")
+
+
 def random_split(ex: DataFrame, keys: list[str], id_col: str, test_frac: float = 0.2, seed: int = 42,
                  attempts: int = 5) -> DataFrame:
     """Per key, the ceil(test_frac * n) rows first in a seeded order go
     to test; the draw is repeated with the next draw number when the training
     labels would all be equal, and the first good draw is kept."""
-    w_n = Window.partitionBy(*keys)
-    cands = []
-    for a in range(attempts):
-        o = Window.partitionBy(*keys).orderBy(shuffle_key(id_col, seed + a), id_col)
-        d = (ex.withColumn("_rn", F.row_number().over(o)).withColumn("_n", F.count("*").over(w_n))
-               .withColumn("is_test", F.col("_rn") <= F.ceil(F.col("_n") * test_frac))
-               .withColumn("attempt", F.lit(a)))
-        cands.append(d)
+    cands = [smallest_fraction(ex, keys, shuffle_key(id_col, seed + a), id_col, test_frac)
+             .withColumn("attempt", F.lit(a)) for a in range(attempts)]
     allc = reduce(DataFrame.unionByName, cands)
     ok = (allc.filter(~F.col("is_test")).groupBy(*keys, "attempt")
               .agg(F.count_distinct("label").alias("_k")).filter("_k > 1")
               .groupBy(*keys).agg(F.min("attempt").alias("attempt")))
-    return allc.join(ok, keys + ["attempt"], "left_semi").drop("_rn", "_n")
+    return allc.join(ok, keys + ["attempt"], "left_semi")
 
 
 def log_ratio_accuracy(split_ex: DataFrame, terms: DataFrame, vocab: DataFrame, keys: list[str],

@@ -85,18 +85,25 @@ def select_fpr(scores: DataFrame, alpha: float = ALPHA) -> DataFrame:
 
 
 def select_fwe(scores: DataFrame, alpha: float = ALPHA, keys=("symbol",)) -> DataFrame:
-    """P < alpha / m, m = words of the key."""
-    m = F.count("*").over(Window.partitionBy(*keys))
-    return (scores.withColumn("_m", m)
+    """P < alpha / m, m = words of the key (an aggregate joined back)."""
+    m = scores.groupBy(*keys).agg(F.count("*").alias("_m"))
+    return (scores.join(m, list(keys))
                   .filter(F.col("chi2") > chi2_critical_1df(F.lit(alpha) / F.col("_m"))).drop("_m"))
 
 
 def select_fdr(scores: DataFrame, alpha: float = ALPHA, keys=("symbol",)) -> DataFrame:
     """Benjamini-Hochberg. With words ranked i = 1.. by chi2 descending,
-    i* = max{i : chi2_(i) >= c(alpha * i / m)}; keep chi2 >= chi2_(i*)."""
+    i* = max{i : chi2_(i) >= c(alpha * i / m)}; keep chi2 >= chi2_(i*).
+    Since c(alpha * i / m) >= c(alpha), only words with chi2 >= c(alpha) can
+    pass, and they are exactly the top of the ranking: ranks are computed on
+    that significant prefix only, never over the whole vocabulary."""
+    keys = list(keys)
+    m = scores.groupBy(*keys).agg(F.count("*").alias("_m"))
+    # relaxed by 1e-9 so rounding in alpha * i / m cannot drop a passing word;
+    # the candidates stay a top prefix of the ranking either way
+    cand = scores.filter(F.col("chi2") >= chi2_critical_1df(F.lit(alpha)) * F.lit(1 - 1e-9)).join(m, keys)
     whole = Window.partitionBy(*keys)
-    d = (scores.withColumn("_i", F.row_number().over(_desc_rank(keys)))
-               .withColumn("_m", F.count("*").over(whole)))
+    d = cand.withColumn("_i", F.row_number().over(_desc_rank(keys)))
     ok = F.col("chi2") >= chi2_critical_1df(F.lit(alpha) * F.col("_i") / F.col("_m"))
     d = d.withColumn("_istar", F.max(F.when(ok, F.col("_i"))).over(whole))
     d = d.withColumn("_cut", F.max(F.when(F.col("_i") == F.col("_istar"), F.col("chi2"))).over(whole))
