@@ -155,3 +155,16 @@ def test_two_level_split_equals_global_rank(spark):
     a = {(r.scope, r.example_id) for r in got.filter("is_test").collect()}
     b = {(r.scope, r.example_id) for r in want.filter("t").collect()}
     assert a == b and len(a) == 601   # ceil per scope
+
+
+def test_rank_within_equals_row_number(spark):
+    from pyspark.sql import Window
+    from ticktale.operators.ranking import rank_within
+    rnd = random.Random(3)
+    df = spark.createDataFrame([("hot" if i % 3 else f"k{i % 5}", rnd.randrange(50), i) for i in range(2000)],
+                               "key string, v int, id long").repartition(7)
+    got = {(r.key, r.id): (r._rank, r._n) for r in rank_within(df, ["key"], [F.desc("v"), "id"]).collect()}
+    w = Window.partitionBy("key").orderBy(F.desc("v"), "id")
+    want = {(r.key, r.id): (r.rn, r.n) for r in df.select(
+        "key", "id", F.row_number().over(w).alias("rn"), F.count("*").over(Window.partitionBy("key")).alias("n")).collect()}
+    assert got == want

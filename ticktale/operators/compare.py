@@ -32,9 +32,11 @@ CANDIDATES = ("k_best", "fpr", "fdr", "fwe", "percentile", "chopped", "all")
 
 
 def kfold(df: DataFrame, order: Column, k: int = K_FOLDS, label: str = "label", id_col: str = "id") -> DataFrame:
-    """fold = (row number within the class) mod k."""
-    w = Window.partitionBy(label).orderBy(order, id_col)
-    return df.withColumn("fold", ((F.row_number().over(w) - 1) % k).cast("int"))
+    """fold = (rank within the class) mod k; the rank comes from a
+    distributed sort, not from one window per class."""
+    from .ranking import rank_within
+    r = rank_within(df.withColumn("_o", order), [label], ["_o", id_col])
+    return r.withColumn("fold", ((F.col("_rank") - 1) % k).cast("int")).drop("_o", "_rank", "_n")
 
 
 def confusion(pred: DataFrame, classes: list[int], label: str = "label", p: str = "pred") -> DataFrame:

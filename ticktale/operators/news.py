@@ -72,11 +72,12 @@ def example_terms(examples: DataFrame, dwc: DataFrame) -> DataFrame:
 
 
 def top_quarter_vocab(totals: DataFrame, keys=("symbol",)) -> DataFrame:
-    """O3: the most frequent quarter (n // 4) of each vocabulary, ties by word."""
-    w = Window.partitionBy(*keys).orderBy(F.desc("total"), "word")
-    n = F.count("*").over(Window.partitionBy(*keys))
-    return (totals.withColumn("pos", F.row_number().over(w)).withColumn("n", n)
-                  .filter(F.col("pos") <= F.floor(F.col("n") / 4)).drop("n"))
+    """O3: the most frequent quarter (n // 4) of each vocabulary, ties by
+    word. Ranks come from a distributed sort (a pooled vocabulary can be too
+    large for one window task)."""
+    from .ranking import rank_within
+    r = rank_within(totals, list(keys), [F.desc("total"), "word"], rank="pos", size="n")
+    return r.filter(F.col("pos") <= F.floor(F.col("n") / 4)).drop("n")
 
 
 def daily_news_vector(dwc: DataFrame, bars: DataFrame, vocab: DataFrame, offsets=SCORE_OFFSETS) -> DataFrame:

@@ -59,23 +59,29 @@ def select_k_best(scores: DataFrame, k: int = K_BEST, keys=("symbol",)) -> DataF
 
 def select_percentile(scores: DataFrame, pct: int = PERCENTILE, keys=("symbol",)) -> DataFrame:
     """Scores above the (100 - pct)th percentile (linear interpolation),
-    plus ties at that value in word order up to ``floor(n * pct / 100)``."""
+    plus ties at that value in word order up to ``floor(n * pct / 100)``.
+    Ranks come from a distributed sort; the per-key values (threshold, count
+    above it, first tie rank) are small aggregates joined back."""
+    from .ranking import rank_within
     keys = list(keys)
     q = (100 - pct) / 100.0
-    asc = Window.partitionBy(*keys).orderBy("chi2", "word")
-    whole = Window.partitionBy(*keys)
-    d = scores.withColumn("_rn", F.row_number().over(asc)).withColumn("_n", F.count("*").over(whole))
+    d = rank_within(scores, keys, ["chi2", "word"], rank="_rn", size="_n")
     h = (F.col("_n") - 1) * F.lit(q)
     lo = F.floor(h) + 1
-    d = d.withColumn("_frac", h - F.floor(h)).withColumn(
-        "_a", F.max(F.when(F.col("_rn") == lo, F.col("chi2"))).over(whole)).withColumn(
-        "_b", F.max(F.when(F.col("_rn") == F.least(lo + 1, F.col("_n")), F.col("chi2"))).over(whole))
-    d = d.withColumn("_thr", F.col("_a") + F.col("_frac") * (F.col("_b") - F.col("_a")))
-    d = d.withColumn("_above", F.count(F.when(F.col("chi2") > F.col("_thr"), 1)).over(whole))
-    tie_w = Window.partitionBy(*keys, F.col("chi2") == F.col("_thr")).orderBy("word")
-    d = d.withColumn("_tie", F.when(F.col("chi2") == F.col("_thr"), F.row_number().over(tie_w)))
+    ends = d.filter((F.col("_rn") == lo) | (F.col("_rn") == F.least(lo + 1, F.col("_n")))).groupBy(*keys).agg(
+        F.max(F.when(F.col("_rn") == F.floor((F.col("_n") - 1) * F.lit(q)) + 1, F.col("chi2"))).alias("_a"),
+        F.max(F.when(F.col("_rn") == F.least(F.floor((F.col("_n") - 1) * F.lit(q)) + 2, F.col("_n")),
+                     F.col("chi2"))).alias("_b"),
+        F.first("_n").alias("_nn"))
+    hh = (F.col("_nn") - 1) * F.lit(q)
+    thr = ends.select(*keys, (F.col("_a") + (hh - F.floor(hh)) * (F.col("_b") - F.col("_a"))).alias("_thr"))
+    d = d.join(thr, keys)
+    stats = d.groupBy(*keys).agg(F.count(F.when(F.col("chi2") > F.col("_thr"), 1)).alias("_above"),
+                                 F.count(F.when(F.col("chi2") < F.col("_thr"), 1)).alias("_below"))
+    d = d.join(stats, keys)
+    tie = F.when(F.col("chi2") == F.col("_thr"), F.col("_rn") - F.col("_below"))   # ties are contiguous, by word
     max_feats = F.floor(F.col("_n") * pct / 100)
-    keep = (F.col("chi2") > F.col("_thr")) | (F.col("_tie") <= max_feats - F.col("_above"))
+    keep = (F.col("chi2") > F.col("_thr")) | (tie <= max_feats - F.col("_above"))
     return d.filter(keep).select(*scores.columns)
 
 
