@@ -107,13 +107,13 @@ def select_fdr(scores: DataFrame, alpha: float = ALPHA, keys=("symbol",)) -> Dat
     m = scores.groupBy(*keys).agg(F.count("*").alias("_m"))
     # relaxed by 1e-9 so rounding in alpha * i / m cannot drop a passing word;
     # the candidates stay a top prefix of the ranking either way
+    from .ranking import rank_within
     cand = scores.filter(F.col("chi2") >= chi2_critical_1df(F.lit(alpha)) * F.lit(1 - 1e-9)).join(m, keys)
-    whole = Window.partitionBy(*keys)
-    d = cand.withColumn("_i", F.row_number().over(_desc_rank(keys)))
+    d = rank_within(cand, keys, [F.desc("chi2"), "word"], rank="_i", size="_nc")
     ok = F.col("chi2") >= chi2_critical_1df(F.lit(alpha) * F.col("_i") / F.col("_m"))
-    d = d.withColumn("_istar", F.max(F.when(ok, F.col("_i"))).over(whole))
-    d = d.withColumn("_cut", F.max(F.when(F.col("_i") == F.col("_istar"), F.col("chi2"))).over(whole))
-    return d.filter(F.col("chi2") >= F.col("_cut")).select(*scores.columns)
+    istar = d.filter(ok).groupBy(*keys).agg(F.max("_i").alias("_istar"))
+    cut = d.join(istar, keys).filter(F.col("_i") == F.col("_istar")).select(*keys, F.col("chi2").alias("_cut"))
+    return d.join(cut, keys).filter(F.col("chi2") >= F.col("_cut")).select(*scores.columns)
 
 
 SELECTORS = {"k_best": select_k_best, "fpr": select_fpr, "fdr": select_fdr,
