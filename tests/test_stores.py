@@ -91,3 +91,18 @@ def test_date_floor_class_count_one_hot_and_semi_join(spark):
                                    "symbol string, bar_date date, p_down double, p_up double")
     out = news.attach_news(b, scores, only_scored_symbols=True).orderBy("bar_date").collect()
     assert [(r.symbol, r.p_up) for r in out] == [("A", 0.0), ("A", 0.7)]
+
+
+def test_stream_intake_processes_a_link_once(spark):
+    from ticktale.streaming import incremental as inc
+    body = "<html><body><p>Chip makers rallied. Chip demand grew strongly. Markets cheered chip makers.</p></body></html>"
+    other = "<html><body><p>Banks fell sharply. Bank shares slid. Lenders worried banks.</p></body></html>"
+    pages = spark.createDataFrame([(0, "http://n/a", body), (5, "http://n/a", other), (6, "http://n/b", other)],
+                                  "page_id long, url string, html string")
+    # page ids 0 and 5 share company (id % 5 == 0) and link: only page 0 counts
+    out = inc.q_incremental_articles(spark, pages, chunks=3)
+    got = {(r.link, r.page_id) for r in out.collect()}
+    assert ("http://n/a", 0) in {(a, b) for a, b in got}
+    assert all(b != 5 for _, b in got)
+    batch = {(r.link, r.page_id) for r in inc.article_store(pages).collect()}
+    assert got == batch

@@ -3,8 +3,8 @@
 Landed pages arrive as files in a directory. Each micro-batch:
 
 1. keeps one page per (company, link) inside the batch (smallest page id);
-2. drops links already in the store's seen list (anti join, J7) - the
-   seen list is the store itself, as the study's per-company list was;
+2. drops links already in the seen list (anti join, J7), a small table of
+   (company, link) kept next to the store, as the study's per-company list;
 3. runs page text -> summary -> keywords -> counts (G1, G2, X8);
 4. appends keyword rows to the store, written per batch id with dynamic
    partition overwrite, so a replayed batch replaces its own output
@@ -68,24 +68,28 @@ def land_pages_in_chunks(pages: DataFrame, path: str, chunks: int = 4) -> None:
         part.write.mode("append").parquet(path)
 
 
-def start_intake(spark: SparkSession, landing: str, store: str, checkpoint: str, once: bool = True):
-    """Start the streaming intake from ``landing`` into ``store``."""
+def start_intake(spark: SparkSession, landing: str, store: str, checkpoint: str, once: bool = True,
+                 seen: str | None = None):
+    """Start the streaming intake from ``landing`` into ``store``; the links
+    already processed are kept in a small ``seen`` table (company, link),
+    written per batch id like the store, so a batch reads the seen list, not
+    the keyword history."""
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    seen = seen or store.rstrip("/") + "-seen"
     src = spark.readStream.schema(PAGE_SCHEMA).option("maxFilesPerTrigger", 1).parquet(landing)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        fresh = first_per_link(batch).select("page_id", F.col("link").alias("url"), "html", "company", "link")
+        fresh = first_per_link(batch)
         try:
-            seen = spark.read.parquet(store).filter(F.col("batch_id") < batch_id).select("company", "link")
-            fresh = fresh.join(seen.distinct(), ["company", "link"], "left_anti")
-        except Exception:  # noqa: BLE001  (no store yet)
+            done = spark.read.parquet(seen).filter(F.col("batch_id") < batch_id).select("company", "link")
+            fresh = fresh.join(done, ["company", "link"], "left_anti")
+        except Exception:  # noqa: BLE001  (first batch: no seen list yet)
             pass
-        rows = article_keywords(fresh.select("page_id", "url", "html"))
-        # pages without any keyword still mark their link as seen
-        marks = fresh.select("company", "link", "page_id", F.lit(None).cast("string").alias("keyword"),
-                             F.lit(None).cast("long").alias("cnt"))
-        (rows.unionByName(marks).withColumn("batch_id", F.lit(batch_id))
-             .write.mode("overwrite").partitionBy("batch_id").parquet(store))
+        fresh = fresh.checkpoint()          # fixed input for both writes of this batch
+        rows = article_keywords(fresh.select("page_id", F.col("link").alias("url"), "html"))
+        rows.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").partitionBy("batch_id").parquet(store)
+        (fresh.select("company", "link", "page_id").withColumn("batch_id", F.lit(batch_id))
+              .write.mode("overwrite").partitionBy("batch_id").parquet(seen))
 
     w = src.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if once else w.trigger(processingTime="30 seconds")
@@ -99,5 +103,4 @@ def q_incremental_articles(spark: SparkSession, pages: DataFrame, chunks: int =
     land_pages_in_chunks(pages, landing, chunks)
     q = start_intake(spark, landing, store, ck, once=True)
     q.awaitTermination()
-    return spark.read.parquet(store).filter(F.col("keyword").isNotNull()).select(
-        "company", "link", "page_id", "keyword", "cnt")
+    return spark.read.parquet(store).select("company", "link", "page_id", "keyword", "cnt")
