@@ -138,6 +138,43 @@ def svm_on_map(bars: DataFrame, kind: str, c: float = 20.0, gamma: float = 0.2,
     return signal_from_prediction(model.transform(blk))
 
 
+def logreg_bars(bars: DataFrame, lam: float, max_iter: int = 50) -> DataFrame:
+    """M5 per symbol: regularised logistic regression (sum loss + lambda/2
+    |theta|^2 per symbol) as one block-diagonal fit, regParam = lambda / N;
+    raw price features (Q28)."""
+    feats = feature_columns(False)
+    df = model_frame(bars)
+    blk = with_block_features(df, [F.col(f) for f in feats])[0].checkpoint()
+    n = blk.filter("is_train").count()
+    lr = LogisticRegression(labelCol="label01", fitIntercept=False, standardization=False,
+                            regParam=lam / max(n, 1), elasticNetParam=0.0, maxIter=max_iter)
+    return signal_from_prediction(lr.fit(blk.filter("is_train")).transform(blk))
+
+
+# The comparison's classifier configurations.
+COMPARISON = (("LR_lambda=0", "lr", 0.0), ("LR_lambda=1", "lr", 1.0), ("LR_lambda=0.1", "lr", 0.1),
+              ("LR_lambda=0.01", "lr", 0.01), ("SVM-Linear", "svm_linear", 1.0), ("SVM-Poly", "svm_poly", 1.0),
+              ("ClassificationTree", "tree", 10))
+
+
+def classifier_comparison(bars: DataFrame, configs=COMPARISON) -> DataFrame:
+    """Every configuration on every symbol; the per-symbol run metrics
+    of all configurations appended into one table (strategy = config name).
+    Each configuration is one fit for all symbols (trees: one per symbol)."""
+    runs = []
+    for name, kind, p in configs:
+        if kind == "lr":
+            pred = logreg_bars(bars, p)
+        elif kind == "svm_linear":
+            pred = svm_on_map(bars, "linear", c=p)
+        elif kind == "svm_poly":
+            pred = svm_on_map(bars, "poly", c=p, gamma=0.5)
+        else:
+            pred = tree_model(bars, max_depth=int(p))
+        runs.append(backtest_summary(pred, name))
+    return reduce(DataFrame.unionByName, runs)
+
+
 def logreg_embeddings(emb: DataFrame, lam: float = 0.1, max_iter: int = 50, test_mod: int = 5) -> DataFrame:
     """One-vs-rest regularised logistic regression on the embedding
     matrix (10 classes), ``regParam = lambda / n``; the split is by a hash of
@@ -312,6 +349,14 @@ def q_logreg_ovr(emb: DataFrame) -> DataFrame:
         r6(F.avg(hit) * 100).alias("accuracy"))
 
 
+def q_classifier_comparison(bars: DataFrame) -> DataFrame:
+    from .compare import classifier_summary
+    metrics = classifier_comparison(bars).checkpoint()
+    c = classifier_summary(metrics)
+    return c.select(F.col("strategy").alias("classifier"), r6("best_acc").alias("best_acc"), "best_symbol",
+                    r6("avg_acc").alias("avg_acc"))
+
+
 def q_tree(bars: DataFrame) -> DataFrame:
     return backtest_summary(tree_model(bars), "tree")
 

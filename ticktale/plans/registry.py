@@ -274,3 +274,11 @@ def _register_boost_cv():
 
 
 _register_boost_cv()
+
+
+def _register_comparison():
+    from ..operators import models as md
+    QUERIES["classifier_comparison"] = _on_brand_bars(md.q_classifier_comparison)
+
+
+_register_comparison()
