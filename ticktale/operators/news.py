@@ -30,6 +30,13 @@ def article_words(articles: DataFrame) -> DataFrame:
     return t.groupBy("symbol", "pub_date", "article_no", "word").agg(F.count("*").alias("cnt"))
 
 
+def day_words(articles: DataFrame) -> DataFrame:
+    """A3 straight from the texts: (symbol, pub_date, word, cnt) in one
+    aggregate (partial before the shuffle), without the per-article level."""
+    t = articles.select("symbol", "pub_date", F.explode(word_tokens("text")).alias("word")).filter(~is_stop("word"))
+    return t.groupBy("symbol", "pub_date", "word").agg(F.count("*").alias("cnt"))
+
+
 def symbol_word_totals(aw: DataFrame, overall: bool = False) -> DataFrame:
     """A1 per symbol, or A2 over all symbols (``overall``)."""
     keys = ["word"] if overall else ["symbol", "word"]
@@ -131,7 +138,7 @@ def news_inputs(articles: DataFrame, bars: DataFrame) -> tuple[DataFrame, DataFr
     study's article keyword store folded by date) and the trading bars, each
     materialised once (reliable checkpoint) so that the documents are
     tokenised and the events aggregated once per job, not once per branch."""
-    return day_word_counts(article_words(articles)).checkpoint(), bars.checkpoint()
+    return day_words(articles).checkpoint(), bars.checkpoint()
 
 
 def q_news_label_examples(articles: DataFrame, bars: DataFrame) -> DataFrame:
