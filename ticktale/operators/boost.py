@@ -26,6 +26,8 @@ from .bars import price_features
 
 FEATURES = ("close", "open", "high", "low", "open_close", "high_low")
 QUANT = 1e12
+POS_SLOTS = 1 << 22       # > rows per (symbol, feature): bars are calendar-bounded
+FEATURE_SLOTS = 64        # > number of features
 ROUNDS = 10
 CHECKPOINT_EVERY = 1
 
@@ -63,15 +65,18 @@ def best_stumps(train: DataFrame, weights: DataFrame) -> DataFrame:
          .withColumn("flag", F.signum(correct - half).cast("int")) \
          .withColumn("thresh", F.when(F.col("nx").isNull(), F.col("x") + F.lit(0.0001))
                      .otherwise(F.lit(0.5) * (F.col("x") + F.col("nx"))))
+    # arg-max keys as one BIGINT (quantised distance, then earlier position /
+    # feature first), so every max_by stays in the hash aggregate
     q = F.floor(F.col("nc") * F.lit(QUANT) + F.lit(0.5))
+    key = q * F.lit(POS_SLOTS) + (F.lit(POS_SLOTS - 1) - F.col("pos"))
     per_feature = d.groupBy("symbol", "fno").agg(
-        F.max_by(F.struct("thresh", "flag", "nc"), F.struct(q, -F.col("pos"))).alias("b"))
-    per_feature = per_feature.select("symbol", "fno", "b.thresh", F.col("b.flag").alias("polarity"),
-                                     (F.col("b.nc") + F.lit(0.5)).alias("perf"))
+        F.max_by("thresh", key).alias("thresh"), F.max_by("flag", key).alias("polarity"),
+        (F.max_by("nc", key) + F.lit(0.5)).alias("perf"))
     pq = F.floor(F.col("perf") * F.lit(QUANT) + F.lit(0.5))
-    best = per_feature.groupBy("symbol").agg(
-        F.max_by(F.struct("fno", "thresh", "polarity", "perf"), F.struct(pq, -F.col("fno"))).alias("s"))
-    return best.select("symbol", "s.fno", "s.thresh", "s.polarity", "s.perf")
+    fkey = pq * F.lit(FEATURE_SLOTS) + (F.lit(FEATURE_SLOTS - 1) - F.col("fno"))
+    return per_feature.groupBy("symbol").agg(
+        F.max_by("fno", fkey).alias("fno"), F.max_by("thresh", fkey).alias("thresh"),
+        F.max_by("polarity", fkey).alias("polarity"), F.max_by("perf", fkey).alias("perf"))
 
 
 def stump_predict(rows: DataFrame, stumps: DataFrame) -> DataFrame:

@@ -63,7 +63,9 @@ def sentence_scores(tokens: DataFrame, key: str = "doc_id") -> DataFrame:
     f = tokens.withColumn("freq", F.count(F.when(F.col("kept"), 1)).over(w))
     return f.groupBy(key, "sent_no").agg(
         F.coalesce(F.sum(F.when(F.col("kept"), F.col("freq"))), F.lit(0)).alias("score"),
-        F.first("sentence", ignorenulls=True).alias("sentence"))
+        # one non-null text per sentence; collect_list keeps this a hash
+        # aggregate (a string 'first' would force a sort-based aggregate)
+        F.element_at(F.collect_list("sentence"), 1).alias("sentence"))
 
 
 def summarize(scored: DataFrame, key: str = "doc_id", n: int | None = None) -> DataFrame:
