@@ -44,6 +44,17 @@ EPS = 1e-7
 SEED = 11
 
 
+ROWS_PER_PARTITION = 200_000
+
+
+def right_size(df: DataFrame, rows: int) -> DataFrame:
+    """Iterative fits launch one task per partition per iteration: keep about
+    ROWS_PER_PARTITION rows per partition (never more partitions than now)."""
+    import math
+    want = max(1, math.ceil(rows / ROWS_PER_PARTITION))
+    return df.coalesce(want) if want < df.rdd.getNumPartitions() else df
+
+
 # ---------------------------------------------------------------- frames
 def model_frame(bars: DataFrame, with_news: bool = False) -> DataFrame:
     """Labelled bars with price features (F1-F4, W5), label01 for MLlib."""
@@ -109,7 +120,7 @@ def fit_linear_svm(df: DataFrame, c: float, features: str = "features", max_iter
     n = train.count()
     svc = LinearSVC(featuresCol=features, labelCol="label01", fitIntercept=False, standardization=False,
                     regParam=1.0 / (c * max(n, 1)), maxIter=max_iter)
-    return svc.fit(train)
+    return svc.fit(right_size(train, n))
 
 
 def svm_on_map(bars: DataFrame, kind: str, c: float = 20.0, gamma: float = 0.2, with_news: bool = False,
@@ -148,7 +159,7 @@ def logreg_bars(bars: DataFrame, lam: float, max_iter: int = 50) -> DataFrame:
     n = blk.filter("is_train").count()
     lr = LogisticRegression(labelCol="label01", fitIntercept=False, standardization=False,
                             regParam=lam / max(n, 1), elasticNetParam=0.0, maxIter=max_iter)
-    return signal_from_prediction(lr.fit(blk.filter("is_train")).transform(blk))
+    return signal_from_prediction(lr.fit(right_size(blk.filter("is_train"), n)).transform(blk))
 
 
 # The comparison's classifier configurations.
@@ -211,7 +222,8 @@ def fit_each_symbol(df: DataFrame, make_estimator, features: str = "features", p
 
     def one(s):
         part = df.filter(F.col("symbol") == s)
-        return make_estimator().fit(part.filter("is_train")).transform(part)
+        # one symbol's bars are calendar-bounded: one task per iteration
+        return make_estimator().fit(part.filter("is_train").coalesce(1)).transform(part)
 
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         preds = list(pool.map(one, symbols))
@@ -321,7 +333,7 @@ def news_probability(terms: DataFrame, vectors: DataFrame, c: float = 1.0, num_f
         "label01", ((F.col("label") + 1) / 2).cast("double")).checkpoint()
     n = train.count()
     svm = LinearSVC(labelCol="label01", fitIntercept=False, standardization=False,
-                    regParam=1.0 / (c * max(n, 1)), maxIter=50).fit(train)
+                    regParam=1.0 / (c * max(n, 1)), maxIter=50).fit(right_size(train, n))
     scored = (svm.transform(train).withColumn("margin", vector_to_array("rawPrediction")[1])
                  .drop("rawPrediction", "prediction"))
     platt_in, enc = with_block_features(scored, [F.col("margin")], out="pfeat")
