@@ -1,7 +1,9 @@
 """Query registry: name -> builder(spark, sf_dir) -> DataFrame.
 
 Each builder reads the test tables (through the fixture views) and applies
-operators from ``ticktale.operators``; nothing runs until an action.
+operators from ``ticktale.operators``. The returned DataFrame is lazy;
+builders that cut lineage (reliable checkpoints) or fit models run those
+jobs when they are called.
 """
 
 from __future__ import annotations
