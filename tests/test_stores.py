@@ -32,11 +32,11 @@ def test_feature_matrix_roundtrip(spark, tmp_path):
 def test_legacy_article_store_and_seen_links(spark, tmp_path):
     doc = [{"2018-11-15": [{"chip": 3, "": 1}, {"nvidia": 0}], "2018-10-01": [{"gpu": 2}]},
            ["http://a/1", "http://a/2"]]
-    p = tmp_path / "AMD.json"
+    p = tmp_path / "ACME.json"
     p.write_text(json.dumps(doc, separators=(",", ":")))
     rows = st.read_article_store(spark, str(p), legacy=True).collect()
     got = {(r.company, r.pub_date.isoformat(), r.article_pos, r.word, r.cnt) for r in rows}
-    assert ("AMD", "2018-11-15", 0, "chip", 3) in got and ("AMD", "2018-11-15", 1, "nvidia", 0) in got
+    assert ("ACME", "2018-11-15", 0, "chip", 3) in got and ("ACME", "2018-11-15", 1, "nvidia", 0) in got
     assert len(got) == 4
     assert {r.url for r in st.read_seen_links(spark, str(p)).collect()} == {"http://a/1", "http://a/2"}
 
