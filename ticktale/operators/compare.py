@@ -120,6 +120,7 @@ def candidate_accuracies(ex: DataFrame, terms: DataFrame, keys: list[str]) -> Da
     vocabulary (five chi-square selections, most frequent quarter, all words),
     all from one seeded split; empty selections drop out (Q33). Columns:
     keys.., candidate, cand_no, n_words, n_test, test_acc, width."""
+    terms = terms.checkpoint()          # tokenised once, read by every candidate
     split = random_split(ex, keys, "example_id").checkpoint()
     train_ex = split.filter(~F.col("is_test"))
     train_terms = terms.join(train_ex.select(*keys, "example_id"), keys + ["example_id"], "left_semi")
