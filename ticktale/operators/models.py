@@ -274,6 +274,44 @@ def mlp(bars: DataFrame, hidden=(100,), solver: str = "l-bfgs", max_iter: int =
         labelCol="label01", layers=layers, solver=solver, maxIter=max_iter, stepSize=step, seed=SEED)))
 
 
+# Network configurations of the comparison (M7/M8); "n" is the
+# symbol's training rows, "d" the feature count; n-based widths are capped.
+NETWORKS = (("nnet1", ("25",)), ("nnet2", ("25", "10")), ("ff3", ("25", "10", "4")),
+            ("nnet3", ("n/2",)), ("nnet4", ("n/2", "n/5")), ("ff5", ("d", "d/2")))
+WIDTH_CAP = 64
+
+
+def _width(spec: str, n: int, d: int) -> int:
+    v = {"n/2": n // 2, "n/5": n // 5, "d": d, "d/2": d // 2}.get(spec)
+    return max(1, min(WIDTH_CAP, v)) if v is not None else int(spec)
+
+
+def network_comparison(bars: DataFrame, networks=NETWORKS, max_iter: int = 50, parallelism: int = 8) -> DataFrame:
+    """Every network configuration on every symbol (one fit per
+    pair, submitted concurrently), summarised per symbol by the back-test."""
+    feats = feature_columns(False)
+    df = normalize(model_frame(bars), feats)
+    df = VectorAssembler(inputCols=feats, outputCol="features").transform(df).checkpoint()
+    counts = {r.symbol: r.n for r in df.filter("is_train").groupBy("symbol").agg(F.count("*").alias("n")).collect()}
+    jobs = [(name, spec, s) for name, spec in networks for s in sorted(counts)]
+
+    def one(job):
+        name, spec, s = job
+        layers = [len(feats), *[_width(x, counts[s], len(feats)) for x in spec], 2]
+        part = df.filter(F.col("symbol") == s)
+        m = MultilayerPerceptronClassifier(labelCol="label01", layers=layers, maxIter=max_iter, seed=SEED)
+        return m.fit(part.filter("is_train").coalesce(1)).transform(part).select(
+            *df.columns, "prediction").withColumn("net", F.lit(name))
+
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        preds = list(pool.map(one, jobs))
+    runs = []
+    for name, _ in networks:
+        p = reduce(DataFrame.unionByName, [x for x, j in zip(preds, jobs) if j[0] == name])
+        runs.append(backtest_summary(signal_from_prediction(p.drop("net")), name))
+    return reduce(DataFrame.unionByName, runs)
+
+
 # ---------------------------------------------------------------- literal-weight scorers
 # Illustrative weights for the literal-weight scorers (no
 # trained weights exist in the study's tree).
@@ -369,6 +407,13 @@ def q_classifier_comparison(bars: DataFrame) -> DataFrame:
                     r6("avg_acc").alias("avg_acc"))
 
 
+def q_network_comparison(bars: DataFrame) -> DataFrame:
+    from .compare import classifier_summary
+    c = classifier_summary(network_comparison(bars).checkpoint())
+    return c.select(F.col("strategy").alias("network"), r6("best_acc").alias("best_acc"), "best_symbol",
+                    r6("avg_acc").alias("avg_acc"))
+
+
 def q_tree(bars: DataFrame) -> DataFrame:
     return backtest_summary(tree_model(bars), "tree")
 

@@ -284,3 +284,11 @@ def _register_comparison():
 
 
 _register_comparison()
+
+
+def _register_networks():
+    from ..operators import models as md
+    QUERIES["network_comparison"] = _on_brand_bars(md.q_network_comparison)
+
+
+_register_networks()
