@@ -168,3 +168,18 @@ def test_rank_within_equals_row_number(spark):
     want = {(r.key, r.id): (r.rn, r.n) for r in df.select(
         "key", "id", F.row_number().over(w).alias("rn"), F.count("*").over(Window.partitionBy("key")).alias("n")).collect()}
     assert got == want
+
+
+def test_knn_salted_cells_equal_brute_force(spark, monkeypatch):
+    """Hot cells split into chunks on both sides still give the exact k nearest."""
+    monkeypatch.setattr(knn, "GROUP_ROWS", 7)
+    rnd = random.Random(9)
+    pts = [(i, [rnd.gauss(0, 1) for _ in range(3)], rnd.randrange(2)) for i in range(90)]
+    df = spark.createDataFrame(pts, "id long, vec array<double>, label int")
+    train, test = df.filter("id >= 20"), df.filter("id < 20")
+    got = {(r.test_id, r.train_id) for r in knn.knn_neighbours(train, test, k=4, n_pivots=3).collect()}
+    want = set()
+    for q in pts[:20]:
+        d = sorted((sum((a - b) ** 2 for a, b in zip(q[1], t[1])), t[0]) for t in pts[20:])
+        want |= {(q[0], tid) for _, tid in d[:4]}
+    assert got == want

@@ -38,7 +38,8 @@ def sq_dist(a: Column, b: Column) -> Column:
 
 
 NB_SCHEMA = "test_id long, train_id long, sqd double, label int"
-QUERY_CHUNK = 2048
+BLOCK_ENTRIES = 4_000_000   # distance-block size inside one group (queries x training rows)
+GROUP_ROWS = 20_000         # rows per side of a (cell, train chunk, query chunk) group
 
 
 def _cell_top_k(k: int):
@@ -55,9 +56,10 @@ def _cell_top_k(k: int):
             return pd.DataFrame({"test_id": [], "train_id": [], "sqd": [], "label": []})
         xs = np.stack(t["vec"].to_numpy()).astype(float)
         ids, labels = t["train_id"].to_numpy(), t["label"].to_numpy()
+        step = max(1, BLOCK_ENTRIES // len(xs))
         out = []
-        for s0 in range(0, len(q), QUERY_CHUNK):
-            qq = q.iloc[s0:s0 + QUERY_CHUNK]
+        for s0 in range(0, len(q), step):
+            qq = q.iloc[s0:s0 + step]
             qs = np.stack(qq["qvec"].to_numpy()).astype(float)
             acc = np.zeros((len(qs), len(xs)))
             for j in range(qs.shape[1]):
@@ -102,9 +104,26 @@ def knn_neighbours(train: DataFrame, test: DataFrame, k: int = K, n_pivots: int
         w = Window.partitionBy("test_id").orderBy("sqd", "train_id")
         return pairs.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k).drop("_rn")
 
-    by_cell = trj.groupBy("cell")
-    own = te.select("test_id", "qvec", "cell").groupBy("cell").cogroup(by_cell).applyInPandas(
-        _cell_top_k(k), NB_SCHEMA)
+    sizes = {r.cell: r.n for r in tr.groupBy("cell").agg(F.count("*").alias("n")).collect()}  # <= n_pivots rows
+
+    def blocks(queries: DataFrame) -> DataFrame:
+        """Distances per (cell, train chunk, query chunk): a hot cell is split
+        into bounded chunks on both sides (hash salting), so no group holds
+        more than about GROUP_ROWS rows per side; per-chunk top-k lists are
+        merged by the k-nearest window afterwards."""
+        qsizes = {r.cell: r.n for r in queries.groupBy("cell").agg(F.count("*").alias("n")).collect()}
+        n_t = F.element_at(F.array(*[F.lit(max(1, -(-sizes.get(j + 1, 0) // GROUP_ROWS))) for j in range(len(piv))]),
+                           F.col("cell"))
+        n_q = F.element_at(F.array(*[F.lit(max(1, -(-qsizes.get(j + 1, 0) // GROUP_ROWS))) for j in range(len(piv))]),
+                           F.col("cell"))
+        q = (queries.withColumn("qchunk", (F.abs(F.xxhash64("test_id")) % n_q).cast("int"))
+                    .withColumn("tchunk", F.explode(F.sequence(F.lit(0), n_t - 1))))
+        t = (trj.withColumn("tchunk", (F.abs(F.xxhash64("train_id")) % n_t).cast("int"))
+                .withColumn("qchunk", F.explode(F.sequence(F.lit(0), n_q - 1))))
+        keys = ["cell", "tchunk", "qchunk"]
+        return q.groupBy(*keys).cogroup(t.groupBy(*keys)).applyInPandas(_cell_top_k(k), NB_SCHEMA)
+
+    own = blocks(te.select("test_id", "qvec", "cell"))
     first = top_k(own).checkpoint()   # k rows per test point
     bound = first.groupBy("test_id").agg(F.count("*").alias("_n"), F.max("sqd").alias("_r2"))
     r = F.when(F.col("_n") >= k, F.sqrt("_r2")).otherwise(F.lit(float("inf")))
@@ -117,7 +136,7 @@ def knn_neighbours(train: DataFrame, test: DataFrame, k: int = K, n_pivots: int
                   & (F.element_at("pd", j) - F.element_at(radii, j)
                      <= F.col("_r") * (1 + 1e-9) + 1e-9)))
               .select("test_id", "qvec", F.explode("_cells").alias("cell")))
-    second = cand.groupBy("cell").cogroup(by_cell).applyInPandas(_cell_top_k(k), NB_SCHEMA)
+    second = blocks(cand)
     return top_k(first.unionByName(second))
 
 
