@@ -40,7 +40,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint directory, setting a scratch one only when
-    the session has none (local tests). On a cluster the directory comes from
+    the session has none and the master is one local process (tests). On a cluster the directory comes from
     ``spark.checkpoint.dir`` and must be on shared storage."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -48,6 +48,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="ticktale-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir()
