@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticktale.llm import exact, language, minhash, mixing, quality, secrets, sentencepieces, sql, tokens
+from ticktale.llm import exact, language, minhash, mixing, quality, secrets, sentencepieces, sql, substrings, suffixes, tokens
 from ticktale.llm.common import documents
 
 
@@ -16,6 +16,12 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffixes.dedup_bytes(documents(spark, sf_dir, "doc_id", "text"))
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, "doc_id", "text", "lang")
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
@@ -58,11 +64,17 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(documents(spark, sf_dir, "doc_id", "text"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substrings.dedup_windows(documents(spark, sf_dir, "doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(documents(spark, sf_dir, "doc_id", "text"), tokenizer_path("byte_bpe_50k.json"))
 
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_language": op2_language,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_secrets": op4_secrets,
@@ -70,6 +82,7 @@ QUERIES = {
     "op6_minhash": op6_minhash,
     "op7_mixing": op7_mixing,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_token_counts": op10_token_counts,
 }
 

@@ -67,7 +67,40 @@ SELECT c.doc_id, COALESCE(n.n, 0)::BIGINT AS n_shingles, component_id, c.doc_id
 FROM c LEFT JOIN n ON n.doc_id = c.doc_id
 """
 
+WINDOWS = rf"""
+WITH w AS (SELECT doc_id, regexp_extract_all(COALESCE(text, ''), '{W}') AS ws FROM documents),
+g AS (SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS win FROM w, range(1, len(ws) - 11) r(i)),
+m AS (SELECT win, min(doc_id) AS low FROM g GROUP BY win),
+gone AS (SELECT DISTINCT doc_id, i + o AS p FROM g JOIN m USING (win), range(0, 13) r(o) WHERE doc_id > low),
+k AS (SELECT doc_id, list(p) AS ps FROM gone GROUP BY doc_id)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, COALESCE(len(ps), 0)::BIGINT AS n_removed,
+  sha256(array_to_string(CASE WHEN ps IS NULL THEN ws ELSE
+    list_filter(ws, lambda x, j: NOT list_contains(ps, j)) END, ' ')) AS kept_sha256
+FROM w LEFT JOIN k ON k.doc_id = w.doc_id
+"""
+
+#: Bytes are hexadecimal digit pairs here.
+BYTES = """
+WITH d AS (SELECT doc_id, hex(encode(COALESCE(text, ''))) AS h FROM documents),
+g AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS win FROM d, range(0, (length(h) // 2 - 49)) r(i)),
+m AS (SELECT win, min(doc_id) AS low FROM g GROUP BY win HAVING count(*) > 1),
+s AS (SELECT doc_id, i FROM g JOIN m USING (win) WHERE doc_id > low),
+o AS (SELECT doc_id, i, i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS gap FROM s),
+r AS (SELECT doc_id, i, sum(CASE WHEN gap <= 50 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM o),
+x AS (SELECT doc_id, run, min(i) AS a, max(i) + 50 AS b FROM r GROUP BY doc_id, run),
+y AS (SELECT *, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY run) AS kept_from FROM x),
+k AS (SELECT y.doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS tail,
+        string_agg(substr(h, 2 * kept_from + 1, 2 * (a - kept_from)), '' ORDER BY run) AS kept
+      FROM y JOIN d ON d.doc_id = y.doc_id GROUP BY y.doc_id)
+SELECT d.doc_id, (length(h) // 2)::BIGINT AS n_bytes, COALESCE(n_removed, 0)::BIGINT AS n_removed,
+  COALESCE(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(CASE WHEN k.doc_id IS NULL THEN h ELSE kept || substr(h, 2 * tail + 1) END)) AS kept_sha256
+FROM d LEFT JOIN k ON k.doc_id = d.doc_id
+"""
+
 ORACLES = {
+    "op1_suffix_dedup": BYTES,
+    "op9_substring_dedup": WINDOWS,
     "op5_quality": _quality(),
     "op6_minhash": NEAR,
     "op8_exact_dedup": EXACT,
