@@ -139,7 +139,7 @@ def _met(hot: int):
             x = slice(end, end + n)
             end += n
             out.append((b, 0, pack(np.packbits(often[x]).tobytes(), np.packbits(very[x]).tobytes(),
-                                   int(segments[x].sum()).to_bytes(8, "little"))))
+                                   int(segments[x].sum()).to_bytes(8, "big"))))
         return out
     return answers
 
@@ -315,8 +315,8 @@ def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def _segments(met: DataFrame) -> int:
     """How many segments the blocks will send: the number at the end of each
-    answer (eight little-endian bytes), added up."""
-    digits = F.hex(F.reverse(F.substring("data", -8, 8)))
+    answer (eight big-endian bytes), added up."""
+    digits = F.hex(F.substring("data", -8, 8))
     return met.agg(F.sum(F.conv(digits, 16, 10).cast("long")).alias("n")).collect()[0]["n"] or 0
 
 
