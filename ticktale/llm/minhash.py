@@ -61,8 +61,8 @@ def shingles(text: str, k: int = 5) -> np.ndarray:
     n = max(1, len(h) - k + 1)
     out = np.zeros(n, np.uint64)
     for i in range(min(k, len(h))):
-        out = mix64(out ^ h[i:i + n])      # order matters, so fold word by word
-    return np.unique(out)
+        out = out * np.uint64(0x9E3779B97F4A7C15) + h[i:i + n]
+    return np.unique(mix64(out))
 
 
 def _scramble(x: np.ndarray, a: int, b: int) -> np.ndarray:
@@ -85,11 +85,12 @@ def signature(s: np.ndarray, size: int) -> np.ndarray:
     return low
 
 
-def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    parts = sig.reshape(bands, rows).astype(np.uint64)
-    key = np.arange(bands, dtype=np.uint64)
+def band_keys(sigs: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """One key per band for each row of a matrix of signatures."""
+    parts = sigs.reshape(len(sigs), bands, rows).astype(np.uint64)
+    key = np.broadcast_to(np.arange(bands, dtype=np.uint64), parts.shape[:2])
     for j in range(rows):
-        key = mix64(key ^ parts[:, j], 3)
+        key = mix64(key ^ parts[:, :, j], 3)
     return key.view(np.int64)
 
 
@@ -97,20 +98,16 @@ def _sign(bands: int, rows: int, k: int):
     def run(batches):
         for b in batches:
             for ids, texts in slices(b):
-                n, node, keys, agree = [], [], [], []
-                for i, t in zip(ids.to_pylist(), texts):
-                    s = shingles(t, k)
-                    n.append(len(s))
-                    if i is None or not len(s):
-                        node.append(None), keys.append(None), agree.append(None)
-                        continue
-                    sig = signature(s, bands * rows)
-                    node.append(xxhash.xxh3_128_digest(s.tobytes()))
-                    keys.append(band_keys(sig, bands, rows))
-                    agree.append(sig.astype(np.uint8).tobytes())
+                sets = [shingles(t, k) for t in texts]
+                linked = [i is not None and len(s) > 0 for i, s in zip(ids.to_pylist(), sets)]
+                sigs = np.array([signature(s, bands * rows) for s, x in zip(sets, linked) if x],
+                                np.uint32).reshape(-1, bands * rows)
+                keys, agree = iter(band_keys(sigs, bands, rows)), iter(sigs.astype(np.uint8))
                 yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array(n, pa.int64()), pa.array(node, pa.binary()),
-                     pa.array(keys, pa.list_(pa.int64())), pa.array(agree, pa.binary())],
+                    [ids, pa.array([len(s) for s in sets], pa.int64()),
+                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) if x else None for s, x in zip(sets, linked)], pa.binary()),
+                     pa.array([next(keys) if x else None for x in linked], pa.list_(pa.int64())),
+                     pa.array([next(agree).tobytes() if x else None for x in linked], pa.binary())],
                     names=["id", "n", "node", "bands", "sig"])
     return run
 

@@ -99,7 +99,8 @@ def _pairs(tokens: Column) -> Column:
         F.sequence(F.lit(1), F.length(t) - 1), lambda i: F.substr(t, i, F.lit(2)))))
 
 
-def train(docs: DataFrame, text_col: str = "text", min_length: int = 12, alpha: float = 0.5) -> list[float]:
+def train(docs: DataFrame, text_col: str = "text", min_length: int = 12, alpha: float = 0.5,
+          backoff: float = 10.0) -> list[float]:
     """Flat table of log P(b | a, random) - log P(b | a, ordinary) over the
     alphabet, learned from all rows. The driver gets one count per class and
     character pair."""
@@ -124,12 +125,20 @@ def train(docs: DataFrame, text_col: str = "text", min_length: int = 12, alpha:
         table[r["random"]][at[r["pair"][0]] * n + at[r["pair"][1]]] += r["count"]
     if not any(table[True]) or not any(table[False]):
         return [0.0] * (n * n)
+    logs = {k: _log_probabilities(v, n, alpha, backoff) for k, v in table.items()}
+    return [x - y for x, y in zip(logs[True], logs[False])]
+
+
+def _log_probabilities(counts: list[float], n: int, alpha: float, backoff: float) -> list[float]:
+    """log P(b | a): pair counts with ``backoff`` pseudo-counts dealt by how
+    frequent b is after any character."""
+    after = [sum(counts[b::n]) + alpha for b in range(n)]
+    total = sum(after)
     out = []
     for a in range(n):
-        rows_of = {k: table[k][a * n:(a + 1) * n] for k in table}
-        total = {k: sum(v) + alpha * n for k, v in rows_of.items()}
-        out += [math.log((rows_of[True][b] + alpha) / total[True])
-                - math.log((rows_of[False][b] + alpha) / total[False]) for b in range(n)]
+        row = counts[a * n:(a + 1) * n]
+        size = sum(row) + backoff
+        out += [math.log((c + backoff * after[b] / total) / size) for b, c in enumerate(row)]
     return out
 
 
@@ -155,7 +164,7 @@ def markov_spans(text: Column, base: Column, ratios: list[float], min_length: in
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_length: int = 20,
-         threshold: float = 1.0, ratios: list[float] | None = None) -> DataFrame:
+         threshold: float = 0.5, ratios: list[float] | None = None) -> DataFrame:
     """``id_col`` and ``base`` and ``added``, arrays of (start, kind_no, end,
     kind). ``ratios``: a trained table; learned from ``docs`` when None."""
     if ratios is None:
