@@ -222,8 +222,14 @@ def test_quality_measures(spark):
     assert got[4]["n_repeat_words"] == 30000 and not got[4]["kept"]
 
 
+def letters(r, n):
+    """Words of letters with a third of function words, few windows twice."""
+    return " ".join(r.choice(("the", "of", "and", *("".join(r.choice("bcdfglmnprst") + r.choice("aeiou")
+                                                  for _ in range(r.randint(2, 4))) for _ in range(6)))) for _ in range(n))
+
+
 def test_keep_good_keeps_columns(spark):
-    text = " ".join(f"{a}ola of {b}ane and" for a in "bcdfghjklm" for b in "prst")
+    text = letters(random.Random(2), 150)
     docs = frame(spark, [(1, text), (2, "too short"), (3, None)])
     out = quality.keep_good(docs)
     assert out.columns == docs.columns and [r["doc_id"] for r in out.collect()] == [1]
@@ -327,10 +333,7 @@ def test_empty_tables(spark):
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline as P
     r = random.Random(12)
-
-    def word():
-        return r.choice(("the", "of", "and", "".join(r.choice("bcdfglmnprst") + r.choice("aeiou") for _ in range(r.randint(2, 4)))))
-    text = [" ".join(word() for _ in range(150)) + "." for _ in range(30)]
+    text = [letters(r, 150) for _ in range(30)]
     rows = [(i, t) for i, t in enumerate(text)] + [(100, text[3]), (101, text[4] + " end"), (102, None), (103, "short")]
     docs = frame(spark, [(i, t, "en", f"s{(i or 0) % 3}") for i, t in rows])
     for name, stage in P.STAGES[:3]:
