@@ -74,7 +74,7 @@ def price_features(bars: DataFrame) -> DataFrame:
 
 def feature_columns(with_news: bool) -> list[str]:
     """the two price features, plus the news probabilities."""
-    return ["open_close", "high_low"] + (["down", "up"] if with_news else [])
+    return ["open_close", "high_low"] + (["p_down", "p_up"] if with_news else [])
 
 
 def direction_label(bars: DataFrame, time_col: str = "bar_date") -> DataFrame:

@@ -22,12 +22,10 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import r6
 from .backtest import labelled_bars
-from .bars import price_features
+from .bars import feature_columns, price_features
 
 FEATURES = ("close", "open", "high", "low", "open_close", "high_low")
 QUANT = 1e12
-POS_SLOTS = 1 << 22       # > rows per (symbol, feature): bars are calendar-bounded
-FEATURE_SLOTS = 64        # > number of features
 ROUNDS = 10
 CHECKPOINT_EVERY = 1
 
@@ -65,18 +63,18 @@ def best_stumps(train: DataFrame, weights: DataFrame) -> DataFrame:
          .withColumn("flag", F.signum(correct - half).cast("int")) \
          .withColumn("thresh", F.when(F.col("nx").isNull(), F.col("x") + F.lit(0.0001))
                      .otherwise(F.lit(0.5) * (F.col("x") + F.col("nx"))))
-    # arg-max keys as one BIGINT (quantised distance, then earlier position /
-    # feature first), so every max_by stays in the hash aggregate
+    # largest quantised distance first, then the earliest position (feature)
+    # among equals: the maximum comes from the window that is there already
     q = F.floor(F.col("nc") * F.lit(QUANT) + F.lit(0.5))
-    key = q * F.lit(POS_SLOTS) + (F.lit(POS_SLOTS - 1) - F.col("pos"))
-    per_feature = d.groupBy("symbol", "fno").agg(
-        F.max_by("thresh", key).alias("thresh"), F.max_by("flag", key).alias("polarity"),
-        (F.max_by("nc", key) + F.lit(0.5)).alias("perf"))
+    best = d.withColumn("q", q).withColumn("qmax", F.max("q").over(whole)).filter("q = qmax")
+    per_feature = best.groupBy("symbol", "fno").agg(
+        F.min_by("thresh", "pos").alias("thresh"), F.min_by("flag", "pos").alias("polarity"),
+        (F.min_by("nc", "pos") + F.lit(0.5)).alias("perf"))
     pq = F.floor(F.col("perf") * F.lit(QUANT) + F.lit(0.5))
-    fkey = pq * F.lit(FEATURE_SLOTS) + (F.lit(FEATURE_SLOTS - 1) - F.col("fno"))
-    return per_feature.groupBy("symbol").agg(
-        F.max_by("fno", fkey).alias("fno"), F.max_by("thresh", fkey).alias("thresh"),
-        F.max_by("polarity", fkey).alias("polarity"), F.max_by("perf", fkey).alias("perf"))
+    top = per_feature.withColumn("q", pq).withColumn("qmax", F.max("q").over(Window.partitionBy("symbol")))
+    return top.filter("q = qmax").groupBy("symbol").agg(
+        F.min("fno").alias("fno"), F.min_by("thresh", "fno").alias("thresh"),
+        F.min_by("polarity", "fno").alias("polarity"), F.min_by("perf", "fno").alias("perf"))
 
 
 def stump_predict(rows: DataFrame, stumps: DataFrame) -> DataFrame:
@@ -146,6 +144,40 @@ def update_weights(weights: DataFrame, alpha_col: str = "alpha") -> DataFrame:
 
 
 # ---------------------------------------------------------------- query views
+def stump_news_gain(bars: DataFrame) -> DataFrame:
+    """The experiment on one deterministic model: the best stump per symbol on
+    the price features alone and on price plus news, same rows and split.
+    ``bars`` carry ``p_down`` and ``p_up``."""
+    lb = price_features(labelled_bars(bars))
+
+    def half(name: str, with_news: bool) -> DataFrame:
+        xs = F.array(*[F.col(f) for f in feature_columns(with_news)])
+        return lb.select(F.concat("symbol", F.lit("|" + name)).alias("symbol"), F.col("rn").cast("long").alias("rid"),
+                         F.col("label").alias("y"), "is_train", "is_test", xs.alias("xs"))
+    rows = half("price", False).unionByName(half("news", True))
+    train = rows.filter("is_train")
+    stumps = best_stumps(train, initial_weights(train))
+    hit = (F.col("pred") == F.col("y")).cast("double") * 100
+    acc = stump_predict(rows.filter("is_test"), stumps).groupBy("symbol").agg(
+        F.avg(hit).alias("acc"), F.count("*").alias("n_test"), F.first("fno").alias("fno"), F.first("perf").alias("perf"))
+    part = F.split("symbol", r"\|")
+    acc = acc.withColumn("half", part[1]).withColumn("symbol", part[0])
+
+    def of(name: str, c: str):
+        return F.max(F.when(F.col("half") == name, F.col(c)))
+    return acc.groupBy("symbol").agg(
+        F.max("n_test").alias("n_test"), of("price", "fno").alias("fno_base"), of("news", "fno").alias("fno_news"),
+        of("price", "perf").alias("perf_base"), of("news", "perf").alias("perf_news"),
+        of("price", "acc").alias("acc_base"), of("news", "acc").alias("acc_news"))
+
+
+def q_model_with_news(bars: DataFrame) -> DataFrame:
+    g = stump_news_gain(bars)
+    return g.select("symbol", "n_test", F.col("fno_base").cast("int").alias("fno_base"),
+                    F.col("fno_news").cast("int").alias("fno_news"),
+                    *[r6(c).alias(c) for c in ("perf_base", "perf_news", "acc_base", "acc_news")])
+
+
 def q_best_stump(bars: DataFrame) -> DataFrame:
     train = stump_rows(bars).filter("is_train")
     s = best_stumps(train, initial_weights(train))

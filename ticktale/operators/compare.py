@@ -44,6 +44,11 @@ def confusion(pred: DataFrame, classes: list[int], label: str = "label", p: str
     return pred.groupBy(label).pivot(p, classes).agg(F.count(F.lit(1))).fillna(0)
 
 
+def confusion_pairs(pred: DataFrame, label: str = "label", p: str = "pred") -> DataFrame:
+    """A6 in long form, for any classes: (label, pred, n)."""
+    return pred.groupBy(label, p).agg(F.count("*").alias("n"))
+
+
 def classifier_summary(metrics: DataFrame, acc: str = "test_acc") -> DataFrame:
     """A10: best accuracy, first symbol (by name) reaching it, average."""
     return metrics.groupBy("strategy").agg(
@@ -190,9 +195,7 @@ def _knn_pred(emb: DataFrame, k: int = kn.K) -> DataFrame:
 
 
 def q_confusion_matrix(emb: DataFrame) -> DataFrame:
-    classes = list(range(10))
-    c = confusion(_knn_pred(emb), classes)
-    return c.select("label", *[F.col(str(i)).cast("long").alias(f"p{i}") for i in classes])
+    return confusion_pairs(_knn_pred(emb))
 
 
 def q_classifier_summary(bars: DataFrame) -> DataFrame:

@@ -45,10 +45,11 @@ def _rank_document(toks, steps: int = STEPS):
     """Rank one document's word graph (numpy; the graph is bounded by the
     document's length). Returns (words, ranks, order) or None."""
     import numpy as np
+    import pandas as pd
 
     if toks is None or len(toks) == 0:
         return None
-    words, inv = np.unique(np.asarray(toks, dtype=object).astype(str), return_inverse=True)
+    inv, words = pd.factorize(np.asarray(toks, dtype=object), sort=True)     # objects: no array as wide as the longest token
     n = len(words)
     a, b = inv[:-1], inv[1:]
     keep = a != b

@@ -116,9 +116,9 @@ def knn_neighbours(train: DataFrame, test: DataFrame, k: int = K, n_pivots: int
                            F.col("cell"))
         n_q = F.element_at(F.array(*[F.lit(max(1, -(-qsizes.get(j + 1, 0) // GROUP_ROWS))) for j in range(len(piv))]),
                            F.col("cell"))
-        q = (queries.withColumn("qchunk", (F.abs(F.xxhash64("test_id")) % n_q).cast("int"))
+        q = (queries.withColumn("qchunk", F.pmod(F.xxhash64("test_id"), n_q).cast("int"))
                     .withColumn("tchunk", F.explode(F.sequence(F.lit(0), n_t - 1))))
-        t = (trj.withColumn("tchunk", (F.abs(F.xxhash64("train_id")) % n_t).cast("int"))
+        t = (trj.withColumn("tchunk", F.pmod(F.xxhash64("train_id"), n_t).cast("int"))
                 .withColumn("qchunk", F.explode(F.sequence(F.lit(0), n_q - 1))))
         keys = ["cell", "tchunk", "qchunk"]
         return q.groupBy(*keys).cogroup(t.groupBy(*keys)).applyInPandas(_cell_top_k(k), NB_SCHEMA)

@@ -28,8 +28,9 @@ from functools import reduce
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC, LogisticRegression,
                                        MultilayerPerceptronClassifier, OneVsRest, RandomForestClassifier)
-from pyspark.ml.feature import HashingTF, Interaction, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Interaction, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -342,32 +343,35 @@ def mlp_forward(bars: DataFrame, theta1=THETA1, theta2=THETA2) -> DataFrame:
 
 
 # ---------------------------------------------------------------- news model (M2)
-def _news_tokens(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Symbol-scoped word tokens repeated by count, plus a per-symbol bias token."""
-    tok = F.concat_ws("|", "symbol", "word")
-    g = df.groupBy(*keys).agg(F.flatten(F.collect_list(F.array_repeat(tok, F.col("cnt").cast("int")))).alias("t"))
-    return g.withColumn("tokens", F.array_union(F.col("t"), F.array(F.concat(F.col("symbol"), F.lit("|"))))) \
-            .drop("t")
-
-
-def hash_width(n_tokens: int, spread: int = 64, cap: int = 1 << 22) -> int:
-    """Power of two >= spread * n_tokens (few collisions), capped."""
-    w = 1 << 10
-    while w < spread * max(n_tokens, 1) and w < cap:
-        w <<= 1
-    return w
-
-
-def news_probability(terms: DataFrame, vectors: DataFrame, c: float = 1.0, num_features: int | None = None) -> DataFrame:
-    """M2: linear SVM on keyword counts per symbol (hashed, symbol-scoped
-    tokens: one coefficient block per symbol), then Platt scaling per symbol
+def _news_vectors(df: DataFrame, index: DataFrame, keys: list[str]) -> DataFrame:
+    """One sparse vector per key: the counts of its words at the exact index of
+    (symbol, word), and a one at the symbol's own place for the bias."""
+    size = index.count()
+    cells = df.join(index, ["symbol", "word"]).select(*keys, "ix", F.col("cnt").cast("double").alias("v"))
+    bias = index.filter("word = ''").select("symbol", "ix")
+    cells = cells.unionByName(df.select(*keys).distinct().join(bias, "symbol").select(*keys, "ix", F.lit(1.0).alias("v")))
+    pairs = F.sort_array(F.collect_list(F.struct("ix", "v")))       # one entry per distinct word of the key
+    to_vector = F.udf(lambda p: Vectors.sparse(size, [x["ix"] for x in p], [x["v"] for x in p]), VectorUDT())
+    return cells.groupBy(*keys).agg(to_vector(pairs).alias("features"))
+
+
+def word_index(terms: DataFrame) -> DataFrame:
+    """Exact positions (symbol, word, ix) of all selected words; the empty word
+    is the symbol's bias."""
+    from .ranking import rank_within
+    words = terms.select("symbol", "word").unionByName(terms.select("symbol", F.lit("").alias("word"))).distinct()
+    return rank_within(words, [], ["symbol", "word"]).select(
+        "symbol", "word", (F.col("_rank") - 1).cast("int").alias("ix")).checkpoint()
+
+
+def news_probability(terms: DataFrame, vectors: DataFrame, c: float = 1.0) -> DataFrame:
+    """M2: linear SVM on keyword counts per symbol (an exact index
+    of symbol and word: one coefficient block per symbol), then Platt scaling per symbol
     (logistic regression on the margin), applied to daily news vectors.
     Returns (symbol, bar_date, p_down, p_up); class order -1, +1 (Q18)."""
     ex_keys = ["symbol", "pub_date", "offset", "label"]
-    if num_features is None:   # vocabulary size is bounded by the selection (k per symbol)
-        num_features = hash_width(terms.select("symbol", "word").distinct().count())
-    htf = HashingTF(inputCol="tokens", outputCol="features", numFeatures=num_features, binary=False)
-    train = htf.transform(_news_tokens(terms, ex_keys)).withColumn(
+    index = word_index(terms)
+    train = _news_vectors(terms, index, ex_keys).withColumn(
         "label01", ((F.col("label") + 1) / 2).cast("double")).checkpoint()
     n = train.count()
     svm = LinearSVC(labelCol="label01", fitIntercept=False, standardization=False,
@@ -378,7 +382,7 @@ def news_probability(terms: DataFrame, vectors: DataFrame, c: float = 1.0, num_f
     platt = LogisticRegression(featuresCol="pfeat", labelCol="label01", fitIntercept=False,
                                standardization=False, regParam=1e-3, maxIter=50).fit(platt_in)
     vectors = vectors.join(terms.select("symbol").distinct(), "symbol", "left_semi")
-    days = htf.transform(_news_tokens(vectors, ["symbol", "bar_date"]))
+    days = _news_vectors(vectors, index, ["symbol", "bar_date"])
     dm = svm.transform(days).withColumn("margin", vector_to_array("rawPrediction")[1])
     dm, _ = with_block_features(dm, [F.col("margin")], out="pfeat", fitted=enc)
     prob = vector_to_array(F.col("probability"))

@@ -90,10 +90,14 @@ def top_quarter_vocab(totals: DataFrame, keys=("symbol",)) -> DataFrame:
 def daily_news_vector(dwc: DataFrame, bars: DataFrame, vocab: DataFrame, offsets=SCORE_OFFSETS) -> DataFrame:
     """J3 spreads each date's counts to days 0, +3, +5 that are trading
     days, J8 sums per (day, word), F14 keeps vocabulary words, F15 drops
-    zero cells."""
-    hits = _spread(dwc, offsets).join(bars.select("symbol", "bar_date"), ["symbol", "bar_date"], "left_semi")
+    zero cells. The vocabulary filter comes before the copies, and the dates
+    are mapped to trading days on the table of distinct dates."""
+    words = dwc.join(vocab.select("symbol", "word"), ["symbol", "word"], "left_semi")
+    days = dwc.select("symbol", "pub_date").distinct()
+    days = _spread(days, offsets).join(bars.select("symbol", "bar_date"), ["symbol", "bar_date"], "left_semi")
+    hits = words.join(days.select("symbol", "pub_date", "bar_date"), ["symbol", "pub_date"])
     v = hits.groupBy("symbol", "bar_date", "word").agg(F.sum("cnt").alias("cnt"))
-    return v.join(vocab.select("symbol", "word"), ["symbol", "word"], "left_semi").filter(F.col("cnt") != 0)
+    return v.select("symbol", "word", "bar_date", "cnt").filter(F.col("cnt") != 0)
 
 
 def log_ratio_weights(terms: DataFrame) -> DataFrame:
@@ -157,12 +161,22 @@ def q_daily_news_vector(articles: DataFrame, bars: DataFrame) -> DataFrame:
     return daily_news_vector(dwc, bars, vocab)
 
 
-def q_attach_news_scores(articles: DataFrame, bars: DataFrame) -> DataFrame:
+def bars_with_news(articles: DataFrame, bars: DataFrame) -> DataFrame:
+    """The bars with the day's news probabilities ``p_down`` and ``p_up``."""
     dwc, bars = news_inputs(articles, bars)
     terms = example_terms(label_examples(articles, bars), dwc)
     vec = daily_news_vector(dwc, bars, top_quarter_vocab(symbol_word_totals(dwc)))
-    out = attach_news(bars, news_scores(vec, log_ratio_weights(terms)))
-    return out.select("symbol", "bar_date", r6("close").alias("close"), r6("p_down").alias("p_down"),
+    return attach_news(bars, news_scores(vec, log_ratio_weights(terms)))
+
+
+def rounded_news(articles: DataFrame, bars: DataFrame) -> DataFrame:
+    """The same with probabilities rounded, as fitted models and exports use them."""
+    b = bars_with_news(articles, bars)
+    return b.withColumns({c: r6(c) for c in ("p_down", "p_up")}).checkpoint()
+
+
+def q_attach_news_scores(articles: DataFrame, bars: DataFrame) -> DataFrame:
+    return bars_with_news(articles, bars).select("symbol", "bar_date", r6("close").alias("close"), r6("p_down").alias("p_down"),
                       r6("p_up").alias("p_up"))
 
 

@@ -129,9 +129,9 @@ def read_log(spark, path: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- derived run metrics
-def brand_names(bars: DataFrame) -> DataFrame:
-    """J5 stand-in registry: symbol -> display name."""
-    return bars.select("symbol").distinct().withColumn("name", F.regexp_replace("symbol", "#", " "))
+def display_name():
+    """J5 stand-in registry: the display name of a symbol."""
+    return F.regexp_replace("symbol", "#", " ")
 
 
 def run_metrics(brand_bars: DataFrame, day_bars: DataFrame) -> DataFrame:
@@ -142,10 +142,11 @@ def run_metrics(brand_bars: DataFrame, day_bars: DataFrame) -> DataFrame:
 
     def half(b, section):
         s = summary(backtest(with_strategies(labelled_bars(b), rule_signals())))
-        return s.join(brand_names(b), "symbol").select(
-            F.lit(section).alias("section"), F.col("strategy").alias("config"), "symbol", "name", "train_acc",
+        return s.select(
+            F.lit(section).alias("section"), F.col("strategy").alias("config"), "symbol", display_name().alias("name"), "train_acc",
             "test_acc", F.coalesce("sharpe", F.lit(0.0)).alias("sharpe"))
-    return half(brand_bars, "Daily").unionByName(half(day_bars, "Daily w/ news"))
+    # a row per section, strategy and symbol; the report's branches all read it
+    return half(brand_bars, "Daily").unionByName(half(day_bars, "Daily w/ news")).checkpoint()
 
 
 SECTIONS = ["Daily", "Daily w/ news"]

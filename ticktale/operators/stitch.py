@@ -47,11 +47,7 @@ def stitch_all(series: list[tuple[str, DataFrame]], time_col: str = "ts") -> Dat
     return reduce(lambda acc, nxt: stitch(acc, nxt[1], nxt[0], time_col), rest, start)
 
 
-FINE_FROM = "2024-01-20 00:00:00"
-
-
 def q_stitch_intervals(six_hour: DataFrame, hourly: DataFrame) -> DataFrame:
-    fine = hourly.filter(F.col("ts") >= F.lit(FINE_FROM).cast("timestamp_ntz"))
-    s = stitch_all([("360min", six_hour), ("60min", fine)])
+    s = stitch_all([("360min", six_hour), ("60min", hourly)])
     return s.select("symbol", "ts", "source_interval", r6("open").alias("open"), r6("high").alias("high"),
                     r6("low").alias("low"), r6("close").alias("close"), F.col("volume").cast("long").alias("volume"))

@@ -181,7 +181,7 @@ FROM (
   JOIN cut USING (symbol)
   JOIN (SELECT symbol, min(ts) AS first_ts FROM fine GROUP BY symbol) m USING (symbol)
   WHERE f.ts > m.first_ts) u""", "event_bars_h", "event_bars_6h", extra={
-        "fine": "SELECT * FROM event_bars_h WHERE ts >= TIMESTAMP '2024-01-20 00:00:00'",
+        "fine": "SELECT * FROM event_bars_h",
         "cut": """SELECT f.symbol, min(f.ts) AS cut FROM fine f
                   WHERE EXISTS (SELECT 1 FROM event_bars_6h c WHERE c.symbol = f.symbol AND c.ts = f.ts)
                   GROUP BY f.symbol"""})
@@ -668,6 +668,28 @@ SELECT symbol, CAST(fno AS INTEGER) AS fno, {R6('thresh')} AS thresh, CAST(polar
        {R6('perf')} AS perf FROM s1""", "brand_bars", extra=_boost_ctes(1))
 
 
+@oracle("model_with_news")
+def _():
+    rows = """
+      SELECT symbol || '|price' AS symbol, rn AS rid, label AS y, is_train, is_test, [open - close, high - low] AS xs FROM lbn
+      UNION ALL
+      SELECT l.symbol || '|news', rn, label, is_train, is_test, [l.open - l.close, l.high - l.low, p_down, p_up]
+      FROM lbn l JOIN nb ON nb.symbol = l.symbol AND nb.bar_date = l.bar_date"""
+    nb = f"""SELECT b.*, {R6('coalesce(s.p_down, 0.0)')} AS p_down, {R6('coalesce(s.p_up, 0.0)')} AS p_up
+             FROM event_bars_d b LEFT JOIN scores s ON s.symbol = b.symbol AND s.bar_date = b.bar_date"""
+    acc = """
+      SELECT split_part(r.symbol, '|', 1) AS symbol, split_part(r.symbol, '|', 2) AS half, count(*) AS n, s.fno, s.perf,
+             avg(CASE WHEN (CASE WHEN r.xs[s.fno] < s.thresh THEN 1 ELSE -1 END) * s.polarity = r.y
+                 THEN 100.0::DOUBLE ELSE 0.0::DOUBLE END) AS acc
+      FROM rows r JOIN s1 s ON s.symbol = r.symbol WHERE r.is_test GROUP BY ALL"""
+    boost = {k: v for k, v in _boost_ctes(1, rows).items() if k != "lb"}
+    return with_views(f"""
+SELECT p.symbol, p.n AS n_test, CAST(p.fno AS INTEGER) AS fno_base, CAST(q.fno AS INTEGER) AS fno_news,
+  {R6('p.perf')} AS perf_base, {R6('q.perf')} AS perf_news, {R6('p.acc')} AS acc_base, {R6('q.acc')} AS acc_news
+FROM acc p JOIN acc q ON q.symbol = p.symbol AND p.half = 'price' AND q.half = 'news'""",
+                      "articles", "event_bars_d", extra={**NEWS_CTES, "nb": nb, "lbn": lb("nb"), **boost, "acc": acc})
+
+
 @oracle("adaboost_round")
 def _():
     return with_views(f"""
@@ -694,8 +716,7 @@ FROM embeddings"""
 
 @oracle("confusion_matrix")
 def _():
-    cols = ", ".join(f"count(*) FILTER (WHERE pred = {i}) AS p{i}" for i in range(10))
-    return with_views(f"SELECT label, {cols} FROM kp GROUP BY label", extra={**KNN_NB, "kp": """
+    return with_views("SELECT label, pred, count(*) AS n FROM kp GROUP BY label, pred", extra={**KNN_NB, "kp": """
       SELECT test_id, qlabel AS label, nlabel AS pred FROM (
         SELECT test_id, qlabel, nlabel,
                row_number() OVER (PARTITION BY test_id ORDER BY count(*) DESC, nlabel) AS r
@@ -952,6 +973,17 @@ def _():
                       "brand_bars", extra={"lb": lb()})
 
 
+@oracle("news_feature_matrix_export")
+def _():
+    cols = ", ".join(_f6(c) for c in ("l.close", "l.open", "l.high", "l.low", "l.open - l.close", "l.high - l.low"))
+    nb = f"""SELECT b.symbol, b.bar_date, {R6('coalesce(s.p_down, 0.0)')} AS p_down, {R6('coalesce(s.p_up, 0.0)')} AS p_up
+             FROM event_bars_d b LEFT JOIN scores s ON s.symbol = b.symbol AND s.bar_date = b.bar_date"""
+    return with_views(f"""
+SELECT l.symbol, l.bar_date, concat_ws(',', {cols}, CAST(label AS VARCHAR), {_f6('p_down')}, {_f6('p_up')}) AS line
+FROM lbn l JOIN nb ON nb.symbol = l.symbol AND nb.bar_date = l.bar_date""",
+                      "articles", "event_bars_d", extra={**NEWS_CTES, "nb": nb, "lbn": lb("event_bars_d")})
+
+
 @oracle("article_store_json")
 def _():
     return with_views("""

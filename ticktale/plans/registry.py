@@ -252,6 +252,18 @@ def _register_stores():
         st.legacy_documents(lists).write.mode("overwrite").text(path)
         return st.read_keyed_lists(spark, path, legacy=True)
 
+    def news_feature_matrix_export(spark, d):
+        """K4: daily export lines with the news probabilities."""
+        b = nw.rounded_news(fx.articles(spark, d), fx.event_bars_d(spark, d))
+        return st.feature_lines(br.price_features(labelled_bars(b)), "pm", with_news=True, keep=["bar_date"])
+
+    def model_with_news(spark, d):
+        """The same model on the same symbols without and with news."""
+        from ..operators import boost
+        return boost.q_model_with_news(nw.rounded_news(fx.articles(spark, d), fx.event_bars_d(spark, d)))
+
+    QUERIES["news_feature_matrix_export"] = news_feature_matrix_export
+    QUERIES["model_with_news"] = model_with_news
     QUERIES["feature_matrix_export"] = feature_matrix_export
     QUERIES["article_store_json"] = article_store_json
     QUERIES["model_vocab_json"] = model_vocab_json

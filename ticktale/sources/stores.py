@@ -101,13 +101,13 @@ def _f6(c: Column) -> Column:
 
 def feature_lines(bars: DataFrame, label_coding: str = "pm", with_news: bool = False,
                   keep: list[str] | None = None) -> DataFrame:
-    """K2/K3/K4: 'close,open,high,low,open-close,high-low,y[,down,up]' per
+    """K2/K3/K4: 'close,open,high,low,open-close,high-low,y[,p_down,p_up]' per
     bar; y coded 1/2 ('class', intraday export) or -1/+1 ('pm', daily)."""
     y = F.when(F.col("label") == -1, 1).otherwise(2) if label_coding == "class" else F.col("label")
     parts = [_f6(F.col(c)) for c in ("close", "open", "high", "low", "open_close", "high_low")]
     parts.append(y.cast("string"))
     if with_news:
-        parts += [_f6(F.col("down")), _f6(F.col("up"))]
+        parts += [_f6(F.col("p_down")), _f6(F.col("p_up"))]
     return bars.select("symbol", *(keep or []), F.concat_ws(",", *parts).alias("line"))
 
 
@@ -117,7 +117,7 @@ def write_feature_matrix(lines: DataFrame, path: str) -> None:
 
 FEATURE_SCHEMA_7 = ("close double, open double, high double, low double, open_close double, high_low double, "
                     "y int")
-FEATURE_SCHEMA_9 = FEATURE_SCHEMA_7 + ", down double, up double"
+FEATURE_SCHEMA_9 = FEATURE_SCHEMA_7 + ", p_down double, p_up double"
 
 
 def read_feature_matrix(spark: SparkSession, path: str, with_news: bool = False) -> DataFrame:

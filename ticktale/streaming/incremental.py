@@ -68,28 +68,34 @@ def land_pages_in_chunks(pages: DataFrame, path: str, chunks: int = 4) -> None:
         part.write.mode("append").parquet(path)
 
 
+SEEN_SCHEMA = "company string, link string, page_id long, batch_id long"
+
+
 def start_intake(spark: SparkSession, landing: str, store: str, checkpoint: str, once: bool = True,
-                 seen: str | None = None):
+                 seen: str | None = None, max_files: int | None = None):
     """Start the streaming intake from ``landing`` into ``store``; the links
     already processed are kept in a small ``seen`` table (company, link),
     written per batch id like the store, so a batch reads the seen list, not
     the keyword history."""
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     seen = seen or store.rstrip("/") + "-seen"
-    src = spark.readStream.schema(PAGE_SCHEMA).option("maxFilesPerTrigger", 1).parquet(landing)
+    spark.createDataFrame([], SEEN_SCHEMA).write.mode("append").partitionBy("batch_id").parquet(seen)
+    reader = spark.readStream.schema(PAGE_SCHEMA)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    src = reader.parquet(landing)
 
     def process(batch: DataFrame, batch_id: int) -> None:
         fresh = first_per_link(batch)
-        try:
-            done = spark.read.parquet(seen).filter(F.col("batch_id") < batch_id).select("company", "link")
-            fresh = fresh.join(done, ["company", "link"], "left_anti")
-        except Exception:  # noqa: BLE001  (first batch: no seen list yet)
-            pass
+        done = (spark.read.schema(SEEN_SCHEMA).parquet(seen).filter(F.col("batch_id") < batch_id)
+                .select("company", "link"))
+        fresh = fresh.join(done, ["company", "link"], "left_anti")
         fresh = fresh.checkpoint()          # fixed input for both writes of this batch
         rows = article_keywords(fresh.select("page_id", F.col("link").alias("url"), "html"))
-        rows.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").partitionBy("batch_id").parquet(store)
+        rows.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(store)
         (fresh.select("company", "link", "page_id").withColumn("batch_id", F.lit(batch_id))
-              .write.mode("overwrite").partitionBy("batch_id").parquet(seen))
+              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+              .partitionBy("batch_id").parquet(seen))
 
     w = src.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if once else w.trigger(processingTime="30 seconds")
@@ -101,6 +107,6 @@ def q_incremental_articles(spark: SparkSession, pages: DataFrame, chunks: int =
     store's keyword rows (equal to :func:`article_store`)."""
     landing, store, ck = _scratch(spark, "landing"), _scratch(spark, "store"), _scratch(spark, "stream-ck")
     land_pages_in_chunks(pages, landing, chunks)
-    q = start_intake(spark, landing, store, ck, once=True)
+    q = start_intake(spark, landing, store, ck, once=True, max_files=1)
     q.awaitTermination()
     return spark.read.parquet(store).select("company", "link", "page_id", "keyword", "cnt")
