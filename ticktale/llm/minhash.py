@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from ticktale.llm.common import mix64, stored, text_of
 from ticktale.llm.tokens import slices
 
-WORDS_KEPT = 500_000        # word hashes a worker remembers
+WORDS_KEPT = 300_000        # word hashes a worker remembers
 AGREE = 0.62                # least share of equal signature coordinates
 
 

@@ -34,7 +34,7 @@ from ticktale.llm.common import mix64, stored
 from ticktale.llm.minhash import _HASHES, WORDS_KEPT
 
 CELLS = 4                       # sketch cells per window and row
-SHARD_WINDOWS = 2_000_000       # windows a shard answers for
+SHARD_WINDOWS = 1_000_000       # windows a shard answers for
 BYTES_PER_WORD = 6              # only sizes the sketch
 
 
@@ -161,7 +161,7 @@ OUT = pa.schema([("id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.i
 
 
 def dedup_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 13,
-                  block_bytes: int = 8 << 20) -> DataFrame:
+                  block_bytes: int = 4 << 20) -> DataFrame:
     """``id_col, n_words, n_removed, spans`` (removed word ranges, end
     exclusive) and ``kept`` (words left, joined by a space) for every row."""
     blocks = pack_documents(docs, id_col, text_col, block_bytes)
