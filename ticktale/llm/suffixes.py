@@ -36,8 +36,8 @@ from ticktale.llm.common import mix64, stored
 
 GRAM = 20                       # bytes of an anchor; a multiple of 4 and at least 16
 HOT = 20_000                    # segments of one anchor bucket that one task sorts
-SHARD_ANCHORS = 500_000       # anchors a shard answers for
-SHARD_SEGMENTS = 12_000         # segments a shard sorts
+SHARD_ANCHORS = 1_000_000       # anchors a shard answers for
+SHARD_SEGMENTS = 24_000         # segments a shard sorts
 BITS = 6                        # cells per anchor: 2 ** BITS
 _M = np.uint64(0x9E3779B97F4A7C15)
 
@@ -271,7 +271,7 @@ OUT = pa.schema([("id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.i
 
 
 def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 50,
-                block_bytes: int = 3 << 19, hot: int = HOT) -> DataFrame:
+                block_bytes: int = 2 << 20, hot: int = HOT) -> DataFrame:
     """``id_col, n_bytes, n_removed, spans`` (removed byte ranges, end exclusive)
     and ``kept`` (the bytes left) for every row."""
     if not GRAM < width < GRAM + 64:
