@@ -164,6 +164,31 @@ def test_near_dedup_equals_brute_force(spark):
     assert key(got) == key(near_brute(rows))
 
 
+def edited(words, r, times, drop=0.0):
+    out = list(words)
+    for _ in range(times):
+        at = r.randrange(len(out))
+        out[at:at + 1] = [] if r.random() < drop else [f"e{r.randrange(10**6)}"]
+    return out
+
+
+def test_near_dedup_of_families_around_an_unlinked_original(spark):
+    """Copies of an original with few and many edits, families of copies of a far
+    variant, cut ends and dropped words: links that avoid the original count too."""
+    r = random.Random(5)
+    base = prose(9, 180).split()
+    texts = [edited(base, r, r.randint(1, 14)) for _ in range(50)]
+    for n in (4, 7, 10):
+        variant = edited(base, r, n)
+        texts += [edited(variant, r, r.randint(0, 4)) for _ in range(12)]
+    texts += [base[:n] for n in range(110, 181, 5)] + [base[n:] for n in range(5, 60, 7)]
+    texts += [edited(base, r, r.randint(2, 8), drop=0.8) for _ in range(15)]
+    r.shuffle(texts)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    got = [tuple(x) for x in minhash.near_dedup(frame(spark, rows)).collect()]
+    assert key(got) == key(near_brute(rows))
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(f"{i:03}", f"{i + 1:03}") for i in range(0, 40)] + [("100", f"{i}") for i in range(101, 130)]
     e = spark.createDataFrame([(a.encode(), b.encode()) for a, b in edges], "a binary, b binary")

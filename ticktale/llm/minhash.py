@@ -6,19 +6,33 @@ permutations of the 32-bit universe: ``sigma`` scrambles the shingles once,
 ``pi`` is shifted circularly by one position per coordinate. Bands of
 coordinates are the buckets.
 
-Candidates without all pairs of a bucket: one pivot per bucket is paired with
-the members first. Links found join nodes into components; a bucket whose
-members are all of one component is settled. In the buckets left, members
-outside the largest component become pivots, four times as many each round, and
-are paired with members of other components only. So every pair that shares a
-bucket is either checked or already joined, and a large group of near copies
-costs a few pairs per member. A pair is checked by size ratio, by the
-agreement of the signatures, and then exactly on the whole sets.
+Candidates without all pairs of a bucket: every member is compared with one
+pivot, the member that shares most buckets with others (in a group of edited
+copies, the text nearest to the original). The exact comparison gives the links
+to the pivot and, for each member, the shingles in which it differs from the
+pivot: those it lacks (l of them) and those it adds (d). For two members A and B
+of a pivot of p shingles, with s differences in common, 100 * intersection >=
+q * union is the same as
+
+    (100 + q) * s >= w(A) + w(B) - (100 - q) * p,  where w = 100 * l + q * d,
+
+and a member is linked with the pivot if w <= (100 - q) * p. Of two members not
+yet joined one is not linked with the pivot, so s is above 0, and often about
+half of the differences. With the differences of a member in order of how few
+others share them, a pair must meet in the first |differences| - s + 1 of both
+(a prefix filter). Only such meetings are candidates; edits made independently
+never meet there, so a large group of texts that resemble each other below the
+threshold costs one comparison a member.
+
+The meetings are buckets again. One whose members are all of one component is
+settled. In the others, members outside the largest component become pivots,
+four times as many each round, and are compared with members of other
+components until every one has been a pivot. So every pair that shares a band is
+either checked, excluded by the inequality or already joined.
 
 With 30 bands of 5 coordinates a link of exactly 0.85 is missed with a
-probability of 2e-8, and the signature check (62 % agreement) adds less than
-1e-9. On corpora with far more texts, more rows per band keep chance
-collisions rare (parameters).
+probability of 2e-8. On corpora with far more texts, more rows per band keep
+chance collisions rare (parameters).
 
 Defined results: null texts and texts without a word have an empty set, are
 their own component and stay; a text with fewer than ``k`` words is one
@@ -38,7 +52,6 @@ from ticktale.llm.common import mix64, stored, text_of
 from ticktale.llm.tokens import slices
 
 WORDS_KEPT = 300_000        # word hashes a worker remembers
-AGREE = 0.62                # least share of equal signature coordinates
 
 
 class _Hashes(dict):
@@ -102,13 +115,12 @@ def _sign(bands: int, rows: int, k: int):
                 linked = [i is not None and len(s) > 0 for i, s in zip(ids.to_pylist(), sets)]
                 sigs = np.array([signature(s, bands * rows) for s, x in zip(sets, linked) if x],
                                 np.uint32).reshape(-1, bands * rows)
-                keys, agree = iter(band_keys(sigs, bands, rows)), iter(sigs.astype(np.uint8))
+                keys = iter(band_keys(sigs, bands, rows))
                 yield pa.RecordBatch.from_arrays(
                     [ids, pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([xxhash.xxh3_128_digest(s.tobytes()) if x else None for s, x in zip(sets, linked)], pa.binary()),
-                     pa.array([next(keys) if x else None for x in linked], pa.list_(pa.int64())),
-                     pa.array([next(agree).tobytes() if x else None for x in linked], pa.binary())],
-                    names=["id", "n", "node", "bands", "sig"])
+                     pa.array([next(keys) if x else None for x in linked], pa.list_(pa.int64()))],
+                    names=["id", "n", "node", "bands"])
     return run
 
 
@@ -125,14 +137,23 @@ def _sets(k: int):
     return run
 
 
-def _agree(batches):
-    """Keep pairs whose signature bytes agree often enough."""
-    for b in batches:
-        if not b.num_rows:
-            continue
-        a, c = (np.frombuffer(b"".join(b.column(x).to_pylist()), np.uint8).reshape(b.num_rows, -1) for x in ("sa", "sb"))
-        ok = (a == c).mean(axis=1) >= AGREE
-        yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], names=["a", "b"]).filter(pa.array(ok))
+def _differ(percent: int):
+    """How each node's set differs from its pivot's: ``w`` and ``c`` of the
+    inequality above, and the differences."""
+    def run(batches):
+        for b in batches:
+            ws, cs, diffs = [], [], []
+            for x, y in zip(b.column("items"), b.column("pivot_items")):
+                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
+                lacks = np.setdiff1d(y, x, assume_unique=True)
+                adds = np.setdiff1d(x, y, assume_unique=True)
+                ws.append(100 * len(lacks) + percent * len(adds))
+                cs.append((100 - percent) * len(y))
+                diffs.append(np.concatenate([lacks, adds]).view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [b.column("node"), b.column("pivot"), pa.array(ws, pa.int64()), pa.array(cs, pa.int64()),
+                 pa.array(diffs, pa.list_(pa.int64()))], names=["node", "pivot", "w", "c", "diff"])
+    return run
 
 
 def _confirm(percent: int):
@@ -178,39 +199,71 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def _stars(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Every member of a bucket compared with the bucket's pivot."""
+    fame = members.groupBy("node").agg(F.sum("m").alias("fame"))
+    pivots = (members.join(fame, "node").groupBy("bucket")
+              .agg(F.max_by("node", F.struct("fame", "node")).alias("pivot")))
+    pairs = members.join(pivots, "bucket").where("node != pivot").select("node", "pivot").distinct()
+    of_pivot = sets.select(F.col("node").alias("pivot"), F.col("items").alias("pivot_items"))
+    rows = pairs.join(sets, "node").join(of_pivot, "pivot").select("node", "pivot", "items", "pivot_items")
+    rows = rows.mapInArrow(_differ(percent), "node binary, pivot binary, w long, c long, diff array<long>")
+    return stored(rows.withColumn("star", F.monotonically_increasing_id()), "minhash-stars")
+
+
+def _meetings(stars: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """(bucket, node, w, c, r, ...): a bucket is a difference in the prefix of
+    several members of one pivot; ``r`` counts the member's differences from there on."""
+    comp = stars.select("pivot", "node").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    unsettled = comp.groupBy("pivot").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high")
+    rows = stored(stars.join(unsettled.select("pivot"), "pivot")
+                  .select("star", "w", "c", F.explode("diff").alias("x"), "pivot")
+                  .select("star", "w", "c", F.xxhash64("pivot", "x").alias("bucket")), "minhash-differences")
+    several = rows.groupBy("bucket").agg(F.count("*").alias("f")).where("f > 1")
+    ranked = (rows.join(several, "bucket").groupBy("star")
+              .agg(F.first("w").alias("w"), F.first("c").alias("c"),
+                   F.sort_array(F.collect_list(F.struct("f", "bucket"))).alias("order"))
+              .select("star", "w", "c", F.size("order").alias("size"), F.posexplode("order").alias("i", "at"))
+              .select("star", "w", "c", F.col("at.bucket").alias("bucket"), (F.col("size") - F.col("i")).alias("r"),
+                      (F.col("w") > F.col("c")).alias("far")))
+    # against a far partner, and (for a far member) against one that is linked with the pivot
+    strict = (100 + percent) * F.col("r") > F.col("w")
+    wide = F.col("far") & (100 * F.col("r") >= F.col("w") - F.col("c"))
+    prefix = stored(ranked.withColumn("strict", strict).where(strict | wide), "minhash-prefixes")
+    met = prefix.groupBy("bucket").agg(F.count("*").alias("m"), F.max(~F.col("far")).alias("near")).where("m > 1")
+    return stored(prefix.join(met, "bucket").where("strict or near").join(stars.select("star", "node"), "star")
+                  .select("bucket", "node", "w", "c", "r", "strict", "far"), "minhash-meetings")
+
+
+def _ordered(x: str, y: str):
+    return F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
+
+
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 85,
                bands: int = 30, rows: int = 5) -> DataFrame:
     """``id_col, n_shingles, component_id, kept`` for every row."""
     base = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
     signed = stored(base.mapInArrow(
-        _sign(bands, rows, k), "id long, n long, node binary, bands array<long>, sig binary"), "minhash-signed")
+        _sign(bands, rows, k), "id long, n long, node binary, bands array<long>"), "minhash-signed")
     nodes = stored(signed.where("node is not null").groupBy("node").agg(
-        F.min("id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"),
-        F.first("sig").alias("sig")), "minhash-nodes")
-    placed = nodes.select("node", "n", F.explode("bands").alias("bucket"))
-    pivots = placed.groupBy("bucket").agg(F.count("*").alias("m"), F.min("node").alias("pivot")).where("m > 1")
-    members = stored(placed.join(pivots.select("bucket", "pivot"), "bucket"), "minhash-buckets")
-
-    of_pivot = nodes.select(F.col("node").alias("pivot"), F.col("n").alias("pn"))
-    pairs = members.where("node != pivot").select("node", "n", "pivot").distinct().join(of_pivot, "pivot")
+        F.min("id").alias("rep"), F.first("bands").alias("bands")), "minhash-nodes")
+    placed = nodes.select("node", F.explode("bands").alias("bucket"))
+    shared = placed.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1")
+    members = stored(placed.join(shared, "bucket"), "minhash-buckets")
+    need = members.select("node").distinct().join(nodes.select("node", "rep"), "node")
+    sets = stored(base.join(need, base["id"] == need["rep"]).select("node", "text")
+                  .mapInArrow(_sets(k), "node binary, items binary"), "minhash-sets")
+
+    stars = _stars(members, sets, percent)
+    tested = stars.select(*_ordered("node", "pivot"))
+    links = stars.where("w <= c").select(*_ordered("node", "pivot"))
     labels = nodes.where("false").select("node", F.col("node").alias("comp"))
-    sets = tested = links = None
-    n_pivots, most = 1, 1
+    if not links.isEmpty():
+        labels = components(links)
+    meetings = _meetings(stars, labels, percent)
+    n_pivots = 4
     while True:
-        pairs = (pairs.where(100 * F.least("n", "pn") >= percent * F.greatest("n", "pn"))
-                 .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct())
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "minhash-pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        sets, found = _check(base, nodes, pairs, sets, k, percent)
-        if not found.isEmpty():
-            links = found if links is None else links.unionByName(found)
-            labels = components(links)
-        if n_pivots > 1 and most <= n_pivots:
-            break           # every member outside a main component was a pivot in this round
-        now = members.join(labels, "node", "left").select(
-            "bucket", "node", "n", F.coalesce("comp", "node").alias("comp"))
+        now = meetings.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
         sizes = now.groupBy("bucket", "comp").agg(F.count("*").alias("m"))
         unsettled = (sizes.groupBy("bucket").agg(F.count("*").alias("comps"), F.sum("m").alias("all"),
                                                  F.max("m").alias("largest"),
@@ -220,12 +273,22 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         most = unsettled.agg(F.max(F.col("all") - F.col("largest")).alias("m")).collect()[0]["m"]
         if most is None:
             break           # each bucket holds one component
-        n_pivots *= 4
         now = stored(now.join(unsettled.select("bucket", "main"), "bucket"), "minhash-open")
         order = Window.partitionBy("bucket").orderBy("node")
-        chosen = (now.where("comp != main").withColumn("r", F.row_number().over(order)).where(F.col("r") <= n_pivots)
-                  .select("bucket", F.col("node").alias("pivot"), F.col("n").alias("pn"), F.col("comp").alias("pcomp")))
-        pairs = now.join(chosen, "bucket").where("comp != pcomp").select("node", "n", "pivot", "pn")
+        chosen = (now.where("comp != main").withColumn("at", F.row_number().over(order)).where(F.col("at") <= n_pivots)
+                  .select("bucket", *(F.col(x).alias(f"p_{x}") for x in ("node", "comp", "w", "r", "strict", "far"))))
+        pairs = (now.join(chosen, "bucket").where("comp != p_comp and ((strict and p_strict) or not (far and p_far))")
+                 .where((100 + percent) * F.least("r", "p_r") >= F.col("w") + F.col("p_w") - F.col("c"))
+                 .select(*_ordered("node", "p_node")).distinct())
+        pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "minhash-pairs")
+        tested = tested.unionByName(pairs)
+        found = _check(pairs, sets, percent)
+        if not found.isEmpty():
+            links = links.unionByName(found)
+            labels = components(links)
+        if most <= n_pivots:
+            break           # every member outside a main component was a pivot in this round
+        n_pivots *= 4
     comp = (nodes.select("node", "rep").join(labels, "node", "left")
             .withColumn("comp", F.coalesce("comp", "node")))
     least = comp.groupBy("comp").agg(F.min("rep").alias("component"))
@@ -236,23 +299,9 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       F.coalesce(F.col("id") == F.coalesce("component", "id"), F.lit(True)).alias("kept"))
 
 
-def _check(base: DataFrame, nodes: DataFrame, pairs: DataFrame, sets: DataFrame | None, k: int, percent: int):
-    """The sets read so far, and the pairs that are links."""
-    sa = nodes.select(F.col("node").alias("a"), F.col("sig").alias("sa"))
-    sb = nodes.select(F.col("node").alias("b"), F.col("sig").alias("sb"))
-    likely = stored(pairs.join(sa, "a").join(sb, "b").select("a", "b", "sa", "sb")
-                    .mapInArrow(_agree, "a binary, b binary"), "minhash-likely")
-    need = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
-    if sets is not None:
-        need = need.join(sets.select("node"), "node", "left_anti")
-    need = stored(need.join(nodes.select("node", "rep"), "node"), "minhash-need")
-    if not need.isEmpty():
-        texts = base.join(need, base["id"] == need["rep"]).select("node", "text")
-        got = stored(texts.mapInArrow(_sets(k), "node binary, items binary"), "minhash-sets")
-        sets = got if sets is None else sets.unionByName(got)
-    if sets is None:
-        return None, likely
+def _check(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs that are links, by their whole sets."""
     ia = sets.select(F.col("node").alias("a"), F.col("items").alias("ia"))
     ib = sets.select(F.col("node").alias("b"), F.col("items").alias("ib"))
-    found = likely.join(ib, "b").join(ia, "a").select("a", "b", "ia", "ib")
-    return sets, stored(found.mapInArrow(_confirm(percent), "a binary, b binary").distinct(), "minhash-links")
+    found = pairs.join(ib, "b").join(ia, "a").select("a", "b", "ia", "ib")
+    return stored(found.mapInArrow(_confirm(percent), "a binary, b binary").distinct(), "minhash-links")
