@@ -22,6 +22,7 @@ rows count one by one.
 from __future__ import annotations
 
 import math
+import uuid
 from collections import Counter
 
 import numpy as np
@@ -174,7 +175,7 @@ def predict(docs: DataFrame, model: DataFrame, carry: list[Column], text_col: st
     """``carry`` columns, ``lang_pred`` and ``score`` for every row. The model
     has at most languages x (max_words + order x max_grams) rows."""
     units = docs.sparkSession.sparkContext.broadcast([tuple(r) for r in model.collect()])
-    key = id(units)
+    key = uuid.uuid4().hex      # an object's id can come again in a long session
 
     def run(batches):
         scorer = _SCORERS.get(key)
@@ -196,7 +197,7 @@ def predict(docs: DataFrame, model: DataFrame, carry: list[Column], text_col: st
     return out.select("carried.*", "lang_pred", "score")
 
 
-_SCORERS: dict[int, Scorer] = {}
+_SCORERS: dict[str, Scorer] = {}
 
 
 def language_id(docs: DataFrame, learn: Column, carry: list[Column], text_col: str = "text",
