@@ -370,3 +370,16 @@ def test_pipeline_stages(spark, tmp_path):
     assert mixed.columns == list(P.COLUMNS) and mixed.count() > 0
     out = P.STAGES[4][1](spark, mixed, "").collect()
     assert len(out) == mixed.count() and all(r["round_trip"] and r["n_pieces"] == len(r["ids"]) for r in out)
+
+
+def test_pipeline_near_copies_from_080(spark):
+    import corpus_pipeline as P
+    words = letters(random.Random(21), 104).split()
+    text = " ".join(words)
+    near = " ".join("zz" if i in (30, 60) else w for i, w in enumerate(words))
+    far = " ".join("zz" if i in (20, 50, 80) else w for i, w in enumerate(letters(random.Random(22), 104).split()))
+    rows = [(1, text), (2, near), (3, letters(random.Random(22), 104)), (4, far)]
+    a, b, c, d = (sets_of(t) for _, t in rows)
+    assert 0.80 <= len(a & b) / len(a | b) < 0.85 and len(c & d) / len(c | d) < 0.80
+    got = P.near_copies(spark, frame(spark, rows), "").collect()
+    assert sorted(r["doc_id"] for r in got) == [1, 3, 4]
