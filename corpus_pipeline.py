@@ -6,7 +6,7 @@ and returns a DataFrame, which is written as Parquet and read again as the next
 stage's ``docs``. All but the last return the columns of ``documents``.
 
 Rows that repeat another row entirely (same id, same text) leave with the
-exact duplicates. Documents that the mix takes twice leave that stage twice.
+exact duplicates. Rows with a null id are documents like any other. Documents that the mix takes twice leave that stage twice.
 """
 
 from __future__ import annotations
@@ -15,14 +15,14 @@ import os
 import sys
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import ticktale  # noqa: E402
 from ticktale.llm import exact, minhash, mixing, quality, sentencepieces  # noqa: E402
-from ticktale.llm.common import stored  # noqa: E402
+from ticktale.llm.common import stored, text_of  # noqa: E402
 from ticktale.llm.queries import tokenizer_path  # noqa: E402
 
 cloudpickle.register_pickle_by_value(ticktale)
@@ -31,9 +31,10 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 NEAR_PERCENT = 80           # op6_minhash alone has 85 in its contract
 
 
-def _with(docs: DataFrame, decisions: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id is among the decisions' (doc_id, ...)."""
-    return docs.join(decisions.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
+def _numbered(docs: DataFrame, label: str) -> DataFrame:
+    """``docs`` written with a row key ``_row``: ids can be null or repeat, so
+    decisions come back by row."""
+    return stored(docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id()), label)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,23 +42,37 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each set of equal texts, the one with the largest id."""
-    kept = exact.exact_dedup(docs.select("doc_id", "text")).where("kept").select("doc_id").distinct()
-    return _with(docs, kept).dropDuplicates(["doc_id", "text"]).select(*COLUMNS)
+    """One row of each set of equal texts (null counts as empty), one with the largest id."""
+    kept = (exact.exact_dedup(docs.select("doc_id", "text")).where("kept")
+            .select(_text_id("doc_id"), F.col("text_sha256").alias("_digest")).distinct())
+    rows = docs.select(*COLUMNS, _text_id("doc_id"), F.sha2(text_of("text").cast("binary"), 256).alias("_digest"))
+    return rows.dropDuplicates(["_id", "_digest"]).join(kept, ["_id", "_digest"]).select(*COLUMNS)
+
+
+def _text_id(column: str) -> Column:
+    """The id as a string that is never null, so that a join can use plain equality."""
+    return F.coalesce(F.col(column).cast("string"), F.lit("")).alias("_id")
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the smallest id.
-    Links are similarities of ``NEAR_PERCENT`` or more; 30 bands of 5 miss one of
-    exactly 0.80 with a probability of 7e-6."""
-    kept = minhash.near_dedup(docs.select("doc_id", "text"), percent=NEAR_PERCENT).where("kept").select("doc_id").distinct()
-    return _with(docs, kept).select(*COLUMNS)
+    """One document of each group of near-duplicates, the one with the smallest
+    id (a null id is larger than any other). Links are similarities of
+    ``NEAR_PERCENT`` or more; 30 bands of 5 miss one of exactly 0.80 with a
+    probability of 7e-6."""
+    rows = _numbered(docs, "near-rows")
+    groups = minhash.near_dedup(rows.select("_row", "text"), id_col="_row", percent=NEAR_PERCENT)
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "_digest", "_row")
+    ids = rows.select("_row", "doc_id", F.xxhash64("text").alias("_digest"))
+    kept = (ids.join(groups.select("_row", "component_id"), "_row").groupBy("component_id")
+            .agg(F.min(order).alias("first")).select(F.col("first._row").alias("_row")))
+    return rows.join(kept, "_row").select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it (not at all, once or twice)."""
-    taken = mixing.mix(docs.select("doc_id", "text", "source")).where("copies > 0").select("doc_id", "copies")
-    return (_with(docs, taken).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    rows = _numbered(docs, "mix-input")
+    taken = mixing.mix(rows, carry=("_row",)).where("copies > 0").select("_row", "copies")
+    return (rows.join(taken, "_row").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
             .select(*COLUMNS))
 
 

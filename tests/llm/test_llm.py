@@ -383,3 +383,27 @@ def test_pipeline_near_copies_from_080(spark):
     assert 0.80 <= len(a & b) / len(a | b) < 0.85 and len(c & d) / len(c | d) < 0.80
     got = P.near_copies(spark, frame(spark, rows), "").collect()
     assert sorted(r["doc_id"] for r in got) == [1, 3, 4]
+
+
+def test_pipeline_null_and_repeated_ids(spark):
+    import corpus_pipeline as P
+    r = random.Random(23)
+    a, b, c, d, e, f, g = (letters(r, 120) for _ in range(7))
+    rows = [(None, a), (5, a), (None, b), (7, c), (9, c), (7, d), (7, d), (None, e), (None, e), (None, b + " end"),
+            (3, f), (7, f + " end"), (11, None), (11, ""), (None, g), (7, g + " end")]
+    full = [(i, t, "en", "s") for i, t in rows]
+    exact_rows = P.exact_copies(spark, frame(spark, full), "").checkpoint()
+    want = [(5, a), (None, b), (9, c), (7, d), (None, e), (None, b + " end"), (3, f), (7, f + " end"), (11, ""),
+            (None, g), (7, g + " end")]
+    got = [(x["doc_id"], x["text"] or "") for x in exact_rows.collect()]
+    assert key(got) == key(want)
+    near = P.near_copies(spark, exact_rows, "").checkpoint()
+    got = [(x["doc_id"], x["text"] or "") for x in near.collect()]
+    assert len(got) == 8 and {(5, a), (9, c), (7, d), (None, e), (3, f), (11, ""), (7, g + " end")} <= set(got)
+    assert len({(None, b), (None, b + " end")} & set(got)) == 1
+    many = [(i, letters(r, 60), "en", "s") for i in (None, None, None, None, None, None, 4, 4, 4, 4)]
+    docs = frame(spark, many).checkpoint()
+    taken = Counter((x["doc_id"], x["text"]) for x in P.mix_sources(spark, docs, "").collect())
+    plan = mixing.mix(docs)
+    assert set(taken) <= {(i, t) for i, t, *_ in many} and max(taken.values()) <= 2
+    assert sum(taken.values()) == plan.agg(F.sum("copies")).collect()[0][0] == 15

@@ -62,14 +62,16 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = SOURCE_WEIGHTS, share
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         seed: int = 17, rows_per_range: int = 512, weights: tuple[int, ...] = SOURCE_WEIGHTS,
-        share: float = TOTAL_SHARE, max_epochs: int = MAX_EPOCHS) -> DataFrame:
+        share: float = TOTAL_SHARE, max_epochs: int = MAX_EPOCHS, carry: tuple[str, ...] = ()) -> DataFrame:
     """Per document: ``id_col, source, size, weight, source_size, target,
-    copies`` (whole times the mix takes it) and ``taken`` (words)."""
+    copies`` (whole times the mix takes it) and ``taken`` (words); then the
+    ``carry`` columns, which also order rows of equal key, id and size."""
+    carried = [f"_carry{i}" for i in range(len(carry))]
     size = F.regexp_count(text_of("_t"), F.lit(WORD)).cast("long")
     sized = docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("source"),
-                        F.col(text_col).alias("_t"))
+                        F.col(text_col).alias("_t"), *(F.col(c).alias(x) for c, x in zip(carry, carried)))
     sized = sized.select("_id", "source", size.alias("size"),
-                         quality_weight(text_of("_t"), size.cast("double")).alias("weight"))
+                         quality_weight(text_of("_t"), size.cast("double")).alias("weight"), *carried)
     u = (F.pmod(F.xxhash64(F.col("_id"), F.lit(seed)), F.lit(1 << 52)) + F.lit(0.5)) / F.lit(float(1 << 52))
     rows = stored(sized.withColumn("k", -F.log(u) / F.col("weight")), "mix-rows")
     plan = stored(targets(rows.groupBy("source").agg(F.sum("size").alias("source_size"),
@@ -87,10 +89,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     sums = r.groupBy("ord", "rng").agg(F.sum("size").alias("range_size"))
     over = Window.partitionBy("ord").orderBy("rng").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("ord", "rng", F.coalesce(F.sum("range_size").over(over), F.lit(0)).alias("range_before"))
-    inside = Window.partitionBy("ord", "rng").orderBy("k", "_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("ord", "rng").orderBy("k", "_id", "size", *carried).rowsBetween(Window.unboundedPreceding, -1)
     r = r.join(sums, ["ord", "rng"])
     before = F.col("range_before") + F.coalesce(F.sum("size").over(inside), F.lit(0))
     extra = (before + F.col("size") / F.lit(2.0) <= F.col("left_over")) & (F.col("epochs") < max_epochs)
     r = r.withColumn("copies", F.col("epochs") + F.when(extra, 1).otherwise(0).cast("long"))
     return r.select(F.col("_id").alias(id_col), "source", "size", "weight", "source_size", "target", "copies",
-                    (F.col("copies") * F.col("size")).alias("taken"))
+                    (F.col("copies") * F.col("size")).alias("taken"), *(F.col(x).alias(c) for c, x in zip(carry, carried)))
