@@ -407,3 +407,54 @@ def test_pipeline_null_and_repeated_ids(spark):
     plan = mixing.mix(docs)
     assert set(taken) <= {(i, t) for i, t, *_ in many} and max(taken.values()) <= 2
     assert sum(taken.values()) == plan.agg(F.sum("copies")).collect()[0][0] == 15
+
+
+def test_language_keeps_rare_words(spark):
+    r = random.Random(24)
+    words = ["".join(r.choice("abcdefghijklmnop") for _ in range(7)) for _ in range(2 * 21_000)]
+    rare = {"aa": words[:500], "bb": words[500:1000]}
+    common = {"aa": words[1000:21_500], "bb": words[21_500:]}
+    rows = []
+    for x in rare:
+        rows += [(None, " ".join(common[x]), x)] * 2 + [(None, " ".join(rare[x]), x)]
+        rows += [(len(rows) + i, " ".join(rare[x][3 * i:3 * i + 3]), x) for i in range(60)]
+    docs = frame(spark, rows)
+    got = {x["doc_id"]: x["lang_pred"] for x in language.language_id(
+        docs, F.col("doc_id").isNull(), [F.col("doc_id")]).collect()}
+    assert all(got[i] == x for i, _, x in rows if i is not None)
+
+
+def test_language_blocks_equal_brute_force(spark, monkeypatch):
+    r = random.Random(25)
+    rows = [(i, " ".join("".join(r.choice("abcdeé" if i % 2 else "cdefgß") for _ in range(r.randint(1, 5))) for _ in range(30)),
+             ("de", "en", None)[i % 3]) for i in range(60)] + [(60, None, "en")]
+    learned = [x for x in rows if x[0] % 4 != 2 and x[2]]
+    cnt = defaultdict(Counter)
+    for _, t, x in learned:
+        for w in language.words_of(t or ""):
+            cnt[x, 0][w] += 1
+            for n in range(1, 6):
+                cnt[x, n].update(language.grams(w, n))
+    total = {k: sum(c.values()) for k, c in cnt.items()}
+    floor = [-math.log(2.0 * max(total["de", n], total["en", n]) + 1) for n in range(6)]
+
+    def row(u, n):
+        if any(cnt[x, n][u] for x in ("de", "en")):
+            return [math.log(cnt[x, n][u] / total[x, n]) if cnt[x, n][u] else floor[n] for x in ("de", "en")]
+        if n == 0:
+            m = min(5, len(u) + 2) if len(u) > 1 else 1
+            return np.mean([row(g, m) for g in language.grams(u, m)], axis=0)
+        return [floor[1]] * 2 if n == 1 else np.mean([row(u[:-1], n - 1), row(u[1:], n - 1)], axis=0)
+
+    monkeypatch.setattr(language, "BLOCK", 200)
+    monkeypatch.setattr(language, "WORDS", 7)
+    out = language.language_id(frame(spark, rows), F.col("doc_id") % 4 != 2, [F.col("doc_id")]).collect()
+    assert len(out) == len(rows)
+    for x in out:
+        ws = language.words_of(rows[x["doc_id"]][1] or "")
+        if not ws:
+            assert (x["lang_pred"], x["score"]) == ("und", 0.0)
+            continue
+        sums = np.sum([row(w, 0) for w in ws], axis=0)
+        assert x["lang_pred"] == ("de", "en")[int(np.argmax(sums))]
+        assert abs(x["score"] - 1 / np.exp((sums - sums.max()) / len(ws)).sum()) < 1e-9

@@ -2,10 +2,8 @@
 
 Training counts lower-cased letter words per language over all labelled rows
 (folded per Arrow batch, then added up), and character n-grams of orders 1 to
-``order`` over the word counts. The model keeps the ``max_words`` most frequent
-words and the ``max_grams`` most frequent n-grams of each order per language:
-documented bounds, so that the model sent to the tasks does not grow with the
-corpus.
+``order`` over the word counts. The model is the whole table of counts; nothing
+is cut, and no task holds more of it than its block of documents asks for.
 
 Scoring: a word known to any language adds its log frequency per language
 (floored for languages that lack it). An unseen word falls back to n-grams of
@@ -13,6 +11,11 @@ the longest order, each unknown n-gram to its two shorter ones, down to single
 characters. The answer is the language of the highest sum; the score is its
 share in the softmax of the mean log-likelihoods per word, between 0 and 1.
 
+Documents are cut into blocks of about ``BLOCK`` characters. Every word of the
+corpus is scored once: known words by a join with the model, unseen words in
+blocks of ``WORDS`` that ask the model for their n-grams. A block then asks for
+the scores of its distinct words, so a common word counts once per block.
+
 Defined results: ``und`` with score 0 for a null text, a text without a letter
 and when nothing could be learned; ties go to the first language by code
 point; rows with a null id are not learned from and not held out; repeated
@@ -28,7 +31,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticktale.llm.common import stored, text_of
@@ -37,6 +40,8 @@ from ticktale.llm.tokens import slices
 LONG_WORD = 40              # longer letter runs count as words of this length
 LETTERS = regex.compile(rf"\p{{L}}{{1,{LONG_WORD}}}")
 FOLD = 200_000              # entries a task counts before it passes them on
+BLOCK = 8 << 20             # characters of the documents that share a word list
+WORDS = 10_000              # unseen words that share a list of n-grams
 
 
 def words_of(text: str) -> list[str]:
@@ -91,115 +96,168 @@ def _count_grams(order: int):
 UNITS = "lang string, unit string, n int, cnt long"
 
 
-def train(docs: DataFrame, learn: Column, text_col: str = "text", lang_col: str = "lang", order: int = 5,
-          max_words: int = 20_000, max_grams: int = 5_000) -> DataFrame:
-    """The model table (lang, unit, n, cnt, total): words are n = 0. ``learn``
-    says which rows may be learned from."""
+def train(docs: DataFrame, learn: Column, text_col: str = "text", lang_col: str = "lang", order: int = 5) -> DataFrame:
+    """The model table (lang, unit, n, cnt): words are n = 0. ``learn`` says
+    which rows may be learned from."""
     rows = docs.where(learn & F.col(lang_col).isNotNull()).select(
         F.col(lang_col).alias("lang"), text_of(text_col).alias("text"))
     words = stored(rows.mapInArrow(_count_words, UNITS).groupBy("lang", "unit", "n")
                    .agg(F.sum("cnt").alias("cnt")), "lang-words")
     gram = words.select("lang", "unit", "cnt").mapInArrow(_count_grams(order), UNITS)
-    units = words.unionByName(gram.groupBy("lang", "unit", "n").agg(F.sum("cnt").alias("cnt")))
-    units = stored(units, "lang-units")
-    totals = units.groupBy("lang", "n").agg(F.sum("cnt").alias("total"))
-    best = Window.partitionBy("lang", "n").orderBy(F.col("cnt").desc(), "unit")
-    top = (units.withColumn("r", F.row_number().over(best))
-           .where(F.col("r") <= F.when(F.col("n") == 0, max_words).otherwise(max_grams)).drop("r"))
-    return top.join(totals, ["lang", "n"]).select("lang", "unit", "n", "cnt", "total")
-
-
-class Scorer:
-    def __init__(self, units: list[tuple[str, str, int, int, int]]):
-        self.langs = sorted({u[0] for u in units})
-        at = {x: i for i, x in enumerate(self.langs)}
-        self.order = max((u[2] for u in units), default=0)
-        self.table: list[dict[str, list[float]]] = [{} for _ in range(self.order + 1)]
-        self.floor = [0.0] * (self.order + 1)
-        for n in range(self.order + 1):
-            most = max((u[4] for u in units if u[2] == n), default=1)
-            self.floor[n] = -math.log(most * 2.0 + 1.0)
-        for lang, unit, n, cnt, total in units:
-            row = self.table[n].get(unit)
-            if row is None:
-                row = self.table[n][unit] = [self.floor[n]] * len(self.langs)
-            row[at[lang]] = math.log(cnt / total)
-        self.rows = _Rows(self)
+    return stored(words.unionByName(gram.groupBy("lang", "unit", "n").agg(F.sum("cnt").alias("cnt"))), "lang-units")
 
-    def gram(self, g: str) -> list[float]:
-        n = len(g)
-        row = self.table[n].get(g)
-        if row is not None:
-            return row
-        if n == 1:
-            return [self.floor[1]] * len(self.langs)
-        a, b = self.gram(g[:-1]), self.gram(g[1:])
-        return [(x + y) / 2 for x, y in zip(a, b)]
 
-    def word(self, w: str) -> list[float]:
-        """Log frequencies of a known word, else the mean of its n-grams."""
-        row = self.table[0].get(w)
+class _Ids(dict):
+    """Numbers words in the order in which they first come."""
+
+    def __missing__(self, w: str) -> int:
+        i = self[w] = len(self)
+        return i
+
+
+def _block_id() -> int:
+    return uuid.uuid4().int >> 65
+
+
+def _encode(batches):
+    """Documents as word numbers of their block; ``units`` are the words that
+    are new to the block, numbered from ``base``."""
+    ids, block, size = _Ids(), _block_id(), 0
+    for b in batches:
+        for carried, texts in slices(b):
+            base, units, nos, freqs = [], [], [], []
+            blocks = []
+            for t in texts:
+                if size >= BLOCK:
+                    ids, block, size = _Ids(), _block_id(), 0
+                c = Counter(words_of(t))
+                base.append(len(ids))
+                no = [ids[w] for w in c]
+                units.append([w for w, i in zip(c, no) if i >= base[-1]])
+                nos.append(no)
+                freqs.append(list(c.values()))
+                blocks.append(block)
+                size += len(t)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(blocks, pa.int64()), carried, pa.array(base, pa.int32()), pa.array(units, pa.list_(pa.string())),
+                 pa.array(nos, pa.list_(pa.int32())), pa.array(freqs, pa.list_(pa.int32()))],
+                names=["block", "carried", "base", "units", "ids", "freqs"])
+
+
+def _longest(w: str, order: int) -> int:
+    return min(order, len(w) + 2) if len(w) > 1 else 1
+
+
+def _ask_grams(order: int):
+    """Unseen words in blocks; ``units`` are the n-grams new to the block."""
+    def run(batches):
+        seen, block, n_words = set(), _block_id(), 0
+        for b in batches:
+            words, blocks, units = b.column(0).to_pylist(), [], []
+            for w in words:
+                if n_words == WORDS:
+                    seen, block, n_words = set(), _block_id(), 0
+                longest = _longest(w, order)
+                full = w if longest == 1 else f" {w} "
+                new = {full[i:i + n] for n in range(1, longest + 1) for i in range(len(full) - n + 1)} - seen
+                seen |= new
+                units.append(list(new))
+                blocks.append(block)
+                n_words += 1
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(blocks, pa.int64()), b.column(0), pa.array(units, pa.list_(pa.string()))],
+                names=["block", "word", "units"])
+    return run
+
+
+class Backoff:
+    """Scores of unseen words by the n-grams that are known."""
+
+    def __init__(self, known: dict[str, list[float]], floor: float, n_langs: int, order: int):
+        self.known, self.order, self.floor = known, order, [floor] * n_langs
+
+    def gram(self, g: str) -> list[float]:
+        row = self.known.get(g)
         if row is None:
-            n = min(self.order, len(w) + 2) if len(w) > 1 else 1
-            gs = [self.gram(g) for g in grams(w, n)]
-            row = [sum(x) / len(gs) for x in zip(*gs)]
+            if len(g) == 1:
+                return self.floor
+            row = self.known[g] = [(x + y) / 2 for x, y in zip(self.gram(g[:-1]), self.gram(g[1:]))]
         return row
 
-    def predict(self, text: str | None) -> tuple[str, float]:
-        words = words_of(text) if text else None
-        if not words or not self.langs:
-            return "und", 0.0
-        at = np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))
-        sums = self.rows.matrix[at].sum(axis=0)
-        best = int(np.argmax(sums))
-        return self.langs[best], float(1.0 / np.exp((sums - sums[best]) / len(words)).sum())
+    def word(self, w: str) -> list[float]:
+        gs = [self.gram(g) for g in grams(w, _longest(w, self.order))]
+        return [sum(x) / len(gs) for x in zip(*gs)]
 
 
-class _Rows(dict):
-    """Row number of a word in ``matrix``; new words get a row, and all are
-    forgotten between texts when there are too many."""
+def _back_off(floor: float, n_langs: int, order: int):
+    def run(words: pa.Table, found: pa.Table) -> pa.Table:
+        known = dict(zip(found.column("unit").to_pylist(), found.column("logs").to_pylist()))
+        back = Backoff(known, floor, n_langs, order)
+        ws = words.column("word").to_pylist()
+        return pa.table({"unit": pa.array(ws, pa.string()),
+                         "logs": pa.array([back.word(w) for w in ws], pa.list_(pa.float64()))})
+    return run
 
-    def __init__(self, scorer: Scorer):
-        self.scorer, self.matrix = scorer, np.zeros((1024, max(1, len(scorer.langs))))
 
-    def __missing__(self, w: str) -> int:
-        i = len(self)
-        if i == len(self.matrix):
-            self.matrix = np.concatenate([self.matrix, np.zeros_like(self.matrix)])
-        self.matrix[i] = self.scorer.word(w)
-        self[w] = i
-        return i
+def _decide(langs: list[str]):
+    def run(docs: pa.Table, found: pa.Table) -> pa.Table:
+        matrix = np.zeros((found.num_rows, len(langs)))
+        matrix[found.column("id").to_numpy()] = (
+            found.column("logs").combine_chunks().flatten().to_numpy().reshape(-1, len(langs)))
+        lang, score = [], []
+        for nos, freqs in zip(docs.column("ids"), docs.column("freqs")):
+            nos, freqs = nos.values.to_numpy(), freqs.values.to_numpy()
+            if not len(nos):
+                lang.append("und")
+                score.append(0.0)
+                continue
+            sums = freqs @ matrix[nos]
+            best = int(np.argmax(sums))
+            lang.append(langs[best])
+            score.append(float(1.0 / np.exp((sums - sums[best]) / freqs.sum()).sum()))
+        return pa.table({"carried": docs.column("carried"), "lang_pred": pa.array(lang, pa.string()),
+                         "score": pa.array(score, pa.float64())})
+    return run
 
 
 def predict(docs: DataFrame, model: DataFrame, carry: list[Column], text_col: str = "text") -> DataFrame:
-    """``carry`` columns, ``lang_pred`` and ``score`` for every row. The model
-    has at most languages x (max_words + order x max_grams) rows."""
-    units = docs.sparkSession.sparkContext.broadcast([tuple(r) for r in model.collect()])
-    key = uuid.uuid4().hex      # an object's id can come again in a long session
-
-    def run(batches):
-        scorer = _SCORERS.get(key)
-        if scorer is None:
-            _SCORERS.clear()
-            scorer = _SCORERS[key] = Scorer(units.value)
-        for b in batches:
-            for carried, texts in slices(b):
-                if len(scorer.rows) > FOLD:
-                    scorer.rows = _Rows(scorer)
-                got = [scorer.predict(t) for t in texts]
-                yield pa.RecordBatch.from_arrays(
-                    [carried, pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())],
-                    names=["carried", "lang_pred", "score"])
-
+    """``carry`` columns, ``lang_pred`` and ``score`` for every row."""
+    known_totals = model.groupBy("lang", "n").agg(F.sum("cnt").alias("total")).collect()     # languages x orders
+    langs = sorted({r["lang"] for r in known_totals})
     rows = docs.select(F.struct(*carry).alias("carried"), text_of(text_col).alias("text"))
-    kind = rows.schema["carried"].dataType
-    out = rows.mapInArrow(run, f"carried {kind.simpleString()}, lang_pred string, score double")
+    if not langs:
+        return rows.select("carried.*", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
+    order = max(r["n"] for r in known_totals)
+    floors = [-math.log(max((r["total"] for r in known_totals if r["n"] == n), default=1) * 2.0 + 1.0)
+              for n in range(order + 1)]
+    total = {(r["lang"], r["n"]): r["total"] for r in known_totals}
+
+    def by_n(values) -> Column:
+        return F.element_at(F.array(*[F.lit(float(v)) for v in values]), F.col("n") + 1)
+
+    def log_of(x: str) -> Column:
+        share = F.col("cnt") / by_n(total.get((x, n), 1) for n in range(order + 1))
+        return F.coalesce(F.max(F.when(F.col("lang") == x, F.log(share))), by_n(floors))
+    table = stored(model.groupBy("n", "unit").agg(F.array(*map(log_of, langs)).alias("logs")), "lang-model")
+    seen = table.where("n = 0").select("unit", "logs")
+    kind = rows.schema["carried"].dataType.simpleString()
+    coded = stored(rows.mapInArrow(_encode, f"block long, carried {kind}, base int, units array<string>, "
+                                            "ids array<int>, freqs array<int>"), "lang-docs")
+    asked = (coded.select("block", "base", F.posexplode("units").alias("i", "unit"))
+             .select("block", (F.col("base") + F.col("i")).alias("id"), "unit"))
+    unseen = asked.select("unit").distinct().join(seen, "unit", "left_anti")
+    words = stored(unseen.mapInArrow(_ask_grams(order), "block long, word string, units array<string>"), "lang-unseen")
+    found = (words.select(F.col("block").alias("asked_by"), F.explode("units").alias("unit"))
+             .join(table.where("n > 0").select("unit", "logs"), "unit"))
+    scored = (words.select("block", "word").groupBy("block").cogroup(found.groupBy("asked_by"))
+              .applyInArrow(_back_off(floors[1], len(langs), order), "unit string, logs array<double>"))
+    answers = asked.join(seen.unionByName(stored(scored, "lang-backoff")), "unit").select(
+        F.col("block").alias("asked_by"), "id", "logs")
+    out = (coded.select("block", "carried", "ids", "freqs").groupBy("block").cogroup(answers.groupBy("asked_by"))
+           .applyInArrow(_decide(langs), f"carried {kind}, lang_pred string, score double"))
     return out.select("carried.*", "lang_pred", "score")
 
 
-_SCORERS: dict[str, Scorer] = {}
-
-
 def language_id(docs: DataFrame, learn: Column, carry: list[Column], text_col: str = "text",
-                lang_col: str = "lang", order: int = 5, max_words: int = 20_000, max_grams: int = 5_000) -> DataFrame:
-    return predict(docs, train(docs, learn, text_col, lang_col, order, max_words, max_grams), carry, text_col)
+                lang_col: str = "lang", order: int = 5) -> DataFrame:
+    return predict(docs, train(docs, learn, text_col, lang_col, order), carry, text_col)
