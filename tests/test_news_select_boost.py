@@ -183,3 +183,24 @@ def test_knn_salted_cells_equal_brute_force(spark, monkeypatch):
         d = sorted((sum((a - b) ** 2 for a, b in zip(q[1], t[1])), t[0]) for t in pts[20:])
         want |= {(q[0], tid) for _, tid in d[:4]}
     assert got == want
+
+
+def test_random_split_keeps_every_key_that_can_be_split(spark):
+    from ticktale.operators import compare
+    key = lambda i, d: (i * 7919 + d * 104729) % 1000003
+    draws = range(42, 47)
+    low = min(range(1, 5000), key=lambda i: max(key(i, d) for d in draws))
+    others = [i for i in range(1, 5000) if all(key(i, d) > key(low, d) for d in draws)][:9]
+    rows = [("skewed", low, 1)] + [("skewed", i, 0) for i in others]       # all five rotations test the one 1
+    rows += [("plain", i, i % 2) for i in range(6000, 6020)]
+    rows += [("same", i, 1) for i in range(7000, 7010)] + [("two", 8000, 0), ("two", 8001, 1)]
+    ex = spark.createDataFrame(rows, "symbol string, example_id long, label int")
+    got = compare.random_split(ex, ["symbol"], "example_id").collect()
+    train = {(r.symbol, r.label) for r in got if not r.is_test}
+    assert train == {(s, x) for s in ("skewed", "plain") for x in (0, 1)}
+    assert len(got) == 30 and sum(r.is_test for r in got) == 6
+    terms = spark.createDataFrame([(s, i, f"w{i % 5}", 1 + i % 3) for s, i, _ in rows],
+                                  "symbol string, example_id long, word string, cnt long")
+    got = {r.symbol: (r.candidate, r.n_test, r.accepted) for r in compare.symbol_news_models(ex, terms).collect()}
+    assert set(got) == {"skewed", "plain", "same", "two"} and got["skewed"][1] == 2
+    assert got["same"] == ("none: one label", 0, False) and got["two"] == ("none: too few rows", 0, False)

@@ -89,18 +89,37 @@ def smallest_fraction(df: DataFrame, keys: list[str], order_key: Column, id_col:
     return j.withColumn(flag, F.coalesce(is_small, F.lit(False))).drop("_ok", "_b", "_bb", "_need", "_r")
 
 
+def mixed_key(id_col: str, draw: int) -> Column:
+    """A seeded order of integer ids that is unrelated from draw to draw
+    (the draws of ``shuffle_key`` are rotations of one order)."""
+    return F.pmod(F.xxhash64(F.col(id_col).cast("long"), F.lit(draw)), F.lit(SHUFFLE_MOD))
+
+
+def split_reasons(ex: DataFrame, keys: list[str], test_frac: float = 0.2) -> DataFrame:
+    """Per key why no draw can leave two labels in training; null if one can."""
+    n_train = F.count("*") - F.ceil(F.count("*") * F.lit(test_frac))
+    return ex.groupBy(*keys).agg(F.when(F.count_distinct("label") < 2, "one label")
+                                 .when(n_train < 2, "too few rows").alias("reason"))
+
+
 def random_split(ex: DataFrame, keys: list[str], id_col: str, test_frac: float = 0.2, seed: int = 42,
-                 attempts: int = 5) -> DataFrame:
+                 rotations: int = 5) -> DataFrame:
     """Per key, the ceil(test_frac * n) rows first in a seeded order go
-    to test; the draw is repeated with the next draw number when the training
-    labels would all be equal, and the first good draw is kept."""
-    cands = [smallest_fraction(ex, keys, shuffle_key(id_col, seed + a), id_col, test_frac)
-             .withColumn("attempt", F.lit(a)) for a in range(attempts)]
-    allc = reduce(DataFrame.unionByName, cands)
-    ok = (allc.filter(~F.col("is_test")).groupBy(*keys, "attempt")
-              .agg(F.count_distinct("label").alias("_k")).filter("_k > 1")
-              .groupBy(*keys).agg(F.min("attempt").alias("attempt")))
-    return allc.join(ok, keys + ["attempt"], "left_semi")
+    to test. Keys whose training labels would all be equal are drawn again
+    with the next draw number until every key that can be split is; draws
+    from number ``rotations`` on mix the number into the order. Keys that no
+    draw can split (``split_reasons``) are left out. ``id_col`` is unique."""
+    can = split_reasons(ex, keys, test_frac).filter("reason is null").select(*keys)
+    rows, done, attempt = ex.join(can, keys, "left_semi").checkpoint(), [], 0
+    while True:
+        order = (shuffle_key if attempt < rotations else mixed_key)(id_col, seed + attempt)
+        draw = smallest_fraction(rows, keys, order, id_col, test_frac).withColumn("attempt", F.lit(attempt)).checkpoint()
+        failed = (draw.groupBy(*keys).agg(F.count_distinct(F.when(~F.col("is_test"), F.col("label"))).alias("_k"))
+                      .filter("_k < 2").select(*keys).checkpoint())
+        if failed.isEmpty():
+            return reduce(DataFrame.unionByName, [*done, draw])
+        done.append(draw.join(failed, keys, "left_anti"))
+        rows, attempt = rows.join(failed, keys, "left_semi"), attempt + 1
 
 
 def log_ratio_accuracy(split_ex: DataFrame, terms: DataFrame, vocab: DataFrame, keys: list[str],
@@ -142,17 +161,27 @@ def candidate_accuracies(ex: DataFrame, terms: DataFrame, keys: list[str]) -> Da
         n_words = v.groupBy(*keys).agg(F.count("*").alias("n_words"))
         rows.append(acc.join(n_words, keys).withColumn("candidate", F.lit(name)).withColumn("cand_no", F.lit(i)))
     width = totals.groupBy(*keys).agg(F.count("*").alias("width"))
-    return reduce(DataFrame.unionByName, rows).filter(F.col("n_words") > 0).join(width, keys)
+    res = reduce(DataFrame.unionByName, rows).filter(F.col("n_words") > 0).join(width, keys)
+    return res.checkpoint()             # few rows of a large plan, read by several branches
+
+
+def not_split(ex: DataFrame, keys: list[str]) -> DataFrame:
+    """A row for every key that no draw can split; the reason is the candidate."""
+    return split_reasons(ex, keys).filter("reason is not null").select(
+        *keys, F.concat(F.lit("none: "), "reason").alias("candidate"), F.lit(0).cast("long").alias("n_words"),
+        F.lit(0).cast("long").alias("n_test"))
 
 
 def overall_news_model(ex: DataFrame, terms: DataFrame) -> DataFrame:
     """Every candidate vocabulary without the symbol key, ranked
-    (accuracy desc, candidate order)."""
+    (accuracy desc, candidate order). If no draw can split the examples: one
+    row whose candidate is ``none:`` and the reason."""
     keys = ["scope"]
-    res = candidate_accuracies(ex.withColumn("scope", F.lit("overall")), terms.withColumn("scope", F.lit("overall")),
-                               keys)
+    ex = ex.withColumn("scope", F.lit("overall"))
+    res = candidate_accuracies(ex, terms.withColumn("scope", F.lit("overall")), keys)
     w = Window.partitionBy("scope").orderBy(F.desc("test_acc"), "cand_no")
-    return res.withColumn("rank", F.row_number().over(w).cast("long"))
+    res = res.withColumn("rank", F.row_number().over(w).cast("long"))
+    return res.unionByName(not_split(ex, keys), allowMissingColumns=True)
 
 
 def symbol_news_models(ex: DataFrame, terms: DataFrame, wide: int = sl.WIDE_VOCAB, min_acc: float = 30.0) -> DataFrame:
@@ -160,7 +189,8 @@ def symbol_news_models(ex: DataFrame, terms: DataFrame, wide: int = sl.WIDE_VOCA
     goes through selection and the best selection is kept; a narrow one is
     fitted on all words. A wide symbol whose best selection scores below
     ``min_acc`` gets a second try on all words; a model still below it is
-    rejected. One row per symbol."""
+    rejected. One row per symbol; one that no draw can split has the candidate
+    ``none:`` and the reason, and is not accepted."""
     keys = ["symbol"]
     res = candidate_accuracies(ex, terms, keys)
     sel = res.filter(F.col("candidate").isin("k_best", "fpr", "fdr", "fwe", "percentile"))
@@ -178,7 +208,9 @@ def symbol_news_models(ex: DataFrame, terms: DataFrame, wide: int = sl.WIDE_VOCA
                    F.when(use_sel, F.col("sel_words")).otherwise(F.col("width")).alias("n_words"),
                    F.when(use_sel, F.col("sel_acc")).otherwise(F.col("all_acc")).alias("test_acc"),
                    (is_wide & ~use_sel).alias("second_try"))
-    return out.withColumn("accepted", F.col("test_acc") >= min_acc)
+    out = out.withColumn("accepted", F.col("test_acc") >= min_acc)
+    none = not_split(ex, keys).withColumn("second_try", F.lit(False)).withColumn("accepted", F.lit(False))
+    return out.unionByName(none, allowMissingColumns=True)
 
 
 # ---------------------------------------------------------------- query views
