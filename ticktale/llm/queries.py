@@ -6,8 +6,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticktale.llm import exact, language, minhash, mixing, quality, secrets, sentencepieces, sql, substrings, suffixes, tokens
+from ticktale.llm import (decontaminate, exact, language, minhash, mixing, quality, secrets, sentencepieces, spelling, sql,
+                          substrings, suffixes, tokens, whitening)
 from ticktale.llm.common import documents
+from ticktale.sources.tables import table
 
 
 def tokenizer_path(name: str) -> str:
@@ -73,6 +75,22 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(documents(spark, sf_dir, "doc_id", "text"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf_dir, "doc_id", "text"))
+
+
+def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find(documents(spark, sf_dir, "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
+    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+                        (hit > 0).alias("contaminated"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_language": op2_language,
@@ -84,6 +102,9 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_token_counts": op10_token_counts,
+    "op11_spelling": op11_spelling,
+    "op12_decontaminate": op12_decontaminate,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLES = sql.ORACLES

@@ -98,7 +98,56 @@ SELECT d.doc_id, (length(h) // 2)::BIGINT AS n_bytes, COALESCE(n_removed, 0)::BI
 FROM d LEFT JOIN k ON k.doc_id = d.doc_id
 """
 
+#: crc32 by its table: UTF-8 bytes come as hexadecimal digit pairs.
+SPELLING = r"""
+WITH RECURSIVE byte_table AS (SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(range(0, 8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) AS c
+    FROM range(0, 256) r(i))),
+run AS (SELECT doc_id, w, count(*) AS k FROM (SELECT doc_id, unnest(regexp_extract_all(
+    translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS w FROM documents)
+  GROUP BY ALL),
+hashed AS (SELECT w, k, xor(list_reduce(
+    list_transform(range(0, length(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) AS h
+  FROM (SELECT w, k, hex(encode(COALESCE(doc_id::VARCHAR, '') || ':' || w)) AS x FROM run), byte_table),
+v AS (SELECT word, sum(k)::BIGINT AS n FROM (SELECT k, CASE WHEN h % 199 = 0
+    THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word FROM hashed)
+  GROUP BY word HAVING length(word) >= 6 AND sum(k) >= 5),
+less AS (SELECT word, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM v, range(0, length(word)) r(i)),
+pair AS (SELECT a.word, b.word AS near FROM less a JOIN less b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT less.word, v.word FROM less JOIN v ON v.word = less.rest
+  UNION SELECT v.word, less.word FROM less JOIN v ON v.word = less.rest),
+best AS (SELECT pair.word, count(*) AS n_near, arg_min(struct_pack(w := near, n := b.n), (-b.n, near)) AS top
+  FROM pair JOIN v b ON b.word = near GROUP BY pair.word),
+f AS (SELECT v.word, v.n, COALESCE(n_near, 0)::BIGINT AS n_near, CASE WHEN top.n >= 5 * v.n THEN top.w END AS form,
+    CASE WHEN top.n >= 5 * v.n THEN top.n END AS form_n FROM v LEFT JOIN best ON best.word = v.word),
+walk AS (SELECT word, word AS at FROM f UNION ALL SELECT walk.word, f.form FROM walk JOIN f ON f.word = walk.at WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, walk.at AS root, f.n, n_near, form_n
+FROM f JOIN walk ON walk.word = f.word JOIN f last ON last.word = walk.at AND last.form IS NULL
+"""
+
+LEAKS = r"""
+WITH lower_docs AS (SELECT doc_id, regexp_extract_all(
+    translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+item AS (SELECT item_id, ws, least(len(ws), 10) AS m FROM (SELECT item_id, regexp_extract_all(
+    translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark) WHERE len(ws) > 0),
+win AS (SELECT DISTINCT item_id, m, array_to_string(ws[i:i + m - 1], ' ') AS win FROM item, range(1, len(ws) - m + 2) r(i)),
+place AS (SELECT doc_id, i, m, array_to_string(ws[i:i + m - 1], ' ') AS win
+  FROM lower_docs, (SELECT DISTINCT m FROM win) k, range(1, len(ws) - m + 2) r(i)),
+met AS (SELECT doc_id, i, m, item_id FROM place JOIN win USING (m, win)),
+hit AS (SELECT doc_id, count(DISTINCT i + o) AS n_hit FROM (SELECT DISTINCT doc_id, i, m FROM met), range(0, m) r(o) GROUP BY doc_id),
+ids AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM met) GROUP BY doc_id)
+SELECT d.doc_id, len(ws)::BIGINT AS n_words, COALESCE(n_hit, 0)::BIGINT AS n_hit, COALESCE(n_items, 0)::BIGINT AS n_items,
+  sha256(COALESCE(ids, '')) AS items_sha256, COALESCE(n_hit, 0) > 0 AS contaminated
+FROM lower_docs d LEFT JOIN hit ON hit.doc_id = d.doc_id LEFT JOIN ids ON ids.doc_id = d.doc_id
+"""
+
 ORACLES = {
+    "op11_spelling": SPELLING,
+    "op12_decontaminate": LEAKS,
     "op1_suffix_dedup": BYTES,
     "op9_substring_dedup": WINDOWS,
     "op5_quality": _quality(),
