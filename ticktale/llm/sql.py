@@ -122,7 +122,7 @@ best AS (SELECT pair.word, count(*) AS n_near, arg_min(struct_pack(w := near, n
 f AS (SELECT v.word, v.n, COALESCE(n_near, 0)::BIGINT AS n_near, CASE WHEN top.n >= 5 * v.n THEN top.w END AS form,
     CASE WHEN top.n >= 5 * v.n THEN top.n END AS form_n FROM v LEFT JOIN best ON best.word = v.word),
 walk AS (SELECT word, word AS at FROM f UNION ALL SELECT walk.word, f.form FROM walk JOIN f ON f.word = walk.at WHERE f.form IS NOT NULL)
-SELECT f.word, f.form, walk.at AS root, f.n, n_near, form_n
+SELECT f.word, f.form, walk.at AS root, f.n, f.n_near, f.form_n
 FROM f JOIN walk ON walk.word = f.word JOIN f last ON last.word = walk.at AND last.form IS NULL
 """
 
