@@ -458,3 +458,47 @@ def test_language_blocks_equal_brute_force(spark, monkeypatch):
         sums = np.sum([row(w, 0) for w in ws], axis=0)
         assert x["lang_pred"] == ("de", "en")[int(np.argmax(sums))]
         assert abs(x["score"] - 1 / np.exp((sums - sums.max()) / len(ws)).sum()) < 1e-9
+
+
+def test_near_dedup_of_many_repeated_rows(spark):
+    """Two linked texts, each repeated with its id a thousand times."""
+    near = PASSAGE + " " + prose(50, 60)
+    rows = [(1, near)] * 1000 + [(2, near + " tail")] * 1000
+    got = minhash.near_dedup(frame(spark, rows)).groupBy("doc_id", "component_id", "kept").count().collect()
+    assert sorted(tuple(r) for r in got) == [(1, 1, True, 1000), (2, 1, False, 1000)]
+
+
+def test_secrets_in_a_text_of_many_matches(spark):
+    n = 200_000
+    got = secrets.scan(frame(spark, [(1, "token=abc123 é " * n)]), ratios=[0.0] * len(secrets.ALPHABET) ** 2).select(
+        F.size("base").alias("n"), F.col("base")[n - 1].alias("last"), F.col("base")[777].alias("one")).collect()[0]
+    assert got["n"] == n
+    assert (got["last"]["start"], got["last"]["end"]) == (15 * (n - 1), 15 * (n - 1) + 12)
+    assert (got["one"]["start"], got["one"]["end"]) == (15 * 777, 15 * 777 + 12)
+
+
+def test_short_random_keys(spark):
+    r = random.Random(8)
+    rnd = ["".join(r.choice("ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz23456789") for _ in range(32)) for _ in range(80)]
+    texts = [f"Token='{x}' and some_ordinary_identifier_name plus more_of_the_ordinary_identifiers" for x in rnd]
+    ratios = secrets.train(frame(spark, list(enumerate(texts))))
+    tests = ["x xK7qZ9vT3mW8pR2j y", "x ordinary_name y", "x mention_of_more y", "x zQ9xK7wJ4v y"]
+    got = {x["doc_id"]: x["added"] for x in secrets.scan(frame(spark, list(enumerate(tests))), ratios=ratios).collect()}
+    assert [(s["start"], s["end"]) for s in got[0]] == [(2, 18)] and not (got[1] or got[2] or got[3])
+
+
+def test_mixing_ranges_stay_even(spark):
+    """Nine tenths of a source are junk of the least weight and many ids are null."""
+    rows = [(None if i % 3 == 0 else i, f"# {i} $", None, "a") for i in range(3600)]
+    rows += [(10_000 + i, f"plain words {i}", None, "a") for i in range(400)]
+    sized = mixing.mix(frame(spark, rows), rows_per_range=16)
+    assert sized.count() == 4000
+    taken = sized.agg(F.sum("taken"), F.max("target")).collect()[0]
+    assert abs(taken[0] - taken[1]) <= 20
+    plan = frame(spark, rows).select(F.lit(0).alias("ord"), F.lit(None).cast("string").alias("_s")).limit(1)
+    keys = spark.range(4000).select(F.lit(None).cast("string").alias("source"), F.floor(
+        F.log2(-F.log(F.pmod(F.xxhash64("id"), F.lit(10 ** 6)) / 1e6 + 1e-9) / 0.1) * mixing.STEPS).alias("step"))
+    steps = mixing._steps(keys, plan, 16).collect()
+    counts = {r["step"]: r["count"] for r in keys.groupBy("step").count().collect()}
+    assert all(counts[r["step"]] <= 16 * r["ranges"] for r in steps) and len(steps) == len(counts)
+    assert max(counts.values()) < 200

@@ -3,6 +3,8 @@ cluster's shared folder, and the hash functions used inside tasks."""
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
 
 import numpy as np
@@ -44,6 +46,20 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def worker_cache(key: str, make):
+    """An object that lives as long as the Python worker, made at first use.
+    This package travels inside each task by value, so its module globals die
+    with the task; the cache is a module of its own. ``key`` names all that the
+    object depends on; callers bound its size."""
+    home = sys.modules.get("_ticktale_worker_cache")
+    if home is None:
+        home = sys.modules["_ticktale_worker_cache"] = types.ModuleType("_ticktale_worker_cache")
+    entries = vars(home).setdefault("entries", {})
+    if key not in entries:
+        entries[key] = make()
+    return entries[key]
+
+
 MIX_A = np.uint64(0xBF58476D1CE4E5B9)
 MIX_B = np.uint64(0x94D049BB133111EB)
 

@@ -251,8 +251,9 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     shared = placed.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1")
     members = stored(placed.join(shared, "bucket"), "minhash-buckets")
     need = members.select("node").distinct().join(nodes.select("node", "rep"), "node")
-    sets = stored(base.join(need, base["id"] == need["rep"]).select("node", "text")
-                  .mapInArrow(_sets(k), "node binary, items binary"), "minhash-sets")
+    # a repeated row gives its text again: one set for a node
+    sets = stored(base.join(need, base["id"] == need["rep"]).select("node", "text").dropDuplicates()
+                  .mapInArrow(_sets(k), "node binary, items binary").dropDuplicates(["node"]), "minhash-sets")
 
     stars = _stars(members, sets, percent)
     tested = stars.select(*_ordered("node", "pivot"))

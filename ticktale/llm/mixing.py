@@ -7,14 +7,15 @@ replacement. Complete epochs of a source come first; what is left of the
 budget is filled by the sorted documents whose running word sum (half of the
 document counted) still fits.
 
-No task sees a whole source: keys are cut into ranges of about
-``rows_per_range`` documents, range sums are added up per source on the small
-range table, and only the rows of one range meet in a window.
+No task sees a whole source: keys are counted in narrow geometric steps, each
+step is cut evenly into ranges of about ``rows_per_range`` documents whatever
+the weights, range sums are added up per source on the small range table, and
+only the rows of one range meet in a window.
 
 SQL functions only. Defined results: a null text has size 0; null sources are
 one source, last in order; a source without words has target 0 and takes
-nothing; rows that repeat a doc_id have equal keys and are ordered by size; a
-null id hashes like any other value. Reruns agree, the hash has a fixed seed.
+nothing; rows that repeat a doc_id have equal keys and are ordered by size; rows
+with a null id are told apart by their text. Reruns agree, the hash has a fixed seed.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from ticktale.llm.common import WORD, stored, text_of
 SOURCE_WEIGHTS = (3, 1, 2)
 TOTAL_SHARE = 1.5
 MAX_EPOCHS = 2
+STEPS = 64                  # of a doubling of the key
 
 
 def quality_weight(text: Column, size: Column) -> Column:
@@ -60,6 +62,17 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = SOURCE_WEIGHTS, share
                     F.least(F.col("bound"), F.coalesce(F.col("level"), F.lit(0.0)) * F.col("w")).alias("target"))
 
 
+def _steps(rows: DataFrame, plan: DataFrame, rows_per_range: int) -> DataFrame:
+    """(ord, step, first_range, ranges): how many ranges each step of keys is
+    cut into; a step is about one percent of the key wide, so keys lie evenly
+    in it. At most some thousand steps for a source."""
+    counts = (rows.groupBy("source", "step").agg(F.count("*").alias("in_step"))
+              .join(plan.select("_s", "ord"), F.col("source").eqNullSafe(F.col("_s")))
+              .select("ord", "step", F.ceil(F.col("in_step") / F.lit(rows_per_range)).alias("ranges")))
+    over = Window.partitionBy("ord").orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
+    return counts.select("ord", "step", "ranges", F.coalesce(F.sum("ranges").over(over), F.lit(0)).alias("first_range"))
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         seed: int = 17, rows_per_range: int = 512, weights: tuple[int, ...] = SOURCE_WEIGHTS,
         share: float = TOTAL_SHARE, max_epochs: int = MAX_EPOCHS, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -70,10 +83,13 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     size = F.regexp_count(text_of("_t"), F.lit(WORD)).cast("long")
     sized = docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("source"),
                         F.col(text_col).alias("_t"), *(F.col(c).alias(x) for c, x in zip(carry, carried)))
-    sized = sized.select("_id", "source", size.alias("size"),
+    told_apart = F.when(F.col("_id").isNull(), F.xxhash64(F.lit(seed), F.col("_t"))).otherwise(F.xxhash64("_id", F.lit(seed)))
+    sized = sized.select("_id", "source", size.alias("size"), told_apart.alias("h"),
                          quality_weight(text_of("_t"), size.cast("double")).alias("weight"), *carried)
-    u = (F.pmod(F.xxhash64(F.col("_id"), F.lit(seed)), F.lit(1 << 52)) + F.lit(0.5)) / F.lit(float(1 << 52))
-    rows = stored(sized.withColumn("k", -F.log(u) / F.col("weight")), "mix-rows")
+    u = (F.pmod(F.col("h"), F.lit(1 << 52)) + F.lit(0.5)) / F.lit(float(1 << 52))
+    rows = stored(sized.withColumn("k", -F.log(u) / F.col("weight")).drop("h")
+                  .withColumn("step_at", F.log2(F.greatest(F.col("k"), F.lit(1e-300))) * STEPS)
+                  .withColumn("step", F.floor("step_at")), "mix-rows")
     plan = stored(targets(rows.groupBy("source").agg(F.sum("size").alias("source_size"),
                                                     F.count("*").alias("n_rows")),
                           weights, share, max_epochs), "mix-targets")
@@ -83,9 +99,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
                      F.lit(max_epochs))
     r = (r.withColumn("epochs", epochs.cast("long"))
           .withColumn("left_over", F.col("target") - F.col("epochs") * F.col("source_size"))
-          .withColumn("n_ranges", F.ceil(F.col("n_rows") / F.lit(rows_per_range)))
-          # 1 - exp(-k) is the uniform number again where the weight is 1
-          .withColumn("rng", F.floor((F.lit(1.0) - F.exp(-F.col("k"))) * F.col("n_ranges"))))
+          .join(_steps(rows, plan, rows_per_range), ["ord", "step"])
+          .withColumn("rng", F.col("first_range") + F.floor((F.col("step_at") - F.col("step")) * F.col("ranges"))))
     sums = r.groupBy("ord", "rng").agg(F.sum("size").alias("range_size"))
     over = Window.partitionBy("ord").orderBy("rng").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("ord", "rng", F.coalesce(F.sum("range_size").over(over), F.lit(0)).alias("range_before"))

@@ -6,7 +6,9 @@ text are ordinary ones. Character-pair counts of both classes over the whole
 table (at most two times the squared alphabet, whatever the input) become
 one table of log-likelihood ratios. Every identifier run of at least
 ``min_length`` characters outside the base spans whose mean ratio per
-character pair is above ``threshold`` is an added span of kind ``markov``.
+character pair is above ``threshold`` and whose total ratio is above
+``total`` (so that short runs need a higher mean) is an added span of kind
+``markov``.
 
 SQL functions only, no shuffle but that of the pair counts. Defined results:
 a null or empty text has no span; with no sample of a class all ratios are 0
@@ -34,6 +36,7 @@ KINDS = ("assign", "access", "hex", "markov")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 RUN = r"[A-Za-z0-9+/_=-]"
 START = r"(?<![A-Za-z0-9+/_=-])"    # a run is tried from its first character only
+CHUNK = 256
 SPAN = "array<struct<start:int,kind_no:int,end:int,kind:string>>"
 
 
@@ -53,6 +56,36 @@ def _found(text: Column, pattern: str, kind: str, group: int = 0) -> Column:
                   ).otherwise(F.array().cast("array<string>"))
 
 
+def _chunks(xs: Column) -> Column:
+    """An array cut into arrays of ``CHUNK``: growing an array by one entry
+    copies it, so only short ones are grown."""
+    last = F.floor((F.size(xs) - 1) / F.lit(CHUNK)).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), lambda j: F.slice(xs, j * CHUNK + 1, F.lit(CHUNK)))
+
+
+def _total(sizes: Column) -> Column:
+    return F.aggregate(sizes, F.lit(0), lambda a, x: a + x["gap"] + x["n"])
+
+
+def _running(totals: Column) -> Column:
+    """What lies before each entry."""
+    return F.aggregate(
+        totals, F.struct(F.lit(0).alias("pos"), F.array().cast("array<int>").alias("out")),
+        lambda a, x: F.struct((a["pos"] + x).alias("pos"), F.concat(a["out"], F.array(a["pos"])).alias("out")),
+        lambda a: a["out"])
+
+
+def _spans_of(sizes: Column, start: Column, no: int, kind: str) -> Column:
+    return F.aggregate(
+        sizes, F.struct(start.alias("pos"), F.array().cast(SPAN).alias("out")),
+        lambda a, x: F.struct(
+            (a["pos"] + x["gap"] + x["n"]).alias("pos"),
+            F.concat(a["out"], F.array(F.struct(
+                (a["pos"] + x["gap"]).alias("start"), F.lit(no).alias("kind_no"),
+                (a["pos"] + x["gap"] + x["n"]).alias("end"), F.lit(kind).alias("kind")))).alias("out")),
+        lambda a: a["out"])
+
+
 def _places(text: Column, pattern: str, kind: str, keep=None) -> Column:
     """Array of spans of all matches; ``keep(match, i)`` filters them. The text
     between matches gives the start positions."""
@@ -63,15 +96,10 @@ def _places(text: Column, pattern: str, kind: str, keep=None) -> Column:
     def spans(both: Column) -> Column:
         sizes = F.transform(both["m"], lambda m, i: F.struct(
             F.length(F.get(both["g"], i)).alias("gap"), F.length(m).alias("n")))
-        empty = F.array().cast(SPAN)
-        return F.aggregate(
-            sizes, F.struct(F.lit(0).alias("pos"), empty.alias("out")),
-            lambda a, x: F.struct(
-                (a["pos"] + x["gap"] + x["n"]).alias("pos"),
-                F.concat(a["out"], F.array(F.struct(
-                    (a["pos"] + x["gap"]).alias("start"), F.lit(no).alias("kind_no"),
-                    (a["pos"] + x["gap"] + x["n"]).alias("end"), F.lit(kind).alias("kind")))).alias("out")),
-            lambda a: a["out"])
+        return F.when(F.size(both["m"]) > 0, let(sizes, lambda xs: let(_chunks(xs), lambda cs: let(
+            _running(F.transform(cs, lambda c: _total(c))),
+            lambda before: F.flatten(F.transform(cs, lambda c, j: _spans_of(c, F.get(before, j), no, kind))))))
+        ).otherwise(F.array().cast(SPAN))
 
     found = let(F.struct(matches.alias("m"), gaps.alias("g")), spans)
     if keep is not None:
@@ -142,7 +170,8 @@ def _log_probabilities(counts: list[float], n: int, alpha: float, backoff: float
     return out
 
 
-def markov_spans(text: Column, base: Column, ratios: list[float], min_length: int, threshold: float) -> Column:
+def markov_spans(text: Column, base: Column, ratios: list[float], min_length: int, threshold: float,
+                 total: float) -> Column:
     """Spans of identifier runs that look random and meet no base span."""
     n = len(ALPHABET)
     table = F.split(F.lit(",".join(repr(x) for x in ratios)), ",").cast("array<double>")   # folded to a literal
@@ -152,7 +181,7 @@ def markov_spans(text: Column, base: Column, ratios: list[float], min_length: in
         return let(at, lambda ix: F.aggregate(
             F.transform(ix, lambda a, i: F.coalesce(
                 F.get(table, a * n + F.get(ix, i + 1)), F.lit(0.0))),
-            F.lit(0.0), lambda s, x: s + x) > (F.size(ix) - 1) * F.lit(threshold))
+            F.lit(0.0), lambda s, x: s + x) > F.greatest((F.size(ix) - 1) * F.lit(threshold), F.lit(total)))
 
     pattern = f"{START}{RUN}{{{min_length},}}"
     tokens = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
@@ -163,14 +192,14 @@ def markov_spans(text: Column, base: Column, ratios: list[float], min_length: in
     )).otherwise(F.array().cast(SPAN))
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_length: int = 20,
-         threshold: float = 0.5, ratios: list[float] | None = None) -> DataFrame:
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_length: int = 12,
+         threshold: float = 0.5, total: float = 9.5, ratios: list[float] | None = None) -> DataFrame:
     """``id_col`` and ``base`` and ``added``, arrays of (start, kind_no, end,
     kind). ``ratios``: a trained table; learned from ``docs`` when None."""
     if ratios is None:
-        ratios = train(docs, text_col)
+        ratios = train(docs, text_col, min_length)
     both = let(text_of(text_col), lambda t: let(base_spans(t), lambda b: F.struct(
-        b.alias("base"), markov_spans(t, b, ratios, min_length, threshold).alias("added"))))
+        b.alias("base"), markov_spans(t, b, ratios, min_length, threshold, total).alias("added"))))
     return docs.select(F.col(id_col), both.alias("_s")).select(id_col, "_s.base", "_s.added")
 
 

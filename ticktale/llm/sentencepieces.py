@@ -32,13 +32,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticktale.llm.common import text_of
+from ticktale.llm.common import text_of, worker_cache
 from ticktale.llm.tokens import slices
 
 MARK = "▁"
 WORDS = regex.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 KNOWN_WORDS = 600_000           # a worker forgets all words beyond so many
 KNOWN_PIECES = 16_000_000       # or beyond so many pieces
+KNOWN_PAIRS = 1_000_000         # and pairs of neighbouring pieces beyond so many
 
 
 class Model(NamedTuple):
@@ -104,7 +105,7 @@ class Encoder:
     def follows(self, a: str, b: str) -> bool:
         ok = self.pairs.get((a, b))
         if ok is None:
-            if len(self.pairs) > 2_000_000:
+            if len(self.pairs) > KNOWN_PAIRS:
                 self.pairs.clear()
             ok = self.pairs[(a, b)] = self.merge(a + b) == [a, b]
         return ok
@@ -234,24 +235,16 @@ class Decoder:
         return out.decode("utf-8", "replace")
 
 
-_CODERS: dict[str, tuple[Encoder, Decoder]] = {}
-
-
-def _coders(key: str, model: Model) -> tuple[Encoder, Decoder]:
-    if key not in _CODERS:
-        _CODERS[key] = (Encoder(model), Decoder(model))
-    return _CODERS[key]
-
-
 def encode(docs: DataFrame, model_path: str, id_cols: tuple[str, ...] = ("doc_id",),
            text_col: str = "text") -> DataFrame:
     """``id_cols`` (any columns to carry), ``ids`` (array of int), ``decoded``
     (the text the ids give back) and ``round_trip``."""
     shared = docs.sparkSession.sparkContext.broadcast(load_model(model_path))
-    key = f"{model_path}"
+    with open(model_path, "rb") as f:
+        key = f"pieces {hashlib.sha256(f.read()).hexdigest()}"
 
     def run(batches):
-        enc, dec = _coders(key, shared.value)
+        enc, dec = worker_cache(key, lambda: (Encoder(shared.value), Decoder(shared.value)))
         for b in batches:
             for carried, texts in slices(b, 2 << 20):
                 numbers = enc.numbers(texts)
