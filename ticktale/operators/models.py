@@ -12,9 +12,10 @@ Two fitting strategies:
   ``regParam = 1 / (C * N)`` resp. ``lambda / N`` on the mean loss. The
   per-symbol bias is a column (scaled by ``BIAS``), hence lightly
   regularised, unlike the study's free intercept.
-* **Nonlinear models** (tree, bagged trees, LS boosting, perceptron
-  networks): one fit per symbol, submitted concurrently from a small thread
-  pool so the jobs overlap; the symbol list is the only thing the driver sees.
+* **Trees** (``trees.py``): one job for all symbols, models as node tables.
+* **Perceptron networks of MLlib**: one fit per symbol, submitted concurrently
+  from a small thread pool so the jobs overlap; the symbol list is the only
+  thing the driver sees.
 
 The labelled frame is checkpointed once (reliable checkpoint in the session's
 checkpoint directory) so fits never recompute the bar pipeline.
@@ -26,17 +27,16 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC, LogisticRegression,
-                                       MultilayerPerceptronClassifier, OneVsRest, RandomForestClassifier)
+from pyspark.ml.classification import LinearSVC, LogisticRegression, MultilayerPerceptronClassifier, OneVsRest
 from pyspark.ml.feature import Interaction, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors, VectorUDT
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import kernels as K
 from ..functions.numeric import r6
+from . import trees as T
 from .backtest import labelled_bars, summary
 from .bars import feature_columns, price_features
 
@@ -166,13 +166,13 @@ def logreg_bars(bars: DataFrame, lam: float, max_iter: int = 50) -> DataFrame:
 # The comparison's classifier configurations.
 COMPARISON = (("LR_lambda=0", "lr", 0.0), ("LR_lambda=1", "lr", 1.0), ("LR_lambda=0.1", "lr", 0.1),
               ("LR_lambda=0.01", "lr", 0.01), ("SVM-Linear", "svm_linear", 1.0), ("SVM-Poly", "svm_poly", 1.0),
-              ("ClassificationTree", "tree", 10))
+              ("ClassificationTree", "tree", None))
 
 
 def classifier_comparison(bars: DataFrame, configs=COMPARISON) -> DataFrame:
     """Every configuration on every symbol; the per-symbol run metrics
     of all configurations appended into one table (strategy = config name).
-    Each configuration is one fit for all symbols (trees: one per symbol)."""
+    Each configuration is one fit for all symbols."""
     runs = []
     for name, kind, p in configs:
         if kind == "lr":
@@ -182,7 +182,7 @@ def classifier_comparison(bars: DataFrame, configs=COMPARISON) -> DataFrame:
         elif kind == "svm_poly":
             pred = svm_on_map(bars, "poly", c=p, gamma=0.5)
         else:
-            pred = tree_model(bars, max_depth=int(p))
+            pred = tree_model(bars, max_depth=p)
         runs.append(backtest_summary(pred, name))
     return reduce(DataFrame.unionByName, runs)
 
@@ -232,35 +232,29 @@ def fit_each_symbol(df: DataFrame, make_estimator, features: str = "features", p
     return reduce(DataFrame.unionByName, [p.select(*keep) for p in preds])
 
 
-def nonlinear_frame(bars: DataFrame, with_news: bool = False) -> tuple[DataFrame, list[str]]:
-    feats = feature_columns(with_news)
-    df = model_frame(bars, with_news)
-    df = VectorAssembler(inputCols=feats, outputCol="features").transform(df).checkpoint()
-    return df, feats
-
-
-def tree_model(bars: DataFrame, max_depth: int = 10) -> DataFrame:
-    """M10."""
-    df, _ = nonlinear_frame(bars)
-    return signal_from_prediction(fit_each_symbol(
-        df, lambda: DecisionTreeClassifier(labelCol="label01", maxDepth=max_depth, seed=SEED)))
+def tree_model(bars: DataFrame, max_depth: int | None = None) -> DataFrame:
+    """One classification tree per symbol, grown fully by default."""
+    feats = feature_columns(False)
+    df = model_frame(bars).checkpoint()
+    return T.sign_of_score(T.score_trees(df, T.fit_trees(df, feats, max_depth=max_depth), feats))
 
 
-def bagged_trees(bars: DataFrame, n_trees: int = 10, max_depth: int = 10) -> DataFrame:
-    """Bootstrap bagging of full-feature trees, min leaf 1."""
-    df, _ = nonlinear_frame(bars)
-    return signal_from_prediction(fit_each_symbol(df, lambda: RandomForestClassifier(
-        labelCol="label01", numTrees=n_trees, featureSubsetStrategy="all", bootstrap=True, subsamplingRate=1.0,
-        minInstancesPerNode=1, maxDepth=max_depth, seed=SEED)))
+def bagged_trees(bars: DataFrame, n_trees: int = 10, max_depth: int | None = None) -> DataFrame:
+    """Bagging of full-feature trees, min leaf 1; the trees' mean labels
+    in a row's leaves are added up."""
+    feats = feature_columns(False)
+    df = model_frame(bars).checkpoint()
+    drawn = (df.where("is_train").withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))))
+             .withColumn("weight", T.bootstrap_weight(F.col("tree"), "symbol", "bar_date")).where("weight > 0"))
+    nodes = T.fit_trees(drawn, feats, weight="weight", max_depth=max_depth)
+    return T.sign_of_score(T.score_trees(df, nodes, feats))
 
 
-def ls_boost(bars: DataFrame, n_trees: int = 10, rate: float = 0.0245) -> DataFrame:
+def ls_boost(bars: DataFrame, n_trees: int = 10, rate: float = 0.0245, max_depth: int | None = None) -> DataFrame:
     """Least-squares boosting on the -1/+1 label; sign of the fit."""
-    df, _ = nonlinear_frame(bars)
-    df = df.withColumn("label_pm", F.col("label").cast("double"))
-    preds = fit_each_symbol(df, lambda: GBTRegressor(labelCol="label_pm", maxIter=n_trees, stepSize=rate,
-                                                     lossType="squared", seed=SEED))
-    return preds.withColumn("signal", F.when(F.col("prediction") >= 0, 1).otherwise(-1))
+    feats = feature_columns(False)
+    df = model_frame(bars).checkpoint()
+    return T.sign_of_score(T.score_trees(df, T.fit_boosted(df, feats, n_trees=n_trees, rate=rate, max_depth=max_depth), feats))
 
 
 def mlp(bars: DataFrame, hidden=(100,), solver: str = "l-bfgs", max_iter: int = 100, step: float = 0.03,
