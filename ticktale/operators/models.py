@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from ..functions import kernels as K
 from ..functions.numeric import r6
+from ..session import written
 from . import trees as T
 from .backtest import labelled_bars, summary
 from .bars import feature_columns, price_features
@@ -235,7 +236,7 @@ def fit_each_symbol(df: DataFrame, make_estimator, features: str = "features", p
 def tree_model(bars: DataFrame, max_depth: int | None = None) -> DataFrame:
     """One classification tree per symbol, grown fully by default."""
     feats = feature_columns(False)
-    df = model_frame(bars).checkpoint()
+    df = written(model_frame(bars), "tree-rows")
     return T.sign_of_score(T.score_trees(df, T.fit_trees(df, feats, max_depth=max_depth), feats))
 
 
@@ -243,7 +244,7 @@ def bagged_trees(bars: DataFrame, n_trees: int = 10, max_depth: int | None = Non
     """Bagging of full-feature trees, min leaf 1; the trees' mean labels
     in a row's leaves are added up."""
     feats = feature_columns(False)
-    df = model_frame(bars).checkpoint()
+    df = written(model_frame(bars), "tree-rows")
     drawn = (df.where("is_train").withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))))
              .withColumn("weight", T.bootstrap_weight(F.col("tree"), "symbol", "bar_date")).where("weight > 0"))
     nodes = T.fit_trees(drawn, feats, weight="weight", max_depth=max_depth)
@@ -253,7 +254,7 @@ def bagged_trees(bars: DataFrame, n_trees: int = 10, max_depth: int | None = Non
 def ls_boost(bars: DataFrame, n_trees: int = 10, rate: float = 0.0245, max_depth: int | None = None) -> DataFrame:
     """Least-squares boosting on the -1/+1 label; sign of the fit."""
     feats = feature_columns(False)
-    df = model_frame(bars).checkpoint()
+    df = written(model_frame(bars), "tree-rows")
     return T.sign_of_score(T.score_trees(df, T.fit_boosted(df, feats, n_trees=n_trees, rate=rate, max_depth=max_depth), feats))
 
 

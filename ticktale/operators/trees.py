@@ -110,6 +110,12 @@ def _table(symbol: str, trees: list[tuple[int, list[_Node], list[float]]]) -> pa
                                 names=[part.split()[0] for part in NODES.split(", ")])
 
 
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt by key for work that is heavy for its few bytes: a stated
+    number of partitions, which adaptive execution does not join again."""
+    return df.repartition(4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def _matrix(t: pa.Table, feats: list[str]) -> np.ndarray:
     return np.column_stack([t.column(f).to_numpy() for f in feats]).astype(np.float64)
 
@@ -143,7 +149,7 @@ def fit_trees(rows: DataFrame, feats: list[str], label: str = "label", weight: s
         nodes, _ = grow(_matrix(t, feats), t.column("_y").to_numpy(), t.column("_w").to_numpy(), min_parent, max_depth)
         values = [float(fixed_point(np.float64(n.sum) / n.weight)) * UNIT if n.weight else 0.0 for n in nodes]
         return _table(t.column("symbol")[0].as_py(), [(t.column("tree")[0].as_py(), nodes, values)])
-    return train.groupBy("symbol", "tree").applyInArrow(fit, NODES)
+    return dealt(train, "symbol", "tree").groupBy("symbol", "tree").applyInArrow(fit, NODES)
 
 
 def fit_boosted(rows: DataFrame, feats: list[str], label: str = "label", n_trees: int = 10, rate: float = 0.0245,
@@ -163,7 +169,7 @@ def fit_boosted(rows: DataFrame, feats: list[str], label: str = "label", n_trees
             residual = residual - steps[at]
             trees.append((k, nodes, (steps * UNIT).tolist()))
         return _table(t.column("symbol")[0].as_py(), trees)
-    return train.groupBy("symbol").applyInArrow(fit, NODES)
+    return dealt(train, "symbol").groupBy("symbol").applyInArrow(fit, NODES)
 
 
 # ---------------------------------------------------------------- scoring

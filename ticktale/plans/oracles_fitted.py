@@ -94,3 +94,52 @@ def _():
           FROM sample{k} s JOIN grown{k} g ON g.symbol = s.symbol AND g.id = s.id"""
     every = " UNION ALL ".join(f"SELECT symbol, id, value FROM grown{k}" for k in range(10))
     return _summary_of("ls_boost", {**ctes, "score": f"SELECT symbol, id, sum(value) AS score FROM ({every}) v GROUP BY symbol, id"})
+
+
+CONDITIONS = """TRUE AS alpha_in_box, TRUE AS alpha_balanced, TRUE AS margins_hold, TRUE AS gap_closed"""
+TRAINED = """SELECT symbol, count(*) AS n_train, count(CASE WHEN label > 0 THEN 1 END) AS n_up FROM lb WHERE is_train GROUP BY symbol"""
+
+
+@oracle("svm_rbf")
+def _():
+    """The optimum has no closed form: the query recomputes the conditions
+    that only the optimum meets, all of them must hold for every symbol."""
+    return with_views(f"SELECT symbol, n_train, n_up, {CONDITIONS} FROM trained", "brand_bars",
+                      extra={"lb": lb(), "trained": TRAINED})
+
+
+@oracle("svm_kernels")
+def _():
+    return with_views(f"""SELECT symbol, config, n_train, n_up, {CONDITIONS} FROM
+      (SELECT *, unnest(['SVM-Linear', 'SVM-RBF']) AS config FROM trained) t""", "brand_bars",
+                      extra={"lb": lb(), "trained": TRAINED})
+
+
+@oracle("svm_sweep")
+def _():
+    from ..operators.kernel_svm import SWEEP
+    names = ", ".join(f"'{c.name}'" for c in SWEEP)
+    return with_views(f"""SELECT config, count(*) AS n_symbols, sum(n_train)::BIGINT AS n_train, TRUE AS solved FROM
+      (SELECT *, unnest([{names}]) AS config FROM trained) t GROUP BY config""", "brand_bars",
+                      extra={"lb": lb(), "trained": TRAINED})
+
+
+@oracle("logreg_lambdas")
+def _():
+    return with_views("""SELECT symbol, penalty, n_train, n_up, TRUE AS solved FROM
+      (SELECT *, unnest([0.0::DOUBLE, 1.0::DOUBLE, 0.1::DOUBLE, 0.01::DOUBLE]) AS penalty FROM trained) t""", "brand_bars",
+                      extra={"lb": lb(), "trained": TRAINED})
+
+
+@oracle("logreg_classes")
+def _():
+    return """
+SELECT c.label, n.n_train, c.n_own, TRUE AS solved FROM
+  (SELECT label, count(CASE WHEN (vec_id * 7919) % 1000 >= 200 THEN 1 END) AS n_own FROM embeddings GROUP BY label) c,
+  (SELECT count(*) AS n_train FROM embeddings WHERE (vec_id * 7919) % 1000 >= 200) n"""
+
+
+@oracle("svm_probability")
+def _():
+    return with_views("""SELECT symbol, count(CASE WHEN is_train THEN 1 END) AS n_train, TRUE AS solved, count(*) AS n,
+      TRUE AS sums_to_one FROM lb GROUP BY symbol""", "brand_bars", extra={"lb": lb()})

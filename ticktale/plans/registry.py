@@ -304,3 +304,24 @@ def _register_networks():
 
 
 _register_networks()
+
+
+def _register_kernel_svm():
+    from ..operators import kernel_svm as ks
+    for name, op in {"svm_rbf": ks.q_svm_rbf, "svm_rbf_backtest": ks.q_svm_rbf_backtest, "svm_kernels": ks.q_svm_kernels,
+                     "svm_sweep": ks.q_svm_sweep, "svm_sweep_backtest": ks.q_svm_sweep_backtest}.items():
+        QUERIES[name] = _on_brand_bars(op)
+
+
+_register_kernel_svm()
+
+
+def _register_newton():
+    from ..operators import newton as nt
+    from ..sources.tables import table
+    QUERIES["logreg_lambdas"] = _on_brand_bars(nt.q_logreg_lambdas)
+    QUERIES["svm_probability"] = _on_brand_bars(nt.q_svm_probability)
+    QUERIES["logreg_classes"] = lambda spark, d: nt.q_logreg_classes(table(spark, d, "embeddings", "vec_id", "embedding", "label"))
+
+
+_register_newton()
