@@ -8,7 +8,9 @@ test accuracy; a ``###`` line starts the next section.
 
 Parsing works per file (a file is one experiment's output): section =
 running count of ``###`` lines, config = previous line of an accuracy line,
-spread/time = the next one or two lines (a ``Time`` line means no spread).
+spread/time = the next one or two lines (a ``Time`` line means no spread). No
+task sees a whole file: positions and section numbers are running sums over a
+range-partitioned sort, neighbours come by a join on the position.
 Numbers are rounded before ``format_string`` so that the printed digits do
 not depend on the formatter's tie rule.
 """
@@ -19,6 +21,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import r6
+from ..session import written
+from .ranking import running_totals
+
+#: Columns that order the lines of a file.
+ORDER = ("sec", "blk", "pos")
 
 
 def fixed(x: Column, d: int) -> Column:
@@ -58,19 +65,23 @@ def to_log(metrics: DataFrame, sections: list[str], file: str = "run") -> DataFr
     return out.unionByName(marks)
 
 
-def _ordered(lines: DataFrame) -> Window:
-    return Window.partitionBy("file").orderBy("sec", "blk", "pos")
+def numbered_lines(lines: DataFrame, marks: Column, order: tuple[str, ...] = ORDER) -> DataFrame:
+    """(file, position, section, line): position from 1 inside the file, section
+    the running sum of ``marks``."""
+    text = lines.select("file", *order, F.coalesce("line", F.lit("")).alias("line"))
+    return written(running_totals(text, ["file"], list(order), position=F.lit(1), section=marks.cast("int")).select(
+        "file", "position", "section", "line"), "log-lines")
 
 
-def parse_run_log(lines: DataFrame) -> DataFrame:
+def parse_run_log(lines: DataFrame, order: tuple[str, ...] = ORDER) -> DataFrame:
     """(file, section, config, accuracy, spread, time)."""
-    o = _ordered(lines)
-    ln = F.trim("line")
-    d = lines.withColumn("t", ln).withColumn(
-        "section", F.sum(F.col("t").contains("###").cast("int")).over(o.rowsBetween(Window.unboundedPreceding, 0))) \
-        .withColumn("prev", F.lag("t").over(o)).withColumn("n1", F.lead("t", 1).over(o)) \
-        .withColumn("n2", F.lead("t", 2).over(o))
+    d = numbered_lines(lines, F.col("line").contains("###"), order).withColumn("t", F.trim("line"))
     acc = d.filter(F.col("t").contains("accuracy") & ~F.col("t").contains("###"))
+
+    def neighbour(name: str, step: int) -> DataFrame:
+        return d.select("file", (F.col("position") - step).alias("position"), F.col("t").alias(name))
+    for name, step in (("prev", -1), ("n1", 1), ("n2", 2)):
+        acc = acc.join(neighbour(name, step), ["file", "position"], "left")
     last_tok = lambda c: F.element_at(F.split(c, " "), -1)
     timed = F.col("n1").contains("Time")
     return acc.select(
@@ -102,14 +113,12 @@ RESULT_RE = r"^(?:###)?[ ]*(.*[^ ])[ ]+(-?[0-9.]+)[ ]+(-?[0-9.]+)[ ]+(-?[0-9.]+)
 SYM_RE = r"\(([^)]*)\)$"
 
 
-def parse_result_sections(lines: DataFrame) -> DataFrame:
+def parse_result_sections(lines: DataFrame, order: tuple[str, ...] = ORDER) -> DataFrame:
     """Per-symbol result lines '<name> (<SYM>)  train  test  sharpe' (or
     a bare symbol) in '###' sections -> (section, name, symbol, train, test,
     sharpe)."""
-    o = _ordered(lines)
-    d = lines.withColumn("section", F.sum(F.col("line").startswith("###").cast("int") +
-                                          (F.col("line").endswith("###")).cast("int"))
-                         .over(o.rowsBetween(Window.unboundedPreceding, 0)))
+    marks = F.col("line").startswith("###").cast("int") + F.col("line").endswith("###").cast("int")
+    d = numbered_lines(lines, marks, order)
     m = d.filter(F.col("line").rlike(RESULT_RE))
     g = lambda i: F.regexp_extract("line", RESULT_RE, i)
     label = g(1)
@@ -121,11 +130,23 @@ def parse_result_sections(lines: DataFrame) -> DataFrame:
                     g(4).cast("double").alias("sharpe"))
 
 
+#: What orders the lines of :func:`read_log`.
+READ_ORDER = ("part", "start", "at")
+
+
 def read_log(spark, path: str) -> DataFrame:
-    """A text file as ordered lines (whole file per row, then split)."""
-    t = spark.read.text(path, wholetext=True).withColumn("file", F.input_file_name())
-    return t.select("file", F.lit(0).alias("sec"), F.lit(0).alias("blk"),
-                    F.posexplode(F.split("value", "\n")).alias("pos", "line"))
+    """A log (one text file or a folder of part files) line by line. Large
+    files are read in splits: a split's first byte orders the splits of a
+    file, the running id the lines that one task reads from a split."""
+    return spark.read.text(path).select(
+        F.lit(path).alias("file"), F.col("_metadata.file_name").alias("part"),
+        F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at"),
+        F.col("value").alias("line"))
+
+
+def write_log(lines: DataFrame, path: str, order: tuple[str, ...] = ORDER) -> None:
+    """K9: the lines of one log as text; part files follow the order."""
+    lines.orderBy(*order).select("line").write.mode("overwrite").text(path)
 
 
 # ---------------------------------------------------------------- derived run metrics
@@ -162,6 +183,19 @@ def q_parse_run_log(brand_bars: DataFrame, day_bars: DataFrame) -> DataFrame:
                     r6("time").alias("time"))
 
 
+def q_read_run_log(brand_bars: DataFrame, day_bars: DataFrame) -> DataFrame:
+    """The log written as text, read line by line and parsed."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    spark = brand_bars.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/run-log-{uuid.uuid4().hex}"
+    write_log(to_log(run_metrics(brand_bars, day_bars), SECTIONS), path)
+    p = parse_run_log(read_log(spark, path), READ_ORDER)
+    return p.select("section", "config", r6("accuracy").alias("accuracy"), r6("spread").alias("spread"),
+                    r6("time").alias("time"))
+
+
 def q_news_gain_report(brand_bars: DataFrame, day_bars: DataFrame) -> DataFrame:
     g = gain_report(parse_run_log(to_log(run_metrics(brand_bars, day_bars), SECTIONS)))
     return g.select("config", r6("diff").alias("diff"), r6("percent").alias("percent"), "line")

@@ -803,6 +803,11 @@ SELECT section, config, {R6('accuracy')} AS accuracy, {R6('spread')} AS spread,
 FROM parsed""", "brand_bars", "event_bars_d", extra=_report_ctes())
 
 
+@oracle("read_run_log")
+def _():
+    return ORACLES["parse_run_log"]
+
+
 @oracle("news_gain_report")
 def _():
     f = _fixed

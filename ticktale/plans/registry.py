@@ -195,6 +195,7 @@ _register_compare()
 def _register_report():
     from ..operators import report as rp
     for name, op in {"report_lines": rp.q_report_lines, "parse_run_log": rp.q_parse_run_log,
+                     "read_run_log": rp.q_read_run_log,
                      "news_gain_report": rp.q_news_gain_report,
                      "parse_result_sections": rp.q_parse_result_sections}.items():
         QUERIES[name] = (lambda o: lambda spark, d: o(fx.brand_bars(spark, d), fx.event_bars_d(spark, d)))(op)
