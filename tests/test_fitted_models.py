@@ -147,3 +147,30 @@ def test_sigmoid_on_margins_no_model_has_seen(spark):
     assert all(g["gradient"] < 1e-8 for g in nt.gradients(rows, theta).collect())
     p = nt.probability(rows, theta).collect()
     assert all(0 < r["p"] < 1 for r in p) and all(r["theta"][1] > 0 for r in p)
+
+
+def test_networks_train_save_and_score(spark, tmp_path):
+    from ticktale.operators import networks as nn
+    df = bars(spark, n=150).where("symbol != 'one'")
+    nets = (nn.Net("deep", ("n/2", "n/5"), steps=60), nn.Net("flat", ("d", "d/2"), "linear", steps=60),
+            nn.Net("relu", ("12",), activation="relu", alpha=1e-3, steps=60))
+    nn.fit_networks(df, FEATS, nets).write.parquet(str(tmp_path / "units"))
+    units = spark.read.parquet(str(tmp_path / "units"))
+    scored = nn.score_networks(df, units, FEATS, nets)
+    got = {(r["symbol"], r["network"]): r for r in nn.losses(scored, units, nets).collect()}
+    assert len(got) == 6 and all(r["loss_found"] and r["loss_falls"] for r in got.values())
+    assert got["a", "deep"]["hidden"] == "75 30" and got["a", "flat"]["hidden"] == "2 1"
+    hit = scored.where("network = 'deep' AND is_train").agg(F.avg((F.col("signal") == F.col("label")).cast("double"))).first()[0]
+    assert hit > 0.75
+    worse = units.withColumn("weights", F.transform("weights", lambda w: w + 0.05))
+    assert not any(r["loss_found"] for r in nn.losses(nn.score_networks(df, worse, FEATS, nets), units, nets).collect())
+
+
+def test_network_gradient_is_that_of_the_loss():
+    from ticktale.operators import networks as nn
+    r = np.random.default_rng(3)
+    x, t = r.normal(size=(40, 2)), np.eye(2)[r.integers(0, 2, 40)]
+    for net in (nn.Net("a", ("6",), steps=400, rate=0.01), nn.Net("b", ("6", "4"), "linear", "relu", steps=400, rate=0.01)):
+        layers, start, loss = nn.train(net, x, t, [6] if net.name == "a" else [6, 4], 1)
+        assert loss < 0.8 * start and loss == nn.loss_of(net, nn.forward(net, layers, x)[-1], t)
+    assert [nn.width(s, 151, 2) for s in ("n/2", "n/5", "d", "d/2", "25")] == [76, 30, 2, 1, 25]

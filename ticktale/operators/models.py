@@ -12,10 +12,8 @@ Two fitting strategies:
   ``regParam = 1 / (C * N)`` resp. ``lambda / N`` on the mean loss. The
   per-symbol bias is a column (scaled by ``BIAS``), hence lightly
   regularised, unlike the study's free intercept.
-* **Trees** (``trees.py``): one job for all symbols, models as node tables.
-* **Perceptron networks of MLlib**: one fit per symbol, submitted concurrently
-  from a small thread pool so the jobs overlap; the symbol list is the only
-  thing the driver sees.
+* **Trees, networks, kernel machines** (``trees.py``, ``networks.py``,
+  ``kernel_svm.py``): one job for all symbols, models as tables.
 
 The labelled frame is checkpointed once (reliable checkpoint in the session's
 checkpoint directory) so fits never recompute the bar pipeline.
@@ -23,11 +21,10 @@ checkpoint directory) so fits never recompute the bar pipeline.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import LinearSVC, LogisticRegression, MultilayerPerceptronClassifier, OneVsRest
+from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest
 from pyspark.ml.feature import Interaction, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors, VectorUDT
@@ -217,22 +214,7 @@ def one_hot_targets(df: DataFrame, label: str = "label", out: str = "target") ->
     return enc.fit(t).transform(t).drop("_lab_idx")
 
 
-# ---------------------------------------------------------------- per-symbol fits
-def fit_each_symbol(df: DataFrame, make_estimator, features: str = "features", parallelism: int = 8) -> DataFrame:
-    """One fit per symbol, submitted concurrently; returns all predictions."""
-    symbols = [r.symbol for r in df.select("symbol").distinct().orderBy("symbol").collect()]
-
-    def one(s):
-        part = df.filter(F.col("symbol") == s)
-        # one symbol's bars are calendar-bounded: one task per iteration
-        return make_estimator().fit(part.filter("is_train").coalesce(1)).transform(part)
-
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        preds = list(pool.map(one, symbols))
-    keep = df.columns + ["prediction"]
-    return reduce(DataFrame.unionByName, [p.select(*keep) for p in preds])
-
-
+# ---------------------------------------------------------------- trees
 def tree_model(bars: DataFrame, max_depth: int | None = None) -> DataFrame:
     """One classification tree per symbol, grown fully by default."""
     feats = feature_columns(False)
@@ -258,56 +240,6 @@ def ls_boost(bars: DataFrame, n_trees: int = 10, rate: float = 0.0245, max_depth
     return T.sign_of_score(T.score_trees(df, T.fit_boosted(df, feats, n_trees=n_trees, rate=rate, max_depth=max_depth), feats))
 
 
-def mlp(bars: DataFrame, hidden=(100,), solver: str = "l-bfgs", max_iter: int = 100, step: float = 0.03,
-        with_news: bool = False) -> DataFrame:
-    """M6-M8: perceptron network per symbol (sigmoid hidden units, softmax
-    output) on normalised features."""
-    feats = feature_columns(with_news)
-    df = normalize(model_frame(bars, with_news), feats)
-    df = VectorAssembler(inputCols=feats, outputCol="features").transform(df).checkpoint()
-    layers = [len(feats), *hidden, 2]
-    return signal_from_prediction(fit_each_symbol(df, lambda: MultilayerPerceptronClassifier(
-        labelCol="label01", layers=layers, solver=solver, maxIter=max_iter, stepSize=step, seed=SEED)))
-
-
-# Network configurations of the comparison (M7/M8); "n" is the
-# symbol's training rows, "d" the feature count; n-based widths are capped.
-NETWORKS = (("nnet1", ("25",)), ("nnet2", ("25", "10")), ("ff3", ("25", "10", "4")),
-            ("nnet3", ("n/2",)), ("nnet4", ("n/2", "n/5")), ("ff5", ("d", "d/2")))
-WIDTH_CAP = 64
-
-
-def _width(spec: str, n: int, d: int) -> int:
-    v = {"n/2": n // 2, "n/5": n // 5, "d": d, "d/2": d // 2}.get(spec)
-    return max(1, min(WIDTH_CAP, v)) if v is not None else int(spec)
-
-
-def network_comparison(bars: DataFrame, networks=NETWORKS, max_iter: int = 50, parallelism: int = 8) -> DataFrame:
-    """Every network configuration on every symbol (one fit per
-    pair, submitted concurrently), summarised per symbol by the back-test."""
-    feats = feature_columns(False)
-    df = normalize(model_frame(bars), feats)
-    df = VectorAssembler(inputCols=feats, outputCol="features").transform(df).checkpoint()
-    counts = {r.symbol: r.n for r in df.filter("is_train").groupBy("symbol").agg(F.count("*").alias("n")).collect()}
-    jobs = [(name, spec, s) for name, spec in networks for s in sorted(counts)]
-
-    def one(job):
-        name, spec, s = job
-        layers = [len(feats), *[_width(x, counts[s], len(feats)) for x in spec], 2]
-        part = df.filter(F.col("symbol") == s)
-        m = MultilayerPerceptronClassifier(labelCol="label01", layers=layers, maxIter=max_iter, seed=SEED)
-        return m.fit(part.filter("is_train").coalesce(1)).transform(part).select(
-            *df.columns, "prediction").withColumn("net", F.lit(name))
-
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        preds = list(pool.map(one, jobs))
-    runs = []
-    for name, _ in networks:
-        p = reduce(DataFrame.unionByName, [x for x, j in zip(preds, jobs) if j[0] == name])
-        runs.append(backtest_summary(signal_from_prediction(p.drop("net")), name))
-    return reduce(DataFrame.unionByName, runs)
-
-
 # ---------------------------------------------------------------- literal-weight scorers
 # Illustrative weights for the literal-weight scorers (no
 # trained weights exist in the study's tree).
@@ -406,13 +338,6 @@ def q_classifier_comparison(bars: DataFrame) -> DataFrame:
                     r6("avg_acc").alias("avg_acc"))
 
 
-def q_network_comparison(bars: DataFrame) -> DataFrame:
-    from .compare import classifier_summary
-    c = classifier_summary(network_comparison(bars).checkpoint())
-    return c.select(F.col("strategy").alias("network"), r6("best_acc").alias("best_acc"), "best_symbol",
-                    r6("avg_acc").alias("avg_acc"))
-
-
 def q_tree(bars: DataFrame) -> DataFrame:
     return backtest_summary(tree_model(bars), "tree")
 
@@ -425,10 +350,6 @@ def q_ls_boost(bars: DataFrame) -> DataFrame:
     return backtest_summary(ls_boost(bars), "ls_boost")
 
 
-def q_mlp(bars: DataFrame) -> DataFrame:
-    return backtest_summary(mlp(bars, hidden=(25,), max_iter=50), "mlp")
-
-
 def q_sigmoid_score(bars: DataFrame) -> DataFrame:
     return sigmoid_score(bars)
 

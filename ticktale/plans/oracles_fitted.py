@@ -143,3 +143,28 @@ SELECT c.label, n.n_train, c.n_own, TRUE AS solved FROM
 def _():
     return with_views("""SELECT symbol, count(CASE WHEN is_train THEN 1 END) AS n_train, TRUE AS solved, count(*) AS n,
       TRUE AS sums_to_one FROM lb GROUP BY symbol""", "brand_bars", extra={"lb": lb()})
+
+
+def _losses(nets) -> str:
+    """Hidden widths from the symbol's rows and the two features."""
+    def sql(spec: str) -> str:
+        if spec[0] not in "nd":
+            return spec
+        base = "n" if spec[0] == "n" else "2"
+        return f"greatest(1, floor({base} / {float(spec[2:] or 1)!r}::DOUBLE + 0.5)::INTEGER)"
+    arms = " UNION ALL ".join(
+        f"SELECT symbol, '{net.name}' AS network, n, concat_ws(' ', {', '.join(map(sql, net.hidden))}) AS hidden FROM sized" for net in nets)
+    return with_views(f"SELECT *, TRUE AS loss_found, TRUE AS loss_falls FROM ({arms}) a", "brand_bars",
+                      extra={"lb": lb(), "sized": "SELECT symbol, count(*) AS n FROM lb GROUP BY symbol"})
+
+
+@oracle("network_losses")
+def _():
+    from ..operators.networks import NETWORKS
+    return _losses(NETWORKS)
+
+
+@oracle("mlp_loss")
+def _():
+    from ..operators.networks import MLP
+    return _losses((MLP,))

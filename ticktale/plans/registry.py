@@ -144,7 +144,7 @@ def _register_models():
                      "svm_rbf_rff": md.q_svm("rbf", c=20.0, gamma=0.2),
                      "svm_sigmoid_landmark": md.q_svm("sigmoid", c=1.0, gamma=0.1),
                      "tree": md.q_tree, "bagged_trees": md.q_bagged_trees, "ls_boost": md.q_ls_boost,
-                     "mlp": md.q_mlp, "sigmoid_score": md.q_sigmoid_score,
+                     "sigmoid_score": md.q_sigmoid_score,
                      "mlp_forward": md.q_mlp_forward}.items():
         QUERIES[name] = _on_brand_bars(op)
     QUERIES["logreg_ovr"] = lambda spark, d: md.q_logreg_ovr(table(spark, d, "embeddings"))
@@ -300,8 +300,10 @@ _register_comparison()
 
 
 def _register_networks():
-    from ..operators import models as md
-    QUERIES["network_comparison"] = _on_brand_bars(md.q_network_comparison)
+    from ..operators import networks as nn
+    for name, op in {"mlp": nn.q_mlp, "mlp_loss": nn.q_mlp_loss, "network_comparison": nn.q_network_comparison,
+                     "network_losses": nn.q_network_losses}.items():
+        QUERIES[name] = _on_brand_bars(op)
 
 
 _register_networks()
