@@ -424,7 +424,9 @@ def test_language_keeps_rare_words(spark):
     assert all(got[i] == x for i, _, x in rows if i is not None)
 
 
-def test_language_blocks_equal_brute_force(spark, monkeypatch):
+@pytest.mark.parametrize("common", [0, 5, 200_000])
+def test_language_blocks_equal_brute_force(spark, monkeypatch, common):
+    monkeypatch.setattr(language, "COMMON", common)
     r = random.Random(25)
     rows = [(i, " ".join("".join(r.choice("abcdeé" if i % 2 else "cdefgß") for _ in range(r.randint(1, 5))) for _ in range(30)),
              ("de", "en", None)[i % 3]) for i in range(60)] + [(60, None, "en")]

@@ -14,7 +14,13 @@ share in the softmax of the mean log-likelihoods per word, between 0 and 1.
 Documents are cut into blocks of about ``BLOCK`` characters. Every word of the
 corpus is scored once: known words by a join with the model, unseen words in
 blocks of ``WORDS`` that ask the model for their n-grams. A block then asks for
-the scores of its distinct words, so a common word counts once per block.
+the scores of its distinct words, so a word counts once per block. The
+``COMMON`` most frequent words, a table of bounded size, travel to the tasks
+and are added up there; it spares the exchange the words that every block
+holds and changes no result.
+
+A run of more than ``LONG_WORD`` letters (scripts without blanks) counts as
+consecutive words of that many letters, the last one shorter.
 
 Defined results: ``und`` with score 0 for a null text, a text without a letter
 and when nothing could be learned; ties go to the first language by code
@@ -40,7 +46,8 @@ from ticktale.llm.tokens import slices
 LONG_WORD = 40              # longer letter runs count as words of this length
 LETTERS = regex.compile(rf"\p{{L}}{{1,{LONG_WORD}}}")
 FOLD = 200_000              # entries a task counts before it passes them on
-BLOCK = 8 << 20             # characters of the documents that share a word list
+COMMON = 200_000            # words whose scores travel to the tasks
+BLOCK = 32 << 20            # characters of the documents that share a word list
 WORDS = 10_000              # unseen words that share a list of n-grams
 
 
@@ -103,8 +110,10 @@ def train(docs: DataFrame, learn: Column, text_col: str = "text", lang_col: str
         F.col(lang_col).alias("lang"), text_of(text_col).alias("text"))
     words = stored(rows.mapInArrow(_count_words, UNITS).groupBy("lang", "unit", "n")
                    .agg(F.sum("cnt").alias("cnt")), "lang-words")
-    gram = words.select("lang", "unit", "cnt").mapInArrow(_count_grams(order), UNITS)
-    return stored(words.unionByName(gram.groupBy("lang", "unit", "n").agg(F.sum("cnt").alias("cnt"))), "lang-units")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    gram = words.select("lang", "unit", "cnt").repartition(parts, "unit").mapInArrow(_count_grams(order), UNITS)
+    gram = stored(gram.groupBy("lang", "unit", "n").agg(F.sum("cnt").alias("cnt")), "lang-grams")
+    return words.unionByName(gram)
 
 
 class _Ids(dict):
@@ -119,29 +128,40 @@ def _block_id() -> int:
     return uuid.uuid4().int >> 65
 
 
-def _encode(batches):
-    """Documents as word numbers of their block; ``units`` are the words that
-    are new to the block, numbered from ``base``."""
-    ids, block, size = _Ids(), _block_id(), 0
-    for b in batches:
-        for carried, texts in slices(b):
-            base, units, nos, freqs = [], [], [], []
-            blocks = []
-            for t in texts:
-                if size >= BLOCK:
-                    ids, block, size = _Ids(), _block_id(), 0
-                c = Counter(words_of(t))
-                base.append(len(ids))
-                no = [ids[w] for w in c]
-                units.append([w for w, i in zip(c, no) if i >= base[-1]])
-                nos.append(no)
-                freqs.append(list(c.values()))
-                blocks.append(block)
-                size += len(t)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(blocks, pa.int64()), carried, pa.array(base, pa.int32()), pa.array(units, pa.list_(pa.string())),
-                 pa.array(nos, pa.list_(pa.int32())), pa.array(freqs, pa.list_(pa.int32()))],
-                names=["block", "carried", "base", "units", "ids", "freqs"])
+def _encode(common):
+    """Documents as the sum over their common words and the numbers of the
+    other words in their block; ``units`` are the words that are new to the
+    block, numbered from ``base``. ``common``: words and their scores."""
+    def run(batches):
+        words, scores = common.value
+        place = dict(zip(words, range(len(words)))).get
+        ids, block, size = _Ids(), _block_id(), 0
+        for b in batches:
+            for carried, texts in slices(b):
+                cols: list[list] = [[] for _ in range(7)]
+                for t in texts:
+                    if size >= BLOCK:
+                        ids, block, size = _Ids(), _block_id(), 0
+                    c = Counter(words_of(t))
+                    at = np.fromiter((place(w, -1) for w in c), np.int64, len(c))
+                    freqs = np.fromiter(c.values(), np.int64, len(c))
+                    known = at >= 0
+                    base = len(ids)
+                    rest = [w for w, k in zip(c, known.tolist()) if not k]
+                    no = [ids[w] for w in rest]
+                    row = (block, base, [w for w, i in zip(rest, no) if i >= base], no, freqs[~known],
+                           freqs[known] @ scores[at[known]], int(freqs[known].sum()))
+                    for col, v in zip(cols, row):
+                        col.append(v)
+                    size += len(t)
+                kinds = [pa.int64(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.int32()),
+                         pa.list_(pa.float64()), pa.int64()]
+                yield pa.RecordBatch.from_arrays([carried, *map(pa.array, cols, kinds)],
+                                                 names=["carried", *(x.split()[0] for x in CODED.split(", "))])
+    return run
+
+
+CODED = "block long, base int, units array<string>, ids array<int>, freqs array<int>, known array<double>, n_known long"
 
 
 def _longest(w: str, order: int) -> int:
@@ -205,16 +225,17 @@ def _decide(langs: list[str]):
         matrix[found.column("id").to_numpy()] = (
             found.column("logs").combine_chunks().flatten().to_numpy().reshape(-1, len(langs)))
         lang, score = [], []
-        for nos, freqs in zip(docs.column("ids"), docs.column("freqs")):
+        for nos, freqs, known, n_known in zip(*(docs.column(c) for c in ("ids", "freqs", "known", "n_known"))):
             nos, freqs = nos.values.to_numpy(), freqs.values.to_numpy()
-            if not len(nos):
+            n_words = int(freqs.sum()) + n_known.as_py()
+            if not n_words:
                 lang.append("und")
                 score.append(0.0)
                 continue
-            sums = freqs @ matrix[nos]
+            sums = known.values.to_numpy() + freqs @ matrix[nos]
             best = int(np.argmax(sums))
             lang.append(langs[best])
-            score.append(float(1.0 / np.exp((sums - sums[best]) / freqs.sum()).sum()))
+            score.append(float(1.0 / np.exp((sums - sums[best]) / n_words).sum()))
         return pa.table({"carried": docs.column("carried"), "lang_pred": pa.array(lang, pa.string()),
                          "score": pa.array(score, pa.float64())})
     return run
@@ -238,11 +259,14 @@ def predict(docs: DataFrame, model: DataFrame, carry: list[Column], text_col: st
     def log_of(x: str) -> Column:
         share = F.col("cnt") / by_n(total.get((x, n), 1) for n in range(order + 1))
         return F.coalesce(F.max(F.when(F.col("lang") == x, F.log(share))), by_n(floors))
-    table = stored(model.groupBy("n", "unit").agg(F.array(*map(log_of, langs)).alias("logs")), "lang-model")
+    table = stored(model.groupBy("n", "unit").agg(F.array(*map(log_of, langs)).alias("logs"),
+                                                  F.sum("cnt").alias("total")), "lang-model")
+    top = table.where("n = 0").orderBy(F.desc("total"), "unit").limit(COMMON).collect()
+    common = docs.sparkSession.sparkContext.broadcast(
+        ([r["unit"] for r in top], np.array([r["logs"] for r in top], float).reshape(-1, len(langs))))
     seen = table.where("n = 0").select("unit", "logs")
     kind = rows.schema["carried"].dataType.simpleString()
-    coded = stored(rows.mapInArrow(_encode, f"block long, carried {kind}, base int, units array<string>, "
-                                            "ids array<int>, freqs array<int>"), "lang-docs")
+    coded = stored(rows.mapInArrow(_encode(common), f"carried {kind}, {CODED}"), "lang-docs")
     asked = (coded.select("block", "base", F.posexplode("units").alias("i", "unit"))
              .select("block", (F.col("base") + F.col("i")).alias("id"), "unit"))
     unseen = asked.select("unit").distinct().join(seen, "unit", "left_anti")
@@ -253,7 +277,7 @@ def predict(docs: DataFrame, model: DataFrame, carry: list[Column], text_col: st
               .applyInArrow(_back_off(floors[1], len(langs), order), "unit string, logs array<double>"))
     answers = asked.join(seen.unionByName(stored(scored, "lang-backoff")), "unit").select(
         F.col("block").alias("asked_by"), "id", "logs")
-    out = (coded.select("block", "carried", "ids", "freqs").groupBy("block").cogroup(answers.groupBy("asked_by"))
+    out = (coded.drop("base", "units").groupBy("block").cogroup(answers.groupBy("asked_by"))
            .applyInArrow(_decide(langs), f"carried {kind}, lang_pred string, score double"))
     return out.select("carried.*", "lang_pred", "score")
 
