@@ -46,7 +46,7 @@ from ticktale.llm.tokens import slices
 LONG_WORD = 40              # longer letter runs count as words of this length
 LETTERS = regex.compile(rf"\p{{L}}{{1,{LONG_WORD}}}")
 FOLD = 200_000              # entries a task counts before it passes them on
-COMMON = 200_000            # words whose scores travel to the tasks
+COMMON = 50_000             # words whose scores travel to the tasks
 BLOCK = 32 << 20            # characters of the documents that share a word list
 WORDS = 10_000              # unseen words that share a list of n-grams
 
