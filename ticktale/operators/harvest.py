@@ -81,6 +81,10 @@ def q_link_sections(pages: DataFrame) -> DataFrame:
     return link_sections(page_links(pages))
 
 
+def q_wanted_links(pages: DataFrame) -> DataFrame:
+    return wanted_links(page_links(pages))
+
+
 def q_unseen_links(pages: DataFrame) -> DataFrame:
     seen = pages.select(company_of().alias("company"), F.col("url").alias("link"))
     return unseen_links(page_links(pages), seen)

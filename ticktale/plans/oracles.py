@@ -180,8 +180,8 @@ FROM (
   SELECT f.*, '60min' AS source_interval FROM fine f
   JOIN cut USING (symbol)
   JOIN (SELECT symbol, min(ts) AS first_ts FROM fine GROUP BY symbol) m USING (symbol)
-  WHERE f.ts > m.first_ts) u""", "event_bars_h", "event_bars_6h", extra={
-        "fine": "SELECT * FROM event_bars_h",
+  WHERE f.ts > m.first_ts) u""", "event_bars_h", "event_bars_6h", "late_bars_h", extra={
+        "fine": "SELECT * FROM late_bars_h",
         "cut": """SELECT f.symbol, min(f.ts) AS cut FROM fine f
                   WHERE EXISTS (SELECT 1 FROM event_bars_6h c WHERE c.symbol = f.symbol AND c.ts = f.ts)
                   GROUP BY f.symbol"""})
@@ -304,7 +304,7 @@ from ..functions.html import paragraphs_sql  # noqa: E402
 COMPANY_SQL = """CASE page_id % 5 WHEN 0 THEN 'click' WHEN 1 THEN 'error' WHEN 2 THEN 'purchase'
                  WHEN 3 THEN 'signup' ELSE 'view' END"""
 LI_RE_SQL = """'<li[^>]*>[ \\t\\n\\r\\f]*<a[^>]*href="([^"]*)"[^>]*>([^<]*)</a>'"""
-LINKS = f"""
+LINKS_OF = f"""
   SELECT {COMPANY_SQL} AS company, page_id, CAST(pos AS BIGINT) AS pos,
          CASE WHEN starts_with(href, 'http') THEN href
               ELSE regexp_extract(url, '^(https?://[^/]+)', 1) || href END AS link,
@@ -313,7 +313,8 @@ LINKS = f"""
                unnest(range(len(regexp_extract_all(html, {LI_RE_SQL}, 1)))) AS pos,
                unnest(regexp_extract_all(html, {LI_RE_SQL}, 1)) AS href,
                unnest(regexp_extract_all(html, {LI_RE_SQL}, 2)) AS section
-        FROM pages) x"""
+        FROM {{pages}}) x"""
+LINKS = LINKS_OF.format(pages="pages")
 
 
 @oracle("page_text")
@@ -334,7 +335,7 @@ def _():
     return with_views("""
 SELECT company, lower(section) AS section, count(*) AS n_links, count(DISTINCT link) AS n_distinct,
        lower(section) IN ('technology', 'business', 'climate', 'energy & environment') AS wanted
-FROM links GROUP BY company, lower(section)""", extra={"links": LINKS})
+FROM links GROUP BY company, lower(section)""", "news_pages", extra={"links": LINKS_OF.format(pages="news_pages")})
 
 
 @oracle("unseen_links")
@@ -345,16 +346,24 @@ WHERE NOT EXISTS (SELECT 1 FROM pages p WHERE {COMPANY_SQL.replace('page_id', 'p
                   AND p.url = l.link)""", extra={"links": LINKS})
 
 
+@oracle("wanted_links")
+def _():
+    return with_views("""
+SELECT company, page_id, pos, link, section FROM links
+WHERE lower(section) IN ('technology', 'business', 'climate', 'energy & environment')""", "news_pages",
+                      extra={"links": LINKS_OF.format(pages="news_pages")})
+
+
 @oracle("publish_date")
 def _():
     raw = """regexp_extract(html, '<time[^>]*datetime="([^"]*)"', 1)"""
-    return f"""
+    return with_views(f"""
 SELECT page_id, url, raw_date,
        coalesce(CAST(try_strptime(raw_date, '%Y-%m-%d') AS DATE),
                 CAST(try_strptime(replace(raw_date, 'Sept', 'Sep'), '%b. %d, %Y') AS DATE),
                 CASE WHEN try_strptime(raw_date, '%Y-%m-%dT%H:%M:%S%z') IS NOT NULL
                      THEN CAST(try_strptime(left(raw_date, 10), '%Y-%m-%d') AS DATE) END) AS pub_date
-FROM (SELECT page_id, url, {raw} AS raw_date FROM pages) p WHERE raw_date <> ''"""
+FROM (SELECT page_id, url, {raw} AS raw_date FROM news_pages) p WHERE raw_date <> ''""", "news_pages")
 
 
 # ------------------------------------------------------------------ news

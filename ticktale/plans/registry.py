@@ -57,7 +57,7 @@ def _missing_series(spark, d):
 @query("stitch_intervals")
 def _stitch(spark, d):
     from ..operators.stitch import q_stitch_intervals
-    return q_stitch_intervals(fx.event_bars_6h(spark, d), fx.event_bars_h(spark, d))
+    return q_stitch_intervals(fx.event_bars_6h(spark, d), fx.late_bars_h(spark, d))
 
 
 # step 4: text
@@ -98,9 +98,11 @@ def _register_harvest():
     from ..operators import harvest as hv
     from ..sources.tables import table
     for name, op in {"page_text": hv.q_page_text, "page_links": hv.q_page_links,
-                     "link_sections": hv.q_link_sections, "unseen_links": hv.q_unseen_links,
-                     "publish_date": hv.q_publish_date}.items():
+                     "unseen_links": hv.q_unseen_links}.items():
         QUERIES[name] = (lambda o: lambda spark, d: o(table(spark, d, "pages", "page_id", "url", "html")))(op)
+    for name, op in {"link_sections": hv.q_link_sections, "wanted_links": hv.q_wanted_links,
+                     "publish_date": hv.q_publish_date}.items():
+        QUERIES[name] = (lambda o: lambda spark, d: o(fx.news_pages(spark, d)))(op)
 
 
 _register_harvest()

@@ -6,7 +6,10 @@ date. The test tables have neither, so these views derive them:
 * ``brand_bars``   daily bars per part brand from lineitem x part
 * ``event_bars_h`` hourly bars per event type from events (``_6h``: 6-hour)
 * ``event_bars_d`` daily bars per event type, weekdays only (gaps on purpose)
+* ``late_bars_h``  the hourly bars from the middle of each symbol's 6-hour series
 * ``articles``     documents spread over 5 symbols and the days of January 2024
+* ``news_pages``   pages with a publication stamp (four forms, some without)
+  and one more labelled link
 
 Each view has a Spark builder and the same definition as DuckDB SQL (used by
 the oracles in ``plans.oracles``). Ties in first/last are broken by unique ids.
@@ -81,6 +84,35 @@ def event_bars_d(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bars.filter(F.weekday("bar_date") < 5)
 
 
+def late_bars_h(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A finer series that begins later than the coarse one, as stored vendor
+    histories do: hourly bars from the middle day of the 6-hour series."""
+    day = F.to_date("ts")
+    span = event_bars_6h(spark, sf_dir).groupBy("symbol").agg(F.min(day).alias("_lo"), F.max(day).alias("_hi"))
+    start = span.select("symbol", F.date_add("_lo", F.floor(F.datediff("_hi", "_lo") / 2).cast("int")).alias("_start"))
+    return event_bars_h(spark, sf_dir).join(start, "symbol").filter(day >= F.col("_start")).drop("_start")
+
+
+# labels of the added link, by page id
+PAGE_SECTIONS = ("Technology", "Sports", "Business", "World", "CLIMATE", "Energy & Environment", "Arts")
+
+
+def news_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as a news site serves them: a <time> stamp before the article (ISO
+    date, 'Mon. d, yyyy', stamp with offset; every fourth page has none) and a
+    last navigation link labelled with a section."""
+    pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
+    pid = F.col("page_id")
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (pid % 366).cast("int"))
+    iso = F.date_format(day, "yyyy-MM-dd")
+    stamp = (F.when(pid % 4 == 0, iso).when(pid % 4 == 1, F.replace(F.date_format(day, "MMM. d, yyyy"), F.lit("Sep."), F.lit("Sept.")))
+             .when(pid % 4 == 2, F.concat(iso, F.lit("T09:30:00-0500"))))
+    section = F.element_at(F.array(*[F.lit(v) for v in PAGE_SECTIONS]), (pid % len(PAGE_SECTIONS) + 1).cast("int"))
+    html = F.replace("html", F.lit("<article>"), F.coalesce(F.concat(F.lit('<time datetime="'), stamp, F.lit('"></time><article>')), F.lit("<article>")))
+    link = F.concat(F.lit('<li><a href="/s/'), pid, F.lit('">'), section, F.lit("</a></li></ul></nav>"))
+    return pages.select("page_id", "url", F.replace(html, F.lit("</ul></nav>"), link).alias("html"))
+
+
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as news articles: symbol by ``doc_id % 5``, day by ``doc_id % 30``."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
@@ -123,6 +155,20 @@ VIEW_SQL = {
                  arg_max(value, row(ts, event_id)) AS close, count(*) AS volume
           FROM events GROUP BY event_type, CAST(ts AS DATE)) b
         WHERE isodow(bar_date) < 6""",
+    "late_bars_h": """
+        SELECT h.* FROM event_bars_h h JOIN (
+          SELECT symbol, CAST(min(CAST(ts AS DATE)) + CAST(floor(date_diff('day', min(CAST(ts AS DATE)), max(CAST(ts AS DATE))) / 2) AS INTEGER) AS DATE) AS start_day
+          FROM event_bars_6h GROUP BY symbol) m ON m.symbol = h.symbol
+        WHERE CAST(h.ts AS DATE) >= m.start_day""",
+    "news_pages": """
+        SELECT page_id, url, replace(replace(html, '<article>',
+                 coalesce('<time datetime="' || CASE page_id % 4
+                   WHEN 0 THEN strftime(pday, '%Y-%m-%d')
+                   WHEN 1 THEN replace(strftime(pday, '%b. %-d, %Y'), 'Sep.', 'Sept.')
+                   WHEN 2 THEN strftime(pday, '%Y-%m-%d') || 'T09:30:00-0500' END || '"></time><article>', '<article>')),
+               '</ul></nav>', '<li><a href="/s/' || page_id || '">' || ['Technology', 'Sports', 'Business', 'World', 'CLIMATE',
+                 'Energy & Environment', 'Arts'][page_id % 7 + 1] || '</a></li></ul></nav>') AS html
+        FROM (SELECT *, CAST(DATE '2024-01-01' + CAST(page_id % 366 AS INTEGER) AS DATE) AS pday FROM pages) p""",
     "articles": """
         SELECT CASE doc_id % 5 WHEN 0 THEN 'click' WHEN 1 THEN 'error' WHEN 2 THEN 'purchase'
                                WHEN 3 THEN 'signup' ELSE 'view' END AS symbol,
@@ -136,7 +182,9 @@ VIEWS = {
     "event_bars_h": event_bars_h,
     "event_bars_6h": event_bars_6h,
     "event_bars_d": event_bars_d,
+    "late_bars_h": late_bars_h,
     "articles": articles,
+    "news_pages": news_pages,
 }
 
 
