@@ -93,16 +93,44 @@ def test_date_floor_class_count_one_hot_and_semi_join(spark):
     assert [(r.symbol, r.p_up) for r in out] == [("A", 0.0), ("A", 0.7)]
 
 
+CHIPS = "<p>Chip makers rallied. Chip demand grew strongly. Markets cheered chip makers.</p></body></html>"
+BANKS = "<p>Banks fell sharply. Bank shares slid. Lenders worried banks.</p></body></html>"
+PAGES = "page_id long, url string, html string"
+
+
+def _page(stamp, body):
+    return f'<html><body><time datetime="{stamp}"></time>{body}' if stamp else f"<html><body>{body}"
+
+
 def test_stream_intake_processes_a_link_once(spark):
     from ticktale.streaming import incremental as inc
-    body = "<html><body><p>Chip makers rallied. Chip demand grew strongly. Markets cheered chip makers.</p></body></html>"
-    other = "<html><body><p>Banks fell sharply. Bank shares slid. Lenders worried banks.</p></body></html>"
-    pages = spark.createDataFrame([(0, "http://n/a", body), (5, "http://n/a", other), (6, "http://n/b", other)],
-                                  "page_id long, url string, html string")
-    # page ids 0 and 5 share company (id % 5 == 0) and link: only page 0 counts
-    out = inc.q_incremental_articles(spark, pages, chunks=3)
-    got = {(r.link, r.page_id) for r in out.collect()}
-    assert ("http://n/a", 0) in {(a, b) for a, b in got}
-    assert all(b != 5 for _, b in got)
-    batch = {(r.link, r.page_id) for r in inc.article_store(pages).collect()}
-    assert got == batch
+    pages = spark.createDataFrame([(0, "http://n/a", _page("2024-03-01", CHIPS)), (5, "http://n/a", _page("2024-03-02", BANKS)),
+                                   (6, "http://n/b", _page("Sept. 3, 2024", BANKS)), (7, "http://n/c", _page("", CHIPS))], PAGES)
+    # page ids 0 and 5 share company (id % 5 == 0) and link: only page 0 counts; page 7 has no date
+    out = inc.q_incremental_articles(spark, pages, chunks=3).collect()
+    assert {(r.link, r.page_id, str(r.pub_date)) for r in out} == {("http://n/a", 0, "2024-03-01"), ("http://n/b", 6, "2024-09-03")}
+    assert sorted(out) == sorted(inc.article_store(pages).collect())
+
+
+def test_intake_goes_on_after_a_restart_and_starts_again_on_reset(spark, tmp_path):
+    from ticktale.streaming import incremental as inc
+    landing, root = str(tmp_path / "landing"), str(tmp_path / "intake")
+
+    def land(*rows):
+        spark.createDataFrame(list(rows), PAGES).coalesce(1).write.mode("append").parquet(landing)
+
+    def run(mode):
+        q = inc.start_intake(spark, landing, root, mode)
+        if q is not None:
+            q.awaitTermination()
+        return {r.page_id for r in inc.read_intake(spark, root).collect()}
+    # many copies of one link in a batch, and a link whose first page has no date
+    land(*[(5 * i, "http://n/a", _page("2024-03-01", CHIPS)) for i in range(3, 300)], (11, "http://n/u", _page("", BANKS)))
+    assert run("extend") == {15}
+    land((0, "http://n/a", _page("2024-03-01", CHIPS)), (6, "http://n/b", _page("2024-03-04", BANKS)),
+         (16, "http://n/u", _page("2024-03-05", BANKS)))
+    assert run("keep") == {15}
+    assert run("extend") == {15, 6}             # seen links stay seen, the undated one too
+    assert run("extend") == {15, 6}
+    assert run("reset") == {0, 6}               # all pages again, in one batch: page 11 has no date
+    assert inc.newest_generation(spark, root) == 1

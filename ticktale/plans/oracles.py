@@ -354,16 +354,19 @@ WHERE lower(section) IN ('technology', 'business', 'climate', 'energy & environm
                       extra={"links": LINKS_OF.format(pages="news_pages")})
 
 
-@oracle("publish_date")
-def _():
-    raw = """regexp_extract(html, '<time[^>]*datetime="([^"]*)"', 1)"""
-    return with_views(f"""
+PAGE_DATES = """
 SELECT page_id, url, raw_date,
        coalesce(CAST(try_strptime(raw_date, '%Y-%m-%d') AS DATE),
                 CAST(try_strptime(replace(raw_date, 'Sept', 'Sep'), '%b. %d, %Y') AS DATE),
                 CASE WHEN try_strptime(raw_date, '%Y-%m-%dT%H:%M:%S%z') IS NOT NULL
                      THEN CAST(try_strptime(left(raw_date, 10), '%Y-%m-%d') AS DATE) END) AS pub_date
-FROM (SELECT page_id, url, {raw} AS raw_date FROM news_pages) p WHERE raw_date <> ''""", "news_pages")
+FROM (SELECT page_id, url, regexp_extract(html, '<time[^>]*datetime="([^"]*)"', 1) AS raw_date FROM {pages}) p
+WHERE raw_date <> ''"""
+
+
+@oracle("publish_date")
+def _():
+    return with_views(PAGE_DATES.format(pages="news_pages"), "news_pages")
 
 
 # ------------------------------------------------------------------ news
@@ -851,14 +854,19 @@ WHERE regexp_full_match(line, {rx})""", "brand_bars", "event_bars_d", extra=_rep
 # ------------------------------------------------------------------ article store (batch and stream)
 def _article_store_sql() -> str:
     p = paragraphs_sql("html")
-    c = _keyword_ctes()
-    c["docsrc"] = f"SELECT page_id AS doc_id, trim(array_to_string({p}, ' ')) AS text FROM pages"
+    company = COMPANY_SQL.replace("page_id", "n.page_id")
+    c = {"first_pages": f"""SELECT * FROM (SELECT n.*, {company} AS company, row_number() OVER (PARTITION BY {company}, url ORDER BY page_id) AS copy
+                              FROM news_pages n) f WHERE copy = 1""",
+         "dated": f"SELECT page_id, pub_date FROM ({PAGE_DATES.format(pages='first_pages')}) t", **_keyword_ctes()}
+    c["docsrc"] = f"""SELECT page_id AS doc_id, trim(array_to_string({p}, ' ')) AS text FROM first_pages
+                      WHERE page_id IN (SELECT page_id FROM dated)"""
     return with_views(f"""
-SELECT {COMPANY_SQL.replace('page_id', 'k.doc_id')} AS company, p.url AS link, k.doc_id AS page_id, k.keyword,
+SELECT p.company, p.url AS link, k.doc_id AS page_id, d.pub_date, k.keyword,
        {substring_count_sql('s.summary', 'k.keyword')} AS cnt
 FROM (SELECT doc_id, word AS keyword FROM kw UNION ALL SELECT doc_id, phrase FROM phr) k
 JOIN summ s ON s.doc_id = k.doc_id
-JOIN pages p ON p.page_id = k.doc_id""", extra=c)
+JOIN dated d ON d.page_id = k.doc_id
+JOIN first_pages p ON p.page_id = k.doc_id""", "news_pages", extra=c)
 
 
 ORACLES["article_store"] = _article_store_sql()

@@ -208,11 +208,9 @@ _register_report()
 
 # step 14: article store, batch and streaming
 def _register_stream():
-    from ..sources.tables import table
     from ..streaming import incremental as inc
-    QUERIES["article_store"] = lambda spark, d: inc.article_store(table(spark, d, "pages", "page_id", "url", "html"))
-    QUERIES["incremental_articles"] = lambda spark, d: inc.q_incremental_articles(
-        spark, table(spark, d, "pages", "page_id", "url", "html"))
+    QUERIES["article_store"] = lambda spark, d: inc.article_store(fx.news_pages(spark, d))
+    QUERIES["incremental_articles"] = lambda spark, d: inc.q_incremental_articles(spark, fx.news_pages(spark, d))
 
 
 _register_stream()

@@ -1,14 +1,21 @@
 """Incremental article intake (T1, J7, G3, K5) as Structured Streaming.
 
-Landed pages arrive as files in a directory. Each micro-batch:
+Landed pages arrive as files in a directory. The stream
 
-1. keeps one page per (company, link) inside the batch (smallest page id);
-2. drops links already in the seen list (anti join, J7), a small table of
-   (company, link) kept next to the store, as the study's per-company list;
+1. keeps one page per (company, link): the smallest page id of the batch that
+   brings the link first. What was seen is state, one long per (company, link)
+   in the state store of the link's partition; no list is read again (J7);
+2. dates the page (F12, X1); a page without a date is no article, but its link
+   counts as seen (Q12);
 3. runs page text -> summary -> keywords -> counts (G1, G2, X8);
-4. appends keyword rows to the store, written per batch id with dynamic
-   partition overwrite, so a replayed batch replaces its own output
-   (exactly-once with the query checkpoint).
+4. writes the batch's keyword rows under its batch id with dynamic partition
+   overwrite, so a replayed batch replaces its own output (exactly-once with the
+   query checkpoint).
+
+An intake folder holds generations, each with its own store and checkpoint.
+``extend`` goes on with the newest one and adds articles of unseen links,
+``reset`` starts the next one with an empty state, ``keep`` processes nothing.
+Readers take the newest generation; old ones stay until someone drops them.
 
 The batch form :func:`article_store` gives the same rows for the same pages.
 """
@@ -18,10 +25,11 @@ from __future__ import annotations
 import os
 import uuid
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.harvest import company_of, page_text
+from ..operators.harvest import company_of, dated_pages, page_text
 from ..operators.keywords import extract_keywords, keyword_counts, keyword_phrases
 from ..operators.text import summaries
 from ..session import ensure_checkpoint_dir
@@ -36,21 +44,23 @@ def first_per_link(pages: DataFrame) -> DataFrame:
     return p.join(first, ["company", "link", "page_id"], "left_semi")
 
 
-def article_keywords(pages: DataFrame, sep: str = " ") -> DataFrame:
-    """G3 on landed pages: (company, link, page_id, keyword, cnt)."""
-    p = first_per_link(pages)
-    txt = page_text(p.select("page_id", F.col("link").alias("url"), "html"), sep)
+def article_keywords(fresh: DataFrame, sep: str = " ") -> DataFrame:
+    """G3 on one page per link (company, link, page_id, html): ``company, link,
+    page_id, pub_date, keyword, cnt`` of the pages that carry a date."""
+    pages = fresh.select("company", "page_id", F.col("link").alias("url"), "html")
+    dates = dated_pages(pages).select("page_id", "pub_date")
+    txt = page_text(pages.join(dates, "page_id", "left_semi"), sep)
     docs = txt.select(F.col("page_id").alias("doc_id"), "text")
     summ = summaries(docs).checkpoint()
     kw = extract_keywords(summ).checkpoint()
-    counts = keyword_counts(summ, kw, keyword_phrases(summ, kw))
-    return counts.join(p.select("company", "link", F.col("page_id").alias("doc_id")), "doc_id") \
-                 .select("company", "link", F.col("doc_id").alias("page_id"), "keyword", "cnt")
+    counts = keyword_counts(summ, kw, keyword_phrases(summ, kw)).withColumnRenamed("doc_id", "page_id")
+    return (counts.join(dates, "page_id").join(fresh.select("company", "link", "page_id"), "page_id")
+            .select("company", "link", "page_id", "pub_date", "keyword", "cnt"))
 
 
 def article_store(pages: DataFrame) -> DataFrame:
     """Batch form of the intake."""
-    return article_keywords(pages)
+    return article_keywords(first_per_link(pages))
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
@@ -68,36 +78,79 @@ def land_pages_in_chunks(pages: DataFrame, path: str, chunks: int = 4) -> None:
         part.write.mode("append").parquet(path)
 
 
-SEEN_SCHEMA = "company string, link string, page_id long, batch_id long"
+FRESH = "company string, link string, page_id long, html string"
+
+
+def _first_seen(key, chunks, state):
+    """The page of a link's first batch with the smallest id, once; chunk by
+    chunk, so that any number of copies may arrive together."""
+    best = None
+    if not state.exists:
+        for c in chunks:
+            i = c["page_id"].idxmin()
+            if best is None or c.at[i, "page_id"] < best[0]:
+                best = (c.at[i, "page_id"], c.at[i, "html"])
+    if best is not None:
+        state.update((int(best[0]),))
+        yield pd.DataFrame({"company": [key[0]], "link": [key[1]], "page_id": [best[0]], "html": [best[1]]})
+
+
+def unseen_pages(pages: DataFrame) -> DataFrame:
+    """Streaming J7: one page per (company, link), never again for that link."""
+    p = pages.filter("page_id IS NOT NULL").select(company_of().alias("company"), F.col("url").alias("link"), "page_id", "html")
+    return p.groupBy("company", "link").applyInPandasWithState(_first_seen, FRESH, "page_id long", "append", "NoTimeout")
+
+
+def _generations(root: str) -> str:
+    return os.path.join(root, "generations")
+
 
+def newest_generation(spark: SparkSession, root: str, start: bool = False) -> int:
+    """Number of the newest generation below ``root``; ``start`` adds the next."""
+    path = _generations(root)
+    spark.createDataFrame([], "generation long").write.mode("append").parquet(path)
+    last = spark.read.schema("generation long").parquet(path).agg(F.max("generation")).first()[0]
+    if start or last is None:
+        last = 0 if last is None else last + 1
+        spark.range(last, last + 1, numPartitions=1).toDF("generation").write.mode("append").parquet(path)
+    return last
 
-def start_intake(spark: SparkSession, landing: str, store: str, checkpoint: str, once: bool = True,
-                 seen: str | None = None, max_files: int | None = None):
-    """Start the streaming intake from ``landing`` into ``store``; the links
-    already processed are kept in a small ``seen`` table (company, link),
-    written per batch id like the store, so a batch reads the seen list, not
-    the keyword history."""
-    seen = seen or store.rstrip("/") + "-seen"
-    spark.createDataFrame([], SEEN_SCHEMA).write.mode("append").partitionBy("batch_id").parquet(seen)
+
+STORE = "company string, link string, page_id long, pub_date date, keyword string, cnt long, batch_id long"
+
+
+def _store_of(root: str, generation: int) -> str:
+    return os.path.join(root, f"generation-{generation}", "store")
+
+
+def read_intake(spark: SparkSession, root: str) -> DataFrame:
+    """The keyword rows of the newest generation."""
+    path = _store_of(root, newest_generation(spark, root))
+    spark.createDataFrame([], STORE).write.mode("append").partitionBy("batch_id").parquet(path)
+    return spark.read.schema(STORE).parquet(path).drop("batch_id")
+
+
+def start_intake(spark: SparkSession, landing: str, root: str, mode: str = "extend", once: bool = True,
+                 max_files: int | None = None):
+    """Start the intake from ``landing`` into the folder ``root``; returns the
+    streaming query (None for ``keep``)."""
+    if mode not in ("extend", "reset", "keep"):
+        raise ValueError(f"unknown mode {mode}")
+    if mode == "keep":
+        return None
+    generation = newest_generation(spark, root, start=mode == "reset")
+    store = _store_of(root, generation)
     reader = spark.readStream.schema(PAGE_SCHEMA)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    src = reader.parquet(landing)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        fresh = first_per_link(batch)
-        done = (spark.read.schema(SEEN_SCHEMA).parquet(seen).filter(F.col("batch_id") < batch_id)
-                .select("company", "link"))
-        fresh = fresh.join(done, ["company", "link"], "left_anti")
-        fresh = fresh.checkpoint()          # fixed input for both writes of this batch
-        rows = article_keywords(fresh.select("page_id", F.col("link").alias("url"), "html"))
-        rows.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(store)
-        (fresh.select("company", "link", "page_id").withColumn("batch_id", F.lit(batch_id))
-              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-              .partitionBy("batch_id").parquet(seen))
-
-    w = src.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
+        fresh = batch.checkpoint()          # the state moves once a batch, its pages are read several times
+        (article_keywords(fresh).withColumn("batch_id", F.lit(batch_id).cast("long"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(store))
+
+    w = unseen_pages(reader.parquet(landing)).writeStream.foreachBatch(process).outputMode("append").option(
+        "checkpointLocation", os.path.join(root, f"generation-{generation}", "checkpoint"))
     w = w.trigger(availableNow=True) if once else w.trigger(processingTime="30 seconds")
     return w.start()
 
@@ -105,8 +158,7 @@ def start_intake(spark: SparkSession, landing: str, store: str, checkpoint: str,
 def q_incremental_articles(spark: SparkSession, pages: DataFrame, chunks: int = 4) -> DataFrame:
     """Run the intake over the pages landed in ``chunks`` files; return the
     store's keyword rows (equal to :func:`article_store`)."""
-    landing, store, ck = _scratch(spark, "landing"), _scratch(spark, "store"), _scratch(spark, "stream-ck")
+    landing, root = _scratch(spark, "landing"), _scratch(spark, "intake")
     land_pages_in_chunks(pages, landing, chunks)
-    q = start_intake(spark, landing, store, ck, once=True, max_files=1)
-    q.awaitTermination()
-    return spark.read.parquet(store).select("company", "link", "page_id", "keyword", "cnt")
+    start_intake(spark, landing, root, max_files=1).awaitTermination()
+    return read_intake(spark, root)
