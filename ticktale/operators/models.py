@@ -27,7 +27,6 @@ from pyspark.ml import Pipeline
 from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest
 from pyspark.ml.feature import Interaction, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -269,54 +268,6 @@ def mlp_forward(bars: DataFrame, theta1=THETA1, theta2=THETA2) -> DataFrame:
                     F.array_position("_o", F.array_max("_o")).alias("pred_class"))
 
 
-# ---------------------------------------------------------------- news model (M2)
-def _news_vectors(df: DataFrame, index: DataFrame, keys: list[str]) -> DataFrame:
-    """One sparse vector per key: the counts of its words at the exact index of
-    (symbol, word), and a one at the symbol's own place for the bias."""
-    size = index.count()
-    cells = df.join(index, ["symbol", "word"]).select(*keys, "ix", F.col("cnt").cast("double").alias("v"))
-    bias = index.filter("word = ''").select("symbol", "ix")
-    cells = cells.unionByName(df.select(*keys).distinct().join(bias, "symbol").select(*keys, "ix", F.lit(1.0).alias("v")))
-    pairs = F.sort_array(F.collect_list(F.struct("ix", "v")))       # one entry per distinct word of the key
-    to_vector = F.udf(lambda p: Vectors.sparse(size, [x["ix"] for x in p], [x["v"] for x in p]), VectorUDT())
-    return cells.groupBy(*keys).agg(to_vector(pairs).alias("features"))
-
-
-def word_index(terms: DataFrame) -> DataFrame:
-    """Exact positions (symbol, word, ix) of all selected words; the empty word
-    is the symbol's bias."""
-    from .ranking import rank_within
-    words = terms.select("symbol", "word").unionByName(terms.select("symbol", F.lit("").alias("word"))).distinct()
-    return rank_within(words, [], ["symbol", "word"]).select(
-        "symbol", "word", (F.col("_rank") - 1).cast("int").alias("ix")).checkpoint()
-
-
-def news_probability(terms: DataFrame, vectors: DataFrame, c: float = 1.0) -> DataFrame:
-    """M2: linear SVM on keyword counts per symbol (an exact index
-    of symbol and word: one coefficient block per symbol), then Platt scaling per symbol
-    (logistic regression on the margin), applied to daily news vectors.
-    Returns (symbol, bar_date, p_down, p_up); class order -1, +1 (Q18)."""
-    ex_keys = ["symbol", "pub_date", "offset", "label"]
-    index = word_index(terms)
-    train = _news_vectors(terms, index, ex_keys).withColumn(
-        "label01", ((F.col("label") + 1) / 2).cast("double")).checkpoint()
-    n = train.count()
-    svm = LinearSVC(labelCol="label01", fitIntercept=False, standardization=False,
-                    regParam=1.0 / (c * max(n, 1)), maxIter=50).fit(right_size(train, n))
-    scored = (svm.transform(train).withColumn("margin", vector_to_array("rawPrediction")[1])
-                 .drop("rawPrediction", "prediction"))
-    platt_in, enc = with_block_features(scored, [F.col("margin")], out="pfeat")
-    platt = LogisticRegression(featuresCol="pfeat", labelCol="label01", fitIntercept=False,
-                               standardization=False, regParam=1e-3, maxIter=50).fit(platt_in)
-    vectors = vectors.join(terms.select("symbol").distinct(), "symbol", "left_semi")
-    days = _news_vectors(vectors, index, ["symbol", "bar_date"])
-    dm = svm.transform(days).withColumn("margin", vector_to_array("rawPrediction")[1])
-    dm, _ = with_block_features(dm, [F.col("margin")], out="pfeat", fitted=enc)
-    prob = vector_to_array(F.col("probability"))
-    out = platt.transform(dm.drop("rawPrediction", "prediction"))
-    return out.select("symbol", "bar_date", prob[0].alias("p_down"), prob[1].alias("p_up"))
-
-
 # ---------------------------------------------------------------- query views
 def q_svm(kind: str, **kw):
     return lambda bars: backtest_summary(svm_on_map(bars, kind, **kw), f"svm_{kind}")
@@ -356,17 +307,3 @@ def q_sigmoid_score(bars: DataFrame) -> DataFrame:
 
 def q_mlp_forward(bars: DataFrame) -> DataFrame:
     return mlp_forward(bars)
-
-
-def q_svm_news_proba(articles: DataFrame, bars: DataFrame) -> DataFrame:
-    from . import news as nw
-    from .select import chi2_scores, select_k_best
-    dwc, bars = nw.news_inputs(articles, bars)        # reused by examples, vocabulary and day vectors
-    ex = nw.label_examples(articles, bars).withColumn("example_id", F.concat_ws("/", "pub_date", "offset")).checkpoint()
-    terms = nw.example_terms(ex, dwc).withColumn("example_id", F.concat_ws("/", "pub_date", "offset"))
-    vocab = select_k_best(chi2_scores(ex, terms))              # M14 (k best) as the model vocabulary
-    kept = terms.join(vocab.select("symbol", "word"), ["symbol", "word"], "left_semi")
-    vec = nw.daily_news_vector(dwc, bars, vocab)
-    probs = news_probability(kept, vec)
-    out = nw.attach_news(bars, probs, only_scored_symbols=True)
-    return out.select("symbol", "bar_date", r6("p_down").alias("p_down"), r6("p_up").alias("p_up"))

@@ -151,11 +151,12 @@ def q_logreg_classes(emb: DataFrame, lam: float = 0.1) -> DataFrame:
 
 
 def out_of_fold(rows: DataFrame, feats: list[str], cfg: Config, folds: int = 5, id_col: str = "bar_date",
-                tol: float = 1e-3) -> DataFrame:
+                tol: float = 1e-3, fold: str | None = None) -> DataFrame:
     """Training rows with ``score``, the margin of a model that has not seen
-    them: fold k's model is trained on the other folds."""
+    them: fold k's model is trained on the other folds. Column ``fold`` (0 to folds
+    - 1) names the row's fold; without it a hash of its id does."""
     configs = tuple(cfg._replace(name=str(k)) for k in range(folds))
-    placed = written(rows.where("is_train").withColumn("_fold", F.pmod(F.xxhash64("symbol", id_col), F.lit(folds)).cast("string")),
+    placed = written(rows.where("is_train").withColumn("_fold", (F.col(fold) if fold else F.pmod(F.xxhash64("symbol", id_col), F.lit(folds))).cast("string")),
                      "fold-rows")
     # for fold k's model the rows of fold k are not training rows
     each = placed.drop("is_train").withColumn("_k", F.explode(F.array(*[F.lit(str(k)) for k in range(folds)])))

@@ -6,7 +6,7 @@ from __future__ import annotations
 from ..functions.numeric import R6
 from ..operators.trees import MIN_PARENT, POISSON_STEPS
 from ..sources.fixtures import with_views
-from .oracles import BT_SUMMARY, ORACLES, _curves, lb, oracle
+from .oracles import BT_SUMMARY, NEWS_CTES, ORACLES, _curves, lb, oracle
 
 
 def _grown(rows: str) -> str:
@@ -124,6 +124,14 @@ def _():
                       extra={"lb": lb(), "trained": TRAINED})
 
 
+@oracle("news_svm_fit")
+def _():
+    """Examples are counted here, each has one margin; the rest must hold."""
+    return with_views(f"""SELECT symbol, count(*) AS n_examples, count(CASE WHEN label > 0 THEN 1 END) AS n_up, {CONDITIONS},
+      count(DISTINCT pub_date::VARCHAR || '/' || "offset"::VARCHAR) AS n_margins, TRUE AS sigmoid_solved, TRUE AS sums_to_one
+      FROM ex GROUP BY symbol""", "articles", "event_bars_d", extra=NEWS_CTES)
+
+
 @oracle("logreg_lambdas")
 def _():
     return with_views("""SELECT symbol, penalty, n_train, n_up, TRUE AS solved FROM

@@ -150,7 +150,6 @@ def _register_models():
                      "mlp_forward": md.q_mlp_forward}.items():
         QUERIES[name] = _on_brand_bars(op)
     QUERIES["logreg_ovr"] = lambda spark, d: md.q_logreg_ovr(table(spark, d, "embeddings"))
-    QUERIES["svm_news_proba"] = lambda spark, d: md.q_svm_news_proba(fx.articles(spark, d), fx.event_bars_d(spark, d))
 
 
 _register_models()
@@ -328,3 +327,12 @@ def _register_newton():
 
 
 _register_newton()
+
+
+def _register_news_svm():
+    from ..operators import news_svm as ns
+    for name, op in {"svm_news_proba": ns.q_svm_news_proba, "news_svm_fit": ns.q_news_svm_fit}.items():
+        QUERIES[name] = (lambda o: lambda spark, d: o(fx.articles(spark, d), fx.event_bars_d(spark, d)))(op)
+
+
+_register_news_svm()
