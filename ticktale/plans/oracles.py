@@ -1147,3 +1147,60 @@ FROM (SELECT symbol, round,
              avg(CASE WHEN is_test THEN CAST(vote <> y AS DOUBLE) END) AS test_err
       FROM votes GROUP BY symbol, round) e
 GROUP BY split_part(symbol, '|', 1), round""", "brand_bars", extra=c)
+
+
+# ------------------------------------------------------------------ stores written and read back
+@oracle("vendor_bars_store")
+def _():
+    cols = ", ".join(f"{R6(f'\"{i}. {c}\"')} AS {c}" for i, c in enumerate(("open", "high", "low", "close"), 1))
+    return with_views(f"""
+SELECT symbol, '60min' AS interval, ts, {cols}, CAST("5. volume" AS BIGINT) AS volume FROM vendor_bars
+WHERE "1. open" IS NOT NULL AND "2. high" IS NOT NULL AND "3. low" IS NOT NULL AND "4. close" IS NOT NULL
+  AND "5. volume" IS NOT NULL AND ts >= DATE '2024-01-10'""", "event_bars_h", "vendor_bars")
+
+
+@oracle("intraday_matrix_store")
+def _():
+    cols = ", ".join(f"{R6(x)} AS {n}" for x, n in (("close", "close"), ("open", "open"), ("high", "high"), ("low", "low"),
+                                                    ("open - close", "open_close"), ("high - low", "high_low")))
+    return with_views(f"""
+SELECT symbol, {cols}, CASE WHEN lead(close) OVER (PARTITION BY symbol ORDER BY ts) > close THEN 2 ELSE 1 END AS y
+FROM event_bars_h""", "event_bars_h")
+
+
+@oracle("company_links_store")
+def _():
+    return with_views("""
+SELECT company AS key, row_number() OVER (PARTITION BY company ORDER BY page_id, link) AS pos, link AS value FROM (
+  SELECT company, link, min(page_id) AS page_id FROM links
+  WHERE lower(section) IN ('technology', 'business', 'climate', 'energy & environment') GROUP BY company, link) l""",
+                      "news_pages", extra={"links": LINKS_OF.format(pages="news_pages")})
+
+
+@oracle("results_store")
+def _():
+    return with_views(f"""
+SELECT strategy || ' ' || symbol AS name, {R6('train_acc')} AS train, {R6('test_acc')} AS test, {R6('sharpe')} AS sharpe
+FROM summ""", "brand_bars", extra={**_curves(RULES), "summ": BT_SUMMARY})
+
+
+@oracle("saved_news_models")
+def _():
+    c = {k: v for k, v in NEWS_CTES.items() if k not in ("weights", "scores")}
+    late = "pub_date >= DATE '2024-01-16'"
+    c["model"] = f"""
+      SELECT symbol, word, version, ln((up + 1.0::DOUBLE) / (down + 1.0::DOUBLE)) AS w FROM (
+        SELECT t.symbol, t.word, g.version, sum(CASE WHEN label = 1 THEN cnt ELSE 0 END) AS up,
+               sum(CASE WHEN label = -1 THEN cnt ELSE 0 END) AS down
+        FROM terms t JOIN (SELECT symbol, CASE WHEN count(CASE WHEN {late} THEN 1 END) >= count(CASE WHEN NOT ({late}) THEN 1 END)
+                                  THEN 2 ELSE 1 END AS version FROM ex GROUP BY symbol) g ON g.symbol = t.symbol
+        WHERE g.version = 2 OR NOT ({late}) GROUP BY t.symbol, t.word, g.version) x"""
+    c["z"] = """SELECT v.symbol, v.bar_date, m.version, sum(v.cnt * m.w) AS z
+                FROM vec v JOIN model m ON m.symbol = v.symbol AND m.word = v.word GROUP BY v.symbol, v.bar_date, m.version"""
+    return with_views(f"""
+SELECT b.symbol, b.bar_date, CAST(z.version AS INTEGER) AS version, {R6('1.0::DOUBLE / (1.0::DOUBLE + exp(-z.z))')} AS p_up, TRUE AS has_model
+FROM event_bars_d b LEFT JOIN z ON z.symbol = b.symbol AND z.bar_date = b.bar_date
+WHERE b.symbol IN (SELECT symbol FROM model)
+UNION ALL
+SELECT symbol, NULL, NULL, NULL, FALSE FROM (SELECT symbol FROM event_bars_d UNION SELECT symbol FROM brand_bars) w
+WHERE symbol NOT IN (SELECT symbol FROM model)""", "articles", "event_bars_d", "brand_bars", extra=c)

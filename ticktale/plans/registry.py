@@ -336,3 +336,58 @@ def _register_news_svm():
 
 
 _register_news_svm()
+
+
+# stores written and read back: what a later job finds in them
+def _register_store_round_trips():
+    from pyspark.sql import functions as F
+
+    from ..functions.numeric import r6
+    from ..operators import harvest as hv
+    from ..operators import saved_models as sm
+    from ..sources import stores as st
+
+    def vendor_bars_store(spark, d):
+        """Vendor rows cleaned, saved with another interval,
+        one interval read back from a date on."""
+        path = _scratch(spark, "bars")
+        hourly = bars.tag_interval(bars.ingest_vendor_bars(fx.vendor_bars(spark, d)), "60min")
+        coarse = bars.tag_interval(fx.event_bars_6h(spark, d), "360min")
+        bars.save_bars(hourly.unionByName(coarse), path)
+        b = bars.after_date(bars.read_bars(spark, path, "60min"), "2024-01-10", "ts")
+        return b.select("symbol", "interval", "ts", *[r6(c).alias(c) for c in ("open", "high", "low", "close")],
+                        F.col("volume").cast("long").alias("volume"))
+
+    def intraday_matrix_store(spark, d):
+        """The intraday matrix with classes 1 and 2, written and read."""
+        path = _scratch(spark, "matrix")
+        labelled = bars.price_features(bars.direction_label(fx.event_bars_h(spark, d), "ts"))
+        st.write_feature_matrix(st.feature_lines(labelled, "class"), path)
+        m = st.read_feature_matrix(spark, path)
+        return m.select("symbol", *[r6(c).alias(c) for c in ("close", "open", "high", "low", "open_close", "high_low")], "y")
+
+    def company_links_store(spark, d):
+        """A company's wanted links in page order, written and read."""
+        path = _scratch(spark, "links")
+        links = hv.wanted_links(hv.page_links(fx.news_pages(spark, d))).groupBy("company", "link").agg(F.min("page_id").alias("page_id"))
+        st.write_keyed_lists(st.keyed_lists(links, "company", "link", "page_id"), path)
+        return st.read_keyed_lists(spark, path)
+
+    def results_store(spark, d):
+        """Back-test results as CSV, read back."""
+        path = _scratch(spark, "results")
+        s = bt.summary(bt.backtest(bt.with_strategies(bt.with_prev_direction(bt.labelled_bars(fx.brand_bars(spark, d))),
+                                                      bt.rule_signals())))
+        st.write_results_csv(s.select(F.concat_ws(" ", "strategy", "symbol").alias("name"), F.col("train_acc").alias("train"),
+                                      F.col("test_acc").alias("test"), "sharpe"), path)
+        r = st.read_results_csv(spark, path)
+        return r.select("name", *[r6(c).alias(c) for c in ("train", "test", "sharpe")])
+
+    def saved_news_models(spark, d):
+        return sm.q_saved_news_models(fx.articles(spark, d), fx.event_bars_d(spark, d), fx.brand_bars(spark, d), _scratch(spark, "models"))
+
+    for fn in (vendor_bars_store, intraday_matrix_store, company_links_store, results_store, saved_news_models):
+        QUERIES[fn.__name__] = fn
+
+
+_register_store_round_trips()

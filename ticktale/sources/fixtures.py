@@ -7,6 +7,8 @@ date. The test tables have neither, so these views derive them:
 * ``event_bars_h`` hourly bars per event type from events (``_6h``: 6-hour)
 * ``event_bars_d`` daily bars per event type, weekdays only (gaps on purpose)
 * ``late_bars_h``  the hourly bars from the middle of each symbol's 6-hour series
+* ``vendor_bars``  the hourly bars under a vendor's column names, the volume of
+  some hours missing
 * ``articles``     documents spread over 5 symbols and the days of January 2024
 * ``news_pages``   pages with a publication stamp (four forms, some without)
   and one more labelled link
@@ -93,6 +95,13 @@ def late_bars_h(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_bars_h(spark, sf_dir).join(start, "symbol").filter(day >= F.col("_start")).drop("_start")
 
 
+def vendor_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly bars as a vendor delivers them."""
+    b = event_bars_h(spark, sf_dir)
+    names = {"open": "1. open", "high": "2. high", "low": "3. low", "close": "4. close", "volume": "5. volume"}
+    return b.withColumn("volume", F.when(F.hour("ts") != 3, F.col("volume"))).withColumnsRenamed(names)
+
+
 # labels of the added link, by page id
 PAGE_SECTIONS = ("Technology", "Sports", "Business", "World", "CLIMATE", "Energy & Environment", "Arts")
 
@@ -160,6 +169,9 @@ VIEW_SQL = {
           SELECT symbol, CAST(min(CAST(ts AS DATE)) + CAST(floor(date_diff('day', min(CAST(ts AS DATE)), max(CAST(ts AS DATE))) / 2) AS INTEGER) AS DATE) AS start_day
           FROM event_bars_6h GROUP BY symbol) m ON m.symbol = h.symbol
         WHERE CAST(h.ts AS DATE) >= m.start_day""",
+    "vendor_bars": """
+        SELECT symbol, ts, open AS "1. open", high AS "2. high", low AS "3. low", close AS "4. close",
+               CASE WHEN hour(ts) <> 3 THEN volume END AS "5. volume" FROM event_bars_h""",
     "news_pages": """
         SELECT page_id, url, replace(replace(html, '<article>',
                  coalesce('<time datetime="' || CASE page_id % 4
@@ -183,6 +195,7 @@ VIEWS = {
     "event_bars_6h": event_bars_6h,
     "event_bars_d": event_bars_d,
     "late_bars_h": late_bars_h,
+    "vendor_bars": vendor_bars,
     "articles": articles,
     "news_pages": news_pages,
 }

@@ -68,11 +68,16 @@ def read_seen_links(spark: SparkSession, path: str) -> DataFrame:
 
 # ---------------------------------------------------------------- links and vocabularies
 def keyed_lists(df: DataFrame, key: str, value: str, order: str) -> DataFrame:
-    """K6/K7 content: JSON lines {key, pos, value}, pos from ``order``."""
-    from pyspark.sql import Window
-    w = Window.partitionBy(key).orderBy(order, value)
-    return df.select(F.col(key).alias("key"), F.row_number().over(w).cast("long").alias("pos"),
-                     F.col(value).alias("value"))
+    """K6/K7 content: rows {key, pos, value}, pos from ``order``. Positions come
+    from a range-partitioned sort, so a key may hold any share of the rows."""
+    from ..operators.ranking import rank_within
+    rows = df.select(F.col(key).alias("key"), F.col(order).alias("_order"), F.col(value).alias("value"))
+    return rank_within(rows, ["key"], ["_order", "value"], rank="pos").select("key", F.col("pos").cast("long").alias("pos"), "value")
+
+
+def write_keyed_lists(lists: DataFrame, path: str) -> None:
+    """K6: JSON lines."""
+    lists.write.mode("overwrite").json(path)
 
 
 def read_keyed_lists(spark: SparkSession, path: str, legacy: bool = False) -> DataFrame:
@@ -141,3 +146,10 @@ def missing_models(spark: SparkSession, wanted: DataFrame, path: str) -> DataFra
 def write_results_csv(results: DataFrame, path: str) -> None:
     """Result rows as CSV (name, train, test, sharpe)."""
     results.select("name", "train", "test", "sharpe").write.mode("overwrite").csv(path)
+
+
+RESULT_SCHEMA = "name string, train double, test double, sharpe double"
+
+
+def read_results_csv(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(RESULT_SCHEMA).csv(path, header=False)
