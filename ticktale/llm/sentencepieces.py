@@ -71,13 +71,30 @@ def load_model(path: str) -> Model:
     return Model(pieces, bytes_, s.unk_id(), proto.trainer_spec.model_type == 2, bool(norm.add_dummy_prefix))
 
 
+def lengths_by_ending(pieces) -> dict[str, tuple[int, ...]]:
+    """Lengths of the pieces that end like a prefix, longest first, by its last
+    three characters (or all of a shorter one); 1 is always among them."""
+    found: dict[str, set[int]] = {}
+    for p in pieces:
+        if len(p) > 1:
+            found.setdefault(p[-3:], set()).add(len(p))
+    for end, lengths in found.items():
+        lengths.add(1)
+        if len(end) == 3 and end[1:] in pieces:
+            lengths.add(2)
+    return {end: tuple(sorted(v, reverse=True)) for end, v in found.items()}
+
+
 class Encoder:
     def __init__(self, model: Model):
         self.m = model
         self.longest = max(map(len, model.pieces), default=1)
         self.known = Known()
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.whole: dict[str, bool] = {}
+        # pieces that merging their own characters gives back
+        self.standing = {p for p in model.pieces if len(p) == 1 or len(self.merge(p)) == 1} if model.bpe else set()
+        self.one: dict[str, tuple[int, ...]] = {}
+        self.lengths = lengths_by_ending(self.standing)
         self.low = min((s for _, s in model.pieces.values()), default=0.0) - 10.0    # score of an unknown character
 
     # -- BPE: what follows what ---------------------------------------------
@@ -96,12 +113,6 @@ class Encoder:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def stands(self, piece: str) -> bool:
-        ok = self.whole.get(piece)
-        if ok is None:
-            ok = self.whole[piece] = len(self.merge(piece)) == 1
-        return ok
-
     def follows(self, a: str, b: str) -> bool:
         ok = self.pairs.get((a, b))
         if ok is None:
@@ -111,21 +122,27 @@ class Encoder:
         return ok
 
     # -- forward states --------------------------------------------------------
-    def extend(self, word: str, k: int, states: list) -> tuple[int, float]:
-        """State of word[:k] from those of the shorter prefixes: length of the
-        last piece and the score up to here."""
+    def last_piece(self, word: str, k: int, last: list[int]) -> int:
+        """BPE: length of the last piece of word[:k] from those of the shorter
+        prefixes. Only lengths of pieces with the same ending are tried."""
+        lengths, known, standing = self.lengths, self.pairs, self.standing
+        for n in lengths.get(word[k - 3:k] if k > 2 else word[:k]) or lengths.get(word[k - 2:k], (1,)):
+            if n > k:
+                continue
+            p = word[k - n:k]
+            if n > 1 and p not in standing:
+                continue
+            if n == k:
+                return n
+            q = word[k - n - last[k - n]:k - n]
+            ok = known.get((q, p))
+            if self.follows(q, p) if ok is None else ok:
+                return n
+        raise AssertionError("a prefix has no encoding")
+
+    def best_piece(self, word: str, k: int, states: list[tuple[int, float]]) -> tuple[int, float]:
+        """Unigram: length of the best last piece of word[:k] and its score."""
         pieces = self.m.pieces
-        if self.m.bpe:
-            for n in range(min(self.longest, k), 0, -1):
-                p = word[k - n:k]
-                if (n > 1 and p not in pieces) or not self.stands(p):
-                    continue
-                if n == k:
-                    return n, 0.0
-                back = states[k - n]
-                if self.follows(word[k - n - back[0]:k - n], p):
-                    return n, 0.0
-            raise AssertionError("a prefix has no encoding")
         best = (1, states[k - 1][1] + self.low)
         for n in range(1, min(self.longest, k) + 1):
             p = pieces.get(word[k - n:k])
@@ -134,27 +151,37 @@ class Encoder:
         return best
 
     def ids(self, piece: str) -> tuple[int, ...]:
-        p = self.m.pieces.get(piece)
-        if p is not None:
-            return (p[0],)
-        return tuple(self.m.bytes_[b] for b in piece.encode()) if self.m.bytes_ else (self.m.unknown,)
+        got = self.one.get(piece)
+        if got is None:
+            p = self.m.pieces.get(piece)
+            got = (p[0],) if p is not None else tuple(self.m.bytes_[b] for b in piece.encode()) if self.m.bytes_ else (self.m.unknown,)
+            if p is not None or len(self.one) < KNOWN_PAIRS:
+                self.one[piece] = got
+        return got
 
     def encode_sorted(self, words: list[str]) -> list[tuple[int, ...]]:
         """Pieces of distinct sorted words: depth-first over their trie."""
-        out, states, before = [], [(0, 0.0)], ""
+        out, last, scores, before, one = [], [0], [(0, 0.0)], "", self.one
+        bpe, last_piece = self.m.bpe, self.last_piece
         for w in words:
             shared, most = 0, min(len(w), len(before))
             while shared < most and w[shared] == before[shared]:
                 shared += 1
-            del states[shared + 1:]
+            del last[shared + 1:]
             for k in range(shared + 1, len(w) + 1):
-                states.append(self.extend(w, k, states))
+                if bpe:
+                    last.append(last_piece(w, k, last))
+                else:
+                    del scores[k:]
+                    scores.append(self.best_piece(w, k, scores))
+                    last.append(scores[k][0])
             parts, k = [], len(w)
             while k:
-                n = states[k][0]
-                parts.append(self.ids(w[k - n:k]))
-                k -= n
-            out.append(tuple(i for p in reversed(parts) for i in p))
+                p = w[k - last[k]:k]
+                parts.append(one.get(p) or self.ids(p))
+                k -= last[k]
+            parts.reverse()
+            out.append(tuple(chain.from_iterable(parts)))
             before = w
         return out
 
