@@ -25,8 +25,8 @@ from functools import reduce
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest
-from pyspark.ml.feature import Interaction, OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.feature import Interaction, OneHotEncoder, StringIndexer
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
