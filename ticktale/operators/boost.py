@@ -1,7 +1,9 @@
 """Weighted decision stumps and AdaBoost.
 
 Rows: training examples ``(symbol, rid, y in {-1,+1}, xs array<double>)``;
-every symbol is boosted at once, each round being a handful of keyed jobs.
+every symbol is boosted at once in one grouped job that sorts each feature once
+(``adaboost``). ``best_stumps`` and ``boost_round`` are the same search and
+round as keyed DataFrame jobs, for one stump over keys of any size.
 
 Stump search per (symbol, feature), rows ordered by value: ``cc`` running
 weight of class +1 up to the row, ``after0`` weight of class -1 above it,
@@ -17,17 +19,24 @@ vote uses the weighted total of all rounds (Q23), ties -> -1.
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import r6
+from ..session import written
 from .backtest import labelled_bars
 from .bars import feature_columns, price_features
+from .trees import dealt
 
 FEATURES = ("close", "open", "high", "low", "open_close", "high_low")
 QUANT = 1e12
-ROUNDS = 10
-CHECKPOINT_EVERY = 1
+ROUNDS = 10                 # of the queries whose every round the SQL unrolls
+STUMPS = ("symbol string, round int, fno int, thresh double, polarity int, perf double, error double, alpha double, "
+          "z double")
 
 
 def stump_rows(bars: DataFrame) -> DataFrame:
@@ -107,34 +116,126 @@ def boost_round(train: DataFrame, weights: DataFrame, rnd: int, cut: bool = True
     return out, new_w.drop("z")
 
 
-def adaboost(rows: DataFrame, rounds: int = ROUNDS, checkpoint_every: int = CHECKPOINT_EVERY) -> DataFrame:
-    """The stump table, one row per (symbol, round). Stumps and weights
-    are checkpointed (reliable, shared directory) to cut the round lineage."""
-    train = rows.filter("is_train").select("symbol", "rid", "y", "xs").checkpoint()
-    w = initial_weights(train)
-    stumps = []
-    for r in range(1, rounds + 1):
-        s, w = boost_round(train, w, r, cut=bool(checkpoint_every) and r % checkpoint_every == 0)
-        stumps.append(s)
-    out = stumps[0]
-    for s in stumps[1:]:
-        out = out.unionByName(s)
-    return out
+def _example_arrays(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Features (rows x features) and labels of the rows of one symbol."""
+    xs = t.column("xs").combine_chunks()
+    return xs.flatten().to_numpy(zero_copy_only=False).reshape(t.num_rows, -1), t.column("y").to_numpy().astype(np.float64)
+
+
+def _boost_table(t: pa.Table, rounds: int | None) -> pa.Table:
+    """All rounds of one symbol. Each feature is sorted once; a round is one
+    running sum of ``w * y`` per feature in that order, because ``correct - half``
+    of the module's text is that sum plus half the difference of the classes."""
+    symbol, every = t.column("symbol")[0].as_py(), t.num_rows
+    t = t.filter(t.column("is_train")).sort_by("rid")
+    if not t.num_rows:
+        return _stump_table(symbol, [])
+    x, y = _example_arrays(t)
+    n, ix = len(y), np.arange(x.shape[1])
+    order = np.argsort(x, axis=0, kind="stable").T
+    value = np.take_along_axis(x.T, order, axis=1)
+    last = np.concatenate([value[:, 1:] > value[:, :-1], np.ones((len(ix), 1), bool)], axis=1)
+    after = np.concatenate([0.5 * (value[:, :-1] + value[:, 1:]), value[:, -1:] + 0.0001], axis=1)
+    w, out = np.full(n, 1.0 / n), []
+    for r in range(1, (half_of(every) if rounds is None else rounds) + 1):
+        wy = w * y
+        side = np.cumsum(wy[order], axis=1) - wy.sum() / 2
+        far = np.where(last, np.abs(side), 0.0)
+        at = np.argmax(np.floor(far * QUANT + 0.5), axis=1)
+        perf = far[ix, at] + 0.5
+        f = int(np.argmax(np.floor(perf * QUANT + 0.5)))
+        thresh, polarity = float(after[f, at[f]]), int(np.sign(side[f, at[f]]))
+        pred = np.where(x[:, f] < thresh, polarity, -polarity)
+        error = float(w[pred != y].sum() / w.sum())
+        clamped = min(max(error, 1e-10), 1 - 1e-10)
+        alpha = 0.5 * math.log((1.0 - clamped) / clamped)
+        w = w * np.exp(-alpha * pred * y)
+        z = float(w.sum())
+        w /= z
+        out.append((r, f + 1, thresh, polarity, float(perf[f]), error, alpha, z))
+    return _stump_table(symbol, out)
+
+
+def _stump_table(symbol: str, rounds: list[tuple]) -> pa.Table:
+    names = [c.split()[0] for c in STUMPS.split(", ")]
+    types = [pa.string()] + [pa.int32(), pa.int32(), pa.float64(), pa.int32()] + [pa.float64()] * 4
+    columns = zip(*((symbol, *r) for r in rounds)) if rounds else [()] * len(names)
+    return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, types)], names=names)
+
+
+def half_of(n: int) -> int:
+    """The study's number of rounds for n rows (of training and test): n/2, halves away from zero."""
+    return (n + 1) // 2
+
+
+def adaboost(rows: DataFrame, rounds: int | None = None) -> DataFrame:
+    """The stump table, one row per (symbol, round), from one grouped job
+    over all symbols; ``rounds`` None means half the symbol's rows. A symbol
+    without training rows has no stumps. A group holds the bars of one symbol,
+    bounded by the calendar."""
+    every = dealt(rows.select("symbol", "rid", "y", "is_train", "xs"), "symbol")
+    return written(every.groupBy("symbol").applyInArrow(lambda t: _boost_table(t, rounds), STUMPS), "stumps")
+
+
+def _per_round(rows: DataFrame, stumps: DataFrame, each, more: str) -> DataFrame:
+    """``each(x, y, train, stumps of the symbol by round)`` yields the columns
+    ``more`` of every round; a symbol's rows meet its stumps once, whatever
+    the number of rounds."""
+    schema = pa.schema([(c.split()[0], pa.float64() if c.endswith("double") else pa.bool_()) for c in more.split(", ")])
+
+    def run(t: pa.Table, model: pa.Table) -> pa.Table:
+        model = model.sort_by("round")
+        if not t.num_rows or not model.num_rows:
+            return pa.schema([("symbol", pa.string()), ("round", pa.int32()), *schema]).empty_table()
+        x, y = _example_arrays(t)
+        cols = zip(*each(x, y, t.column("is_train").to_numpy(zero_copy_only=False).astype(bool), model.to_pylist()))
+        return pa.Table.from_arrays([model.column("symbol").cast(pa.string()), model.column("round"),
+                                     *(pa.array(c, f.type) for c, f in zip(cols, schema))],
+                                    names=["symbol", "round", *schema.names])
+    left = rows.select("symbol", "y", "is_train", "xs").groupBy("symbol")
+    return left.cogroup(stumps.groupBy("symbol")).applyInArrow(run, "symbol string, round int, " + more)
+
+
+def _curve(x: np.ndarray, y: np.ndarray, train: np.ndarray, stumps: list[dict]):
+    score, bound = np.zeros(len(y)), 0.0
+    for s in stumps:
+        score += s["alpha"] * np.where(x[:, s["fno"] - 1] < s["thresh"], s["polarity"], -s["polarity"])
+        bound += math.log(s["z"])
+        wrong = np.where(score > 0, 1, -1) != y
+        yield tuple(float(wrong[m].mean()) if m.any() else None for m in (train, ~train)) + (math.exp(bound),)
 
 
 def boosted_errors(rows: DataFrame, stumps: DataFrame) -> DataFrame:
     """Per (symbol, round) train and test error of the vote of
-    rounds 1..r (running sum over rounds), and the error bound prod z."""
-    p = stump_predict(rows, stumps).withColumn("v", F.col("alpha") * F.col("pred"))
-    run = Window.partitionBy("symbol", "rid").orderBy("round").rowsBetween(Window.unboundedPreceding, 0)
-    p = p.withColumn("vote", F.when(F.sum("v").over(run) > 0, 1).otherwise(-1))
-    wrong = (F.col("vote") != F.col("y")).cast("double")
-    err = p.groupBy("symbol", "round").agg(
-        F.avg(F.when(F.col("is_train"), wrong)).alias("train_err"),
-        F.avg(F.when(F.col("is_test"), wrong)).alias("test_err"))
-    zb = stumps.select("symbol", "round", F.exp(F.sum(F.ln("z")).over(
-        Window.partitionBy("symbol").orderBy("round").rowsBetween(Window.unboundedPreceding, 0))).alias("err_bound"))
-    return err.join(zb, ["symbol", "round"])
+    rounds 1..r (running sum over rounds), and the error bound prod z. ``rows``
+    that are not training rows are test rows."""
+    return _per_round(rows, stumps, _curve, "train_err double, test_err double, err_bound double")
+
+
+def _conditions(x: np.ndarray, y: np.ndarray, train: np.ndarray, stumps: list[dict]):
+    x, y = x[train], y[train]
+    codes = [np.unique(c, return_inverse=True)[1] for c in x.T]
+    margin, log_z = np.zeros(len(y)), math.log(len(y))
+    for s in stumps:
+        w = np.exp(-margin - log_z)
+        pred = np.where(x[:, s["fno"] - 1] < s["thresh"], s["polarity"], -s["polarity"])
+        error = float(w[pred != y].sum())
+        # every cut of every feature, from the weights of its distinct values
+        cuts = [np.cumsum(np.bincount(c, w * y)) - (w * y).sum() / 2 for c in codes]
+        least = 0.5 - max(float(np.abs(c).max()) for c in cuts)
+        margin += s["alpha"] * pred * y
+        log_z += math.log(s["z"])
+        yield (abs(w.sum() - 1) < 1e-9, abs(error - s["error"]) < 1e-9, error <= least + 1e-9,
+               float((margin <= 0).mean()) <= math.exp(log_z - math.log(len(y))) + 1e-9)
+
+
+def boost_conditions(rows: DataFrame, stumps: DataFrame) -> DataFrame:
+    """What holds for every round of a right boosting run, with the weights
+    found again from the stump table alone: weights sum to one, the reported
+    error is the stump's, no cut of any feature has a smaller one, and the
+    product of the z bounds the share of training rows without a positive margin."""
+    return _per_round(rows, stumps, _conditions,
+                      "weights_sum boolean, error_holds boolean, is_least boolean, bound_holds boolean")
 
 
 def update_weights(weights: DataFrame, alpha_col: str = "alpha") -> DataFrame:
@@ -193,8 +294,16 @@ def q_adaboost_round(bars: DataFrame, rounds: int = 2) -> DataFrame:
                     r6("z").alias("z"))
 
 
+def q_adaboost_full(bars: DataFrame) -> DataFrame:
+    """M13 with the study's number of rounds, as the conditions of every round."""
+    rows = written(stump_rows(bars), "stump-rows")
+    c = boost_conditions(rows, adaboost(rows))
+    n = rows.groupBy("symbol").agg(F.count("*").alias("n_rows"))
+    return c.join(n, "symbol").select("symbol", "round", "n_rows", "weights_sum", "error_holds", "is_least", "bound_holds")
+
+
 def q_adaboost(bars: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    rows = stump_rows(bars).checkpoint()
+    rows = written(stump_rows(bars), "stump-rows")
     e = boosted_errors(rows, adaboost(rows, rounds))
     return e.select("symbol", F.col("round").cast("int").alias("round"), r6("train_err").alias("train_err"),
                     r6("test_err").alias("test_err"), r6("err_bound").alias("err_bound"))
@@ -214,7 +323,7 @@ def fold_rows(rows: DataFrame, k: int = 5) -> DataFrame:
 
 def adaboost_cv(rows: DataFrame, k: int = 5, rounds: int = 5) -> DataFrame:
     """Per symbol and round, the error curves averaged over the k folds."""
-    fr = fold_rows(rows, k).checkpoint()
+    fr = written(fold_rows(rows, k), "fold-rows")
     e = boosted_errors(fr, adaboost(fr, rounds))
     base = F.element_at(F.split("symbol", r"\|"), 1)
     return e.groupBy(base.alias("symbol"), "round").agg(

@@ -176,3 +176,12 @@ def _():
 def _():
     from ..operators.networks import MLP
     return _losses((MLP,))
+
+
+@oracle("adaboost_full")
+def _():
+    """A row for each of the n/2 rounds, all of whose conditions hold."""
+    return with_views("""
+SELECT symbol, CAST(unnest(range(1, (n_rows + 1) // 2 + 1)) AS INTEGER) AS round, n_rows,
+       TRUE AS weights_sum, TRUE AS error_holds, TRUE AS is_least, TRUE AS bound_holds
+FROM (SELECT symbol, count(*) AS n_rows FROM lb GROUP BY symbol) t""", "brand_bars", extra={"lb": lb()})

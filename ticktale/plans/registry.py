@@ -170,7 +170,7 @@ _register_knn()
 def _register_boost():
     from ..operators import boost
     for name, op in {"best_stump": boost.q_best_stump, "adaboost_round": boost.q_adaboost_round,
-                     "adaboost": boost.q_adaboost}.items():
+                     "adaboost": boost.q_adaboost, "adaboost_full": boost.q_adaboost_full}.items():
         QUERIES[name] = _on_brand_bars(op)
 
 
