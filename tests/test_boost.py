@@ -68,3 +68,12 @@ def test_one_row_one_label_no_training_rows_and_no_rows(spark):
     errors = boost.boosted_errors(rows, stumps).collect()
     assert len(errors) == 3 and all(e.train_err == 0 and e.test_err is None for e in errors)
     assert boost.adaboost(rows.limit(0)).count() == 0
+
+
+def test_updated_weights_equal_those_of_a_round(spark):
+    train = examples(spark).where("is_train").select("symbol", "rid", "y", "xs")
+    w = boost.initial_weights(train)
+    s, want = boost.boost_round(train, w, 1)
+    p = boost.stump_predict(train.join(w, ["symbol", "rid"]), s)
+    both = boost.update_weights(p).select("symbol", "rid", "w").join(want.withColumnRenamed("w", "v"), ["symbol", "rid"])
+    assert both.count() == 96 and both.where("abs(w - v) > 1e-12").count() == 0

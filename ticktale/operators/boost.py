@@ -321,8 +321,9 @@ def fold_rows(rows: DataFrame, k: int = 5) -> DataFrame:
                     "xs")
 
 
-def adaboost_cv(rows: DataFrame, k: int = 5, rounds: int = 5) -> DataFrame:
-    """Per symbol and round, the error curves averaged over the k folds."""
+def adaboost_cv(rows: DataFrame, k: int = 5, rounds: int | None = None) -> DataFrame:
+    """Per symbol and round, the error curves averaged over the k folds;
+    ``rounds`` as in ``adaboost``."""
     fr = written(fold_rows(rows, k), "fold-rows")
     e = boosted_errors(fr, adaboost(fr, rounds))
     base = F.element_at(F.split("symbol", r"\|"), 1)
@@ -331,6 +332,17 @@ def adaboost_cv(rows: DataFrame, k: int = 5, rounds: int = 5) -> DataFrame:
 
 
 def q_adaboost_cv(bars: DataFrame) -> DataFrame:
-    e = adaboost_cv(stump_rows(bars))
+    e = adaboost_cv(stump_rows(bars), rounds=5)
     return e.select("symbol", F.col("round").cast("int").alias("round"), r6("train_err").alias("train_err"),
                     r6("test_err").alias("test_err"), "n_folds")
+
+
+def q_adaboost_cv_full(bars: DataFrame, k: int = 5) -> DataFrame:
+    """A20 with the study's number of rounds in every fold: per symbol the
+    folds, all their rounds, and whether each round meets its conditions."""
+    fr = written(fold_rows(stump_rows(bars), k), "fold-rows")
+    c = boost_conditions(fr, adaboost(fr))
+    part = F.split("symbol", r"\|")
+    return c.groupBy(part[0].alias("symbol")).agg(
+        F.count_distinct(part[1]).alias("n_folds"), F.count("*").alias("n_rounds"),
+        F.min(F.col("weights_sum") & F.col("error_holds") & F.col("is_least") & F.col("bound_holds")).alias("all_hold"))

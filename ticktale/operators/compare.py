@@ -263,6 +263,3 @@ def q_overall_news_model(docs: DataFrame, labels: DataFrame) -> DataFrame:
     ex, terms = sl.labelled_docs(docs, labels)
     r = overall_news_model(ex.drop("symbol"), terms.drop("symbol"))
     return r.select("candidate", "cand_no", "n_words", "n_test", r6("test_acc").alias("test_acc"), "rank")
-
-
-OVERALL_SEED = 42

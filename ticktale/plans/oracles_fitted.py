@@ -185,3 +185,10 @@ def _():
 SELECT symbol, CAST(unnest(range(1, (n_rows + 1) // 2 + 1)) AS INTEGER) AS round, n_rows,
        TRUE AS weights_sum, TRUE AS error_holds, TRUE AS is_least, TRUE AS bound_holds
 FROM (SELECT symbol, count(*) AS n_rows FROM lb GROUP BY symbol) t""", "brand_bars", extra={"lb": lb()})
+
+
+@oracle("adaboost_cv_full")
+def _():
+    return with_views("""
+SELECT symbol, CAST(5 AS BIGINT) AS n_folds, 5 * ((count(*) + 1) // 2) AS n_rounds, TRUE AS all_hold
+FROM lb GROUP BY symbol""", "brand_bars", extra={"lb": lb()})

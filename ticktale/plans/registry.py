@@ -285,6 +285,7 @@ _register_symbol_models()
 def _register_boost_cv():
     from ..operators import boost
     QUERIES["adaboost_cv"] = _on_brand_bars(boost.q_adaboost_cv)
+    QUERIES["adaboost_cv_full"] = _on_brand_bars(boost.q_adaboost_cv_full)
 
 
 _register_boost_cv()
