@@ -1,9 +1,16 @@
 import datetime as dt
+import os
 
+import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as E
 from ticktale.functions.text import sanitize, substring_count
 from ticktale.operators import stitch, text
+from ticktale.sources import fixtures as fx
+
+SF = "/root/testdata/sf0.001"
+needs_data = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
 
 
 def _series(spark, stamps, tag):
@@ -24,6 +31,14 @@ def test_stitch_without_shared_stamp_keeps_coarse(spark):
     assert [r.tag for r in out] == ["c"]
 
 
+@needs_data
+def test_stitched_query_holds_the_whole_fine_series(spark):
+    fine = fx.event_bars_h(spark, SF)
+    out = E.queries()["stitch_intervals"](spark, SF).filter("source_interval = '60min'").select("symbol", "ts")
+    left = {(r.symbol, r.ts) for r in fine.select("symbol", "ts").subtract(out).collect()}
+    assert left == {(r.symbol, r.ts) for r in fine.groupBy("symbol").agg(F.min("ts").alias("ts")).collect()}
+
+
 def test_sanitize_and_substring_count(spark):
     df = spark.createDataFrame([("a\tb\nc\rd\fe",)], "t string")
     assert df.select(sanitize("t").alias("x")).collect()[0].x == "a b cd e"

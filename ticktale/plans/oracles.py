@@ -173,17 +173,17 @@ def _():
 SELECT symbol, ts, source_interval, {R6('open')} AS open, {R6('high')} AS high, {R6('low')} AS low,
        {R6('close')} AS close, CAST(volume AS BIGINT) AS volume
 FROM (
-  SELECT c.*, '360min' AS source_interval FROM event_bars_6h c
+  SELECT c.*, '360min' AS source_interval FROM long_bars_6h c
   LEFT JOIN cut USING (symbol)
   WHERE cut.cut IS NULL OR c.ts <= cut.cut
   UNION ALL
   SELECT f.*, '60min' AS source_interval FROM fine f
   JOIN cut USING (symbol)
   JOIN (SELECT symbol, min(ts) AS first_ts FROM fine GROUP BY symbol) m USING (symbol)
-  WHERE f.ts > m.first_ts) u""", "event_bars_h", "event_bars_6h", "late_bars_h", extra={
-        "fine": "SELECT * FROM late_bars_h",
+  WHERE f.ts > m.first_ts) u""", "event_bars_h", "event_bars_6h", "long_bars_6h", extra={
+        "fine": "SELECT * FROM event_bars_h",
         "cut": """SELECT f.symbol, min(f.ts) AS cut FROM fine f
-                  WHERE EXISTS (SELECT 1 FROM event_bars_6h c WHERE c.symbol = f.symbol AND c.ts = f.ts)
+                  WHERE EXISTS (SELECT 1 FROM long_bars_6h c WHERE c.symbol = f.symbol AND c.ts = f.ts)
                   GROUP BY f.symbol"""})
 
 

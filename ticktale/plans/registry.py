@@ -57,7 +57,7 @@ def _missing_series(spark, d):
 @query("stitch_intervals")
 def _stitch(spark, d):
     from ..operators.stitch import q_stitch_intervals
-    return q_stitch_intervals(fx.event_bars_6h(spark, d), fx.late_bars_h(spark, d))
+    return q_stitch_intervals(fx.long_bars_6h(spark, d), fx.event_bars_h(spark, d))
 
 
 # step 4: text

@@ -6,7 +6,7 @@ date. The test tables have neither, so these views derive them:
 * ``brand_bars``   daily bars per part brand from lineitem x part
 * ``event_bars_h`` hourly bars per event type from events (``_6h``: 6-hour)
 * ``event_bars_d`` daily bars per event type, weekdays only (gaps on purpose)
-* ``late_bars_h``  the hourly bars from the middle of each symbol's 6-hour series
+* ``long_bars_6h`` the 6-hour bars with an earlier history of the same length
 * ``vendor_bars``  the hourly bars under a vendor's column names, the volume of
   some hours missing
 * ``articles``     documents spread over 5 symbols and the days of January 2024
@@ -86,13 +86,14 @@ def event_bars_d(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bars.filter(F.weekday("bar_date") < 5)
 
 
-def late_bars_h(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A finer series that begins later than the coarse one, as stored vendor
-    histories do: hourly bars from the middle day of the 6-hour series."""
-    day = F.to_date("ts")
-    span = event_bars_6h(spark, sf_dir).groupBy("symbol").agg(F.min(day).alias("_lo"), F.max(day).alias("_hi"))
-    start = span.select("symbol", F.date_add("_lo", F.floor(F.datediff("_hi", "_lo") / 2).cast("int")).alias("_start"))
-    return event_bars_h(spark, sf_dir).join(start, "symbol").filter(day >= F.col("_start")).drop("_start")
+def long_bars_6h(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A coarse series that begins before the finer one, as stored vendor
+    histories do: the 6-hour bars, and the same bars moved back by the days
+    their symbol spans."""
+    b, day = event_bars_6h(spark, sf_dir), F.to_date("ts")
+    span = b.groupBy("symbol").agg((F.datediff(F.max(day), F.min(day)) + 1).alias("_days"))
+    earlier = b.join(span, "symbol").withColumn("ts", F.col("ts") - F.make_dt_interval("_days")).drop("_days")
+    return b.unionByName(earlier)
 
 
 def vendor_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,11 +165,12 @@ VIEW_SQL = {
                  arg_max(value, row(ts, event_id)) AS close, count(*) AS volume
           FROM events GROUP BY event_type, CAST(ts AS DATE)) b
         WHERE isodow(bar_date) < 6""",
-    "late_bars_h": """
-        SELECT h.* FROM event_bars_h h JOIN (
-          SELECT symbol, CAST(min(CAST(ts AS DATE)) + CAST(floor(date_diff('day', min(CAST(ts AS DATE)), max(CAST(ts AS DATE))) / 2) AS INTEGER) AS DATE) AS start_day
-          FROM event_bars_6h GROUP BY symbol) m ON m.symbol = h.symbol
-        WHERE CAST(h.ts AS DATE) >= m.start_day""",
+    "long_bars_6h": """
+        SELECT * FROM event_bars_6h UNION ALL
+        SELECT c.symbol, c.ts - to_days(CAST(m.days AS INTEGER)) AS ts, open, high, low, close, volume
+        FROM event_bars_6h c JOIN (
+          SELECT symbol, date_diff('day', min(CAST(ts AS DATE)), max(CAST(ts AS DATE))) + 1 AS days
+          FROM event_bars_6h GROUP BY symbol) m ON m.symbol = c.symbol""",
     "vendor_bars": """
         SELECT symbol, ts, open AS "1. open", high AS "2. high", low AS "3. low", close AS "4. close",
                CASE WHEN hour(ts) <> 3 THEN volume END AS "5. volume" FROM event_bars_h""",
@@ -194,7 +196,7 @@ VIEWS = {
     "event_bars_h": event_bars_h,
     "event_bars_6h": event_bars_6h,
     "event_bars_d": event_bars_d,
-    "late_bars_h": late_bars_h,
+    "long_bars_6h": long_bars_6h,
     "vendor_bars": vendor_bars,
     "articles": articles,
     "news_pages": news_pages,
