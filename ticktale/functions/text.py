@@ -60,8 +60,9 @@ def substring_count(text: Column | str, word: Column | str) -> Column:
     """Non-overlapping, case-sensitive count of ``word`` in ``text``;
     an empty word counts ``length + 1`` (as Python's ``str.count``)."""
     t, w = col_(text), col_(word)
-    return (F.when(F.length(w) == 0, F.length(t) + 1)
-             .otherwise(F.try_divide(F.length(t) - F.length(F.replace(t, w, F.lit(""))), F.length(w)))
+    # byte lengths: what is taken out is whole copies of the word, and no text is read to measure it
+    return (F.when(F.octet_length(w) == 0, F.length(t) + 1)
+             .otherwise(F.try_divide(F.octet_length(t) - F.octet_length(F.replace(t, w, F.lit(""))), F.octet_length(w)))
              .cast("long"))
 
 

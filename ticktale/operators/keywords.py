@@ -14,19 +14,22 @@ Definition (fixed here; the study called an external library):
 * counts: case-sensitive, non-overlapping substring counts in the summary.
 
 Everything is keyed by ``doc_id``. Tokens come from Spark expressions; the
-rank steps of each document run where its row lies (``mapInPandas``, Arrow
-batches, numpy), because one document's graph never meets another's: a
-join-per-step formulation would sort the corpus-wide edge table ten times.
-Phrases and counts are Spark windows, joins and expressions again.
+rank steps and the runs of a document are found where its row lies
+(``word_rows``: Arrow batches, numpy), because one document's graph never meets
+another's: a join-per-step formulation would sort the corpus-wide edge table
+ten times. Keywords and summaries meet once per document, as an array beside
+the text.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import r6
 from ..functions.text import STOP_WORDS, substring_count, word_tokens
+from ..session import written
+from .word_rows import rank_tokens, runs_of_words
 
 DAMPING = 0.85
 TELEPORT = 0.15
@@ -38,60 +41,13 @@ def kept_tokens(summary_col: str = "summary"):
     return F.filter(word_tokens(summary_col), lambda x: ~x.isin(STOP_WORDS))
 
 
-RANK_SCHEMA = "doc_id long, word string, n_nodes long, rank double, kw_rank long"
-
-
-def _rank_document(toks, steps: int = STEPS):
-    """Rank one document's word graph (numpy; the graph is bounded by the
-    document's length). Returns (words, ranks, order) or None."""
-    import numpy as np
-    import pandas as pd
-
-    if toks is None or len(toks) == 0:
-        return None
-    inv, words = pd.factorize(np.asarray(toks, dtype=object), sort=True)     # objects: no array as wide as the longest token
-    n = len(words)
-    a, b = inv[:-1], inv[1:]
-    keep = a != b
-    a, b = a[keep], b[keep]
-    code = np.unique(np.concatenate([a * n + b, b * n + a]))   # distinct undirected edges
-    src, dst = code // n, code % n
-    deg = np.bincount(src, minlength=n).astype(float)
-    r = np.full(n, 1.0 / n)
-    for _ in range(steps):
-        share = np.divide(r, deg, out=np.zeros(n), where=deg > 0)
-        r = TELEPORT / n + DAMPING * np.bincount(dst, weights=share[src], minlength=n)
-    q = np.floor(r * 1e12 + 0.5)
-    order = sorted(range(n), key=lambda i: (-q[i], words[i]))
-    rank_pos = np.empty(n, dtype=np.int64)
-    rank_pos[order] = np.arange(1, n + 1)
-    return words, r, rank_pos
-
-
-def _rank_batches(batches, steps: int = STEPS):
-    import pandas as pd
-
-    for pdf in batches:
-        out = []
-        for doc_id, toks in zip(pdf["doc_id"], pdf["toks"]):
-            res = _rank_document(toks, steps)
-            if res is None:
-                continue
-            words, r, pos = res
-            out.append(pd.DataFrame({"doc_id": doc_id, "word": words, "n_nodes": len(words),
-                                     "rank": r, "kw_rank": pos}))
-        if out:
-            yield pd.concat(out, ignore_index=True)
-
-
-def rank_words(summ: DataFrame, key: str = "doc_id", steps: int = STEPS) -> DataFrame:
+def rank_words(summ: DataFrame, key: str = "doc_id", steps: int = STEPS, ratio: float | None = None) -> DataFrame:
     """Rank every document's word graph: (doc_id, word, n_nodes, rank,
-    kw_rank). Tokens are built by Spark; each document row is ranked where
-    it lies (Arrow batches, no shuffle), since a document's graph never
-    touches another's. ``kw_rank`` is the word's place in rank order (rank
-    compared at 1e-12, then word)."""
-    toks = summ.select(F.col(key).cast("long").alias("doc_id"), kept_tokens().alias("toks"))
-    return toks.mapInPandas(lambda it: _rank_batches(it, steps), RANK_SCHEMA)
+    kw_rank). ``kw_rank`` is the word's place in rank order (rank compared at
+    1e-12, then word). With ``ratio`` only the words that
+    :func:`top_keywords` keeps leave the task."""
+    rows = summ.select(F.col(key).cast("long").alias("doc_id"), "summary")
+    return rank_tokens(rows, "doc_id", kept_tokens(), steps, DAMPING, TELEPORT, ratio)
 
 
 def top_keywords(ranks: DataFrame, ratio: float = RATIO) -> DataFrame:
@@ -100,21 +56,14 @@ def top_keywords(ranks: DataFrame, ratio: float = RATIO) -> DataFrame:
 
 
 def keyword_phrases(summ: DataFrame, keywords: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Runs of two or more adjacent keywords (gaps and islands on position)."""
-    toks = summ.select(key, F.posexplode(word_tokens("summary")).alias("pos", "word"))
-    kw = toks.join(keywords.select(key, "word"), [key, "word"], "left_semi")
-    island = F.col("pos") - F.row_number().over(Window.partitionBy(key).orderBy("pos"))
-    runs = kw.withColumn("_island", island).groupBy(key, "_island").agg(
-        F.sort_array(F.collect_list(F.struct("pos", "word"))).alias("_w"))
-    phr = runs.filter(F.size("_w") >= 2).select(
-        key, F.array_join(F.transform("_w", lambda x: x["word"]), " ").alias("phrase"),
-        F.size("_w").cast("long").alias("n_words"))
-    return phr.distinct()
+    """Runs of two or more adjacent keywords: (key, phrase, n_words), distinct."""
+    per_doc = keywords.groupBy(key).agg(F.collect_list("word").alias("_kws"))
+    return runs_of_words(summ.select(key, "summary").join(per_doc, key), key, word_tokens("summary"), "_kws")
 
 
 def extract_keywords(summ: DataFrame, key: str = "doc_id", steps: int = STEPS) -> DataFrame:
     """Keywords with rank: (doc_id, word, n_nodes, rank, kw_rank)."""
-    return top_keywords(rank_words(summ, key, steps))
+    return top_keywords(rank_words(summ, key, steps, RATIO))
 
 
 def keyword_counts(summ: DataFrame, keywords: DataFrame, phrases: DataFrame,
@@ -148,5 +97,5 @@ def q_keyword_phrases(summ: DataFrame) -> DataFrame:
 
 
 def q_keyword_substring_count(summ: DataFrame) -> DataFrame:
-    kw = extract_keywords(summ).checkpoint()
+    kw = written(extract_keywords(summ), "keywords")
     return keyword_counts(summ, kw, keyword_phrases(summ, kw))

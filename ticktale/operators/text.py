@@ -1,11 +1,10 @@
 """Extractive summary (G1) and its parts: X3-X9, U4, A14, A15, O9.
 
-Sentence and token rows are generated per document with ``posexplode`` /
-``explode``; every later window, join and aggregate is keyed by ``doc_id``
-(plus sentence or word). Documents are hash-partitioned by ``doc_id`` once,
-before the explode, so the raw text crosses the network once and the token
-rows (several times larger) never do: later operators find their input
-already clustered by ``doc_id``.
+Two forms of each step. The row form (``local_*``) keeps a document's
+sentences and tokens in arrays of its row and counts where the row lies
+(``word_rows``): no exchange, no sort. The table form has sentence and token
+rows and brings the rows of a key together; documents that share a key with
+others take it, so both give the same rows.
 """
 
 from __future__ import annotations
@@ -14,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import is_stop, sanitize, split_sentences, word_tokens
+from .word_rows import count_words, once_per_key, score_sentences
 
 
 def by_doc(docs: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -85,14 +85,40 @@ def summarize(scored: DataFrame, key: str = "doc_id", n: int | None = None) -> D
                       F.size("_kept").cast("long").alias("n_sentences"))
 
 
-def summaries(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int | None = None) -> DataFrame:
-    """G1 end to end: (key, summary, n_sentences) for every document; one
-    exchange (documents by key), then sort-based window and aggregates that
-    reuse that partitioning."""
+def kept_words(text):
+    """X4, X6, X7 as one array: the word tokens that are no stop words."""
+    return F.filter(word_tokens(text), lambda w: ~is_stop(w))
+
+
+def local_sentences(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, sents, toks): the sentences and, for each, its kept tokens."""
+    s = docs.filter(F.col(text).isNotNull()).select(key, split_sentences(sanitize(text)).alias("sents"))
+    return s.select(key, "sents", F.transform("sents", kept_words).alias("toks"))
+
+
+def local_summary(scored: DataFrame, key: str = "doc_id", n: int | None = None) -> DataFrame:
+    """:func:`summarize` on (key, sents, scores)."""
+    s = scored.select(key, F.filter(F.transform(F.arrays_zip("sents", "scores"), lambda x, i: F.struct(
+        (-x["scores"]).alias("neg"), i.alias("sent_no"), x["sents"].alias("sentence"))), lambda x: x["neg"] < 0).alias("_kept"))
+    if n is not None:
+        s = s.withColumn("_kept", F.array_sort(F.transform(F.slice(F.array_sort("_kept"), 1, n), lambda x: F.struct(
+            x["sent_no"].alias("sent_no"), x["sentence"].alias("sentence")))))
+    return s.select(key, F.array_join(F.transform("_kept", lambda x: x["sentence"]), " ").alias("summary"),
+                    F.size("_kept").cast("long").alias("n_sentences"))
+
+
+def _grouped_summaries(docs: DataFrame, key: str, text: str, n: int | None) -> DataFrame:
     sents = sentences(by_doc(docs, key), key, text)
     return summarize(sentence_scores(sentence_tokens(sents, key, keep_markers=True), key), key, n)
 
 
+def summaries(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int | None = None) -> DataFrame:
+    """G1 end to end: (key, summary, n_sentences) for every document."""
+    return once_per_key(docs.select(key, text), key,
+                        lambda d: local_summary(score_sentences(local_sentences(d, key, text), key), key, n),
+                        lambda d: _grouped_summaries(d, key, text, n))
+
+
 # ---------------------------------------------------------------- query views
 def q_sanitized_text(docs: DataFrame) -> DataFrame:
     c = sanitize("text")
@@ -100,11 +126,16 @@ def q_sanitized_text(docs: DataFrame) -> DataFrame:
 
 
 def q_word_freq(docs: DataFrame) -> DataFrame:
-    return word_freq(sentence_tokens(sentences(by_doc(docs))))
+    return once_per_key(docs, "doc_id",
+                        lambda d: count_words(local_sentences(d), ["doc_id"], F.flatten("toks"), "freq"),
+                        lambda d: word_freq(sentence_tokens(sentences(by_doc(d)))))
 
 
 def q_sentence_scores(docs: DataFrame) -> DataFrame:
-    s = sentence_scores(sentence_tokens(sentences(by_doc(docs))))
+    def local(d):
+        s = score_sentences(local_sentences(d), "doc_id")
+        return s.select("doc_id", F.posexplode("scores").alias("sent_no", "score")).filter("score > 0")
+    s = once_per_key(docs, "doc_id", local, lambda d: sentence_scores(sentence_tokens(sentences(by_doc(d)))))
     return s.select("doc_id", F.col("sent_no").cast("long").alias("sent_no"), "score")
 
 

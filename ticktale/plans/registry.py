@@ -77,10 +77,11 @@ def _register_text():
 _register_text()
 
 
-# step 5: keywords (over the summaries of step 4, checkpointed once)
+# step 5: keywords (over the summaries of step 4, written once)
 def _summaries(spark, d):
     from ..operators.text import summaries
-    return summaries(_docs(spark, d)).checkpoint()
+    from ..session import written
+    return written(summaries(_docs(spark, d)), "summaries")
 
 
 def _register_keywords():

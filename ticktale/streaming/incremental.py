@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from ..operators.harvest import company_of, dated_pages, page_text
 from ..operators.keywords import extract_keywords, keyword_counts, keyword_phrases
 from ..operators.text import summaries
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, written
 
 PAGE_SCHEMA = "page_id long, url string, html string"
 
@@ -50,9 +50,9 @@ def article_keywords(fresh: DataFrame, sep: str = " ") -> DataFrame:
     pages = fresh.select("company", "page_id", F.col("link").alias("url"), "html")
     dates = dated_pages(pages).select("page_id", "pub_date")
     txt = page_text(pages.join(dates, "page_id", "left_semi"), sep)
-    docs = txt.select(F.col("page_id").alias("doc_id"), "text")
-    summ = summaries(docs).checkpoint()
-    kw = extract_keywords(summ).checkpoint()
+    docs = written(txt.select(F.col("page_id").alias("doc_id"), "text"), "page-texts")
+    summ = written(summaries(docs), "summaries")
+    kw = written(extract_keywords(summ), "keywords")
     counts = keyword_counts(summ, kw, keyword_phrases(summ, kw)).withColumnRenamed("doc_id", "page_id")
     return (counts.join(dates, "page_id").join(fresh.select("company", "link", "page_id"), "page_id")
             .select("company", "link", "page_id", "pub_date", "keyword", "cnt"))
