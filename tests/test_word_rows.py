@@ -46,14 +46,16 @@ def test_pieces_give_the_ranks_of_the_whole(monkeypatch):
     assert len(list(word_rows._pieces([batch], "t"))) > 2 and ranks() == whole
 
 
-def test_summary_needs_no_exchange_and_equals_the_table_form(spark):
-    assert "Exchange" not in _plan(text.q_extractive_summary(_docs(spark)))
+def test_summary_needs_no_window_and_equals_the_table_form(spark):
+    plan = _plan(text.q_extractive_summary(_docs(spark)))
+    assert "Window" not in plan and "Aggregate" not in plan and "Sort" not in plan
     for n in (None, 1, 2):
         assert _rows(text.summaries(_docs(spark), n=n)) == _rows(text._grouped_summaries(_docs(spark), "doc_id", "text", n))
 
 
-def test_word_freq_needs_no_exchange_and_adds_up_repeated_ids(spark):
-    assert "Exchange" not in _plan(text.q_word_freq(_docs(spark)))
+def test_word_freq_needs_no_aggregate_and_adds_up_repeated_ids(spark):
+    plan = _plan(text.q_word_freq(_docs(spark)))
+    assert "Aggregate" not in plan and "Sort" not in plan
     rows = DOCS + [(1, "Board and chip"), (None, "x1 x1"), (None, "x1")]
     table_form = text.word_freq(text.sentence_tokens(text.sentences(_docs(spark, rows))))
     key = lambda r: (str(r[0]), r[1])

@@ -2,7 +2,7 @@
 
 Two forms of each step. The row form (``local_*``) keeps a document's
 sentences and tokens in arrays of its row and counts where the row lies
-(``word_rows``): no exchange, no sort. The table form has sentence and token
+(``word_rows``): no token is exchanged or sorted. The table form has sentence and token
 rows and brings the rows of a key together; documents that share a key with
 others take it, so both give the same rows.
 """

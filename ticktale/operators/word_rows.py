@@ -3,8 +3,8 @@ worked out where its row lies.
 
 Spark builds the token arrays; the helpers below take Arrow batches, cut them
 into pieces of bounded size and treat all documents of a piece at once (one
-dictionary of words, numpy over (row, word) codes). Nothing is exchanged, so
-shuffles, spills and a task's memory do not grow with the table. A document
+dictionary of words, numpy over (row, word) codes). No token is exchanged or
+sorted by Spark, so spills and a task's memory do not grow with the table. A document
 alone is the unit that has to fit.
 """
 
@@ -20,6 +20,13 @@ from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, Struc
 from ..session import written
 
 PIECE_TOKENS = 1 << 18
+PIECE_CHARS = 1 << 22
+
+
+def spread(docs: DataFrame, key: str) -> DataFrame:
+    """Documents of few input splits dealt out, so that every core has some."""
+    few = docs.rdd.getNumPartitions() < 2 * docs.sparkSession.sparkContext.defaultParallelism
+    return docs.repartition(key) if few else docs
 
 
 def once_per_key(docs: DataFrame, key: str, local: Callable[[DataFrame], DataFrame],
@@ -27,6 +34,7 @@ def once_per_key(docs: DataFrame, key: str, local: Callable[[DataFrame], DataFra
     """``local`` on the rows whose key is theirs alone, ``grouped`` (which brings
     a key's rows together) on the others, if there are any."""
     many = written(docs.groupBy(key).agg(F.count("*").alias("_n")).filter("_n > 1").select(F.col(key).alias("_k")), "repeated")
+    docs = spread(docs, key)
     if many.isEmpty():
         return local(docs)
     same = F.col(key).eqNullSafe(F.col("_k"))
@@ -138,19 +146,34 @@ def rank_tokens(rows: DataFrame, key: str, tokens: Column, steps: int, damping:
                 ratio: float | None = None) -> DataFrame:
     """(key, word, n_nodes, rank, kw_rank); with ``ratio`` only the first
     ``floor(ratio * n_nodes)`` words of a row."""
-    def run(batches):
-        import pyarrow as pa
-        for b in _pieces(batches, "_toks"):
-            owner, words, size, r, place = _rank_piece(b.column("_toks"), steps, damping, teleport)
-            at = np.flatnonzero(place <= np.floor(size * ratio)) if ratio is not None else np.arange(len(owner))
-            yield pa.RecordBatch.from_arrays(
-                [b.column(key).take(pa.array(owner[at])), words.take(pa.array(at)), pa.array(size[at], pa.int64()),
-                 pa.array(r[at]), pa.array(place[at], pa.int64())], names=[key, "word", "n_nodes", "rank", "kw_rank"])
-    return rows.select(key, tokens.alias("_toks")).mapInArrow(
+    def run(frames):
+        for f in frames:
+            for b in _pieces(_token_lists(f, key), "_toks"):
+                owner, words, size, r, place = _rank_piece(b.column("_toks"), steps, damping, teleport)
+                at = np.flatnonzero(place <= np.floor(size * ratio)) if ratio is not None else np.arange(len(owner))
+                keys = b.column(key).to_numpy(zero_copy_only=False)
+                yield pd.DataFrame({key: keys[owner[at]], "word": words.to_numpy(zero_copy_only=False)[at], "n_nodes": size[at],
+                                    "rank": r[at], "kw_rank": place[at]})
+    import pandas as pd
+    # a row's tokens as one text: a pandas cell then costs a string, not an object a token
+    return rows.select(key, F.array_join(tokens, "\n").alias("_toks")).mapInPandas(
         run, _fields(rows, [key], StructField("word", StringType()), StructField("n_nodes", LongType()),
                      StructField("rank", DoubleType()), StructField("kw_rank", LongType())))
 
 
+def _token_lists(frame, key: str):
+    """Arrow batches (key, token lists) of a frame's joined tokens, about
+    PIECE_CHARS characters each."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    frame = frame[frame["_toks"].fillna("") != ""]
+    part = frame["_toks"].str.len().cumsum().to_numpy() // PIECE_CHARS
+    for _, at in frame.groupby(part, sort=False).indices.items():
+        f = frame.iloc[at]
+        yield pa.RecordBatch.from_arrays([pa.array(f[key]), pc.split_pattern(pa.array(f["_toks"], pa.string()), "\n")],
+                                         names=[key, "_toks"])
+
+
 def runs_of_words(rows: DataFrame, key: str, tokens: Column, words: str) -> DataFrame:
     """(key, phrase, n_words): the distinct maximal runs of two or more adjacent
     tokens that are in the row's array ``words``."""
