@@ -50,6 +50,19 @@ def test_article_store_lines_roundtrip(spark, tmp_path):
     assert got == {("A", 0, "y", 1), ("A", 1, "x", 2)}
 
 
+def test_article_lines_do_not_grow_with_the_articles_of_a_date(spark, tmp_path):
+    aw = spark.createDataFrame([("A", dt.date(2024, 1, 1), i, "x", i) for i in range(40)],
+                               "symbol string, pub_date date, article_no long, word string, cnt long")
+    lines = st.article_store_lines(aw)
+    assert {len(r.articles) for r in lines.collect()} == {1}
+    path = str(tmp_path / "store")
+    st.write_article_store(lines, path)
+    (tmp_path / "store" / "company=B").mkdir()
+    (tmp_path / "store" / "company=B" / "old.json").write_text('{"date": "2024-01-01", "articles": [{"y": 1}, {"y": 2}]}\n')
+    got = {(r.company, r.article_pos, r.cnt) for r in st.read_article_store(spark, path).collect()}
+    assert got == {("A", i, i) for i in range(40)} | {("B", 0, 1), ("B", 1, 2)}
+
+
 def test_keyed_lists_legacy(spark, tmp_path):
     p = tmp_path / "vocab.json"
     p.write_text(json.dumps({"AMD": ["chip", "gpu"], "overall": ["market"]}))

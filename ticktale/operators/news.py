@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import r6
 from ..functions.text import is_stop, word_tokens
+from .text import kept_words
+from .word_rows import count_words, once_per_key
 
 # Look-ahead offsets in days for labelling and for scoring,
 # and the minimum number of present trading days (Q3, Q4).
@@ -24,10 +26,14 @@ MIN_PRESENT = 3
 
 
 def article_words(articles: DataFrame) -> DataFrame:
-    """Keyword counts per article (stand-in: kept word tokens of the text)."""
-    t = articles.select("symbol", "pub_date", "article_no",
-                        F.explode(word_tokens("text")).alias("word")).filter(~is_stop("word"))
-    return t.groupBy("symbol", "pub_date", "article_no", "word").agg(F.count("*").alias("cnt"))
+    """Keyword counts per article (stand-in: kept word tokens of the text),
+    counted in the article's row; articles that share a number are added up."""
+    def local(a):
+        return count_words(a.filter(F.col("text").isNotNull()), ["symbol", "pub_date", "article_no"], kept_words("text"))
+
+    def grouped(a):
+        return local(a).groupBy("symbol", "pub_date", "article_no", "word").agg(F.sum("cnt").alias("cnt"))
+    return once_per_key(articles.select("symbol", "pub_date", "article_no", "text"), "article_no", local, grouped)
 
 
 def day_words(articles: DataFrame) -> DataFrame:

@@ -5,9 +5,9 @@ Layouts
 * article store (K5/S4): the study kept one JSON document per company,
   ``[ {date: [ {keyword: count}, ...]}, [seen urls] ]``. Writing that means
   funnelling a company's whole history through one row, so the writer emits
-  JSON lines, one per (company, date) with the date's keyword maps, under
-  ``company=`` directories; the reader accepts both that and the legacy
-  per-company documents (``legacy=True``).
+  JSON lines, one per article with its keyword map and its place in the date,
+  under ``company=`` directories; the reader accepts that, lines with all maps
+  of a date and the legacy per-company documents (``legacy=True``).
 * links (K6/S5) and model vocabularies (K7/S6): ``{key: [value, ...]}``;
   written as JSON lines ``{key, pos, value}``, legacy documents readable.
 * feature matrices (K2-K4/S8): headerless CSV of 7 or 9 numbers, ``%f``.
@@ -21,22 +21,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import written
+
 # ---------------------------------------------------------------- article store
-ARTICLE_LINE_SCHEMA = "company string, date string, articles array<map<string,bigint>>"
+ARTICLE_LINE_SCHEMA = "date string, start bigint, articles array<map<string,bigint>>"
 LEGACY_STORE = "map<string,array<map<string,bigint>>>"
 
 
 def article_store_lines(aw: DataFrame) -> DataFrame:
-    """(company, date, articles) with one keyword map per article,
-    articles in article order. Each row is one date of one company."""
-    per_article = aw.groupBy("symbol", "pub_date", "article_no").agg(
-        F.map_from_entries(F.sort_array(F.collect_list(F.struct("word", "cnt")))).alias("kw"))
-    by_no = lambda a, b: F.when(a["article_no"] < b["article_no"], -1).when(
-        a["article_no"] > b["article_no"], 1).otherwise(0)
-    per_date = per_article.groupBy("symbol", "pub_date").agg(
-        F.array_sort(F.collect_list(F.struct("article_no", "kw")), by_no).alias("_a"))
-    return per_date.select(F.col("symbol").alias("company"), F.date_format("pub_date", "yyyy-MM-dd").alias("date"),
-                           F.transform("_a", lambda x: x["kw"]).alias("articles"))
+    """(company, date, start, articles): a line holds one article's
+    keyword map and the article's place among those of its date, so that no row
+    grows with a date's articles. Places come from a range-partitioned sort."""
+    from ..operators.ranking import rank_within
+    per_article = written(aw.groupBy("symbol", "pub_date", "article_no").agg(
+        F.map_from_entries(F.sort_array(F.collect_list(F.struct("word", "cnt")))).alias("kw")), "article-maps")
+    keys = ["symbol", "pub_date"]
+    place = rank_within(per_article.select(*keys, "article_no"), keys, ["article_no"], rank="pos")
+    return per_article.join(place, [*keys, "article_no"]).select(
+        F.col("symbol").alias("company"), F.date_format("pub_date", "yyyy-MM-dd").alias("date"),
+        (F.col("pos") - 1).cast("long").alias("start"), F.array("kw").alias("articles"))
 
 
 def write_article_store(lines: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -52,10 +55,12 @@ def read_article_store(spark: SparkSession, path: str, legacy: bool = False) ->
                      F.from_json(F.get_json_object("value", "$[0]"), LEGACY_STORE).alias("m"))
         d = m.select("company", F.explode("m").alias("date", "articles"))
     else:
-        d = spark.read.schema("date string, articles array<map<string,bigint>>").json(path)
+        d = spark.read.schema(ARTICLE_LINE_SCHEMA).json(path)
         d = d.withColumn("company", F.regexp_extract(F.input_file_name(), r"company=([^/]+)/", 1))
-    a = d.select("company", F.to_date("date").alias("pub_date"), F.posexplode("articles").alias("article_pos", "kw"))
-    return a.select("company", "pub_date", F.col("article_pos").cast("long").alias("article_pos"),
+    start = F.coalesce("start", F.lit(0)) if "start" in d.columns else F.lit(0)      # a line with all of a date has none
+    a = d.select("company", F.to_date("date").alias("pub_date"), start.alias("_start"),
+                 F.posexplode("articles").alias("article_pos", "kw"))
+    return a.select("company", "pub_date", (F.col("_start") + F.col("article_pos")).cast("long").alias("article_pos"),
                     F.explode("kw").alias("word", "cnt"))
 
 
