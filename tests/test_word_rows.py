@@ -62,3 +62,18 @@ def test_word_freq_needs_no_aggregate_and_adds_up_repeated_ids(spark):
     assert sorted(map(tuple, text.q_word_freq(_docs(spark, rows)).collect()), key=key) == sorted(map(tuple, table_form.collect()), key=key)
     got = {(r.doc_id, r.sent_no): r.score for r in text.q_sentence_scores(_docs(spark)).collect()}
     assert got[(1, 0)] == 2 and got[(1, 1)] == 3 and (1, 2) not in got
+
+
+def test_keyword_counts_search_the_rows(spark):
+    from ticktale.operators.keywords import keyword_counts
+    text = "Banana banana ananas, ana ana ana; \u00e9t\u00e9 \u00e9t\u00e9s"
+    words, runs = ["ana", "banana", "\u00e9t\u00e9", "none"], ["ana ana", "\u00e9t\u00e9 \u00e9t\u00e9s"]
+    summ = spark.createDataFrame([(1, text), (2, ""), (3, "none"), (4, "a\u00e9")], "doc_id long, summary string")
+    kw = spark.createDataFrame([(1, w) for w in words] + [(2, "ana"), (3, "none")], "doc_id long, word string")
+    ph = spark.createDataFrame([(1, w) for w in runs], "doc_id long, phrase string")
+    df = keyword_counts(summ, kw, ph, keep_empty_keyword=True)
+    want = {(1, w, text.count(w)) for w in words + runs} | {(2, "ana", 0), (3, "none", 1), (4, "", 3)}
+    assert {tuple(r) for r in df.collect()} == want
+    # one search of the bytes a keyword; no text is rebuilt for it
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "replace(" not in plan

@@ -27,9 +27,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import r6
-from ..functions.text import STOP_WORDS, substring_count, word_tokens
+from ..functions.text import STOP_WORDS, word_tokens
 from ..session import written
-from .word_rows import rank_tokens, runs_of_words
+from .word_rows import count_in_rows, rank_tokens, runs_of_words
 
 DAMPING = 0.85
 TELEPORT = 0.15
@@ -80,10 +80,7 @@ def keyword_counts(summ: DataFrame, keywords: DataFrame, phrases: DataFrame,
     j = summ.select(key, "summary").join(per_doc, key, "left" if keep_empty_keyword else "inner")
     if keep_empty_keyword:
         j = j.withColumn("_kws", F.coalesce(F.col("_kws"), F.array(F.lit(""))))
-    # explode inside the stage (the summary is referenced, not shipped, per
-    # keyword row) and count with a generated expression
-    e = j.select(key, "summary", F.explode("_kws").alias("keyword"))
-    return e.select(key, "keyword", substring_count("summary", "keyword").alias("cnt"))
+    return count_in_rows(j, key, "summary", "_kws")
 
 
 # ---------------------------------------------------------------- query views
