@@ -77,3 +77,17 @@ def test_keyword_counts_search_the_rows(spark):
     # one search of the bytes a keyword; no text is rebuilt for it
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" in plan and "replace(" not in plan
+
+
+def test_dealing_out_documents_holds_no_texts(spark):
+    import re
+
+    from ticktale.operators.word_rows import spread
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "600")
+    try:
+        df = spread(spark.createDataFrame([(1, "a")], "doc_id long, text string").coalesce(1), "doc_id")
+        parts = re.findall(r"hashpartitioning\(doc_id#\d+L?, (\d+)\)", df._jdf.queryExecution().executedPlan().toString())
+        assert parts and all(int(n) <= 200 for n in parts)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)

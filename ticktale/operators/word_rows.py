@@ -24,9 +24,13 @@ PIECE_CHARS = 1 << 22
 
 
 def spread(docs: DataFrame, key: str) -> DataFrame:
-    """Documents of few input splits dealt out, so that every core has some."""
-    few = docs.rdd.getNumPartitions() < 2 * docs.sparkSession.sparkContext.defaultParallelism
-    return docs.repartition(key) if few else docs
+    """Documents of few input splits dealt out, so that every core has some. They
+    go to no more parts than a task can write side by side: it then holds and
+    spills no texts, whatever the size of its split."""
+    sc = docs.sparkSession.sparkContext
+    side_by_side = int(sc.getConf().get("spark.shuffle.sort.bypassMergeThreshold", "200"))
+    few = docs.rdd.getNumPartitions() < min(2 * sc.defaultParallelism, side_by_side)
+    return docs.repartition(min(4 * sc.defaultParallelism, side_by_side), key) if few else docs
 
 
 def once_per_key(docs: DataFrame, key: str, local: Callable[[DataFrame], DataFrame],
