@@ -147,3 +147,18 @@ def test_intake_goes_on_after_a_restart_and_starts_again_on_reset(spark, tmp_pat
     assert run("extend") == {15, 6}
     assert run("reset") == {0, 6}               # all pages again, in one batch: page 11 has no date
     assert inc.newest_generation(spark, root) == 1
+
+
+def test_intake_takes_a_batch_a_chunk_whatever_the_splits(spark):
+    import re
+
+    from ticktale.streaming.incremental import q_incremental_articles
+    html = '<time datetime="2024-01-0%d"></time><article><body><p>Rates rose again and markets fell. Rates fell and markets rose %d.</p></body></article>'
+    pages = spark.createDataFrame([(i, f"https://x/{i % 20}", html % (i % 9 + 1, i)) for i in range(40)], "page_id long, url string, html string").repartition(6)
+    out = q_incremental_articles(spark, pages, chunks=2)
+    rows = out.select("link", "page_id").distinct().collect()
+    assert rows and all(r.page_id < 20 for r in rows)
+    assert {int(n) for f in out.inputFiles() for n in re.findall(r"batch_id=(\d+)/", f)} <= {0, 1}
+    from glob import glob
+    root = re.sub(r"^file:/*", "/", out.inputFiles()[0]).split("/generation-0/")[0]
+    assert len([f for f in glob(f"{root}/generation-0/checkpoint/commits/*") if f.rsplit("/", 1)[1].isdigit()]) <= 2

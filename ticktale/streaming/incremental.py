@@ -68,13 +68,16 @@ def _scratch(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"ticktale-{name}-{uuid.uuid4().hex}")
 
 
-def land_pages_in_chunks(pages: DataFrame, path: str, chunks: int = 4) -> None:
-    """Test helper: write pages as ``chunks`` files ordered by page id range,
-    the way a fetcher would land them over time."""
+def page_chunks(pages: DataFrame, chunks: int = 4) -> list[DataFrame]:
+    """The pages by page id range, the way a fetcher would land them over time."""
     n = pages.agg(F.max("page_id").alias("m")).collect()[0].m or 0
     step = n // chunks + 1
-    for i in range(chunks):
-        part = pages.filter((F.col("page_id") >= i * step) & (F.col("page_id") < (i + 1) * step))
+    return [pages.filter((F.col("page_id") >= i * step) & (F.col("page_id") < (i + 1) * step)) for i in range(chunks)]
+
+
+def land_pages_in_chunks(pages: DataFrame, path: str, chunks: int = 4) -> None:
+    """Test helper: write the chunks one after the other."""
+    for part in page_chunks(pages, chunks):
         part.write.mode("append").parquet(path)
 
 
@@ -156,9 +159,12 @@ def start_intake(spark: SparkSession, landing: str, root: str, mode: str = "exte
 
 
 def q_incremental_articles(spark: SparkSession, pages: DataFrame, chunks: int = 4) -> DataFrame:
-    """Run the intake over the pages landed in ``chunks`` files; return the
-    store's keyword rows (equal to :func:`article_store`)."""
+    """Run the intake over the pages landed in ``chunks`` chunks, each taken up
+    as a whole once it has landed (Spark writes a file for every split of the
+    pages; a batch for each would multiply the batches by the splits); return
+    the store's keyword rows (equal to :func:`article_store`)."""
     landing, root = _scratch(spark, "landing"), _scratch(spark, "intake")
-    land_pages_in_chunks(pages, landing, chunks)
-    start_intake(spark, landing, root, max_files=1).awaitTermination()
+    for part in page_chunks(pages, chunks):
+        part.write.mode("append").parquet(landing)
+        start_intake(spark, landing, root).awaitTermination()
     return read_intake(spark, root)
