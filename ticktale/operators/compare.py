@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import r6
+from ..session import written
 from . import knn as kn
 from . import select as sl
 from .backtest import labelled_bars, rule_signals, summary, backtest, with_strategies
@@ -122,47 +123,53 @@ def random_split(ex: DataFrame, keys: list[str], id_col: str, test_frac: float =
         rows, attempt = rows.join(failed, keys, "left_semi"), attempt + 1
 
 
-def log_ratio_accuracy(split_ex: DataFrame, terms: DataFrame, vocab: DataFrame, keys: list[str],
-                       id_col: str) -> DataFrame:
-    """Fit-and-score of a log count ratio model restricted to ``vocab``;
-    test accuracy per key (deterministic, used to rank candidates)."""
-    t = terms.join(vocab.select(*keys, "word"), keys + ["word"], "left_semi") \
-             .join(split_ex.select(*keys, id_col, "label", "is_test"), keys + [id_col])
-    wts = t.filter(~F.col("is_test")).groupBy(*keys, "word").agg(
-        F.sum(F.when(F.col("label") == 1, F.col("cnt")).otherwise(0)).alias("up"),
-        F.sum(F.when(F.col("label") != 1, F.col("cnt")).otherwise(0)).alias("down"),
-    ).withColumn("wt", F.ln((F.col("up") + 1.0) / (F.col("down") + 1.0)))
-    z = t.filter("is_test").join(wts, keys + ["word"]).groupBy(*keys, id_col).agg(
-        F.sum(F.col("cnt") * F.col("wt")).alias("z"))
-    test = split_ex.filter("is_test").join(z, keys + [id_col], "left").fillna(0.0, ["z"])
-    hit = ((F.col("z") > 0) == (F.col("label") == 1)).cast("double")
-    return test.groupBy(*keys).agg((F.avg(hit) * 100).alias("test_acc"), F.count("*").alias("n_test"))
+def log_ratio_accuracies(split_ex: DataFrame, test_terms: DataFrame, words: DataFrame, keys: list[str], id_col: str,
+                         candidates: tuple[str, ...] = CANDIDATES) -> DataFrame:
+    """Score a log count ratio model on every candidate vocabulary at once.
+    ``words`` has the training counts ``up`` and ``down`` of a word and the bits
+    ``in_vocab`` of the candidates that hold it (a word weighs the same in all of
+    them), so that the test terms meet the words once. Per key and candidate:
+    test accuracy (deterministic, used to rank candidates) and rows."""
+    names = [f"_z{i}" for i in range(len(candidates))]
+    wts = words.select(*keys, "word", "in_vocab", F.ln((F.col("up") + 1.0) / (F.col("down") + 1.0)).alias("wt"))
+    z = test_terms.join(wts, keys + ["word"]).groupBy(*keys, id_col).agg(*[
+        F.sum(F.when(F.col("in_vocab").bitwiseAND(1 << i) != 0, F.col("cnt") * F.col("wt"))).alias(c) for i, c in enumerate(names)])
+    test = split_ex.filter("is_test").join(z, keys + [id_col], "left").fillna(0.0, names)
+    acc = test.groupBy(*keys).agg(F.count("*").alias("n_test"), F.array(*[F.struct(
+        F.lit(n).alias("candidate"), F.lit(i).alias("cand_no"),
+        (F.avg(((F.col(c) > 0) == (F.col("label") == 1)).cast("double")) * 100).alias("test_acc"))
+        for i, (n, c) in enumerate(zip(candidates, names))]).alias("_a"))
+    return acc.select(*keys, "n_test", F.explode("_a").alias("_a")).select(*keys, "n_test", "_a.*")
 
 
 def candidate_accuracies(ex: DataFrame, terms: DataFrame, keys: list[str]) -> DataFrame:
     """Per key, the test accuracy of a model on each candidate
     vocabulary (five chi-square selections, most frequent quarter, all words),
     all from one seeded split; empty selections drop out (Q33). Columns:
-    keys.., candidate, cand_no, n_words, n_test, test_acc, width."""
-    terms = terms.checkpoint()          # tokenised once, read by every candidate
-    split = random_split(ex, keys, "example_id").checkpoint()
-    train_ex = split.filter(~F.col("is_test"))
-    train_terms = terms.join(train_ex.select(*keys, "example_id"), keys + ["example_id"], "left_semi")
-    scores = sl.chi2_scores(train_ex, train_terms, keys).checkpoint()
-    totals = train_terms.groupBy(*keys, "word").agg(F.sum("cnt").alias("total"))
+    keys.., candidate, cand_no, n_words, n_test, test_acc, width.
+
+    The terms are tokenised and meet the split once, training terms are added up
+    per word once, and the candidates choose among these words."""
+    split = written(random_split(ex, keys, "example_id").select(*keys, "example_id", "label", "is_test"), "split")
+    terms = written(terms.join(split, keys + ["example_id"]), "terms")
+    counts = written(sl.label_counts(terms.filter(~F.col("is_test")), keys), "label-counts")
+    scores = written(sl.scores_of_counts(split.filter(~F.col("is_test")), counts, keys), "scores")
+    totals = written(counts.groupBy(*keys, "word").agg(
+        F.sum("o").alias("total"), F.sum(F.when(F.col("label") == 1, F.col("o")).otherwise(0)).alias("up"),
+        F.sum(F.when(F.col("label") != 1, F.col("o")).otherwise(0)).alias("down")), "totals")
     vocabs = {m: (sl.select_fpr(scores) if m == "fpr" else sl.SELECTORS[m](scores, keys=keys))
               for m in ("k_best", "fpr", "fdr", "fwe", "percentile")}
-    vocabs["chopped"] = top_quarter_vocab(totals, keys=tuple(keys))
+    vocabs["chopped"] = top_quarter_vocab(totals.select(*keys, "word", "total"), keys=tuple(keys))
     vocabs["all"] = totals
-    rows = []
-    for i, name in enumerate(CANDIDATES):
-        v = vocabs[name].select(*keys, "word")
-        acc = log_ratio_accuracy(split, terms, v, keys, "example_id")
-        n_words = v.groupBy(*keys).agg(F.count("*").alias("n_words"))
-        rows.append(acc.join(n_words, keys).withColumn("candidate", F.lit(name)).withColumn("cand_no", F.lit(i)))
-    width = totals.groupBy(*keys).agg(F.count("*").alias("width"))
-    res = reduce(DataFrame.unionByName, rows).filter(F.col("n_words") > 0).join(width, keys)
-    return res.checkpoint()             # few rows of a large plan, read by several branches
+    chosen = reduce(DataFrame.unionByName, [vocabs[name].select(*keys, "word", F.lit(1 << i).alias("in_vocab"))
+                                            for i, name in enumerate(CANDIDATES)])
+    bits = chosen.groupBy(*keys, "word").agg(F.bit_or("in_vocab").alias("in_vocab"))
+    words = written(totals.select(*keys, "word", "up", "down").join(bits, keys + ["word"]), "words")
+    acc = log_ratio_accuracies(split, terms.filter("is_test"), words, keys, "example_id")
+    held = words.groupBy(*keys).agg(F.count("*").alias("width"), F.array(*[
+        F.count(F.when(F.col("in_vocab").bitwiseAND(1 << i) != 0, 1)) for i in range(len(CANDIDATES))]).alias("_n"))
+    res = acc.join(held, keys).withColumn("n_words", F.element_at("_n", F.col("cand_no") + 1)).filter("n_words > 0")
+    return written(res.select(*keys, "candidate", "cand_no", "n_words", "n_test", "test_acc", "width"), "candidates")
 
 
 def not_split(ex: DataFrame, keys: list[str]) -> DataFrame:
