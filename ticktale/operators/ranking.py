@@ -28,10 +28,11 @@ def rank_within(df: DataFrame, keys: list[str], order: list[Column | str], rank:
     pos = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
     sizes = s.groupBy("_pid").agg(F.count("*").alias("_c"))                 # one row per partition
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = sizes.select("_pid", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
+    # written, so that their size is known and the sorted rows need not move to meet them
+    offs = written(sizes.select("_pid", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off")), "offsets")
     g = s.join(offs, "_pid").withColumn("_g", F.col("_off") + pos + 1)
     if keys:
-        first = g.groupBy(*keys).agg(F.min("_g").alias("_first"), F.count("*").alias(size))
+        first = written(g.groupBy(*keys).agg(F.min("_g").alias("_first"), F.count("*").alias(size)), "first-places")
         g = g.join(first, keys).withColumn(rank, F.col("_g") - F.col("_first") + 1).drop("_first")
     else:
         total = sizes.agg(F.coalesce(F.sum("_c"), F.lit(0))).first()[0]
