@@ -19,8 +19,10 @@ from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, Struc
 
 from ..session import written
 
-PIECE_TOKENS = 1 << 18
-PIECE_CHARS = 1 << 22
+# What a piece holds: its numpy arrays take some hundred bytes a token, so a
+# worker needs little beside the Arrow batches, which Spark bounds by rows and bytes.
+PIECE_TOKENS = 1 << 16
+PIECE_BYTES = 1 << 20
 
 
 def spread(docs: DataFrame, key: str) -> DataFrame:
@@ -50,6 +52,16 @@ def _lengths(lists) -> np.ndarray:
     return pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
+def _cut(batch, size: np.ndarray, most: int):
+    """Slices of the batch whose rows have ``most`` in all, one row at least."""
+    ends, at = np.cumsum(size), 0
+    while at < batch.num_rows:
+        base = ends[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(ends, base + most, "right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def _pieces(batches, *columns: str):
     """Slices of the batches with about PIECE_TOKENS entries in the (nested)
     list columns, one row at least."""
@@ -62,12 +74,7 @@ def _pieces(batches, *columns: str):
             if hasattr(inner, "flatten") and hasattr(inner.type, "value_type"):
                 n = n + np.diff(np.append(0, np.cumsum(np.append(0, _lengths(inner)))[np.cumsum(n)]))
             size += n
-        ends, at = np.cumsum(size), 0
-        while at < b.num_rows:
-            base = ends[at - 1] if at else 0
-            end = max(at + 1, int(np.searchsorted(ends, base + PIECE_TOKENS, "right")))
-            yield b.slice(at, end - at)
-            at = end
+        yield from _cut(b, size, PIECE_TOKENS)
 
 
 def _nodes(words, owner: np.ndarray):
@@ -151,32 +158,30 @@ def rank_tokens(rows: DataFrame, key: str, tokens: Column, steps: int, damping:
                 ratio: float | None = None) -> DataFrame:
     """(key, word, n_nodes, rank, kw_rank); with ``ratio`` only the first
     ``floor(ratio * n_nodes)`` words of a row."""
-    def run(frames):
-        for f in frames:
-            for b in _pieces(_token_lists(f, key), "_toks"):
-                owner, words, size, r, place = _rank_piece(b.column("_toks"), steps, damping, teleport)
-                at = np.flatnonzero(place <= np.floor(size * ratio)) if ratio is not None else np.arange(len(owner))
-                keys = b.column(key).to_numpy(zero_copy_only=False)
-                yield pd.DataFrame({key: keys[owner[at]], "word": words.to_numpy(zero_copy_only=False)[at], "n_nodes": size[at],
-                                    "rank": r[at], "kw_rank": place[at]})
-    import pandas as pd
-    # a row's tokens as one text: a pandas cell then costs a string, not an object a token
-    return rows.select(key, F.array_join(tokens, "\n").alias("_toks")).mapInPandas(
+    def run(batches):
+        import pyarrow as pa
+        for b in _token_lists(batches, key):
+            owner, words, size, r, place = _rank_piece(b.column("_toks"), steps, damping, teleport)
+            at = np.flatnonzero(place <= np.floor(size * ratio)) if ratio is not None else np.arange(len(owner))
+            yield pa.RecordBatch.from_arrays(
+                [b.column(key).take(pa.array(owner[at])), words.take(pa.array(at)), pa.array(size[at], pa.int64()),
+                 pa.array(r[at], pa.float64()), pa.array(place[at], pa.int64())], names=[key, "word", "n_nodes", "rank", "kw_rank"])
+    # a row's tokens as one text, which is cut into words a piece at a time
+    return rows.select(key, F.array_join(tokens, "\n").alias("_toks")).mapInArrow(
         run, _fields(rows, [key], StructField("word", StringType()), StructField("n_nodes", LongType()),
                      StructField("rank", DoubleType()), StructField("kw_rank", LongType())))
 
 
-def _token_lists(frame, key: str):
-    """Arrow batches (key, token lists) of a frame's joined tokens, about
-    PIECE_CHARS characters each."""
+def _token_lists(batches, key: str):
+    """Arrow batches (key, token lists) of the rows that have tokens, about
+    PIECE_BYTES of joined tokens each."""
     import pyarrow as pa
     import pyarrow.compute as pc
-    frame = frame[frame["_toks"].fillna("") != ""]
-    part = frame["_toks"].str.len().cumsum().to_numpy() // PIECE_CHARS
-    for _, at in frame.groupby(part, sort=False).indices.items():
-        f = frame.iloc[at]
-        yield pa.RecordBatch.from_arrays([pa.array(f[key]), pc.split_pattern(pa.array(f["_toks"], pa.string()), "\n")],
-                                         names=[key, "_toks"])
+    for b in batches:
+        for p in _cut(b, pc.binary_length(b.column("_toks")).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), PIECE_BYTES):
+            p = p.filter(pc.greater(pc.binary_length(p.column("_toks")).fill_null(0), 0))
+            if p.num_rows:
+                yield pa.RecordBatch.from_arrays([p.column(key), pc.split_pattern(p.column("_toks"), "\n")], names=[key, "_toks"])
 
 
 def runs_of_words(rows: DataFrame, key: str, tokens: Column, words: str) -> DataFrame:
