@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticktale.llm.common import stored, text_of
+from ticktale.llm.common import stored, text_of, worker_cache
 
 ROW = "shard int, block long, kind int, data binary"
 SCHEMA = pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("kind", pa.int32()), ("data", pa.binary())])
@@ -72,11 +72,11 @@ def squeeze(a: np.ndarray) -> bytes:
     """Compressed array: byte planes, so that small numbers cost few bytes."""
     a = np.ascontiguousarray(a)
     planes = a.view(np.uint8).reshape(len(a), a.dtype.itemsize).T if len(a) else np.zeros(0, np.uint8)
-    return zstandard.ZstdCompressor(1).compress(np.ascontiguousarray(planes).tobytes())
+    return worker_cache("squeeze", lambda: zstandard.ZstdCompressor(1)).compress(np.ascontiguousarray(planes).tobytes())
 
 
 def unsqueeze(data: bytes, dtype) -> np.ndarray:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    raw = np.frombuffer(worker_cache("unsqueeze", zstandard.ZstdDecompressor).decompress(data), np.uint8)
     k = np.dtype(dtype).itemsize
     return np.ascontiguousarray(raw.reshape(k, -1).T).view(dtype).reshape(-1)
 
