@@ -287,7 +287,7 @@ class Segments:
         first = order[new]                                       # first occurrence: smallest id
         self.back = np.empty(len(order), np.int64)
         self.back[order] = np.cumsum(new) - 1
-        self.rows, self.low, to = rows[first], self.ids[first], to[first].astype(np.int64)
+        self.rows, self.first, self.low, to = rows, first, self.ids[first], to[first].astype(np.int64)
         cut = np.flatnonzero(np.diff(to, prepend=-1))
         self.shards = [(s, slice(a, b)) for s, a, b in zip(to[cut].tolist(), cut.tolist(), [*cut[1:].tolist(), len(to)])]
 
@@ -431,7 +431,7 @@ def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def send(i: int, data: bytes, got: dict) -> pa.Table:
         s, layout = segments(Runs(Block(data), width), got), Layout(width)
-        return rows_table([(shard, i, 1, layout.squeeze(s.rows[x], s.low[x])) for shard, x in s.shards])
+        return rows_table([(shard, i, 1, layout.squeeze(s.rows[s.first[x]], s.low[x])) for shard, x in s.shards])
 
     masks = answer(meet(blocks, met, send, ROW), _sort(width))
 
@@ -445,9 +445,16 @@ def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         whole = (np.uint64(1) << s.n.astype(np.uint64)) - np.uint64(1)
         mine = np.where(s.ids > s.low[s.back], whole, mask[s.back])
         some = np.flatnonzero(mine)
-        lo, mine = s.lo[some], mine[some]
-        starts = [lo[((mine >> np.uint64(j)) & np.uint64(1)).astype(bool)] + j for j in range(width - GRAM + 1)]
-        return _result(block, r, np.sort(np.concatenate(starts)), width)
+        lo, n, mine, whole = s.lo[some], s.n[some], mine[some], whole[some]
+        part = mine != whole                                     # of most runs all windows go
+        begin, end = [lo[~part]], [(lo + n)[~part] + width - 1]
+        lo, mine = lo[part], mine[part]
+        for j in range(width - GRAM + 1):
+            begin.append(lo[((mine >> np.uint64(j)) & np.uint64(1)).astype(bool)] + j)
+            end.append(begin[-1] + width)
+        begin, end = np.concatenate(begin), np.concatenate(end)
+        order, _, _ = by_key(begin.astype(np.uint64), len(r.bytes).bit_length())
+        return _result(block, r, begin[order], end[order])
 
     out = meet(blocks, met.unionByName(masks), remove,
                "id long, n_bytes long, n_removed long, spans array<array<long>>, kept binary")
@@ -461,16 +468,18 @@ def _segments(met: DataFrame) -> int:
     return met.agg(F.sum(F.conv(digits, 16, 10).cast("long")).alias("n")).collect()[0]["n"] or 0
 
 
-def _result(block: Block, r: Runs, starts: np.ndarray, width: int) -> pa.Table:
-    """The documents without the windows that begin at ``starts`` (ascending)."""
-    doc = np.searchsorted(r.ends, starts, side="right")
-    new = np.ones(len(starts), bool)
-    new[1:] = (starts[1:] > starts[:-1] + width) | (doc[1:] != doc[:-1])
+def _result(block: Block, r: Runs, begin: np.ndarray, end: np.ndarray) -> pa.Table:
+    """The documents without the bytes from ``begin`` (ascending) to ``end``;
+    ranges that overlap or touch are one."""
+    doc = np.searchsorted(r.ends, begin, side="right")
+    reach = np.maximum.accumulate(end)
+    new = np.ones(len(begin), bool)
+    new[1:] = (begin[1:] > reach[:-1]) | (doc[1:] != doc[:-1])
     first = np.flatnonzero(new)
     begins = np.append(0, r.ends)[:len(r.ends)]
     doc = doc[first]
-    a = starts[first] - begins[doc]
-    b = starts[np.append(first, len(starts))[1:] - 1] + width - begins[doc]
+    a = begin[first] - begins[doc]
+    b = reach[np.append(first, len(begin))[1:] - 1] - begins[doc]
     of = np.append(0, np.cumsum(np.bincount(doc, minlength=len(block.texts))))
     gone = np.append(0, np.cumsum(b - a))
     kept = []
